@@ -172,7 +172,7 @@ def align_ms(spark, d):
     offset = F.floor((timeframe.epoch_micros(F.col("ts")) - F.col("admit_s") * 1_000_000) / 1000)
     own = timed_events(spark, d).join(cohort.select("stay_id", "admit_s"), "stay_id").withColumn("offset", offset)
     aligned = events.align(own, cohort, "ms", "offset", 48)
-    return aligned.select("stay_id", "event_id", F.round("TIME", 4).alias("TIME"))
+    return aligned.select("stay_id", "event_id", "TIME")
 
 
 @query
@@ -633,13 +633,13 @@ def dirty_csv(spark, d):
 
 @query
 def quoted_classes(spark, d):
-    """A class table whose names and values are wrapped in single quotes."""
+    """A class table whose values are wrapped in single quotes."""
     path = scratch_path(spark, "classes")
     wrap = lambda c: F.concat(F.lit("'"), c, F.lit("'"))
     table(spark, d, "part").select(
-        wrap(F.rpad("p_name", 30, " ")).alias(readers.CLASS_CODE), wrap(F.col("p_size").cast("string")).alias(readers.CLASS_LEVEL1)
+        wrap(F.rpad("p_name", 30, " ")).alias("code"), wrap(F.col("p_size").cast("string")).alias("level")
     ).write.option("header", True).csv(path)
-    return readers.read_classes(spark, path)
+    return readers.classes_of(readers.read_raw(spark, path), "code", "level")
 
 
 @query

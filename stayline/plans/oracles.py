@@ -295,17 +295,6 @@ packed AS (
 ONES = as_text(repeated(1, "16"))
 
 
-def crosswalk() -> str:
-    return """entries AS (SELECT p_brand AS icd10, p_type AS icd9, p_partkey AS line FROM part WHERE p_partkey % 4 <> 0),
-dx AS (
-  SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_brand WHEN 1 THEN p_brand || 'x' || p_size ELSE 'Q' || p_size END AS code,
-         p_size % 5 = 0 AS is_current FROM part),
-exact AS (SELECT icd10, arg_max(icd9, line) AS icd9 FROM entries GROUP BY ALL),
-modal AS (
-  SELECT e.icd10 AS prefix, icd9, count(*) AS n FROM exact e0 JOIN entries x ON starts_with(x.icd10, e0.icd10)
-  JOIN (SELECT icd10 FROM exact) e ON e.icd10 = e0.icd10 CROSS JOIN (SELECT 1) GROUP BY ALL),"""
-
-
 def code_case(mapping: dict, column: str) -> str:
     return f"CASE {column} " + " ".join(
         f"WHEN {key!r} THEN {value}" for key, value in mapping.items()
@@ -364,7 +353,7 @@ SELECT stay_id, event_id, tm AS "TIME" FROM t WHERE tm < 2880""",
     "align_ms": f"""WITH {stays(3)}, t AS (
   SELECT c.stay_id, e.event_id, floor((epoch_us(e.ts) - c.admit_s * 1000000) / 1000) / 60000 - c.intime AS tm
   FROM events e JOIN cohort c ON c.stay_id = e.user_id * 100 + (day(e.ts) - 1) // 3)
-SELECT stay_id, event_id, round(tm, 4) AS "TIME" FROM t WHERE tm < 2880""",
+SELECT stay_id, event_id, tm AS "TIME" FROM t WHERE tm < 2880""",
     "code_lookup": """SELECT l_orderkey, l_linenumber, CAST(l.l_partkey AS VARCHAR) AS original_code_l_partkey,
   p_name AS l_partkey, p_brand FROM lineitem l LEFT JOIN (SELECT * FROM part WHERE p_type = 'ECONOMY') p ON l.l_partkey = p.p_partkey""",
     "ed_attach": """SELECT l_orderkey, l_linenumber, o_custkey AS hadm_id, o_orderdate AS "ED_INTIME"
@@ -438,7 +427,7 @@ SELECT p_partkey, code, is_current,
 FROM dx LEFT JOIN exact e ON e.icd10 = code LEFT JOIN by_prefix b USING (code)""",
     "diagnosis_set": """WITH c AS (
   SELECT l_orderkey, CASE WHEN l_partkey % 18 < 14 THEN l_partkey % 18 WHEN l_partkey % 18 > 14 THEN l_partkey % 18 - 1 END AS category FROM lineitem),
-s AS (SELECT l_orderkey, string_agg(DISTINCT CAST(category AS VARCHAR), ',' ORDER BY category) AS d FROM (
+s AS (SELECT l_orderkey, string_agg(CAST(category AS VARCHAR), ',' ORDER BY category) AS d FROM (
   SELECT DISTINCT l_orderkey, category FROM c WHERE category < 12) GROUP BY ALL)
 SELECT o_orderkey AS l_orderkey, coalesce(d, '') AS diagnosis FROM orders LEFT JOIN s ON o_orderkey = s.l_orderkey""",
     "path_majority": f"""WITH paths AS (SELECT {PART_TEXT} AS path, p_type || '|' || p_brand AS up, p_partkey, p_size FROM part),
