@@ -38,14 +38,21 @@ def token_list(text: Column) -> Column:
 
 def digit_places(text: Column) -> Column:
     """One digit place per token of the same text."""
+    return F.flatten(F.transform(runs(text), lambda run: run["places"]))
 
-    def places(run: Column) -> Column:
-        point = F.instr(run, ".")
-        whole = F.when(point > 0, point - 1).otherwise(F.length(run))
-        number = F.transform(
-            F.sequence(F.lit(0), F.length(run) - 1), lambda i: (whole + POINT_PLACE - i).cast("int")
-        )
-        zeros = F.array_repeat(F.lit(0), F.size(token_list(run)))
-        return F.when(run.rlike("^[0-9]"), number).otherwise(zeros)
 
-    return F.flatten(F.transform(matches(text, NUMBER_RUN), places))
+def runs(text: Column) -> Column:
+    """Number, point and text runs of a text, each with its tokens and their digit places."""
+    return F.transform(matches(text, NUMBER_RUN), tokens_of_run)
+
+
+def tokens_of_run(run: Column) -> Column:
+    point = F.instr(run, ".")
+    whole = F.when(point > 0, point - 1).otherwise(F.length(run))
+    top = (whole + POINT_PLACE).cast("int")
+    number = F.sequence(top, top - F.length(run) + 1, F.lit(-1))
+    tokens = token_list(run)
+    zeros = F.array_repeat(F.lit(0), F.size(tokens))
+    return F.struct(
+        tokens.alias("tokens"), F.when(run.rlike("^[0-9]"), number).otherwise(zeros).alias("places")
+    )

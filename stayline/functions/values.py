@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Bands:
-    """Cut points with one label per band; ``upper[i]`` says which side owns cut i.
+    """Cut points with one label per band; ``closed[i]`` says which band contains cut i.
 
-    ``"left"``: the band above the cut contains it (v >= cut); ``"right"``: the band below does.
+    ``"left"``: the band above the cut (v >= cut); ``"right"``: the band below it.
     """
 
     cuts: tuple[float, ...]
@@ -29,19 +29,19 @@ class Bands:
         sides = (closed,) * len(cuts) if isinstance(closed, str) else tuple(closed)
         return Bands(tuple(c * scale for c in cuts), tuple(labels), sides)
 
-    def label(self, value: Column) -> Column:
-        """Label of a value; null and NaN stay null."""
-        usable = value.isNotNull() & ~F.isnan(value.cast("double"))
-        below = [
-            (value < cut if side == "left" else value <= cut)
-            for cut, side in zip(self.cuts, self.closed)
-        ]
-        chosen = reduce(
-            lambda chain, step: chain.when(step[0], F.lit(step[1])),
-            zip(below[1:], self.labels[1:]),
-            F.when(below[0], F.lit(self.labels[0])),
-        ).otherwise(F.lit(self.labels[-1]))
-        return F.when(usable, chosen).cast("int")
+    def label(self, value: str) -> Column:
+        """Label of a value, given as SQL text; null and NaN stay null."""
+        return F.expr(self.label_sql(value))
+
+    def label_sql(self, value: str) -> str:
+        below = " ".join(
+            f"WHEN {value} {'<' if side == 'left' else '<='} {float(cut)!r}D THEN {label}"
+            for cut, side, label in zip(self.cuts, self.closed, self.labels)
+        )
+        return (
+            f"CASE WHEN {value} IS NULL OR isnan(CAST({value} AS DOUBLE)) THEN NULL "
+            f"{below} ELSE {self.labels[-1]} END"
+        )
 
 
 def relative_change(value: Column, base: Column) -> Column:

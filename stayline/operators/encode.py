@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.functions.tokens import digit_places, round_decimals, token_list
+from stayline.functions.tokens import digit_places, round_decimals, runs, token_list
 from stayline.operators.events import latest_events
 
 # Type ids.
@@ -39,60 +39,85 @@ def linearise(
     """
     codes = codes or []
     head = round_decimals(F.lit(table))
+    n_head = F.size(token_list(head))
 
     def unit(name: str) -> Column:
-        value = F.col(name).cast("string")
-        if name in codes:
-            empty_text, empty_int = F.array().cast("array<string>"), F.array().cast("array<int>")
-            parts = (F.lit(True), empty_text, empty_int, empty_int)
-        else:
-            label, content = round_decimals(F.lit(name)), round_decimals(value)
-            label_tokens, content_tokens = token_list(label), token_list(content)
-            parts = (
-                F.lit(False),
-                F.concat(label_tokens, content_tokens),
-                F.concat(
-                    F.array_repeat(F.lit(TYPE_COLUMN), F.size(label_tokens)),
-                    F.array_repeat(F.lit(TYPE_VALUE), F.size(content_tokens)),
-                ),
-                F.concat(digit_places(label), digit_places(content)),
-            )
-        names = ("is_code", "tokens", "types", "places")
-        fields = [p.alias(n) for p, n in zip(parts, names)]
-        return F.struct(F.lit(name).alias("name"), value.alias("value"), *fields)
-
-    present = F.filter(F.array(*[unit(c) for c in columns]), lambda u: u["value"].isNotNull())
-    head_tokens = token_list(head)
-    counted = events.select(*keep, present.alias("_units"))
+        label = round_decimals(F.lit(name))
+        return F.struct(
+            F.lit(name).alias("name"),
+            F.col(name).cast("string").alias("value"),
+            F.lit(name in codes).alias("is_code"),
+            token_list(label).alias("label_tokens"),
+            digit_places(label).alias("label_places"),
+        )
+
+    # one projection per step, so that every regular expression runs once per value
+    no_runs = F.array().cast("array<struct<tokens:array<string>,places:array<int>>>")
+    present = events.select(
+        *keep, F.filter(F.array(*[unit(c) for c in columns]), lambda u: u["value"].isNotNull()).alias("_u")
+    )
+    cut = present.withColumn(
+        "_u",
+        F.transform(
+            "_u",
+            lambda u: u.withField("runs", F.when(~u["is_code"], runs(round_decimals(u["value"]))).otherwise(no_runs)),
+        ),
+    )
+
+    def flat(u: Column, field: str) -> Column:
+        return F.flatten(F.transform(u["runs"], lambda r: r[field]))
+
+    shaped = cut.withColumn(
+        "_u",
+        F.transform(
+            "_u",
+            lambda u: F.struct(
+                u["name"].alias("name"),
+                u["value"].alias("value"),
+                u["is_code"].alias("is_code"),
+                u["label_tokens"].alias("label_tokens"),
+                u["label_places"].alias("label_places"),
+                flat(u, "tokens").alias("value_tokens"),
+                flat(u, "places").alias("value_places"),
+            ),
+        ),
+    )
 
     def step(acc: Column, u: Column) -> Column:
-        length = acc["length"] + F.size(u["tokens"])
+        length = acc["length"] + F.size(u["label_tokens"]) + F.size(u["value_tokens"])
         fits = ~acc["stop"] & (u["is_code"] | (length + 2 <= max_tokens))
         return F.struct(
-            F.when(fits, length).otherwise(acc["length"]).alias("length"),
+            F.when(fits & ~u["is_code"], length).otherwise(acc["length"]).alias("length"),
             (acc["taken"] + fits.cast("int")).alias("taken"),
             (~fits).alias("stop"),
         )
 
-    start = F.struct(
-        F.size(head_tokens).alias("length"), F.lit(0).alias("taken"), F.lit(False).alias("stop")
+    start = F.struct(n_head.alias("length"), F.lit(0).alias("taken"), F.lit(False).alias("stop"))
+    taken = F.aggregate("_u", start, step, lambda acc: acc["taken"])
+    used = shaped.withColumn("_u", F.slice("_u", F.lit(1), taken)).withColumns(
+        {
+            "_shown": F.filter("_u", lambda u: ~u["is_code"]),
+            "_codes": F.transform(F.filter("_u", lambda u: u["is_code"]), lambda u: u["value"]),
+        }
     )
-    taken = F.aggregate("_units", start, step, lambda acc: acc["taken"])
-    used = counted.select(*keep, F.slice("_units", F.lit(1), taken).alias("_units"))
 
-    def gather(field: str) -> Column:
-        return F.flatten(F.transform("_units", lambda u: u[field]))
+    def gather(make) -> Column:
+        return F.flatten(F.transform("_shown", make))
+
+    def type_ids(u: Column) -> Column:
+        return F.concat(
+            F.array_repeat(F.lit(TYPE_COLUMN), F.size(u["label_tokens"])),
+            F.array_repeat(F.lit(TYPE_VALUE), F.size(u["value_tokens"])),
+        )
 
-    n_head = F.size(head_tokens)
-    shown = F.filter("_units", lambda u: ~u["is_code"])
-    pairs = F.flatten(F.transform(shown, lambda u: F.array(u["name"], u["value"])))
+    pairs = gather(lambda u: F.array(u["name"], u["value"]))
     return used.select(
         *keep,
-        F.concat(head_tokens, gather("tokens")).alias("tokens"),
-        F.concat(F.array_repeat(F.lit(TYPE_TABLE), n_head), gather("types")).alias("types"),
-        F.concat(digit_places(head), gather("places")).alias("places"),
+        F.concat(token_list(head), gather(lambda u: F.concat(u["label_tokens"], u["value_tokens"]))).alias("tokens"),
+        F.concat(F.array_repeat(F.lit(TYPE_TABLE), n_head), gather(type_ids)).alias("types"),
+        F.concat(digit_places(head), gather(lambda u: F.concat(u["label_places"], u["value_places"]))).alias("places"),
         F.array_join(F.concat(F.array(F.lit(table)), pairs), " ").alias("original_text"),
-        F.transform(F.filter("_units", lambda u: u["is_code"]), lambda u: u["value"]).alias("codes"),
+        F.col("_codes").alias("codes"),
     )
 
 

@@ -70,28 +70,27 @@ class LabRules:
         return task_bands(task, self.closed, self.scales.get(task, 1.0))
 
 
-def measure_of(code: Column, codes: dict[str, list]) -> Column:
-    """Name of the measure a code belongs to (codes compared as text), else null."""
-    chain = None
-    for measure, members in codes.items():
-        if not members:
-            continue
-        hit = code.cast("string").isin([str(m) for m in members])
-        chain = F.when(hit, measure) if chain is None else chain.when(hit, measure)
-    return chain if chain is not None else F.lit(None).cast("string")
+def measure_of(code: str, codes: dict[str, list]) -> Column:
+    """Name of the measure a code column belongs to (codes compared as text), else null."""
+    lists = {m: ", ".join("'" + str(c).replace("'", "\\'") + "'" for c in cs) for m, cs in codes.items() if cs}
+    if not lists:
+        return F.lit(None).cast("string")
+    whens = " ".join(f"WHEN CAST({code} AS STRING) IN ({members}) THEN '{m}'" for m, members in lists.items())
+    return F.expr(f"CASE {whens} END")
 
 
 def tag_measures(events: DataFrame, codes: dict[str, list], code: str = "code") -> DataFrame:
     """Rows of any wanted measure, with its name; one scan serves every task."""
     return (
-        events.withColumn("measure", measure_of(F.col(code), codes))
-        .where(F.col("measure").isNotNull() & F.col("value").isNotNull())
+        events.withColumn("measure", measure_of(code, codes))
+        .where("measure IS NOT NULL AND value IS NOT NULL")
     )
 
 
 def minute_since_admission(rounding: str = "round") -> Column:
-    exact = (F.col("clock_s") - F.col("admit_s")) / 60
-    return {"round": F.round(exact), "floor": F.floor(exact).cast("double"), "none": exact}[rounding]
+    exact = "(clock_s - admit_s) / 60"
+    forms = {"round": f"round({exact})", "floor": f"CAST(floor({exact}) AS DOUBLE)", "none": exact}
+    return F.expr(forms[rounding])
 
 
 def events_in_window(
@@ -108,31 +107,19 @@ def events_in_window(
     event under its own day.  Events of other days are never paired, and a busy admission is cut
     into days before the join.
     """
-    entry_s = F.col("admit_s") + F.col("INTIME") * 60
-
-    def slots(span: str, start: int, end: int) -> Column:
-        days = F.sequence(
-            F.floor((entry_s + start * 60 - 60) / DAY_SECONDS),
-            F.floor((entry_s + end * 60 + 60) / DAY_SECONDS),
-        )
-        return F.transform(
-            days,
-            lambda d: F.struct(
-                F.lit(span).alias("span"),
-                d.alias("_day"),
-                F.lit(start).alias("_start"),
-                F.lit(end).alias("_end"),
-            ),
-        )
-
-    listed = cohort.withColumn("_slot", F.explode(F.concat(*[slots(k, *v) for k, v in spans.items()])))
-    stays = listed.select(*cohort.columns, "_slot.*")
-    since_entry = F.col("minute") - F.col("INTIME")
+    def slots(span: str, start: int, end: int) -> str:
+        first = f"floor((admit_s + (INTIME + {start}) * 60 - 60) / {DAY_SECONDS})"
+        last = f"floor((admit_s + (INTIME + {end}) * 60 + 60) / {DAY_SECONDS})"
+        fields = f"'span', '{span}', '_day', d, '_start', {start}, '_end', {end}"
+        return f"transform(sequence({first}, {last}), d -> named_struct({fields}))"
+
+    listing = ", ".join(slots(span, *limits) for span, limits in spans.items())
+    stays = cohort.withColumn("_slot", F.expr(f"explode(concat({listing}))")).select(*cohort.columns, "_slot.*")
     return (
-        events.withColumn("_day", F.floor(F.col("clock_s") / DAY_SECONDS))
+        events.withColumn("_day", F.expr(f"floor(clock_s / {DAY_SECONDS})"))
         .join(stays, [on, "span", "_day"])
         .withColumn("minute", minute_since_admission(rounding))
-        .where((since_entry >= F.col("_start")) & (since_entry < F.col("_end")))
+        .where("minute - INTIME >= _start AND minute - INTIME < _end")
         .drop("_day", "_start", "_end")
     )
 
@@ -233,12 +220,8 @@ def baseline(events: DataFrame, cohort: DataFrame, on: str, rounding: str = "rou
 
 def band_by_measure(values: DataFrame, rules: LabRules, measures: list[str], out: str = "label") -> DataFrame:
     """Label of ``value`` by the bands of its measure."""
-    chain = None
-    for m in measures:
-        labelled = rules.band(m).label(F.col("value"))
-        is_m = F.col("measure") == m
-        chain = F.when(is_m, labelled) if chain is None else chain.when(is_m, labelled)
-    return values.withColumn(out, chain)
+    whens = " ".join(f"WHEN '{m}' THEN {rules.band(m).label_sql('value')}" for m in measures)
+    return values.withColumn(out, F.expr(f"CASE measure {whens} END"))
 
 
 def lab_labels(
@@ -296,25 +279,26 @@ def lab_labels(
         value = F.when(F.col("measure") == "urine", per_kg).otherwise(value)
     labelled = band_by_measure(values.withColumn("value", value), rules, measures)
 
-    def pick(measure: str, use: int, column: str) -> Column:
-        return F.max(F.when((F.col("measure") == measure) & (F.col("use") == use), F.col(column)))
+    def pick(measure: str, use: int, column: str) -> str:
+        return f"max(CASE WHEN measure = '{measure}' AND use = {use} THEN {column} END)"
 
-    wide = [pick(m, h, "label").alias(f"{m}_{h}") for m in measures for h in rules.horizons]
+    wide = [f"{pick(m, h, 'label')} AS {m}_{h}" for m in measures for h in rules.horizons]
     if with_aki:
-        base = F.coalesce(
-            pick("creatinine", BASELINE_WINDOW, "lowest"), pick("creatinine", SINCE_ENTRY, "first")
-        )
-        wide += [base.alias("_baseline")]
-        wide += [pick("creatinine", h, "value").alias(f"_value_{h}") for h in rules.horizons]
-    result = labelled.groupBy("stay_id").agg(*wide)
+        base = f"coalesce({pick('creatinine', BASELINE_WINDOW, 'lowest')}, {pick('creatinine', SINCE_ENTRY, 'first')})"
+        wide += [f"{base} AS _baseline"]
+        wide += [f"{pick('creatinine', h, 'value')} AS _value_{h}" for h in rules.horizons]
+    result = labelled.groupBy("stay_id").agg(*[F.expr(w) for w in wide])
     if with_aki:
-        base = F.col("_baseline")
-        if rules.positive_baseline:
-            base = F.when(base > 0, base)
+        base = F.expr("CASE WHEN _baseline > 0 THEN _baseline END" if rules.positive_baseline else "_baseline")
+        result = result.withColumns(
+            {f"_change_{h}": relative_change(F.col(f"_value_{h}"), base) for h in rules.horizons}
+        )
+        stages = {}
         for h in rules.horizons:
-            stage = rules.band("AKI").label(relative_change(F.col(f"_value_{h}"), base))
+            stage = rules.band("AKI").label(f"_change_{h}")
             if rules.combine and f"urine_{h}" in result.columns:
                 stage = row_max(stage, F.col(f"urine_{h}"), missing=rules.combine)
-            result = result.withColumn(f"AKI_{h}", stage)
+            stages[f"AKI_{h}"] = stage
+        result = result.withColumns(stages)
     labels = [f"{t}_{h}" for t in tasks for h in rules.horizons]
     return cohort.join(result.select("stay_id", *labels), "stay_id", "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RANGES = 256
@@ -24,26 +24,26 @@ def group_summary(
     weighted percentile.  A wider group is split into value ranges and only the range that holds
     the middle is looked at.
     """
-    order = F.col(at) if at else F.lit(0)
-    rows = df.where(F.col(value).isNotNull()).select(
-        *keys, F.col(value).cast("double").alias("_v"), order.alias("_t")
+    rows = df.where(f"{value} IS NOT NULL").selectExpr(
+        *keys, f"CAST({value} AS DOUBLE) AS _v", f"{at or 0} AS _t"
     )
-    lowest = F.min("_v").alias("lowest")
-    first = F.min(F.struct("_t", "_v"))["_v"].alias("first")
+    lowest = F.expr("min(_v) AS lowest")
+    first = F.expr("min(struct(_t, _v))._v AS first")
     if not exact:
-        return rows.groupBy(*keys).agg(F.percentile_approx("_v", 0.5).alias("median"), lowest, first)
+        return rows.groupBy(*keys).agg(F.expr("percentile_approx(_v, 0.5) AS median"), lowest, first)
 
-    counted = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t"))
+    counted = rows.groupBy(*keys, "_v").agg(F.expr("count(*) AS _n"), F.expr("min(_t) AS _t"))
     # reads every column of ``counted`` so that all uses share one shuffle
     sizes = counted.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_distinct"), F.sum("_n").alias("_rows"), F.max("_t").alias("_last")
+        F.expr("count(*) AS _distinct"), F.expr("sum(_n) AS _rows"), F.expr("max(_t) AS _last")
     )
-    is_wide = (F.col("_distinct") > max_values) & (F.col("_rows") > max_values) & F.col("_last").isNotNull()
-    wide = sizes.where(is_wide).select(*keys)
+    wide = sizes.where(
+        f"_distinct > {max_values} AND _rows > {max_values} AND _last IS NOT NULL"
+    ).select(*keys)
     narrow = (
         counted.join(wide, keys, "left_anti")
         .groupBy(*keys)
-        .agg(F.expr("percentile(_v, 0.5, _n)").alias("median"), lowest, first)
+        .agg(F.expr("percentile(_v, 0.5, _n) AS median"), lowest, first)
     )
     hot = counted.join(wide, keys, "left_semi")
     hot_summary = _median_by_ranges(hot, keys, "median").join(
@@ -68,44 +68,39 @@ def exact_median(
 
 def _median_by_ranges(counted: DataFrame, group: list[str], out: str) -> DataFrame:
     """Exact median of (group, value, count) rows without holding a group in one task."""
-    points = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
-    cuts = counted.groupBy(*group).agg(F.percentile_approx("_v", points, 10_000).alias("_cuts"))
-    placed = counted.join(cuts, group).select(
-        *group,
-        "_v",
-        "_n",
-        F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_range"),
+    points = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
+    cuts = counted.groupBy(*group).agg(F.expr(f"percentile_approx(_v, array({points}), 10000) AS _cuts"))
+    placed = counted.join(cuts, group).selectExpr(
+        *group, "_v", "_n", "size(filter(_cuts, c -> c < _v)) AS _range"
     )
-    # at most RANGES rows per group reach this window
-    running = Window.partitionBy(*group).orderBy("_range")
-    whole = Window.partitionBy(*group)
+    # at most RANGES rows per group reach these windows
+    of_group = ", ".join(group)
     middle = (
         placed.groupBy(*group, "_range")
-        .agg(F.sum("_n").alias("_size"))
-        .withColumn("_before", F.sum("_size").over(running) - F.col("_size"))
-        .withColumn("_total", F.sum("_size").over(whole))
-        .withColumn("_low", F.floor((F.col("_total") - 1) / 2))
-        .withColumn("_high", F.floor(F.col("_total") / 2))
-        .where(
-            (F.col("_before") <= F.col("_high"))
-            & (F.col("_before") + F.col("_size") > F.col("_low"))
+        .agg(F.expr("sum(_n) AS _size"))
+        .selectExpr(
+            *group,
+            "_range",
+            "_size",
+            f"sum(_size) OVER (PARTITION BY {of_group} ORDER BY _range) - _size AS _before",
+            f"sum(_size) OVER (PARTITION BY {of_group}) AS _total",
         )
-        .select(*group, "_range", "_before", "_low", "_high")
+        .where("_before <= floor(_total / 2) AND _before + _size > floor((_total - 1) / 2)")
+        .drop("_size")
     )
-    in_range = Window.partitionBy(*group, "_range").orderBy("_v")
-    ranked = placed.join(middle, [*group, "_range"]).withColumn(
-        "_end", F.col("_before") + F.sum("_n").over(in_range)
+    ranked = placed.join(middle, [*group, "_range"]).selectExpr(
+        *group,
+        "_v",
+        f"_before + sum(_n) OVER (PARTITION BY {of_group}, _range ORDER BY _v) AS _end",
+        "_n",
+        "_total",
     )
 
-    def at(rank: str):
-        covers = (F.col("_end") > F.col(rank)) & (F.col("_end") - F.col("_n") <= F.col(rank))
-        return F.max(F.when(covers, F.col("_v")))
+    def at(rank: str) -> str:
+        return f"max(CASE WHEN _end > {rank} AND _end - _n <= {rank} THEN _v END)"
 
-    return (
-        ranked.groupBy(*group)
-        .agg(at("_low").alias("_a"), at("_high").alias("_b"))
-        .select(*group, (F.col("_a") * 0.5 + F.col("_b") * 0.5).alias(out))
-    )
+    low, high = at("floor((_total - 1) / 2)"), at("floor(_total / 2)")
+    return ranked.groupBy(*group).agg(F.expr(f"{low} * 0.5D + {high} * 0.5D AS {out}"))
 
 
 def approximate_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:

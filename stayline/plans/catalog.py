@@ -234,10 +234,10 @@ def buckets(spark, d, closed):
     bands = event_bands(closed)
     return table(spark, d, "events").select(
         "event_id",
-        bands["creatinine"].label(F.col("value")).alias("rising"),
-        bands["platelets"].label(F.round("value")).alias("falling"),
-        labs.task_bands("wbc", closed).label(F.round("value")).alias("wbc"),
-        labs.task_bands("creatinine", closed, values.CREATININE_UMOL_PER_MG_DL).label(F.col("value")).alias("scaled"),
+        bands["creatinine"].label("value").alias("rising"),
+        bands["platelets"].label("round(value)").alias("falling"),
+        labs.task_bands("wbc", closed).label("round(value)").alias("wbc"),
+        labs.task_bands("creatinine", closed, values.CREATININE_UMOL_PER_MG_DL).label("value").alias("scaled"),
     )
 
 
