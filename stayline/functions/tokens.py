@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from decimal import ROUND_HALF_UP, Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,44 +18,69 @@ TOKEN = r"[0-9]|\p{L}+|[^\s\p{L}]"
 POINT_PLACE = 5
 
 
-def matches(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def quoted(pattern: str) -> str:
+    """A pattern as a raw SQL string literal."""
+    return f"r'{pattern}'"
+
 
+def round_decimals(text: str) -> Column:
+    """Every decimal number in a text rounded to 4 places, printed without spare zeros.
 
-def round_decimals(text: Column, places: int = 4) -> Column:
-    """Every decimal number in a text rounded to some places, printed without spare zeros."""
+    ``text`` is SQL.  Plain numbers and texts without a decimal number take no lambda.
+    """
 
-    def shorten(piece: Column) -> Column:
-        rounded = F.round(piece.try_cast("decimal(38,14)"), places).cast("string")
-        short = F.regexp_replace(rounded, r"(\.[0-9]+?)0+$", "$1")
-        return F.when(piece.rlike(f"^{DECIMAL}$"), F.coalesce(short, piece)).otherwise(piece)
+    def shorten(piece: str) -> str:
+        rounded = f"CAST(round(try_cast({piece} AS DECIMAL(38, 14)), 4) AS STRING)"
+        trimmed = "regexp_replace({0}, {1}, '$1')".format(rounded, quoted(r"(\.[0-9]+?)0+$"))
+        return f"coalesce({trimmed}, {piece})"
+
+    whole = quoted(f"^{DECIMAL}$")
+    pieces = f"regexp_extract_all({text}, {quoted(PIECE)}, 0)"
+    rewritten = f"array_join(transform({pieces}, p -> CASE WHEN p RLIKE {whole} THEN {shorten('p')} ELSE p END), '')"
+    return F.expr(
+        f"CASE WHEN {text} RLIKE {whole} THEN {shorten(text)} "
+        f"WHEN {text} RLIKE {quoted(DECIMAL)} THEN {rewritten} ELSE {text} END"
+    )
 
-    rewritten = F.array_join(F.transform(matches(text, PIECE), shorten), "")
-    return F.when(text.rlike(DECIMAL), rewritten).otherwise(text)
 
+def token_list(text: str) -> Column:
+    """Words, single digits, single points and single symbols of a text (SQL), in order."""
+    return F.expr(tokens_sql(text))
 
-def token_list(text: Column) -> Column:
-    """Words, single digits, single points and single symbols, in order."""
-    return matches(text, TOKEN)
 
+def tokens_sql(text: str) -> str:
+    return f"regexp_extract_all({text}, {quoted(TOKEN)}, 0)"
 
-def digit_places(text: Column) -> Column:
-    """One digit place per token of the same text."""
-    return F.flatten(F.transform(runs(text), lambda run: run["places"]))
 
+def digit_places(text: str) -> Column:
+    """One digit place per token of the same text (SQL); only mixed texts take a lambda."""
 
-def runs(text: Column) -> Column:
-    """Number, point and text runs of a text, each with its tokens and their digit places."""
-    return F.transform(matches(text, NUMBER_RUN), tokens_of_run)
+    def number(run: str) -> str:
+        whole = f"(CASE WHEN instr({run}, '.') > 0 THEN instr({run}, '.') - 1 ELSE length({run}) END)"
+        return f"sequence({whole} + {POINT_PLACE}, {whole} + {POINT_PLACE + 1} - length({run}), -1)"
 
+    def zeros(run: str) -> str:
+        return f"array_repeat(0, size({tokens_sql(run)}))"
 
-def tokens_of_run(run: Column) -> Column:
-    point = F.instr(run, ".")
-    whole = F.when(point > 0, point - 1).otherwise(F.length(run))
-    top = (whole + POINT_PLACE).cast("int")
-    number = F.sequence(top, top - F.length(run) + 1, F.lit(-1))
-    tokens = token_list(run)
-    zeros = F.array_repeat(F.lit(0), F.size(tokens))
-    return F.struct(
-        tokens.alias("tokens"), F.when(run.rlike("^[0-9]"), number).otherwise(zeros).alias("places")
+    runs = f"regexp_extract_all({text}, {quoted(NUMBER_RUN)}, 0)"
+    mixed = f"flatten(transform({runs}, r -> CASE WHEN r RLIKE '^[0-9]' THEN {number('r')} ELSE {zeros('r')} END))"
+    return F.expr(
+        f"CASE WHEN {text} RLIKE {quoted('^[0-9]+([.][0-9]*)?$')} THEN {number(text)} "
+        f"WHEN {text} RLIKE '[0-9.]' THEN {mixed} ELSE {zeros(text)} END"
     )
+
+
+def constant_unit(text: str) -> tuple[list[str], list[int]]:
+    """Tokens and digit places of a constant, such as a table or column name."""
+
+    def shorten(found: re.Match) -> str:
+        rounded = Decimal(found.group()).quantize(Decimal("0.0001"), ROUND_HALF_UP)
+        return re.sub(r"(\.[0-9]+?)0+$", r"\1", str(rounded))
+
+    tokens, places = [], []
+    for run in re.findall(NUMBER_RUN, re.sub(DECIMAL, shorten, text)):
+        found = re.findall(r"[0-9]|[^\W\d_]+|\S", run)
+        top = (run.index(".") if "." in run else len(run)) + POINT_PLACE
+        tokens += found
+        places += [top - i for i in range(len(found))] if run[0].isdigit() else [0] * len(found)
+    return tokens, places

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.functions.tokens import digit_places, round_decimals, runs, token_list
+from stayline.functions.tokens import constant_unit, digit_places, round_decimals, token_list
 from stayline.operators.events import latest_events
 
 # Type ids.
@@ -38,87 +40,61 @@ def linearise(
     ends the row: later columns, and later codes, are left out.
     """
     codes = codes or []
-    head = round_decimals(F.lit(table))
-    n_head = F.size(token_list(head))
-
-    def unit(name: str) -> Column:
-        label = round_decimals(F.lit(name))
-        return F.struct(
-            F.lit(name).alias("name"),
-            F.col(name).cast("string").alias("value"),
-            F.lit(name in codes).alias("is_code"),
-            token_list(label).alias("label_tokens"),
-            digit_places(label).alias("label_places"),
-        )
-
-    # one projection per step, so that every regular expression runs once per value
-    no_runs = F.array().cast("array<struct<tokens:array<string>,places:array<int>>>")
-    present = events.select(
-        *keep, F.filter(F.array(*[unit(c) for c in columns]), lambda u: u["value"].isNotNull()).alias("_u")
+    head_tokens, head_places = constant_unit(table)
+    shown = [c for c in columns if c not in codes]
+
+    # one projection per step, so that every regular expression runs once per value; there is no
+    # lambda on the way except for texts that mix words and numbers
+    texts = events.select(
+        *keep, *[F.col(c).cast("string").alias(f"_v{i}") for i, c in enumerate(columns)]
     )
-    cut = present.withColumn(
-        "_u",
-        F.transform(
-            "_u",
-            lambda u: u.withField("runs", F.when(~u["is_code"], runs(round_decimals(u["value"]))).otherwise(no_runs)),
-        ),
+    rounded = texts.withColumns(
+        {f"_r{i}": round_decimals(f"_v{i}") for i, c in enumerate(columns) if c in shown}
     )
-
-    def flat(u: Column, field: str) -> Column:
-        return F.flatten(F.transform(u["runs"], lambda r: r[field]))
-
-    shaped = cut.withColumn(
-        "_u",
-        F.transform(
-            "_u",
-            lambda u: F.struct(
-                u["name"].alias("name"),
-                u["value"].alias("value"),
-                u["is_code"].alias("is_code"),
-                u["label_tokens"].alias("label_tokens"),
-                u["label_places"].alias("label_places"),
-                flat(u, "tokens").alias("value_tokens"),
-                flat(u, "places").alias("value_places"),
-            ),
-        ),
+    cut = rounded.withColumns(
+        {f"_t{i}": token_list(f"_r{i}") for i, c in enumerate(columns) if c in shown}
+        | {f"_p{i}": digit_places(f"_r{i}") for i, c in enumerate(columns) if c in shown}
     )
 
-    def step(acc: Column, u: Column) -> Column:
-        length = acc["length"] + F.size(u["label_tokens"]) + F.size(u["value_tokens"])
-        fits = ~acc["stop"] & (u["is_code"] | (length + 2 <= max_tokens))
-        return F.struct(
-            F.when(fits & ~u["is_code"], length).otherwise(acc["length"]).alias("length"),
-            (acc["taken"] + fits.cast("int")).alias("taken"),
-            (~fits).alias("stop"),
-        )
-
-    start = F.struct(n_head.alias("length"), F.lit(0).alias("taken"), F.lit(False).alias("stop"))
-    taken = F.aggregate("_u", start, step, lambda acc: acc["taken"])
-    used = shaped.withColumn("_u", F.slice("_u", F.lit(1), taken)).withColumns(
-        {
-            "_shown": F.filter("_u", lambda u: ~u["is_code"]),
-            "_codes": F.transform(F.filter("_u", lambda u: u["is_code"]), lambda u: u["value"]),
-        }
+    # a column is used while the running length, its own included, leaves room for two tokens;
+    # the length only grows, so everything after the first column that does not fit is left out
+    used, length, parts = {}, str(len(head_tokens)), {"tokens": [], "types": [], "places": [], "text": [], "codes": []}
+    fitting = "true"
+    for i, name in enumerate(columns):
+        if name in codes:
+            used[f"_use{i}"] = f"_v{i} IS NOT NULL AND {fitting}"
+            parts["codes"].append(f"CASE WHEN _use{i} THEN array(_v{i}) ELSE CAST(array() AS ARRAY<STRING>) END")
+            continue
+        label_tokens, label_places = constant_unit(name)
+        length += f" + CASE WHEN _v{i} IS NULL THEN 0 ELSE size(_t{i}) + {len(label_tokens)} END"
+        fitting = f"{length} <= {max_tokens - 2}"
+        used[f"_use{i}"] = f"_v{i} IS NOT NULL AND {fitting}"
+        for field, constant, own in (
+            ("tokens", _array(label_tokens), f"_t{i}"),
+            ("types", _array([TYPE_COLUMN] * len(label_tokens)), f"array_repeat({TYPE_VALUE}, size(_t{i}))"),
+            ("places", _array(label_places), f"_p{i}"),
+        ):
+            empty = "CAST(array() AS ARRAY<STRING>)" if field == "tokens" else "CAST(array() AS ARRAY<INT>)"
+            parts[field] += [f"CASE WHEN _use{i} THEN {x} ELSE {empty} END" for x in (constant, own)]
+        parts["text"].append(f"CASE WHEN _use{i} THEN concat('{name} ', _v{i}) END")
+    chosen = cut.withColumns({name: F.expr(condition) for name, condition in used.items()})
+
+    def together(*arrays: str) -> str:
+        return f"concat({', '.join(arrays)})"
+
+    no_codes = "CAST(array() AS ARRAY<STRING>)"
+    return chosen.selectExpr(
+        *keep,
+        together(_array(head_tokens), *parts["tokens"]) + " AS tokens",
+        together(_array([TYPE_TABLE] * len(head_tokens)), *parts["types"]) + " AS types",
+        together(_array(head_places), *parts["places"]) + " AS places",
+        f"concat_ws({', '.join([repr(' '), repr(table), *parts['text']])}) AS original_text",
+        (together(*parts["codes"]) if codes else no_codes) + " AS codes",
     )
 
-    def gather(make) -> Column:
-        return F.flatten(F.transform("_shown", make))
 
-    def type_ids(u: Column) -> Column:
-        return F.concat(
-            F.array_repeat(F.lit(TYPE_COLUMN), F.size(u["label_tokens"])),
-            F.array_repeat(F.lit(TYPE_VALUE), F.size(u["value_tokens"])),
-        )
-
-    pairs = gather(lambda u: F.array(u["name"], u["value"]))
-    return used.select(
-        *keep,
-        F.concat(token_list(head), gather(lambda u: F.concat(u["label_tokens"], u["value_tokens"]))).alias("tokens"),
-        F.concat(F.array_repeat(F.lit(TYPE_TABLE), n_head), gather(type_ids)).alias("types"),
-        F.concat(digit_places(head), gather(lambda u: F.concat(u["label_places"], u["value_places"]))).alias("places"),
-        F.array_join(F.concat(F.array(F.lit(table)), pairs), " ").alias("original_text"),
-        F.col("_codes").alias("codes"),
-    )
+def _array(values: list) -> str:
+    return f"array({', '.join(repr(v) if isinstance(v, int) else json.dumps(v) for v in values)})"
 
 
 def build_vocabulary(encoded: DataFrame, size: int = MAX_VOCABULARY, tokens: str = "tokens") -> DataFrame:

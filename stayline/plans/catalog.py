@@ -433,12 +433,10 @@ def event_text():
 
 @query
 def dpe_encode(spark, d):
-    rounded = table(spark, d, "events").select("event_id", round_decimals(event_text()).alias("text"))
+    texts = table(spark, d, "events").select("event_id", event_text().alias("raw"))
+    rounded = texts.select("event_id", round_decimals("raw").alias("text"))
     return rounded.select(
-        "event_id",
-        "text",
-        joined(token_list(F.col("text"))).alias("tokens"),
-        joined(digit_places(F.col("text"))).alias("places"),
+        "event_id", "text", joined(token_list("text")).alias("tokens"), joined(digit_places("text")).alias("places")
     )
 
 
@@ -474,7 +472,7 @@ def event_linearise(spark, d):
 
 @query
 def vocab_build(spark, d):
-    tokens = table(spark, d, "documents").select(token_list(F.col("text")).alias("tokens"))
+    tokens = table(spark, d, "documents").select(token_list("text").alias("tokens"))
     return encode.build_vocabulary(tokens)
 
 
