@@ -18,6 +18,11 @@ TOKEN = r"[0-9]|\p{L}+|[^\s\p{L}]"
 POINT_PLACE = 5
 
 
+def text_literal(text: str) -> str:
+    """A text as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def quoted(pattern: str) -> str:
     """A pattern as a raw SQL string literal."""
     return f"r'{pattern}'"

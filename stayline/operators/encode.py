@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import json
-
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.functions.tokens import constant_unit, digit_places, round_decimals, token_list
+from stayline.functions.tokens import constant_unit, digit_places, round_decimals, text_literal, token_list
 from stayline.operators.events import latest_events
 
 # Type ids.
@@ -76,7 +74,7 @@ def linearise(
         ):
             empty = "CAST(array() AS ARRAY<STRING>)" if field == "tokens" else "CAST(array() AS ARRAY<INT>)"
             parts[field] += [f"CASE WHEN _use{i} THEN {x} ELSE {empty} END" for x in (constant, own)]
-        parts["text"].append(f"CASE WHEN _use{i} THEN concat('{name} ', _v{i}) END")
+        parts["text"].append(f"CASE WHEN _use{i} THEN concat({text_literal(name + ' ')}, _v{i}) END")
     chosen = cut.withColumns({name: F.expr(condition) for name, condition in used.items()})
 
     def together(*arrays: str) -> str:
@@ -88,13 +86,13 @@ def linearise(
         together(_array(head_tokens), *parts["tokens"]) + " AS tokens",
         together(_array([TYPE_TABLE] * len(head_tokens)), *parts["types"]) + " AS types",
         together(_array(head_places), *parts["places"]) + " AS places",
-        f"concat_ws({', '.join([repr(' '), repr(table), *parts['text']])}) AS original_text",
+        f"concat_ws({', '.join([text_literal(' '), text_literal(table), *parts['text']])}) AS original_text",
         (together(*parts["codes"]) if codes else no_codes) + " AS codes",
     )
 
 
 def _array(values: list) -> str:
-    return f"array({', '.join(repr(v) if isinstance(v, int) else json.dumps(v) for v in values)})"
+    return f"array({', '.join(str(v) if isinstance(v, int) else text_literal(v) for v in values)})"
 
 
 def build_vocabulary(encoded: DataFrame, size: int = MAX_VOCABULARY, tokens: str = "tokens") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.timeframe import DAY_SECONDS, horizon_of
+from stayline.functions.tokens import text_literal
 from stayline.functions.values import Bands, relative_change, row_max
 from stayline.operators.quantiles import group_summary
 
@@ -72,7 +73,7 @@ class LabRules:
 
 def measure_of(code: str, codes: dict[str, list]) -> Column:
     """Name of the measure a code column belongs to (codes compared as text), else null."""
-    lists = {m: ", ".join("'" + str(c).replace("'", "\\'") + "'" for c in cs) for m, cs in codes.items() if cs}
+    lists = {m: ", ".join(text_literal(str(c)) for c in cs) for m, cs in codes.items() if cs}
     if not lists:
         return F.lit(None).cast("string")
     whens = " ".join(f"WHEN CAST({code} AS STRING) IN ({members}) THEN '{m}'" for m, members in lists.items())
@@ -253,31 +254,31 @@ def lab_labels(
     rows = tagged.select(on, "measure", "clock_s", "value", span.alias("span"))
     pairs = events_in_window(rows, stays, on, spans, rules.rounding)
 
-    limited = F.col("measure").isin(*rules.excluded) if rules.excluded else F.lit(False)
+    limited = "measure IN ({})".format(", ".join(text_literal(m) for m in rules.excluded)) if rules.excluded else "false"
     if "exclusion_s" in stays.columns:
-        pairs = pairs.where(~limited | F.col("exclusion_s").isNull() | (F.col("exclusion_s") > F.col("clock_s")))
+        pairs = pairs.where(f"NOT {limited} OR exclusion_s IS NULL OR exclusion_s > clock_s")
     if "excluded" in stays.columns:
-        pairs = pairs.where(~(limited & F.coalesce("excluded", F.lit(False))))
+        pairs = pairs.where(f"NOT ({limited} AND coalesce(excluded, false))")
 
-    since_entry = F.col("minute") - F.col("INTIME")
     horizon = horizon_of(F.col("minute"), F.col("INTIME"), rules.pred_hours)
-    uses = [F.when(horizon.isin(*rules.horizons), horizon)]
+    listed = ", ".join(str(h) for h in rules.horizons)
+    uses = [f"CASE WHEN _horizon IN ({listed}) THEN _horizon END"]
     if with_aki:
-        is_base = F.col("span") == "base"
-        in_window = (since_entry >= -BASELINE_BACK_MIN) & (since_entry < BASELINE_AHEAD_MIN)
+        since = "minute - INTIME"
+        window = f"{since} >= -{BASELINE_BACK_MIN} AND {since} < {BASELINE_AHEAD_MIN}"
         uses += [
-            F.when(is_base & in_window, F.lit(BASELINE_WINDOW)),
-            F.when(is_base & (since_entry >= 0), F.lit(SINCE_ENTRY)),
+            f"CASE WHEN span = 'base' AND {window} THEN {BASELINE_WINDOW} END",
+            f"CASE WHEN span = 'base' AND {since} >= 0 THEN {SINCE_ENTRY} END",
         ]
     carry = ["weight"] if "weight" in stays.columns and "urine" in measures else []
     keys = ["stay_id", "measure", "use", *carry]
-    used = pairs.select("*", F.explode(F.array_compact(F.array(*uses))).alias("use"))
+    used = pairs.withColumn("_horizon", horizon).withColumn(
+        "use", F.expr(f"explode(array_compact(array({', '.join(uses)})))")
+    )
     values = group_summary(used, keys, "value", at="clock_s", exact=rules.exact)
-    value = F.col("median")
-    if carry:
-        per_kg = F.when(F.col("weight").isNotNull(), F.try_divide("median", "weight")).otherwise(value)
-        value = F.when(F.col("measure") == "urine", per_kg).otherwise(value)
-    labelled = band_by_measure(values.withColumn("value", value), rules, measures)
+    per_kg = "CASE WHEN measure = 'urine' AND weight IS NOT NULL THEN try_divide(median, weight) ELSE median END"
+    values = values.withColumn("value", F.expr(per_kg if carry else "median"))
+    labelled = band_by_measure(values, rules, measures)
 
     def pick(measure: str, use: int, column: str) -> str:
         return f"max(CASE WHEN measure = '{measure}' AND use = {use} THEN {column} END)"

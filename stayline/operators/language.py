@@ -17,15 +17,13 @@ EDGE = "_"
 MICRO = 1_000_000
 
 
-def grams(word: Column) -> Column:
-    """All n-grams of a word marked at both ends."""
-    marked = F.concat(F.lit(EDGE), word, F.lit(EDGE))
-
-    def of_size(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(marked) - n + 1)
-        return F.transform(starts, lambda i: F.substring(marked, i, F.lit(n)))
-
-    return F.concat(*[of_size(n) for n in SIZES])
+def grams(word: str) -> Column:
+    """All n-grams of a word (SQL), marked at both ends."""
+    marked = f"concat('{EDGE}', {word}, '{EDGE}')"
+    sizes = [
+        f"transform(sequence(1, length({marked}) - {n - 1}), i -> substring({marked}, i, {n}))" for n in SIZES
+    ]
+    return F.expr(f"concat({', '.join(sizes)})")
 
 
 def gram_counts(labelled: DataFrame, text: str, label: str, languages: list[str]) -> DataFrame:
@@ -43,7 +41,7 @@ def gram_counts(labelled: DataFrame, text: str, label: str, languages: list[str]
     per_language = [
         F.sum(F.when(F.col("lang") == lang, F.col("cnt")).otherwise(0)).alias(lang) for lang in languages
     ]
-    return counted.select("lang", "cnt", F.explode(grams(F.col("word"))).alias("gram")).groupBy("gram").agg(*per_language)
+    return counted.select("lang", "cnt", F.explode(grams("word")).alias("gram")).groupBy("gram").agg(*per_language)
 
 
 def train(labelled: DataFrame, text: str, label: str, languages: list[str]) -> DataFrame:
@@ -66,31 +64,26 @@ def train(labelled: DataFrame, text: str, label: str, languages: list[str]) -> D
     return attached.select("gram", *[weight(lang).alias(lang) for lang in languages])
 
 
-def classify(words: DataFrame, model: DataFrame, languages: list[str]) -> DataFrame:
+def classify(counts: DataFrame, model: DataFrame, languages: list[str]) -> DataFrame:
     """Distinct words with ``lang`` and ``prob`` (3 decimals); equal priors.
 
-    The most probable language wins, the first by name among equals.
+    The most probable language wins, the first by name among equals.  A model that was saved has
+    a known size: a small one is broadcast, so the n-grams of a word never leave its task and are
+    summed up there before the only shuffle.
     """
-    distinct = words.select("word").where(F.col("word").isNotNull()).distinct()
-    unseen = model.where(F.col("gram").isNull()).select(F.struct(*languages).alias("_u"))
-    cut = distinct.select("word", F.explode(grams(F.col("word"))).alias("gram")).groupBy("word", "gram").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    seen = model.where(F.col("gram").isNotNull())
-    joined = cut.join(seen, "gram", "left").withColumn("_u", unseen.scalar())
+    # the counts are read as well, so that this use shares the shuffle of the counts
+    distinct = counts.groupBy("word").agg(F.sum("cnt").alias("_total")).where("_total > 0")
+    unseen = model.where("gram IS NULL").select(F.struct(*languages).alias("_u"))
+    cut = distinct.select("word", F.explode(grams("word")).alias("gram"))
+    joined = cut.join(model.where("gram IS NOT NULL"), "gram", "left").withColumn("_u", unseen.scalar())
     scores = joined.groupBy("word").agg(
-        *[
-            F.sum(F.col("_n") * F.coalesce(F.col(lang), F.col("_u")[lang])).alias(lang)
-            for lang in languages
-        ]
+        *[F.expr(f"sum(coalesce({lang}, _u.{lang})) AS {lang}") for lang in languages]
     )
-    best = F.greatest(*[F.col(lang) for lang in languages])
-    spread = sum((F.exp((F.col(lang) - best) / MICRO) for lang in languages), F.lit(0.0))
-    chosen = F.coalesce(*[F.when(F.col(lang) == best, F.lit(lang)) for lang in sorted(languages)])
-    return scores.select(
-        "word",
-        F.coalesce(chosen, F.lit("unknown")).alias("lang"),
-        F.coalesce(F.round(1.0 / spread, 3), F.lit(0.0)).alias("prob"),
+    best = f"greatest({', '.join(languages)})"
+    spread = " + ".join(f"exp(({lang} - {best}) / {MICRO})" for lang in languages)
+    chosen = ", ".join(f"CASE WHEN {lang} = {best} THEN '{lang}' END" for lang in sorted(languages))
+    return scores.selectExpr(
+        "word", f"coalesce({chosen}, 'unknown') AS lang", f"coalesce(round(1.0D / ({spread}), 3), 0.0D) AS prob"
     )
 
 

@@ -433,7 +433,7 @@ def event_text():
 
 @query
 def dpe_encode(spark, d):
-    texts = table(spark, d, "events").select("event_id", event_text().alias("raw"))
+    texts = readers.spread(table(spark, d, "events")).select("event_id", event_text().alias("raw"))
     rounded = texts.select("event_id", round_decimals("raw").alias("text"))
     return rounded.select(
         "event_id", "text", joined(token_list("text")).alias("tokens"), joined(digit_places("text")).alias("places")
@@ -444,9 +444,11 @@ LINE_COLUMNS = ["l_quantity", "l_returnflag", "original_code_l_partkey", "l_part
 
 
 def coded_lines(spark, d):
-    lines = table(spark, d, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
-        F.when(F.col("l_linenumber") != 4, F.col("l_quantity").cast("decimal(10,1)")).alias("l_quantity"),
+    lines = readers.spread(
+        table(spark, d, "lineitem").selectExpr(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
+            "CASE WHEN l_linenumber <> 4 THEN CAST(l_quantity AS DECIMAL(10, 1)) END AS l_quantity",
+        )
     )
     return events.attach_dictionary(
         lines, table(spark, d, "part"), "l_partkey", "p_partkey",
@@ -472,7 +474,7 @@ def event_linearise(spark, d):
 
 @query
 def vocab_build(spark, d):
-    tokens = table(spark, d, "documents").select(token_list("text").alias("tokens"))
+    tokens = readers.spread(table(spark, d, "documents").select("text")).select(token_list("text").alias("tokens"))
     return encode.build_vocabulary(tokens)
 
 
@@ -525,10 +527,14 @@ def sequence_pad(spark, d):
 # ---- text ---------------------------------------------------------------------------------
 
 
+def text_table(spark, d, name):
+    return readers.spread(table(spark, d, name))
+
+
 def text_counts(spark, d):
     found = []
     for name, keys in (("documents", ["lang"]), ("conversations", [])):
-        frame = table(spark, d, name)
+        frame = text_table(spark, d, name)
         found.append(words.word_counts(frame, name, words.text_columns(frame, keys)))
     return words.union_counts(found)
 
@@ -541,16 +547,17 @@ def word_freq(spark, d):
 @query
 def word_freq_enriched(spark, d):
     enriched = events.attach_dictionary(
-        table(spark, d, "lineitem"), table(spark, d, "part"), "l_partkey", "p_partkey",
+        readers.spread(table(spark, d, "lineitem").select("l_partkey", "l_returnflag", "l_linestatus")), table(spark, d, "part"), "l_partkey", "p_partkey",
         {"p_name": "l_partkey", "p_brand": "p_brand", "p_type": "p_type"},
     ).drop("original_code_l_partkey")
     return words.word_counts(enriched, "lineitem", words.text_columns(enriched))
 
 
 def classified(spark, d):
-    counts = text_counts(spark, d)
-    model = language.train(table(spark, d, "documents"), "text", "lang", LANGUAGES)
-    return language.classify_counts(counts, model, LANGUAGES)
+    """Word counts with languages; the trained model is saved first, so its size is known."""
+    train = lambda: language.train(text_table(spark, d, "documents"), "text", "lang", LANGUAGES)
+    model = writers.cached(spark, scratch_path(spark, "model"), "language", {"languages": LANGUAGES}, train)
+    return language.classify_counts(text_counts(spark, d), model, LANGUAGES)
 
 
 @query

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.functions.timeframe import epoch_micros, epoch_seconds, whole_minutes_between
 from stayline.functions.values import Bands
 from stayline.operators.labs import LabRules
 
@@ -43,25 +42,28 @@ def rules(**changes) -> LabRules:
 
 def stays(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
     """One stay per user (as admission) and block of days of the month, from its events."""
-    block = F.floor((F.day("ts") - 1) / days)
     blocks = (
         table(spark, sf_dir, "events")
-        .groupBy(F.col("user_id").alias("hadm_id"), block.alias("block"))
+        .selectExpr("user_id AS hadm_id", f"floor((day(ts) - 1) / {days}) AS block", "ts")
+        .groupBy("hadm_id", "block")
         .agg(F.min("ts").alias("in_ts"), F.max("ts").alias("out_ts"))
     )
     # a user has at most 31 / days + 1 blocks
     admitted = blocks.groupBy("hadm_id").agg(F.min("in_ts").alias("ADMITTIME"))
-    return blocks.join(admitted, "hadm_id").select(
-        (F.col("hadm_id") * 100 + F.col("block")).alias("stay_id"),
+    micros = "unix_micros(CAST({0} AS TIMESTAMP))"
+    entry = f"({micros.format('in_ts')} - {micros.format('ADMITTIME')})"
+    inside = f"({micros.format('out_ts')} - {micros.format('in_ts')})"
+    return blocks.join(admitted, "hadm_id").selectExpr(
+        "hadm_id * 100 + block AS stay_id",
         "hadm_id",
-        F.pmod(F.col("hadm_id"), F.lit(50)).alias("patient_id"),
+        "pmod(hadm_id, 50) AS patient_id",
         "ADMITTIME",
-        epoch_seconds(F.col("ADMITTIME")).alias("admit_s"),
+        "unix_timestamp(ADMITTIME) AS admit_s",
         "in_ts",
-        whole_minutes_between(F.col("ADMITTIME"), F.col("in_ts")).cast("double").alias("INTIME"),
-        ((epoch_micros(F.col("out_ts")) - epoch_micros(F.col("in_ts"))) / 86_400_000_000).alias("LOS"),
-        (F.pmod(F.col("hadm_id"), F.lit(70)) + 15).alias("AGE"),
-        (F.pmod(F.col("hadm_id"), F.lit(60)) + 40).cast("double").alias("weight"),
+        f"CAST(floor({entry} / 60000000) AS DOUBLE) AS INTIME",
+        f"{inside} / 86400000000 AS LOS",
+        "pmod(hadm_id, 70) + 15 AS AGE",
+        "CAST(pmod(hadm_id, 60) + 40 AS DOUBLE) AS weight",
     )
 
 
@@ -71,18 +73,13 @@ def own_block(days: int) -> Column:
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("hadm_id"),
-        "event_id",
-        F.col("event_type").alias("code"),
-        epoch_seconds(F.col("ts")).alias("clock_s"),
-        "value",
+    return table(spark, sf_dir, "events").selectExpr(
+        "user_id AS hadm_id", "event_id", "event_type AS code", "unix_timestamp(ts) AS clock_s", "value"
     )
 
 
 def exclusion_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = measurements(spark, sf_dir)
-    return found.where((F.col("code") == "error") & (F.col("value") > EXCLUSION_ABOVE))
+    return measurements(spark, sf_dir).where(f"code = 'error' AND value > {EXCLUSION_ABOVE}")
 
 
 def joined(array: Column, separator: str = " ") -> Column:

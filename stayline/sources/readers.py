@@ -49,6 +49,16 @@ def sampled(df: DataFrame, share: float, key: str | None = None, seed: int = 42)
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000)) < round(share * 10_000))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a scan has fewer splits than cores, else unchanged.
+
+    For work that is heavy per row on a few small files; a large scan has splits enough and is
+    not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
     jvm = spark.sparkContext._jvm
