@@ -98,11 +98,11 @@ def normalise_by_unit_text(value: Column, unit: Column, measure: str, scaled_cou
     return value
 
 
-def normalise_by_unit_id(value: Column, unit: Column, factors: dict[int, float]) -> Column:
-    """Scale by unit id; a unit that is not listed gives null, so the row can be dropped."""
+def normalise_by_unit_id(value: Column, unit: Column, divisors: dict[int, float]) -> Column:
+    """Divide by unit id; a unit that is not listed gives null, so the row can be dropped."""
     chain = None
-    for unit_id, factor in factors.items():
-        scaled = value if factor == 1.0 else value * factor
+    for unit_id, divisor in divisors.items():
+        scaled = value if divisor == 1 else value / divisor
         chain = F.when(unit == unit_id, scaled) if chain is None else chain.when(unit == unit_id, scaled)
     return chain if chain is not None else value
 

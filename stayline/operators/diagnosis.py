@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayline.session import saved
+
 UNMAPPED = "NaN"
 # The rare level-1 class (counted from 0) that is dropped; later classes move down.
 RARE_CLASS = 14
@@ -98,62 +100,62 @@ def attach_sets(cohort: DataFrame, sets: DataFrame, key: str, how: str = "left")
     return joined.withColumn("diagnosis", F.coalesce("diagnosis", F.array().cast("array<int>")))
 
 
-def path_categories(
-    paths: DataFrame, known: DataFrame, max_depth: int, separator: str = "|", min_depth: int = 2
-) -> DataFrame:
+# up to this depth the votes of all levels stay one plan
+ONE_PLAN_DEPTH = 4
+
+
+def path_categories(paths: DataFrame, known: DataFrame, separator: str = "|", min_depth: int = 2) -> DataFrame:
     """Category of every path: its own, else that of its longest known prefix.
 
     ``known`` has (path, category).  A prefix takes its own category where it has one and
     otherwise the majority of its children, from the deepest level upwards (smallest category on
-    ties).  Only prefixes of at least ``min_depth`` parts are used.  Depth is bounded by
-    ``max_depth``, so the bottom-up vote is that many grouped counts.
+    ties).  Only prefixes of at least ``min_depth`` parts are used.  The vote is one grouped
+    count per level.  The distinct known paths are saved once, and for deep hierarchies so is
+    each level, because a level is needed both by the one above and by the final lookup.
     """
-    parts = F.split(F.col("path"), f"\\Q{separator}\\E")
-    depth = F.size(parts)
-    guarded = F.when(
-        depth > max_depth, F.raise_error(F.lit(f"a path has more than {max_depth} parts"))
-    ).otherwise(depth)
-    own = known.groupBy("path").agg(F.min("category").alias("category")).withColumn("depth", guarded)
-
-    def parent(path: Column, steps: Column) -> Column:
-        return F.array_join(F.slice(F.split(path, f"\\Q{separator}\\E"), F.lit(1), steps - 1), separator)
-
-    levels = []
-    below = None
-    for level in range(max_depth, 0, -1):
+    breaking = f"\\Q{separator}\\E"
+    parts = F.split(F.col("path"), breaking)
+    distinct = known.groupBy("path").agg(F.min("category").alias("category"))
+    own = saved(distinct.withColumn("depth", F.size(parts)), "paths")
+    deepest = own.agg(F.max("depth")).first()[0] or 0
+
+    def parent(path: Column, steps: int) -> Column:
+        return F.array_join(F.slice(F.split(path, breaking), 1, steps - 1), separator)
+
+    nodes, below = [], None
+    for level in range(deepest, min_depth - 1, -1):
         here = own.where(F.col("depth") == level).select("path", "category", F.lit(0).alias("_voted"))
         if below is not None:
-            votes = below.select(parent(F.col("path"), F.lit(level + 1)).alias("path"), "category")
+            votes = below.select(parent(F.col("path"), level + 1).alias("path"), "category")
             voted = majority(votes, ["path"], "category", "category").withColumn("_voted", F.lit(1))
-            here = (
-                here.unionByName(voted)
-                .groupBy("path")
-                .agg(F.min_by("category", "_voted").alias("category"), F.min("_voted").alias("_voted"))
-            )
-        below = here
-        levels.append(here.select("path", "category", F.lit(level).alias("depth")))
-    nodes = reduce(DataFrame.unionByName, levels).where(F.col("depth") >= min_depth)
+            here = here.unionByName(voted).groupBy("path").agg(F.min_by("category", "_voted").alias("category"))
+        below = here.select("path", "category")
+        if deepest > ONE_PLAN_DEPTH:
+            below = saved(below, f"paths-{level}")
+        nodes.append(below)
 
     every = paths.select("path").where(F.col("path").isNotNull()).distinct()
     matched = every.join(own.select("path", F.col("category").alias("_own")), "path", "left")
-    steps = F.sequence(F.lit(min_depth), depth - 1)
-    unknown = matched.where(F.col("_own").isNull() & (depth > min_depth)).select(
+    if not nodes:
+        return matched.select("path", F.col("_own").alias("category"))
+    unknown = matched.where(F.col("_own").isNull() & (F.size(parts) > min_depth)).select(
         "path",
         F.explode(
-            F.transform(steps, lambda n: F.struct(
-                n.alias("depth"), F.array_join(F.slice(parts, F.lit(1), n), separator).alias("prefix")
-            ))
+            F.transform(
+                F.sequence(F.lit(min_depth), F.size(parts) - 1),
+                lambda n: F.struct(
+                    n.alias("depth"), F.array_join(F.slice(parts, F.lit(1), n), separator).alias("prefix")
+                ),
+            )
         ).alias("_up"),
     )
     inferred = (
         unknown.select("path", "_up.*")
-        .join(nodes.select(F.col("path").alias("prefix"), "category"), "prefix")
+        .join(reduce(DataFrame.unionByName, nodes).withColumnRenamed("path", "prefix"), "prefix")
         .groupBy("path")
         .agg(F.max_by("category", "depth").alias("_inferred"))
     )
-    return matched.join(inferred, "path", "left").select(
-        "path", F.coalesce("_own", "_inferred").alias("category")
-    )
+    return matched.join(inferred, "path", "left").select("path", F.coalesce("_own", "_inferred").alias("category"))
 
 
 def literal_category(text: Column, mapping: dict) -> Column:

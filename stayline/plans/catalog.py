@@ -346,7 +346,7 @@ def unit_normalise_text(spark, d):
 @query
 def unit_normalise_id(spark, d):
     unit = F.get_json_object("props", "$.k").try_cast("int") % 4 + 8645
-    scaled = values.normalise_by_unit_id(F.col("value"), unit, {8648: 1.0, 8647: 0.001})
+    scaled = values.normalise_by_unit_id(F.col("value"), unit, {8648: 1, 8647: 1000})
     return (
         table(spark, d, "events")
         .select("event_id", F.round(scaled, 6).alias("value"))
@@ -401,7 +401,7 @@ def diagnosis_set(spark, d):
 def path_majority(spark, d):
     part = table(spark, d, "part").withColumn("path", F.concat_ws("|", "p_type", "p_brand", "p_name"))
     known = part.where(F.pmod("p_partkey", F.lit(4)) != 0).select("path", F.pmod("p_size", F.lit(5)).alias("category"))
-    return diagnosis.path_categories(part, known, max_depth=3)
+    return diagnosis.path_categories(part, known)
 
 
 @query

@@ -399,7 +399,7 @@ FROM measured LEFT JOIN first_exclusion USING (hadm_id)""",
              WHEN event_type = 'error' THEN value * 1000.0 WHEN event_type = 'signup' THEN value * 1000.0
              WHEN event_type = 'purchase' THEN value * 1000.0 END, 6) AS urine FROM events""",
     "unit_normalise_id": """WITH u AS (SELECT event_id, value, CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 + 8645 AS unit FROM events)
-SELECT event_id, round(CASE unit WHEN 8648 THEN value ELSE value * 0.001 END, 6) AS value FROM u WHERE unit IN (8647, 8648) AND value IS NOT NULL""",
+SELECT event_id, round(CASE unit WHEN 8648 THEN value ELSE value / 1000 END, 6) AS value FROM u WHERE unit IN (8647, 8648) AND value IS NOT NULL""",
     "label_stats": f"""WITH {labelled(True, 'skip')}, long AS (
   UNPIVOT (SELECT {', '.join(f'CAST(coalesce({c}, -1) AS BIGINT) AS {c}' for c in LABELS)} FROM wide)
   ON {', '.join(LABELS)} INTO NAME task VALUE label)

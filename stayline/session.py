@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -49,3 +49,14 @@ def scratch_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the scratch folder."""
     return os.path.join(scratch_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """The same rows read back from a new table in the scratch folder.
+
+    Cuts the lineage, keeps a result that is used more than once from being computed again, and
+    survives lost executors.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
