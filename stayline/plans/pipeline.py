@@ -72,8 +72,7 @@ def build_labels(source: Source, cohort: DataFrame, config: Config, fill: bool =
         labelled = clinical.diagnosis_sets(source, labelled)
     tasks = [t for t in config.lab_tasks if t not in source.profile.constant_labels]
     if tasks:
-        # exclusion looks at all stays of the source, not only at the cohort
-        marked = clinical.with_exclusion(source, labelled, load_stays(source))
+        marked = clinical.with_exclusion(source, labelled)
         rules = source.profile.rules(config.pred_hours, config.horizons)
         measured = clinical.measurements(source, cohort)
         codes = {t: [t] for t in tasks if t != "AKI"} | {"creatinine": ["creatinine"]}

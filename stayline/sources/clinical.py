@@ -12,6 +12,7 @@ from stayline.functions.values import normalise_by_unit_id, normalise_by_unit_te
 from stayline.operators import diagnosis, labs
 from stayline.sources.profile import Exclusion, Measurements, Source
 from stayline.sources.readers import read_classes, read_dirty_csv
+from stayline.sources.stays import load_stays
 
 KEYS = {"stay": "stay_id", "hadm": "hadm_id", "patient": "patient_id"}
 
@@ -103,17 +104,21 @@ def exclusion_events(source: Source, cohort: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def with_exclusion(source: Source, cohort: DataFrame, stays: DataFrame) -> DataFrame:
-    """Cohort with ``exclusion_s``, and ``excluded`` where whole patients are dropped."""
+def with_exclusion(source: Source, cohort: DataFrame) -> DataFrame:
+    """Cohort with ``exclusion_s``, and ``excluded`` where whole patients are dropped.
+
+    Where events are timed from unit entry, all stays of the source are looked at, not only the
+    cohort: a patient with several stays drops out even if only one of them is in the cohort.
+    """
     key = KEYS[source.profile.exclusions[0].key]
+    if all(spec.unit != "min" for spec in source.profile.exclusions):
+        return cohort.join(labs.first_exclusion(exclusion_events(source, cohort), key), key, "left")
+    stays = load_stays(source)
     found = exclusion_events(source, stays)
-    marked = cohort.join(labs.first_exclusion(found, key), key, "left")
-    if source.profile.name != "eicu":
-        return marked
     patients = stays.select("stay_id", "patient_id")
-    dialysed = found.select("stay_id").join(patients, "stay_id").select("patient_id")
-    dropped = labs.multi_stay_excluded(patients, dialysed).withColumn("excluded", F.lit(True))
-    return marked.join(dropped, "patient_id", "left")
+    affected = found.select("stay_id").join(patients, "stay_id").select("patient_id")
+    dropped = labs.multi_stay_excluded(patients, affected).withColumn("excluded", F.lit(True))
+    return cohort.join(labs.first_exclusion(found, key), key, "left").join(dropped, "patient_id", "left")
 
 
 def diagnosis_sets(source: Source, cohort: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stayline.plans import pipeline
 from stayline.plans.pipeline import Config
+from stayline.session import saved
 from stayline.sources.profile import Profile, load_profile, open_source
 from stayline.sources.stays import load_stays, sicdb_blocks
 
@@ -26,6 +27,11 @@ def day(n, hour=0, minute=0):
     return f"2150-01-{n:02d} {hour:02d}:{minute:02d}:00"
 
 
+def cohort_of(source, config):
+    """The cohort as a written table, as in a full run."""
+    return saved(pipeline.build_cohort(source, config), "cohort")
+
+
 COLLECTED = {}
 
 
@@ -92,7 +98,7 @@ def test_mimiciv_cohort(mimiciv):
 
 def test_mimiciv_labels(mimiciv):
     config = Config(mortality=(1, 7), los=(3, 7), diagnosis=True, in_icu_mortality=True)
-    cohort = pipeline.build_cohort(mimiciv, config)
+    cohort = cohort_of(mimiciv, config)
     labelled = pipeline.build_labels(mimiciv, cohort, config)
     # medians: day one (2 + 3) / 2 = 2.5, day two 88.42 umol/L = 1.0 mg/dL; baseline 1.0
     assert labels_of(labelled, 1, "creatinine_1", "creatinine_2", "creatinine_3") == (2, 0, -1)
@@ -109,14 +115,14 @@ def test_mimiciv_exclusion_ends_renal_measures(mimiciv):
     write(mimiciv.root, "icu/procedureevents.csv", "hadm_id,subject_id,itemid,starttime,value",
           f"10,100,225441,{day(3, 4)},1")
     config = Config()
-    labelled = pipeline.build_labels(mimiciv, pipeline.build_cohort(mimiciv, config), config)
+    labelled = pipeline.build_labels(mimiciv, cohort_of(mimiciv, config), config)
     # only the value before 04:00 counts: 2.0 -> right-closed class 1, change 1.0 -> stage 1
     assert labels_of(labelled, 1, "creatinine_1", "creatinine_2", "urine_1", "platelets_1") == (1, -1, -1, 1)
 
 
 def test_mimiciv_events(mimiciv):
     config = Config(max_events=3, max_tokens=40, more_tables=False, visits=True)
-    cohort = pipeline.build_cohort(mimiciv, config)
+    cohort = cohort_of(mimiciv, config)
     encoded = pipeline.encode_events(mimiciv, cohort, config)
     texts = rows(encoded.where("stay_id = 1"), "TIME", "original_text", "codes")
     assert (-60.0, "diagnosis icd_title Chest pain", []) in texts
@@ -203,7 +209,7 @@ def eicu(spark, tmp_path):
 
 def test_eicu(eicu):
     config = Config(readmission=True, diagnosis=True, los=(4,), mortality=(1,))
-    cohort = pipeline.build_cohort(eicu, config)
+    cohort = cohort_of(eicu, config)
     assert rows(cohort, "stay_id", "INTIME", "DEATHTIME", "AGE", "weight", "readmission") == [
         (1, 60.0, 9060.0, 300.0, 80.0, 1), (2, 5000.0, None, 70.0, 50.0, 0), (4, 10.0, None, 40.0, 72.5, 0),
     ]
@@ -226,7 +232,7 @@ def test_eicu_patient_with_several_stays_is_dropped_from_renal_measures(eicu):
     write(eicu.root, "intakeOutput.csv", "patientunitstayid,intakeoutputoffset,celllabel,cellvaluenumeric,dialysistotal",
           "2,8000,Other,1,5")
     config = Config()
-    labelled = pipeline.build_labels(eicu, pipeline.build_cohort(eicu, config), config)
+    labelled = pipeline.build_labels(eicu, cohort_of(eicu, config), config)
     assert labels_of(labelled, 1, "creatinine_1", "AKI_1", "wbc_1") == (-1, -1, 1)
 
 
@@ -246,7 +252,7 @@ def test_umcdb(spark, tmp_path):
         write(root, f"{name}.csv", f"admissionid,{at},item", f"1,{15 * ms},thing")
     source = open_source(spark, "umcdb", root)
     config = Config(diagnosis=True)
-    cohort = pipeline.build_cohort(source, config)
+    cohort = cohort_of(source, config)
     assert rows(cohort, "stay_id", "INTIME", "DEATHTIME", "LOS", "AGE", "weight") == [(1, 10.0, 9000.0, 5.0, 100.0, 80.0)]
     labelled = pipeline.build_labels(source, cohort, config)
     # 100 umol/L < 1.2 * 88.42; 500 comes after dialysis; hb 5 mmol/L is 8.06 g/dL
@@ -271,7 +277,7 @@ def test_hirid(spark, tmp_path):
           "20000600,Observation,Creatinine,umol/l,", "5,Pharma,Drug A,mg,", "6,Pharma,Drug B,,note", "6,Observation,Other,,")
     source = open_source(spark, "hirid", root)
     config = Config(diagnosis=True)
-    cohort = pipeline.build_cohort(source, config)
+    cohort = cohort_of(source, config)
     assert rows(cohort, "stay_id", "INTIME", "LOS", "weight") == [(1, 0.0, 5.0, 60.0)]
     labelled = pipeline.build_labels(source, cohort, config)
     assert not [c for c in labelled.columns if c.startswith(("los_", "mortality_"))]
@@ -307,7 +313,7 @@ def test_ehrshot(spark, tmp_path):
         write(root, f"{name}.csv", f"visit_detail_id,visit_occurrence_id,{at},item", f"1,10,{day(1, 2)},x")
     source = open_source(spark, "ehrshot", root)
     config = Config()
-    cohort = pipeline.build_cohort(source, config)
+    cohort = cohort_of(source, config)
     found = rows(cohort.withColumn("weight", F.round("weight", 4)), "stay_id", "INTIME", "LOS", "DEATHTIME", "weight")
     assert found == [(1, 60.0, 4.0, None, 80.0), (2, 1440.0, 7.0, None, 45.3592)]
     labelled = pipeline.build_labels(source, cohort, config)
@@ -330,7 +336,7 @@ def test_nwicu(spark, tmp_path):
         write(root, f"{folder}.csv", "itemid,label", "100002,Creatinine")
     source = open_source(spark, "nwicu", root)
     config = Config(readmission=True)
-    cohort = pipeline.build_cohort(source, config)
+    cohort = cohort_of(source, config)
     assert rows(cohort.withColumn("weight", F.round("weight", 3)), "stay_id", "INTIME", "AGE", "weight", "readmission") == [
         (1, 120.0, 60.0, 56.699, 0)
     ]
@@ -356,7 +362,7 @@ def test_sicdb(spark, tmp_path):
     source = open_source(spark, "sicdb", root)
     assert rows(sicdb_blocks(source), "stay_id", "block_in", "block_out") == [(1, 600, 432600)]
     config = Config()
-    cohort = pipeline.build_cohort(source, config)
+    cohort = cohort_of(source, config)
     assert rows(cohort, "stay_id", "INTIME", "LOS", "AGE", "DEATHTIME", "weight") == [
         (1, 10.0, 5.0, 90.0, 1000 / 60, 80.0), (2, 10.0, 10.0, 50.0, 12960.0, 80.0),
     ]
