@@ -1,11 +1,14 @@
-"""Exact and approximate medians per group."""
+"""Exact and approximate quantiles per group."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayline.session import saved
+
 RANGES = 256
+MAX_VALUES = 1_000_000
 
 
 def group_summary(
@@ -14,68 +17,85 @@ def group_summary(
     value: str,
     at: str | None = None,
     exact: bool = True,
-    max_values: int = 1_000_000,
+    max_values: int = MAX_VALUES,
 ) -> DataFrame:
-    """Per group: ``median``, ``lowest`` and, ordered by ``at``, the ``first`` value.
-
-    The exact median is safe for a group of any size.  Equal values are counted before anything
-    is collected per group, and that first shuffle is keyed by (group, value), so one busy group
-    spreads over all tasks.  A group with up to ``max_values`` distinct values then takes Spark's
-    weighted percentile.  A wider group is split into value ranges and only the range that holds
-    the middle is looked at.
-    """
+    """Per group: ``median``, ``lowest`` and, ordered by ``at``, the ``first`` value."""
     rows = df.where(f"{value} IS NOT NULL").selectExpr(
         *keys, f"CAST({value} AS DOUBLE) AS _v", f"{at or 0} AS _t"
     )
-    lowest = F.expr("min(_v) AS lowest")
-    first = F.expr("min(struct(_t, _v))._v AS first")
+    others = {"lowest": "min(_v)", "first": "min(struct(_t, _v))._v"}
     if not exact:
-        return rows.groupBy(*keys).agg(F.expr("percentile_approx(_v, 0.5) AS median"), lowest, first)
+        approximate = F.expr("percentile_approx(_v, 0.5) AS median")
+        return rows.groupBy(*keys).agg(approximate, *[F.expr(f"{e} AS {n}") for n, e in others.items()])
+    summary = _exact(rows, keys, [0.5], others, max_values)
+    return summary.withColumn("_q", F.expr("_q[0]")).withColumnRenamed("_q", "median")
 
-    counted = rows.groupBy(*keys, "_v").agg(F.expr("count(*) AS _n"), F.expr("min(_t) AS _t"))
-    # reads every column of ``counted`` so that all uses share one shuffle
-    sizes = counted.groupBy(*keys).agg(
-        F.expr("count(*) AS _distinct"), F.expr("sum(_n) AS _rows"), F.expr("max(_t) AS _last")
-    )
-    wide = sizes.where(
-        f"_distinct > {max_values} AND _rows > {max_values} AND _last IS NOT NULL"
-    ).select(*keys)
-    narrow = (
-        counted.join(wide, keys, "left_anti")
-        .groupBy(*keys)
-        .agg(F.expr("percentile(_v, 0.5, _n) AS median"), lowest, first)
-    )
-    hot = counted.join(wide, keys, "left_semi")
-    hot_summary = _median_by_ranges(hot, keys, "median").join(
-        hot.groupBy(*keys).agg(lowest, first), keys
-    )
-    return narrow.unionByName(hot_summary)
 
-
-def exact_median(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    out: str = "median",
-    max_values: int = 1_000_000,
+def exact_quantiles(
+    df: DataFrame, keys: list[str], value: str, points: list[float], out: str = "quantiles", max_values: int = MAX_VALUES
 ) -> DataFrame:
-    """Interpolated median per group (or of all rows, for no keys); see :func:`group_summary`."""
+    """Interpolated quantiles per group (or of all rows, for no keys) as an array."""
     group = keys or ["_all"]
     source = df if keys else df.withColumn("_all", F.lit(0))
-    result = group_summary(source, group, value, max_values=max_values)
-    return result.select(*keys, F.col("median").alias(out))
+    rows = source.where(f"{value} IS NOT NULL").selectExpr(*group, f"CAST({value} AS DOUBLE) AS _v", "0 AS _t")
+    return _exact(rows, group, points, {}, max_values).select(*keys, F.col("_q").alias(out))
+
+
+def exact_median(
+    df: DataFrame, keys: list[str], value: str, out: str = "median", max_values: int = MAX_VALUES
+) -> DataFrame:
+    """Interpolated median per group (or of all rows, for no keys)."""
+    found = exact_quantiles(df, keys, value, [0.5], "_q", max_values)
+    return found.select(*keys, F.expr("_q[0]").alias(out))
+
+
+def approximate_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
+    """Median by bounded sketch; on small groups it is the lower middle value."""
+    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
+        F.percentile_approx(value, 0.5).alias(out)
+    )
+
+
+def _exact(
+    rows: DataFrame, keys: list[str], points: list[float], others: dict[str, str], max_values: int
+) -> DataFrame:
+    """Quantiles ``_q`` and other aggregates of (keys, _v, _t), safe for a group of any size.
+
+    Equal values are counted before anything is collected per group, and that shuffle is keyed
+    by (group, value), so one busy group spreads over all tasks.  The counts are saved, because
+    they are read more than once.  A group with up to ``max_values`` distinct values takes
+    Spark's weighted percentile.  Where there are wider groups, these are split into value
+    ranges, and only the ranges that hold a wanted rank are looked at.
+    """
+    counts = rows.groupBy(*keys, "_v").agg(F.expr("count(*) AS _n"), F.expr("min(_t) AS _t"))
+    counted = saved(counts, "counted")
+    listed = ", ".join(f"{p}D" for p in points)
+    quantiles = F.expr(f"percentile(_v, array({listed}), _n) AS _q")
+    extra = [F.expr(f"{e} AS {n}") for n, e in others.items()]
+    sizes = counted.groupBy(*keys).agg(F.expr("count(*) AS _distinct"))
+    widest = sizes.agg(F.max("_distinct")).first()[0] or 0
+    if widest <= max_values:
+        return counted.groupBy(*keys).agg(quantiles, *extra)
+    wide = sizes.where(f"_distinct > {max_values}").select(*keys)
+    narrow = counted.join(wide, keys, "left_anti").groupBy(*keys).agg(quantiles, *extra)
+    hot = counted.join(wide, keys, "left_semi")
+    split = _by_ranges(hot, keys, points)
+    if extra:
+        split = split.join(hot.groupBy(*keys).agg(*extra), keys)
+    return narrow.unionByName(split)
 
 
-def _median_by_ranges(counted: DataFrame, group: list[str], out: str) -> DataFrame:
-    """Exact median of (group, value, count) rows without holding a group in one task."""
-    points = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
-    cuts = counted.groupBy(*group).agg(F.expr(f"percentile_approx(_v, array({points}), 10000) AS _cuts"))
+def _by_ranges(counted: DataFrame, group: list[str], points: list[float]) -> DataFrame:
+    """Exact quantiles of (group, _v, _n) rows without holding a group in one task."""
+    cut_points = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
+    cuts = counted.groupBy(*group).agg(F.expr(f"percentile_approx(_v, array({cut_points}), 10000) AS _cuts"))
     placed = counted.join(cuts, group).selectExpr(
         *group, "_v", "_n", "size(filter(_cuts, c -> c < _v)) AS _range"
     )
-    # at most RANGES rows per group reach these windows
     of_group = ", ".join(group)
-    middle = (
+    wanted = ", ".join(f"floor((_total - 1) * {p}D), ceil((_total - 1) * {p}D)" for p in points)
+    # at most RANGES rows per group reach these windows
+    holding = (
         placed.groupBy(*group, "_range")
         .agg(F.expr("sum(_n) AS _size"))
         .selectExpr(
@@ -85,47 +105,43 @@ def _median_by_ranges(counted: DataFrame, group: list[str], out: str) -> DataFra
             f"sum(_size) OVER (PARTITION BY {of_group} ORDER BY _range) - _size AS _before",
             f"sum(_size) OVER (PARTITION BY {of_group}) AS _total",
         )
-        .where("_before <= floor(_total / 2) AND _before + _size > floor((_total - 1) / 2)")
-        .drop("_size")
+        .selectExpr(
+            *group,
+            "_range",
+            "_before",
+            "_total",
+            f"filter(array_distinct(array({wanted})), r -> r >= _before AND r < _before + _size) AS _ranks",
+        )
+        .where("size(_ranks) > 0")
     )
-    ranked = placed.join(middle, [*group, "_range"]).selectExpr(
-        *group,
-        "_v",
-        f"_before + sum(_n) OVER (PARTITION BY {of_group}, _range ORDER BY _v) AS _end",
-        "_n",
-        "_total",
+    found = (
+        placed.join(holding, [*group, "_range"])
+        .selectExpr(
+            *group,
+            "_v",
+            "_n",
+            "_total",
+            "_ranks",
+            f"_before + sum(_n) OVER (PARTITION BY {of_group}, _range ORDER BY _v) AS _end",
+        )
+        .selectExpr(*group, "_v", "_total", "explode(filter(_ranks, r -> r >= _end - _n AND r < _end)) AS _rank")
+    )
+    # two ranks per wanted quantile
+    ranks = found.groupBy(*group).agg(
+        F.expr("max(_total) AS _total"), F.expr("map_from_entries(collect_list(struct(_rank, _v))) AS _at")
     )
 
-    def at(rank: str) -> str:
-        return f"max(CASE WHEN _end > {rank} AND _end - _n <= {rank} THEN _v END)"
-
-    low, high = at("floor((_total - 1) / 2)"), at("floor(_total / 2)")
-    return ranked.groupBy(*group).agg(F.expr(f"{low} * 0.5D + {high} * 0.5D AS {out}"))
-
+    def interpolated(p: float) -> str:
+        position = f"((_total - 1) * {p}D)"
+        low, high = f"_at[floor({position})]", f"_at[ceil({position})]"
+        return f"{low} * (1 - ({position} - floor({position}))) + {high} * ({position} - floor({position}))"
 
-def approximate_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
-    """Median by bounded sketch; on small groups it is the lower middle value."""
-    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.percentile_approx(value, 0.5).alias(out)
-    )
+    return ranks.selectExpr(*group, f"array({', '.join(interpolated(p) for p in points)}) AS _q")
 
 
 def quantile_bins(df: DataFrame, value: str, bins: int, out: str = "bin") -> DataFrame:
-    """Bin number 1..n by equal-frequency edges; repeated edges are merged, nulls stay null.
-
-    The edges come from one weighted percentile over counted values, so only distinct values
-    reach it, and they are attached as one scalar.
-    """
-    counted = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    edges = counted.agg(
-        F.expr(
-            f"array_distinct(percentile({value}, array({', '.join(str(i / bins) for i in range(bins + 1))}), _n))"
-        ).alias("_edges")
-    )
-    inner = F.slice("_edges", 2, F.size("_edges") - 2)
-    placed = F.size(F.filter(inner, lambda e: e < F.col(value))) + 1
-    return (
-        df.withColumn("_edges", edges.scalar())
-        .withColumn(out, F.when(F.col(value).isNotNull(), placed).cast("int"))
-        .drop("_edges")
-    )
+    """Bin number 1..n by equal-frequency edges; repeated edges are merged, nulls stay null."""
+    edges = exact_quantiles(df, [], value, [i / bins for i in range(bins + 1)], "_edges")
+    inner = "slice(array_distinct(_edges), 2, size(array_distinct(_edges)) - 2)"
+    placed = f"CASE WHEN {value} IS NOT NULL THEN size(filter({inner}, e -> e < {value})) + 1 END"
+    return df.withColumn("_edges", edges.scalar()).withColumn(out, F.expr(placed)).drop("_edges")

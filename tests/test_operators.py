@@ -95,10 +95,21 @@ def test_exact_median_of_a_hot_group_by_ranges(spark):
     assert rows(quantiles.exact_median(df, [], "v", max_values=60)) == [(pytest.approx(statistics.median(v for _, v in data)),)]
 
 
+def test_quantiles_of_a_hot_group_by_ranges(spark):
+    rng = random.Random(11)
+    data = [round(rng.gauss(0, 100), 2) for _ in range(6_000)] + [5.0] * 500
+    df = spark.createDataFrame([(v,) for v in data], "v double").repartition(6)
+    points = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    plain = quantiles.exact_quantiles(df, [], "v", points).collect()[0][0]
+    split = quantiles.exact_quantiles(df, [], "v", points, max_values=100).collect()[0][0]
+    assert list(split) == [pytest.approx(x) for x in plain] and split[0] == min(data) and split[-1] == max(data)
+
+
 def test_group_summary_lowest_and_first(spark):
     df = spark.createDataFrame([("a", 3, 5.0), ("a", 1, 9.0), ("a", 1, 8.0), ("a", 2, 1.0)], "k string, t int, v double")
     for limit in (10, 0):
-        assert rows(quantiles.group_summary(df, ["k"], "v", at="t", max_values=limit)) == [("a", 6.5, 1.0, 8.0)]
+        summary = quantiles.group_summary(df, ["k"], "v", at="t", max_values=limit)
+        assert rows(summary, "k", "median", "lowest", "first") == [("a", 6.5, 1.0, 8.0)]
 
 
 def skewed_admission(spark, n_events=3000, n_stays=12, seed=3):
