@@ -7,6 +7,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayline.functions.timeframe import as_double, as_timestamp, epoch_seconds
 from stayline.operators import cohort as cohorts
 from stayline.operators import encode, events, labels, labs, language, words
 from stayline.session import configure
@@ -114,31 +115,53 @@ def _through_visits(source: Source, table: EventTable) -> DataFrame:
     return joined.drop(visits["key"]).withColumn("hadm_id", F.col("hadm_id").try_cast("bigint"))
 
 
-def encode_table(source: Source, cohort: DataFrame, table: EventTable, config: Config) -> DataFrame:
+def align_table(source: Source, cohort: DataFrame, table: EventTable, config: Config) -> tuple[DataFrame, list[str], list[str]]:
+    """The events of a table that can still be among the latest of their stay, with ``TIME``.
+
+    Returns them with their data columns and code columns.  Per stay and table only the latest
+    ``max_events`` are kept, before any text work.  ``tie`` orders events of the same minute by
+    content.
+    """
     rows, codes = read_events(source, table)
-    by_admission = source.profile.join == "hadm_id"
+    columns = [c for c in rows.columns if c not in ("stay_id", "hadm_id", table.time)]
+    rows = rows.withColumn("tie", F.xxhash64(F.lit(table.label), *[F.col(c) for c in columns]))
     at = F.col(table.time)
-    timed = rows.withColumn(table.time, at.try_cast("timestamp") if table.unit == "abs" else at.try_cast("double"))
-    aligned = events.align(timed, cohort, table.unit, table.time, config.pred_hours, by_admission)
-    skipped = {"stay_id", "hadm_id", "TIME", table.time}
-    columns = [c for c in rows.columns if c not in skipped]
-    return encode.linearise(aligned, table.label, columns, codes, config.max_tokens)
+    if source.profile.join == "hadm_id" and table.unit in ("abs", "min"):
+        if table.unit == "abs":
+            placed = rows.drop("stay_id").withColumn("clock_s", epoch_seconds(as_timestamp(at)))
+        else:
+            placed = events.rekey_to_admission(rows.drop("hadm_id"), cohort, table.time).withColumn(
+                "clock_s", F.col("minute") * 60
+            ).drop("minute")
+        kept = events.latest_clock_events(
+            placed.drop(table.time), cohort, "hadm_id", config.pred_hours, config.max_events, ["tie"]
+        )
+    else:
+        timed = rows.withColumn(table.time, as_timestamp(at) if table.unit == "abs" else as_double(at))
+        aligned = events.align(timed, cohort, table.unit, table.time, config.pred_hours, by_admission=False)
+        kept = events.latest_events(aligned, config.max_events, ["tie"])
+    return kept, columns, codes
+
+
+def encode_table(source: Source, cohort: DataFrame, table: EventTable, config: Config) -> DataFrame:
+    kept, columns, codes = align_table(source, cohort, table, config)
+    return encode.linearise(kept, table.label, columns, codes, config.max_tokens, ("stay_id", "TIME", "tie"))
 
 
 def encode_events(source: Source, cohort: DataFrame, config: Config) -> DataFrame:
-    """All event tables as token rows (stay_id, TIME, tokens, types, places, original_text, codes)."""
+    """Latest events of each stay over all tables (stay_id, TIME, tie, tokens, types, places, original_text, codes)."""
     tables = source.profile.event_tables(config.more_tables, config.visits)
-    return events.union_all([encode_table(source, cohort, t, config) for t in tables])
+    encoded = events.union_all([encode_table(source, cohort, t, config) for t in tables])
+    return events.latest_events(encoded, config.max_events, ["tie"])
 
 
 def build_sequences(cohort: DataFrame, encoded: DataFrame, config: Config, vocabulary: DataFrame) -> DataFrame:
-    """Stay sequences; only the latest events of each stay are turned into ids."""
-    kept = events.latest_events(encoded, config.max_events, ["original_text"])
+    """Stay sequences from encoded events."""
     if config.min_events is not None:
-        enough = kept.groupBy("stay_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= config.min_events)
+        enough = encoded.groupBy("stay_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= config.min_events)
         cohort = cohort.join(enough.select("stay_id"), "stay_id", "left_semi")
-    ids = encode.encode_tokens(kept, vocabulary)
-    return encode.stay_sequences(ids, cohort, config.max_events, config.max_tokens, config.pred_hours)
+    ids = encode.encode_tokens(encoded, vocabulary)
+    return encode.stay_sequences(ids, cohort, config.max_events, config.max_tokens, config.pred_hours, ["tie"])
 
 
 def word_profile(source: Source, config: Config, row_limit: int | None = None) -> DataFrame:
