@@ -19,7 +19,7 @@ from stayline.plans.views import (
     CUTS, EVENT_MEASURES, EXCLUSION_ABOVE, TASKS, UP, event_bands, exclusion_events, joined,
     measurements, own_block, rules, stays, table,
 )
-from stayline.session import configure, scratch_path
+from stayline.session import configure, saved, scratch_path
 from stayline.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -480,25 +480,28 @@ def vocab_build(spark, d):
 
 @query
 def vocab_encode(spark, d):
-    rows = linearised_lines(spark, d)
+    rows = saved(linearised_lines(spark, d), "lines")
     encoded = encode.encode_tokens(rows, encode.build_vocabulary(rows, size=40))
     return encoded.select("l_orderkey", "l_linenumber", joined(F.col("ids")).alias("ids"), joined(F.col("codes")).alias("codes"))
 
 
 def event_sequences(spark, d, max_events=4, max_tokens=16, hours=6):
+    """As in a full run: latest events first, then text work, a vocabulary of what is kept, ids."""
     cohort = stays(spark, d, 3)
-    aligned = events.align(timed_events(spark, d), cohort, "abs", "ts", hours)
-    shaped = aligned.withColumn("value", F.col("value").cast("decimal(18,2)")).withColumn(
-        "original_code_event_type", F.col("event_type")
-    )
-    rows = encode.linearise(
-        shaped, "events", ["value", "original_code_event_type", "event_type"], ["original_code_event_type"],
-        max_tokens, ("stay_id", "TIME", "event_id"),
+    kept = events.latest_clock_events(measurements(spark, d), cohort, "hadm_id", hours, max_events, ["event_id"])
+    shaped = kept.selectExpr(
+        "stay_id", "TIME", "event_id", "CAST(value AS DECIMAL(18, 2)) AS value",
+        "code AS original_code_event_type", "code AS event_type",
+    )
+    rows = saved(
+        encode.linearise(
+            shaped, "events", ["value", "original_code_event_type", "event_type"], ["original_code_event_type"],
+            max_tokens, ("stay_id", "TIME", "event_id"),
+        ),
+        "events",
     )
     encoded = encode.encode_tokens(rows, encode.build_vocabulary(rows))
-    return encode.stay_sequences(
-        encoded, cohort.select("stay_id"), max_events, max_tokens, hours, ["event_id"]
-    )
+    return encode.stay_sequences(encoded, cohort.select("stay_id"), max_events, max_tokens, hours, ["event_id"])
 
 
 @query

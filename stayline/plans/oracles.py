@@ -276,9 +276,9 @@ aligned AS (
   WHERE round(({sec('e.ts')} - c.admit_s) / 60) - c.intime < 360),
 {linearised('events', 'stay_id, time, event_id', 'aligned', ['value', 'original_code_event_type', 'event_type'],
             ['original_code_event_type'], 16)},
-{vocabulary(encode.MAX_VOCABULARY)},
 latest AS (
   SELECT * FROM rows QUALIFY row_number() OVER (PARTITION BY stay_id ORDER BY time DESC, event_id DESC) <= 4),
+{vocabulary(encode.MAX_VOCABULARY, 'latest')},
 token_ids AS (
   SELECT stay_id, event_id, list(coalesce(id, {encode.UNKNOWN_ID}) ORDER BY pos) AS ids FROM (
     SELECT stay_id, event_id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM latest)
