@@ -23,6 +23,11 @@ def text_literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, which may hold dots or blanks."""
+    return F.col(f"`{name}`")
+
+
 def quoted(pattern: str) -> str:
     """A pattern as a raw SQL string literal."""
     return f"r'{pattern}'"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.functions.tokens import constant_unit, digit_places, round_decimals, text_literal, token_list
+from stayline.functions.tokens import column, constant_unit, digit_places, round_decimals, text_literal, token_list
 from stayline.operators.events import latest_events
 
 # Type ids.
@@ -44,7 +44,7 @@ def linearise(
     # one projection per step, so that every regular expression runs once per value; there is no
     # lambda on the way except for texts that mix words and numbers
     texts = events.select(
-        *keep, *[F.col(c).cast("string").alias(f"_v{i}") for i, c in enumerate(columns)]
+        *keep, *[column(c).cast("string").alias(f"_v{i}") for i, c in enumerate(columns)]
     )
     rounded = texts.withColumns(
         {f"_r{i}": round_decimals(f"_v{i}") for i, c in enumerate(columns) if c in shown}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions.timeframe import DAY_SECONDS, epoch_seconds, offset_minutes
+from stayline.functions.tokens import column
 
 OFFSET_UNITS = ("min", "ms", "sec")
 
@@ -77,12 +78,12 @@ def attach_dictionary(
     shuffled with splitting of hot codes.
     """
     entries = dictionary
-    for column, wanted in (only or {}).items():
-        entries = entries.where(F.col(column) == wanted)
+    for name, wanted in (only or {}).items():
+        entries = entries.where(column(name) == wanted)
     named = {f"_d{i}": out for i, out in enumerate(describe.values())}
     entries = entries.select(
         F.col(dictionary_code).cast("string").alias("_code"),
-        *[F.col(column).alias(slot) for slot, column in zip(named, describe)],
+        *[column(name).alias(slot) for slot, name in zip(named, describe)],
     )
     kept = f"original_code_{code}"
     joined = (

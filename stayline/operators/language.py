@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.words import words_of
+from stayline.session import saved
 
 SIZES = (1, 2, 3)
 EDGE = "_"
@@ -45,8 +46,11 @@ def gram_counts(labelled: DataFrame, text: str, label: str, languages: list[str]
 
 
 def train(labelled: DataFrame, text: str, label: str, languages: list[str]) -> DataFrame:
-    """Model rows (gram, weight per language) plus one row with a null gram for unseen n-grams."""
-    counts = gram_counts(labelled, text, label, languages)
+    """Model rows (gram, weight per language) plus one row with a null gram for unseen n-grams.
+
+    The counts are saved, because the totals and the weights both read them.
+    """
+    counts = saved(gram_counts(labelled, text, label, languages), "grams")
     totals = counts.agg(
         F.struct(
             F.count(F.lit(1)).alias("_kinds"), *[F.sum(lang).alias(lang) for lang in languages]

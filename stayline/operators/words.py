@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayline.functions.tokens import column
 from stayline.functions.words import words_of
 
 
@@ -24,7 +25,7 @@ def word_counts(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     if not columns:
         raise ValueError(f"{table} has no text column")
     listed = F.array(
-        *[F.struct(F.lit(c).alias("column"), words_of(F.col(c)).alias("words")) for c in columns]
+        *[F.struct(F.lit(c).alias("column"), words_of(column(c)).alias("words")) for c in columns]
     )
     return (
         df.select(F.explode(listed).alias("_c"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.timeframe import as_double, as_timestamp, epoch_seconds
+from stayline.functions.tokens import column
 from stayline.operators import cohort as cohorts
 from stayline.operators import encode, events, labels, labs, language, words
 from stayline.session import configure
@@ -124,7 +125,7 @@ def align_table(source: Source, cohort: DataFrame, table: EventTable, config: Co
     """
     rows, codes = read_events(source, table)
     columns = [c for c in rows.columns if c not in ("stay_id", "hadm_id", table.time)]
-    rows = rows.withColumn("tie", F.xxhash64(F.lit(table.label), *[F.col(c) for c in columns]))
+    rows = rows.withColumn("tie", F.xxhash64(F.lit(table.label), *[column(c) for c in columns]))
     at = F.col(table.time)
     if source.profile.join == "hadm_id" and table.unit in ("abs", "min"):
         if table.unit == "abs":

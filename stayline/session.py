@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Turn on adaptive execution with skew splitting.
+    """UTC time, and adaptive execution with skew splitting.
+
+    Source times have no zone, so they are subtracted in a zone without daylight saving.
 
     Joins here carry no broadcast hint: the planner (and, with adaptive execution, the
     measured shuffle sizes) decides, so a side is broadcast only below
@@ -18,6 +20,7 @@ def configure(spark: SparkSession) -> SparkSession:
     partitions are split.  ``forceOptimizeSkewedJoin`` lets the split happen even when the
     next operator would have liked to reuse the join's partitioning.
     """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
@@ -25,8 +28,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app: str = "stayline", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with UTC time; every size-dependent setting is left to the caller."""
-    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+    """A configured session; every size-dependent setting is left to the caller."""
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

@@ -247,6 +247,11 @@ def test_linearise_stops_at_first_overflow(spark):
     assert found[2]["original_text"] == "t1 b x c y" and list(found[2]["codes"]) == ["C2"]
 
 
+def test_linearise_takes_any_column_name(spark):
+    df = spark.createDataFrame([(1, 0.0, "x")], "stay_id int, TIME double, `it's a.b` string")
+    assert rows(encode.linearise(df, "o'clock", ["it's a.b"], [], 30), "original_text") == [("o'clock it's a.b x",)]
+
+
 def test_sequences(spark):
     cohort_df = spark.createDataFrame([(1,), (2,)], "stay_id int")
     df = spark.createDataFrame([(1, t, f"v{t}") for t in (-5.5, 0.0, 59.0, 60.0, 61.0)], "stay_id int, TIME double, v string")
