@@ -16,7 +16,7 @@ from stayline.functions.values import row_max
 from stayline.operators import cohort as cohorts
 from stayline.operators import diagnosis, encode, events, labels, labs, language, quantiles, words
 from stayline.plans.views import (
-    CUTS, EVENT_MEASURES, EXCLUSION_ABOVE, TASKS, UP, event_bands, exclusion_events, joined,
+    EVENT_MEASURES, TASKS, event_bands, exclusion_events, joined,
     measurements, own_block, rules, stays, table,
 )
 from stayline.session import configure, saved, scratch_path
