@@ -13,6 +13,22 @@ BLANK = "\\x20\\x09-\\x0D"
 WORD = f"[^{BLANK}]+"
 
 
+#: Words whose hash a task remembers; then it starts anew.
+KNOWN_WORDS = 1 << 20
+
+
+class WordHashes(dict):
+    """64-bit hashes of words (bytes), remembered within a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

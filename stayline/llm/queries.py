@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import line_dedup, mixing, sharding
+from stayline.llm import jaccard, langid, line_dedup, mixing, sharding
 from stayline.llm.common import table
 
 
@@ -25,4 +25,23 @@ def op8_subset_sum_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(docs).drop("text", "source")
 
 
-QUERIES = {f.__name__: f for f in (op3_minimax_sharding, op7_line_dedup, op8_subset_sum_mix)}
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.jaccard_components(docs, words=4, percent=85)
+
+def op2_word_backoff_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_word_backoff_langid,
+        op3_minimax_sharding,
+        op7_line_dedup,
+        op8_subset_sum_mix,
+        op10_jaccard_join,
+    )
+}
