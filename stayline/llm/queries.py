@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import jaccard, langid, line_dedup, mixing, sharding
+from stayline.llm import jaccard, langid, line_dedup, linecrf, mixing, sharding
 from stayline.llm.common import table
 
 
@@ -34,10 +34,17 @@ def op2_word_backoff_langid(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_line_crf_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = linecrf.fit(docs, table(spark, folder, "labels").select("doc_id", "quality"))
+    return linecrf.rate_documents(docs, model).drop("text")
+
+
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op9_line_crf_quality,
         op2_word_backoff_langid,
         op3_minimax_sharding,
         op7_line_dedup,
