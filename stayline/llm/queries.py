@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import jaccard, langid, line_dedup, linecrf, mixing, sharding
+from stayline.llm import bpe, jaccard, langid, line_dedup, linecrf, mixing, sharding
 from stayline.llm.common import table
 
 
@@ -40,10 +40,20 @@ def op9_line_crf_quality(spark: SparkSession, folder: str) -> DataFrame:
     return linecrf.rate_documents(docs, model).drop("text")
 
 
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    rows = bpe.decode(bpe.encode(docs, vocabulary).drop("text"), vocabulary)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op6_byte_bpe,
         op9_line_crf_quality,
         op2_word_backoff_langid,
         op3_minimax_sharding,
