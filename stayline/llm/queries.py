@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, jaccard, langid, line_dedup, linecrf, mixing, sharding
-from stayline.llm.common import table
+from stayline.llm import bpe, jaccard, langid, line_dedup, linecrf, mixing, sharding, wavelet
+from stayline.llm.common import new_path, table
 
 
 def op3_minimax_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,10 +49,20 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op1_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    files = new_path(spark, "wavelet")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    manifest = wavelet.write_shards(docs, public_tokenizers.path("byte_bpe_50k.json"), files)
+    return wavelet.read_documents(manifest, files, with_ids=False)
+
+
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_wavelet_tokens,
         op6_byte_bpe,
         op9_line_crf_quality,
         op2_word_backoff_langid,
