@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, jaccard, langid, line_dedup, linecrf, mixing, sharding, wavelet
+from stayline.llm import bpe, jaccard, langid, line_dedup, linecrf, mixing, sharding, warc, wavelet
 from stayline.llm.common import new_path, table
 
 
@@ -58,10 +58,25 @@ def op1_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.read_documents(manifest, files, with_ids=False)
 
 
+def op4_zstd_warc(spark: SparkSession, folder: str) -> DataFrame:
+    files = new_path(spark, "warc")
+    archives = warc.write_archives(table(spark, folder, "pages"), files)
+    records = warc.read_archives(spark, archives, files, with_payload=False)
+    page = lambda name: F.regexp_extract(name, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
+    return records.select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op4_zstd_warc,
         op1_wavelet_tokens,
         op6_byte_bpe,
         op9_line_crf_quality,

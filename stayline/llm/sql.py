@@ -47,4 +47,16 @@ FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_
 GROUP BY d.doc_id
 """
 
-ORACLES = {"op7_line_dedup": OP7, "op10_jaccard_join": OP10}
+OP4 = r"""
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+  SELECT payload_digest, min(page_id) AS first FROM sized WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, s.payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM sized s LEFT JOIN firsts f ON s.payload_digest = f.payload_digest
+"""
+
+ORACLES = {"op4_zstd_warc": OP4, "op7_line_dedup": OP7, "op10_jaccard_join": OP10}
