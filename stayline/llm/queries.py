@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, jaccard, langid, line_dedup, linecrf, mixing, sharding, warc, wavelet
+from stayline.llm import bpe, jaccard, langid, line_dedup, linecrf, mixing, onebit, sharding, warc, wavelet
 from stayline.llm.common import new_path, table
 
 
@@ -72,10 +72,15 @@ def op4_zstd_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_one_bit_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return onebit.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
+
+
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op5_one_bit_codes,
         op4_zstd_warc,
         op1_wavelet_tokens,
         op6_byte_bpe,
