@@ -26,6 +26,9 @@ class _Index:
         self.coarse = np.array([r[2] for r in rows], dtype=bool)
         self.upto = np.concatenate([[0], np.cumsum(self.size)])
 
+    def part(self, start: int, end: int) -> _Index:
+        return _Index(list(zip(self.prefix, self.size, self.coarse))[start:end])
+
     def whole(self, start: int, capacity: int) -> int:
         """First interval after ``start`` that no longer fits, intervals being atomic."""
         return int(np.searchsorted(self.upto, self.upto[start] + capacity, side="right")) - 1
@@ -63,7 +66,7 @@ class _Index:
         return low
 
 
-def _balanced(index: _Index, capacity: int, shards: int) -> list[int]:
+def _even(index: _Index, capacity: int, shards: int) -> list[int]:
     """Cuts with no shard above ``capacity`` and each as near as can be to an equal part of the rest."""
     last = [len(index.size)]  # last[k]: the first interval from which k shards reach the end
     for _ in range(shards - 1):
@@ -71,14 +74,37 @@ def _balanced(index: _Index, capacity: int, shards: int) -> list[int]:
     cuts, at = [], 0
     for left in range(shards, 1, -1):
         wanted = index.upto[at] + (index.upto[-1] - index.upto[at]) / left
-        near = int(np.searchsorted(index.upto, wanted))
-        if near > at and wanted - index.upto[near - 1] <= index.upto[min(near, len(index.size))] - wanted:
+        near = min(int(np.searchsorted(index.upto, wanted)), len(index.size))
+        if near > at and wanted - index.upto[near - 1] <= index.upto[near] - wanted:
             near -= 1
         at = max(at, last[left - 1], min(near, index.whole(at, capacity)))
         cuts.append(at)
     return cuts
 
 
+def _apart(index: _Index, shards: int) -> list[int]:
+    """Cuts that give a group above the equal part a shard of its own and divide what stands beside it alike."""
+    n, total = len(index.size), int(index.upto[-1])
+    big = int(index.size.argmax()) if n else 0
+    left, right = (index.part(0, big), index.part(big + 1, n)) if n else (index, index)
+    sides = bool(len(left.size)) + bool(len(right.size))
+    if not n or shards <= 1 + sides or index.size[big] * shards <= total:
+        return _even(index, index.smallest(shards, False), shards)
+    free, weight = shards - 1, int(left.upto[-1])
+    own = round(free * weight / max(1, weight + int(right.upto[-1])))
+    own = max(int(len(left.size) > 0), min(own, free - int(len(right.size) > 0)))
+    before = [*_apart(left, own), big] if own else []
+    after = [big + 1, *[big + 1 + c for c in _apart(right, free - own)]] if free > own else []
+    return before + after
+
+
+def _balanced(index: _Index, capacity: int, shards: int) -> list[int]:
+    """Cuts with no shard above ``capacity``, the other shards as equal as found."""
+    cuts = _apart(index, shards)
+    ends = index.upto[[0, *cuts, len(index.size)]]
+    return cuts if np.diff(ends).max() <= capacity else _even(index, capacity, shards)
+
+
 def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[str]]:
     """Capacity and cut digests for ``groups`` (``key`` hexadecimal digest, ``size``; rows of a key are one group).
 
