@@ -60,8 +60,9 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, word, n in zip(*[c.to_pylist() for c in batch.columns]):
             own = counts.setdefault(lang, Counter())
             for size in range(1, LONGEST + 1):
+                mark = str(size)
                 for gram in grams_of(word, size):
-                    own[f"{size}{gram}"] += n
+                    own[mark + gram] += n
             if sum(map(len, counts.values())) > HELD:
                 yield _sent(counts)
     yield _sent(counts)
@@ -78,42 +79,53 @@ class Model:
     weights: np.ndarray
 
 
+class _Rows(dict):
+    """Word to its row of weights; an unseen word gets a row of its n-grams' weights."""
+
+    def __init__(self, model: Model):
+        super().__init__(model.words)
+        self.grams, self.used = model.grams, len(model.weights)
+        self.weights = np.concatenate([model.weights, np.zeros((1024, len(model.langs)), dtype=np.float32)])
+
+    def __missing__(self, word: str) -> int:
+        if self.used == len(self.weights):
+            self.weights = np.concatenate([self.weights, np.zeros_like(self.weights)])
+        row = self[word] = self.used
+        self.used += 1
+        known = self.grams.get
+        for size in range(LONGEST, 0, -1):
+            found = [i for g in grams_of(word, size) if (i := known(f"{size}{g}")) is not None]
+            if found:
+                np.divide(np.add.reduce(self.weights[found], axis=0), len(found), out=self.weights[row])
+                break
+        return row
+
+
 class Scorer:
-    """Scores texts with a model; remembers the rows of unseen words within a bound."""
+    """Scores texts with a model.
+
+    A known word counts with its own weights.  An unseen word counts with the mean weight of its known
+    n-grams of the greatest length that has any, and with nothing if no n-gram is known.
+    """
 
     def __init__(self, model: Model):
         self.model = model
         self.start()
 
     def start(self) -> None:
-        self.rows, self.extra = dict(self.model.words), []
+        """Forgets unseen words."""
+        self.rows = _Rows(self.model)
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Mean weight of the word's known n-grams of the greatest length that has any."""
-        for size in range(LONGEST, 0, -1):
-            found = [i for g in grams_of(word, size) if (i := self.model.grams.get(f"{size}{g}")) is not None]
-            if found:
-                return self.model.weights[found].mean(axis=0)
-        return np.zeros(len(self.model.langs), dtype=np.float32)
+    @property
+    def unseen(self) -> int:
+        return self.rows.used - len(self.model.weights)
 
     def score(self, text: str) -> tuple[str, float]:
         found = words_of(text)
         if not found or not self.model.langs:
             return UNKNOWN, 0.0
-        try:
-            rows = [self.rows[w] for w in found]
-        except KeyError:
-            for word in set(found):
-                if word not in self.rows:
-                    self.rows[word] = len(self.model.weights) + len(self.extra)
-                    self.extra.append(self.unseen(word))
-            rows = [self.rows[w] for w in found]
-        rows = np.array(rows)
-        known = len(self.model.weights)
-        total = self.model.weights[rows[rows < known]].sum(axis=0, dtype=np.float64)
-        late = rows[rows >= known] - known
-        if len(late):
-            total = total + np.sum([self.extra[i] for i in late], axis=0, dtype=np.float64)
+        rows = np.fromiter(map(self.rows.__getitem__, found), dtype=np.int64, count=len(found))
+        total = self.rows.weights[rows].sum(axis=0, dtype=np.float64)
         # Words of a text depend on each other, so evidence counts as that of ten words at most.
         scaled = total / len(found) * min(len(found), 10) + self.model.prior
         shares = np.exp(scaled - scaled.max())
@@ -198,7 +210,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            if len(scorer.extra) > HELD:
+            if scorer.unseen > HELD:
                 scorer.start()
             found = [scorer.score(t.as_py() or "") for t in batch.column(batch.schema.get_field_index(body))]
             yield pa.RecordBatch.from_arrays(
