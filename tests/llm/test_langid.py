@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,4 +48,5 @@ def test_edges(make, spark):
     assert identify(make([])).count() == 0
     unlabelled = identify(make([(1, "text", None, None)])).collect()
     assert (unlabelled[0]["lang_pred"], unlabelled[0]["score"]) == ("und", 0.0)
-    assert Scorer(Model([], None, {}, {}, None)).score("abc") == ("und", 0.0)
+    nothing = Model([], np.zeros(0), {}, {}, np.zeros((0, 0), dtype=np.float32))
+    assert Scorer(nothing).score("abc") == ("und", 0.0)
