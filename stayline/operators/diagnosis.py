@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.session import saved
-
 UNMAPPED = "NaN"
 # The rare level-1 class (counted from 0) that is dropped; later classes move down.
 RARE_CLASS = 14
@@ -100,24 +98,22 @@ def attach_sets(cohort: DataFrame, sets: DataFrame, key: str, how: str = "left")
     return joined.withColumn("diagnosis", F.coalesce("diagnosis", F.array().cast("array<int>")))
 
 
-# up to this depth the votes of all levels stay one plan
-ONE_PLAN_DEPTH = 4
-
-
-def path_categories(paths: DataFrame, known: DataFrame, separator: str = "|", min_depth: int = 2) -> DataFrame:
+def path_categories(
+    paths: DataFrame, known: DataFrame, separator: str = "|", min_depth: int = 2, depth: int | None = None
+) -> DataFrame:
     """Category of every path: its own, else that of its longest known prefix.
 
     ``known`` has (path, category).  A prefix takes its own category where it has one and
     otherwise the majority of its children, from the deepest level upwards (smallest category on
     ties).  Only prefixes of at least ``min_depth`` parts are used.  The vote is one grouped
-    count per level.  The distinct known paths are saved once, and for deep hierarchies so is
-    each level, because a level is needed both by the one above and by the final lookup.
+    count per level.  ``depth`` is the number of parts of the deepest known path; without it one
+    aggregate reads it.
     """
     breaking = f"\\Q{separator}\\E"
     parts = F.split(F.col("path"), breaking)
     distinct = known.groupBy("path").agg(F.min("category").alias("category"))
-    own = saved(distinct.withColumn("depth", F.size(parts)), "paths")
-    deepest = own.agg(F.max("depth")).first()[0] or 0
+    own = distinct.withColumn("depth", F.size(parts))
+    deepest = depth if depth is not None else own.agg(F.max("depth")).first()[0] or 0
 
     def parent(path: Column, steps: int) -> Column:
         return F.array_join(F.slice(F.split(path, breaking), 1, steps - 1), separator)
@@ -130,8 +126,6 @@ def path_categories(paths: DataFrame, known: DataFrame, separator: str = "|", mi
             voted = majority(votes, ["path"], "category", "category").withColumn("_voted", F.lit(1))
             here = here.unionByName(voted).groupBy("path").agg(F.min_by("category", "_voted").alias("category"))
         below = here.select("path", "category")
-        if deepest > ONE_PLAN_DEPTH:
-            below = saved(below, f"paths-{level}")
         nodes.append(below)
 
     every = paths.select("path").where(F.col("path").isNotNull()).distinct()
@@ -158,12 +152,14 @@ def path_categories(paths: DataFrame, known: DataFrame, separator: str = "|", mi
     return matched.join(inferred, "path", "left").select("path", F.coalesce("_own", "_inferred").alias("category"))
 
 
-def literal_category(text: Column, mapping: dict) -> Column:
-    """Category by a small literal map; an unknown text is an error, null stays null."""
+def literal_category(text: Column, mapping: dict, unknown: str = "error") -> Column:
+    """Category by a small literal map; null stays null, an unknown text is an error or (``"null"``) null."""
     pairs = [F.lit(x) for item in mapping.items() for x in item]
     found = F.try_element_at(F.create_map(*pairs), text)
-    unknown = F.raise_error(F.concat(F.lit("no category for: "), text.cast("string")))
-    return F.when(text.isNull(), F.lit(None)).otherwise(F.coalesce(found, unknown.cast("int")))
+    if unknown == "null":
+        return F.when(text.isNotNull(), found)
+    missing = F.raise_error(F.concat(F.lit("no category for: "), text.cast("string")))
+    return F.when(text.isNull(), F.lit(None)).otherwise(F.coalesce(found, missing.cast("int")))
 
 
 # Admission specialties (English and Dutch) and their category.
@@ -203,23 +199,40 @@ SPECIALTY_SUFFIXED = ("18669", "18671")
 
 # Admission group codes of two score versions and their category.
 ADMISSION_GROUP_CATEGORY = {
-    98: 0, 190: 0,
-    99: 1, 191: 1,
-    100: 2, 192: 2,
-    101: 3, 193: 3,
-    102: 4, 206: 4,
+    98: 0,
+    190: 0,
+    99: 1,
+    191: 1,
+    100: 2,
+    192: 2,
+    101: 3,
+    193: 3,
+    102: 4,
     197: 5,
-    103: 6, 194: 6,
-    104: 7, 195: 7,
-    105: 8, 196: 8,
-    106: 9, 198: 9,
-    107: 10, 199: 10,
-    108: 11, 200: 11,
-    109: 12, 201: 12,
-    110: 13, 202: 13,
-    111: 14, 203: 14,
-    112: 15, 204: 15,
-    113: 16, 205: 16, 114: 16,
+    103: 6,
+    194: 6,
+    104: 7,
+    195: 7,
+    105: 8,
+    196: 8,
+    106: 9,
+    198: 9,
+    107: 10,
+    199: 10,
+    108: 11,
+    200: 11,
+    109: 12,
+    201: 12,
+    110: 13,
+    202: 13,
+    111: 14,
+    203: 14,
+    112: 15,
+    204: 15,
+    113: 16,
+    205: 16,
+    114: 16,
+    206: 4,
 }
 # The variables that hold an admission group code.
 ADMISSION_GROUP_ITEMS = ("9990002", "9990004")

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stayline.functions.tokens import column, constant_unit, digit_places, round_decimals, text_literal, token_list
 from stayline.operators.events import latest_events
@@ -18,8 +15,6 @@ PLACE_OTHER = 0
 PAD_ID, UNKNOWN_ID, CLS_ID, SEP_ID, POINT_ID = 0, 100, 101, 102, 119
 DIGIT_IDS = {str(d): 121 + d for d in range(10)}
 FIRST_ID = 131
-# ids are stored as 16-bit integers
-MAX_VOCABULARY = 32767 - FIRST_ID + 1
 RESERVED = {".": POINT_ID, **DIGIT_IDS}
 
 
@@ -95,44 +90,54 @@ def _array(values: list) -> str:
     return f"array({', '.join(str(v) if isinstance(v, int) else text_literal(v) for v in values)})"
 
 
-def build_vocabulary(encoded: DataFrame, size: int = MAX_VOCABULARY, tokens: str = "tokens") -> DataFrame:
+def build_vocabulary(encoded: DataFrame, size: int | None = None, tokens: str = "tokens") -> DataFrame:
     """Token ids by falling frequency, then by token; digits and the point keep fixed ids.
 
-    Ids have 16 bits, so at most ``MAX_VOCABULARY`` tokens get one: the most frequent are a
-    distributed top-k, and only these are numbered.
+    Every token gets an id, unless ``size`` asks for the most frequent ones only.  Numbering takes
+    no single task: tokens are ranked inside parts (count, first three characters), the parts of a count are
+    added up by prefix, and one running sum goes over the distinct counts, of which there are
+    about the square root of twice the number of tokens at most.
     """
-    if size > MAX_VOCABULARY:
-        raise ValueError(f"ids have 16 bits: at most {MAX_VOCABULARY} tokens")
     counts = (
         encoded.select(F.explode(tokens).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("cnt"))
         .where(~F.col("token").isin(*RESERVED))
+        .withColumn("_part", F.substring("token", 1, 3))
     )
-    top = counts.orderBy(F.desc("cnt"), "token").limit(size)
-    rank = F.row_number().over(Window.orderBy(F.desc("cnt"), "token"))
-    return top.withColumn("id", (rank + FIRST_ID - 1).cast("int"))
+    parts = counts.groupBy("cnt", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.rowsBetween(Window.unboundedPreceding, -1)
+    by_count = (
+        parts.groupBy("cnt")
+        .agg(F.sum("_n").alias("_n"))
+        .select("cnt", F.coalesce(F.sum("_n").over(ahead.orderBy(F.desc("cnt"))), F.lit(0)).alias("_higher"))
+    )
+    within_count = F.sum("_n").over(ahead.partitionBy("cnt").orderBy("_part"))
+    starts = parts.select("cnt", "_part", F.coalesce(within_count, F.lit(0)).alias("_before")).join(by_count, "cnt")
+    place = F.row_number().over(Window.partitionBy("cnt", "_part").orderBy("token"))
+    numbered = counts.withColumn("_place", place).join(
+        starts.select("cnt", "_part", (F.col("_higher") + F.col("_before")).alias("_start")), ["cnt", "_part"]
+    )
+    numbered = numbered.select("token", "cnt", (F.col("_start") + F.col("_place") + (FIRST_ID - 1)).cast("int").alias("id"))
+    return numbered if size is None else numbered.where(F.col("id") < FIRST_ID + size)
 
 
 def encode_tokens(encoded: DataFrame, vocabulary: DataFrame, tokens: str = "tokens", out: str = "ids") -> DataFrame:
     """Token arrays as id arrays; tokens outside the vocabulary become the unknown id.
 
-    The vocabulary is bounded by its 16-bit ids, so it travels to the tasks as one small Arrow
-    array and every batch is one vectorised lookup, without a shuffle of the token stream.
+    The reserved tokens are literals; the others meet the vocabulary in a join on the token, whose
+    hot keys adaptive execution splits.  Rows are known by a 128-bit digest of their token array, so
+    equal arrays are looked up once and nothing depends on the order of rows.
     """
-    bounded = vocabulary.select("token", "id").limit(MAX_VOCABULARY).toArrow()
-    known = pa.concat_arrays([bounded["token"].combine_chunks().cast(pa.string()), pa.array(list(RESERVED), pa.string())])
-    ids = pa.concat_arrays([bounded["id"].combine_chunks().cast(pa.int32()), pa.array(list(RESERVED.values()), pa.int32())])
-
-    @F.arrow_udf(returnType=T.ArrayType(T.IntegerType()))
-    def lookup(batch: pa.Array) -> pa.Array:
-        found = pc.index_in(batch.flatten(), value_set=known)
-        mapped = pc.fill_null(ids.take(found), UNKNOWN_ID)
-        lengths = pc.fill_null(pc.list_value_length(batch), 0).cast(pa.int32())
-        offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(lengths).cast(pa.int32())])
-        return pa.ListArray.from_arrays(offsets, mapped)
-
-    return encoded.withColumn(out, lookup(tokens))
+    ids = F.create_map(*[F.lit(x) for item in RESERVED.items() for x in item])
+    rows = encoded.withColumn("_digest", F.md5(F.to_json(F.struct(tokens))))
+    spread = rows.select("_digest", F.posexplode(tokens).alias("_at", "token")).distinct()
+    fixed = spread.where(F.col("token").isin(*RESERVED)).select("_digest", "_at", F.try_element_at(ids, F.col("token")).alias("id"))
+    others = spread.where(~F.col("token").isin(*RESERVED)).join(vocabulary.select("token", "id"), "token", "left")
+    others = others.select("_digest", "_at", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id"))
+    arrays = fixed.union(others).groupBy("_digest").agg(F.array_sort(F.collect_list(F.struct("_at", "id"))).alias("_ids"))
+    found = F.coalesce(F.transform("_ids", lambda e: e["id"]), F.array().cast("array<int>"))
+    return rows.join(arrays, "_digest", "left").withColumn(out, found).drop("_digest", "_ids")
 
 
 def hourly_offsets(times: Column, hours: int) -> Column:
@@ -148,7 +153,7 @@ def wrap_and_pad(values: Column, first: int, last: int, length: int) -> Column:
     room = F.greatest(F.lit(0), F.lit(length - 2) - F.size(values))
     return F.concat(
         F.array(F.lit(first)), values, F.array(F.lit(last)), F.array_repeat(F.lit(0), room)
-    ).cast("array<smallint>")
+    ).cast("array<int>")
 
 
 def stay_sequences(
@@ -183,7 +188,7 @@ def stay_sequences(
         F.transform("_events", lambda e: e["original_text"]).alias("original_texts"),
         F.flatten(F.transform("_events", lambda e: e["codes"])).alias("codes"),
     )
-    ones = F.array(F.array_repeat(F.lit(1), max_tokens)).cast("array<array<smallint>>")
+    ones = F.array(F.array_repeat(F.lit(1), max_tokens)).cast("array<array<int>>")
     defaults = {
         "hi_input": ones,
         "hi_type": ones,

@@ -11,6 +11,8 @@ from stayline.functions.timeframe import DAY_SECONDS, epoch_seconds, offset_minu
 from stayline.functions.tokens import column
 
 OFFSET_UNITS = ("min", "ms", "sec")
+# rows per group up to which Spark limits a ranking before its shuffle, and parts of a stay above it
+GROUP_LIMIT, SALTS = 1000, 16
 
 
 def align(
@@ -110,9 +112,15 @@ def union_all(tables: list[DataFrame]) -> DataFrame:
 def latest_events(timed: DataFrame, k: int, ties: list[str], stay: str = "stay_id") -> DataFrame:
     """The latest ``k`` events of each stay by ``TIME``.
 
-    Spark limits each map task to ``k`` rows per stay before the shuffle (WindowGroupLimit), so
-    a busy stay does not reach one task whole.
+    Spark limits each map task to ``k`` rows per stay before the shuffle (WindowGroupLimit) up to
+    ``GROUP_LIMIT``; above it the latest of each of ``SALTS`` parts of a stay are taken first.  So a
+    busy stay does not reach one task whole.
     """
+    if k > GROUP_LIMIT:
+        part = F.pmod(F.xxhash64("TIME", *ties), F.lit(SALTS))
+        own = Window.partitionBy(stay, "_salt").orderBy(F.desc("TIME"), *[F.desc(t) for t in ties])
+        timed = timed.withColumn("_salt", part).withColumn("_rank", F.row_number().over(own))
+        timed = timed.where(F.col("_rank") <= k).drop("_rank", "_salt")
     newest = Window.partitionBy(stay).orderBy(F.desc("TIME"), *[F.desc(t) for t in ties])
     return timed.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= k).drop("_rank")
 

@@ -12,9 +12,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stayline.functions.timeframe import DAY_SECONDS, horizon_of
-from stayline.functions.tokens import text_literal
+from stayline.functions.tokens import column, text_literal
 from stayline.functions.values import Bands, relative_change, row_max
 from stayline.operators.quantiles import group_summary
 
@@ -83,11 +84,23 @@ def measure_of(code: str, codes: dict[str, list]) -> Column:
 def tag_measures(events: DataFrame, codes: dict[str, list], code: str = "code") -> DataFrame:
     """Rows of any wanted measure, with its name; one scan serves every task."""
     return (
-        events.withColumn("measure", measure_of(code, codes))
+        events.where(has_code(events, code, [c for own in codes.values() for c in own]))
+        .withColumn("measure", measure_of(code, codes))
         .where("measure IS NOT NULL AND value IS NOT NULL")
     )
 
 
+def has_code(events: DataFrame, code: str, wanted: list) -> Column:
+    """Whether the code is one of ``wanted``, compared in the column's own type so that a scan can skip row groups."""
+    kind = events.schema[code].dataType
+    own = column(code)
+    if isinstance(kind, T.IntegralType):
+        return own.isin(*sorted({int(c) for c in wanted if str(c).lstrip("-").isdigit()}))
+    if isinstance(kind, T.StringType):
+        return own.isin(*sorted({str(c) for c in wanted}))
+    return own.cast("string").isin(*sorted({str(c) for c in wanted}))
+
+
 def minute_since_admission(rounding: str = "round") -> Column:
     exact = "(clock_s - admit_s) / 60"
     forms = {"round": f"round({exact})", "floor": f"CAST(floor({exact}) AS DOUBLE)", "none": exact}

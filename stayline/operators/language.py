@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.words import words_of
-from stayline.session import saved
 
 SIZES = (1, 2, 3)
 EDGE = "_"
@@ -48,9 +47,9 @@ def gram_counts(labelled: DataFrame, text: str, label: str, languages: list[str]
 def train(labelled: DataFrame, text: str, label: str, languages: list[str]) -> DataFrame:
     """Model rows (gram, weight per language) plus one row with a null gram for unseen n-grams.
 
-    The counts are saved, because the totals and the weights both read them.
+    Totals and weights share the shuffle of the counts.
     """
-    counts = saved(gram_counts(labelled, text, label, languages), "grams")
+    counts = gram_counts(labelled, text, label, languages)
     totals = counts.agg(
         F.struct(
             F.count(F.lit(1)).alias("_kinds"), *[F.sum(lang).alias(lang) for lang in languages]
@@ -72,8 +71,7 @@ def classify(counts: DataFrame, model: DataFrame, languages: list[str]) -> DataF
     """Distinct words with ``lang`` and ``prob`` (3 decimals); equal priors.
 
     The most probable language wins, the first by name among equals.  A model that was saved has
-    a known size: a small one is broadcast, so the n-grams of a word never leave its task and are
-    summed up there before the only shuffle.
+    a known size; a small one is broadcast and the n-grams of a word stay in its task.
     """
     # the counts are read as well, so that this use shares the shuffle of the counts
     distinct = counts.groupBy("word").agg(F.sum("cnt").alias("_total")).where("_total > 0")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from functools import reduce
+from operator import and_
 
-from stayline.session import saved
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-RANGES = 256
-MAX_VALUES = 1_000_000
+RANGES = 64
 
 
 def group_summary(
@@ -17,7 +17,6 @@ def group_summary(
     value: str,
     at: str | None = None,
     exact: bool = True,
-    max_values: int = MAX_VALUES,
 ) -> DataFrame:
     """Per group: ``median``, ``lowest`` and, ordered by ``at``, the ``first`` value."""
     rows = df.where(f"{value} IS NOT NULL").selectExpr(
@@ -27,25 +26,25 @@ def group_summary(
     if not exact:
         approximate = F.expr("percentile_approx(_v, 0.5) AS median")
         return rows.groupBy(*keys).agg(approximate, *[F.expr(f"{e} AS {n}") for n, e in others.items()])
-    summary = _exact(rows, keys, [0.5], others, max_values)
+    summary = _exact(rows, keys, [0.5], others)
     return summary.withColumn("_q", F.expr("_q[0]")).withColumnRenamed("_q", "median")
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, points: list[float], out: str = "quantiles", max_values: int = MAX_VALUES
+    df: DataFrame, keys: list[str], value: str, points: list[float], out: str = "quantiles"
 ) -> DataFrame:
     """Interpolated quantiles per group (or of all rows, for no keys) as an array."""
     group = keys or ["_all"]
     source = df if keys else df.withColumn("_all", F.lit(0))
     rows = source.where(f"{value} IS NOT NULL").selectExpr(*group, f"CAST({value} AS DOUBLE) AS _v", "0 AS _t")
-    return _exact(rows, group, points, {}, max_values).select(*keys, F.col("_q").alias(out))
+    return _exact(rows, group, points, {}).select(*keys, F.col("_q").alias(out))
 
 
 def exact_median(
-    df: DataFrame, keys: list[str], value: str, out: str = "median", max_values: int = MAX_VALUES
+    df: DataFrame, keys: list[str], value: str, out: str = "median"
 ) -> DataFrame:
     """Interpolated median per group (or of all rows, for no keys)."""
-    found = exact_quantiles(df, keys, value, [0.5], "_q", max_values)
+    found = exact_quantiles(df, keys, value, [0.5], "_q")
     return found.select(*keys, F.expr("_q[0]").alias(out))
 
 
@@ -56,92 +55,85 @@ def approximate_median(df: DataFrame, keys: list[str], value: str, out: str = "m
     )
 
 
-def _exact(
-    rows: DataFrame, keys: list[str], points: list[float], others: dict[str, str], max_values: int
-) -> DataFrame:
-    """Quantiles ``_q`` and other aggregates of (keys, _v, _t), safe for a group of any size.
+def _same(left: str, right: str, keys: list[str]) -> Column:
+    """Equality of keys that may be null."""
+    return reduce(and_, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
 
-    Equal values are counted before anything is collected per group, and that shuffle is keyed
-    by (group, value), so one busy group spreads over all tasks.  The counts are saved, because
-    they are read more than once.  A group with up to ``max_values`` distinct values takes
-    Spark's weighted percentile.  Where there are wider groups, these are split into value
-    ranges, and only the ranges that hold a wanted rank are looked at.
+def _exact(rows: DataFrame, keys: list[str], points: list[float], others: dict[str, str]) -> DataFrame:
+    """Quantiles ``_q`` and other aggregates of (keys, _v, _t); one method for a group of any size.
+
+    Equal values are counted before anything meets per group, keyed by (group, value).  A sketch
+    gives each group cut points; sizes of the ranges between them tell which ranges hold the
+    wanted ranks, and only the values of these ranges are ranked.  Keys may be null.
     """
-    counts = rows.groupBy(*keys, "_v").agg(F.expr("count(*) AS _n"), F.expr("min(_t) AS _t"))
-    counted = saved(counts, "counted")
-    listed = ", ".join(f"{p}D" for p in points)
-    quantiles = F.expr(f"percentile(_v, array({listed}), _n) AS _q")
-    extra = [F.expr(f"{e} AS {n}") for n, e in others.items()]
-    sizes = counted.groupBy(*keys).agg(F.expr("count(*) AS _distinct"))
-    widest = sizes.agg(F.max("_distinct")).first()[0] or 0
-    if widest <= max_values:
-        return counted.groupBy(*keys).agg(quantiles, *extra)
-    wide = sizes.where(f"_distinct > {max_values}").select(*keys)
-    narrow = counted.join(wide, keys, "left_anti").groupBy(*keys).agg(quantiles, *extra)
-    hot = counted.join(wide, keys, "left_semi")
-    split = _by_ranges(hot, keys, points)
-    if extra:
-        split = split.join(hot.groupBy(*keys).agg(*extra), keys)
-    return narrow.unionByName(split)
-
-
-def _by_ranges(counted: DataFrame, group: list[str], points: list[float]) -> DataFrame:
-    """Exact quantiles of (group, _v, _n) rows without holding a group in one task."""
+    counted = rows.groupBy(*keys, "_v").agg(F.expr("count(*) AS _n"), F.expr("min(_t) AS _t"))
     cut_points = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
-    cuts = counted.groupBy(*group).agg(F.expr(f"percentile_approx(_v, array({cut_points}), 10000) AS _cuts"))
-    placed = counted.join(cuts, group).selectExpr(
-        *group, "_v", "_n", "size(filter(_cuts, c -> c < _v)) AS _range"
+    cuts = counted.groupBy(*keys).agg(
+        F.expr(f"percentile_approx(_v, array({cut_points}), 1000) AS _cuts"),
+        F.expr("sum(_n) AS _total"),
+        *[F.expr(f"{e} AS {n}") for n, e in others.items()],
     )
-    of_group = ", ".join(group)
+    of_group = ", ".join(keys)
     wanted = ", ".join(f"floor((_total - 1) * {p}D), ceil((_total - 1) * {p}D)" for p in points)
+    placed = (
+        counted.alias("v")
+        .join(cuts.alias("c"), _same("v", "c", keys))
+        .selectExpr(*[f"v.{k}" for k in keys], "_v", "_n", "_total", "size(filter(_cuts, c -> c < _v)) AS _range")
+    )
     # at most RANGES rows per group reach these windows
     holding = (
-        placed.groupBy(*group, "_range")
-        .agg(F.expr("sum(_n) AS _size"))
-        .selectExpr(
-            *group,
-            "_range",
-            "_size",
-            f"sum(_size) OVER (PARTITION BY {of_group} ORDER BY _range) - _size AS _before",
-            f"sum(_size) OVER (PARTITION BY {of_group}) AS _total",
-        )
+        placed.groupBy(*keys, "_range")
+        .agg(F.expr("sum(_n) AS _size"), F.expr("max(_total) AS _total"))
+        .selectExpr("*", f"sum(_size) OVER (PARTITION BY {of_group} ORDER BY _range) - _size AS _before")
         .selectExpr(
-            *group,
+            *keys,
             "_range",
             "_before",
-            "_total",
             f"filter(array_distinct(array({wanted})), r -> r >= _before AND r < _before + _size) AS _ranks",
         )
         .where("size(_ranks) > 0")
     )
     found = (
-        placed.join(holding, [*group, "_range"])
+        placed.alias("v")
+        .join(holding.alias("h"), _same("v", "h", [*keys, "_range"]))
         .selectExpr(
-            *group,
-            "_v",
-            "_n",
-            "_total",
-            "_ranks",
-            f"_before + sum(_n) OVER (PARTITION BY {of_group}, _range ORDER BY _v) AS _end",
+            *[f"v.{k}" for k in keys], "_v", "_n", "_ranks",
+            f"_before + sum(_n) OVER (PARTITION BY {', '.join(f'v.{k}' for k in keys)}, v._range ORDER BY _v) AS _end",
         )
-        .selectExpr(*group, "_v", "_total", "explode(filter(_ranks, r -> r >= _end - _n AND r < _end)) AS _rank")
+        .selectExpr(*keys, "_v", "explode(filter(_ranks, r -> r >= _end - _n AND r < _end)) AS _rank")
     )
     # two ranks per wanted quantile
-    ranks = found.groupBy(*group).agg(
-        F.expr("max(_total) AS _total"), F.expr("map_from_entries(collect_list(struct(_rank, _v))) AS _at")
-    )
+    ranks = found.groupBy(*keys).agg(F.expr("map_from_entries(collect_list(struct(_rank, _v))) AS _at"))
 
     def interpolated(p: float) -> str:
         position = f"((_total - 1) * {p}D)"
         low, high = f"_at[floor({position})]", f"_at[ceil({position})]"
-        return f"{low} * (1 - ({position} - floor({position}))) + {high} * ({position} - floor({position}))"
+        between = f"(ceil({position}) - {position}) * {low} + ({position} - floor({position})) * {high}"
+        return f"CASE WHEN {low} = {high} THEN {low} ELSE {between} END"
 
-    return ranks.selectExpr(*group, f"array({', '.join(interpolated(p) for p in points)}) AS _q")
+    return (
+        cuts.alias("c")
+        .join(ranks.alias("r"), _same("c", "r", keys))
+        .selectExpr(
+            *[f"c.{k}" for k in keys], f"array({', '.join(interpolated(p) for p in points)}) AS _q", *others
+        )
+    )
 
 
 def quantile_bins(df: DataFrame, value: str, bins: int, out: str = "bin") -> DataFrame:
-    """Bin number 1..n by equal-frequency edges; repeated edges are merged, nulls stay null."""
-    edges = exact_quantiles(df, [], value, [i / bins for i in range(bins + 1)], "_edges")
-    inner = "slice(array_distinct(_edges), 2, size(array_distinct(_edges)) - 2)"
-    placed = f"CASE WHEN {value} IS NOT NULL THEN size(filter({inner}, e -> e < {value})) + 1 END"
-    return df.withColumn("_edges", edges.scalar()).withColumn(out, F.expr(placed)).drop("_edges")
+    """Bin number 1..n by equal-frequency edges; repeated edges are merged, nulls stay null.
+
+    There are at most as many bins as distinct values.
+    """
+    kinds = df.agg(F.least(F.countDistinct(value), F.lit(bins)).alias("_kinds"))
+    points = sorted({i / n for n in range(1, bins + 1) for i in range(n + 1)})
+    found = exact_quantiles(df, [], value, points, "_all_edges").select(F.struct("_all_edges").alias("_found"))
+    listed = ", ".join(
+        f"array({', '.join(f'_found._all_edges[{points.index(i / n)}]' for i in range(n + 1))})" for n in range(1, bins + 1)
+    )
+    placed = df.withColumns({"_found": found.scalar(), "_kinds": kinds.scalar()})
+    placed = placed.withColumn("_edges", F.expr(f"array_distinct(array({listed})[_kinds - 1])"))
+    inner = "filter(_edges, (e, i) -> i > 0 AND i < size(_edges) - 1)"
+    number = f"CASE WHEN {value} IS NOT NULL THEN size(filter({inner}, e -> e < {value})) + 1 END"
+    return placed.withColumn(out, F.expr(number)).drop("_found", "_kinds", "_edges")

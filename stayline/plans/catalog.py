@@ -24,7 +24,6 @@ from stayline.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-LANGUAGES = ["de", "en", "es", "fr"]
 
 
 def query(fn: Query) -> Query:
@@ -391,7 +390,7 @@ def crosswalk_prefix(spark, d):
 def diagnosis_set(spark, d):
     rows = table(spark, d, "lineitem").select(
         "l_orderkey", diagnosis.without_rare_class(F.pmod("l_partkey", F.lit(18))).alias("category")
-    ).where(F.col("category") < 12)
+    )
     cohort = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
     attached = diagnosis.attach_sets(cohort, diagnosis.category_sets(rows, "l_orderkey"), "l_orderkey")
     return attached.select("l_orderkey", joined(F.col("diagnosis"), ",").alias("diagnosis"))
@@ -401,7 +400,7 @@ def diagnosis_set(spark, d):
 def path_majority(spark, d):
     part = table(spark, d, "part").withColumn("path", F.concat_ws("|", "p_type", "p_brand", "p_name"))
     known = part.where(F.pmod("p_partkey", F.lit(4)) != 0).select("path", F.pmod("p_size", F.lit(5)).alias("category"))
-    return diagnosis.path_categories(part, known)
+    return diagnosis.path_categories(part, known, depth=3)
 
 
 @query
@@ -433,22 +432,26 @@ def event_text():
 
 @query
 def dpe_encode(spark, d):
-    texts = readers.spread(table(spark, d, "events")).select("event_id", event_text().alias("raw"))
+    texts = table(spark, d, "events").select("event_id", event_text().alias("raw"))
     rounded = texts.select("event_id", round_decimals("raw").alias("text"))
     return rounded.select(
         "event_id", "text", joined(token_list("text")).alias("tokens"), joined(digit_places("text")).alias("places")
     )
 
 
-LINE_COLUMNS = ["l_quantity", "l_returnflag", "original_code_l_partkey", "l_partkey", "p_brand", "p_type"]
+LINE_COLUMNS = [
+    "l_quantity", "l_returnflag", "l_linestatus", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
+    "original_code_l_partkey", "l_partkey", "p_brand", "p_type",
+]
 
 
 def coded_lines(spark, d):
-    lines = readers.spread(
-        table(spark, d, "lineitem").selectExpr(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
-            "CASE WHEN l_linenumber <> 4 THEN CAST(l_quantity AS DECIMAL(10, 1)) END AS l_quantity",
-        )
+    """Every column of lineitem; numbers as decimals, so that both engines print them alike."""
+    money = "CAST({0} AS DECIMAL(14, 2)) AS {0}"
+    lines = table(spark, d, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
+        "CAST(l_quantity AS DECIMAL(10, 1)) AS l_quantity", *[money.format(c) for c in ("l_extendedprice", "l_discount", "l_tax")],
+        "date_format(l_shipdate, 'yyyy-MM-dd') AS l_shipdate",
     )
     return events.attach_dictionary(
         lines, table(spark, d, "part"), "l_partkey", "p_partkey",
@@ -456,10 +459,9 @@ def coded_lines(spark, d):
     )
 
 
-def linearised_lines(spark, d, max_tokens=26):
+def linearised_lines(spark, d):
     return encode.linearise(
-        coded_lines(spark, d), "lineitem", LINE_COLUMNS, ["original_code_l_partkey"], max_tokens,
-        ("l_orderkey", "l_linenumber"),
+        coded_lines(spark, d), "lineitem", LINE_COLUMNS, ["original_code_l_partkey"], keep=("l_orderkey", "l_linenumber")
     )
 
 
@@ -474,29 +476,30 @@ def event_linearise(spark, d):
 
 @query
 def vocab_build(spark, d):
-    tokens = readers.spread(table(spark, d, "documents").select("text")).select(token_list("text").alias("tokens"))
+    tokens = table(spark, d, "documents").select(token_list("text").alias("tokens"))
     return encode.build_vocabulary(tokens)
 
 
 @query
 def vocab_encode(spark, d):
     rows = saved(linearised_lines(spark, d), "lines")
-    encoded = encode.encode_tokens(rows, encode.build_vocabulary(rows, size=40))
+    encoded = encode.encode_tokens(rows, encode.build_vocabulary(rows))
     return encoded.select("l_orderkey", "l_linenumber", joined(F.col("ids")).alias("ids"), joined(F.col("codes")).alias("codes"))
 
 
-def event_sequences(spark, d, max_events=4, max_tokens=16, hours=6):
+def event_sequences(spark, d, max_events=256, max_tokens=128, hours=48):
     """As in a full run: latest events first, then text work, a vocabulary of what is kept, ids."""
     cohort = stays(spark, d, 3)
-    kept = events.latest_clock_events(measurements(spark, d), cohort, "hadm_id", hours, max_events, ["event_id"])
+    seen = measurements(spark, d).join(table(spark, d, "events").select("event_id", "props"), "event_id")
+    kept = events.latest_clock_events(seen, cohort, "hadm_id", hours, max_events, ["event_id"])
     shaped = kept.selectExpr(
         "stay_id", "TIME", "event_id", "CAST(value AS DECIMAL(18, 2)) AS value",
-        "code AS original_code_event_type", "code AS event_type",
+        "code AS original_code_event_type", "code AS event_type", "props",
     )
     rows = saved(
         encode.linearise(
-            shaped, "events", ["value", "original_code_event_type", "event_type"], ["original_code_event_type"],
-            max_tokens, ("stay_id", "TIME", "event_id"),
+            shaped, "events", ["value", "original_code_event_type", "event_type", "props"],
+            ["original_code_event_type"], max_tokens, ("stay_id", "TIME", "event_id"),
         ),
         "events",
     )
@@ -506,17 +509,18 @@ def event_sequences(spark, d, max_events=4, max_tokens=16, hours=6):
 
 @query
 def hourly_offsets(spark, d):
-    """Start index per hour over all aligned events of a stay (at most 256)."""
-    aligned = events.align(timed_events(spark, d), stays(spark, d, 3), "abs", "ts", 24)
-    kept = events.latest_events(aligned, 256, ["event_id"])
+    """Start index per hour over the latest events of a stay (at most 256)."""
+    kept = events.latest_clock_events(measurements(spark, d), stays(spark, d, 3), "hadm_id", 24, 256, ["event_id"])
     times = kept.groupBy("stay_id").agg(F.collect_list("TIME").alias("times"))
     return times.select("stay_id", joined(encode.hourly_offsets(F.col("times"), 24)).alias("hi_start"))
 
 
 @query
 def sequence_pad(spark, d):
-    packed = event_sequences(spark, d)
+    return flat_sequences(event_sequences(spark, d))
 
+
+def flat_sequences(packed):
     def flat(name):
         return joined(F.flatten(F.col(name))).alias(name)
 
@@ -530,14 +534,10 @@ def sequence_pad(spark, d):
 # ---- text ---------------------------------------------------------------------------------
 
 
-def text_table(spark, d, name):
-    return readers.spread(table(spark, d, name))
-
-
 def text_counts(spark, d):
     found = []
     for name, keys in (("documents", ["lang"]), ("conversations", [])):
-        frame = text_table(spark, d, name)
+        frame = table(spark, d, name)
         found.append(words.word_counts(frame, name, words.text_columns(frame, keys)))
     return words.union_counts(found)
 
@@ -550,17 +550,17 @@ def word_freq(spark, d):
 @query
 def word_freq_enriched(spark, d):
     enriched = events.attach_dictionary(
-        readers.spread(table(spark, d, "lineitem").select("l_partkey", "l_returnflag", "l_linestatus")), table(spark, d, "part"), "l_partkey", "p_partkey",
+        table(spark, d, "lineitem").select("l_partkey", "l_returnflag", "l_linestatus"), table(spark, d, "part"), "l_partkey", "p_partkey",
         {"p_name": "l_partkey", "p_brand": "p_brand", "p_type": "p_type"},
     ).drop("original_code_l_partkey")
     return words.word_counts(enriched, "lineitem", words.text_columns(enriched))
 
 
 def classified(spark, d):
-    """Word counts with languages; the trained model is saved first, so its size is known."""
-    train = lambda: language.train(text_table(spark, d, "documents"), "text", "lang", LANGUAGES)
-    model = writers.cached(spark, scratch_path(spark, "model"), "language", {"languages": LANGUAGES}, train)
-    return language.classify_counts(text_counts(spark, d), model, LANGUAGES)
+    """Word counts with languages; the languages are those of the labelled documents."""
+    labelled = table(spark, d, "documents").where("lang IS NOT NULL")
+    found = sorted(r[0] for r in labelled.select("lang").distinct().collect())
+    return language.classify_counts(text_counts(spark, d), language.train(labelled, "text", "lang", found), found)
 
 
 @query
@@ -579,7 +579,7 @@ def lang_distribution(spark, d):
 @query
 def quantile_bins(spark, d):
     binned = quantiles.quantile_bins(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", 10)
-    return binned.select("o_orderkey", F.concat_ws("_", F.lit("price"), "bin").alias("price_bin"))
+    return binned.select("o_orderkey", F.concat(F.lit("price_"), F.col("bin")).alias("price_bin"))
 
 
 @query
@@ -589,6 +589,87 @@ def sample_rows(spark, d):
     )
 
 
+@query
+def optional_source_present(spark, d):
+    """Orders with a table that this source does ship."""
+    path = scratch_path(spark, "death")
+    table(spark, d, "customer").where("c_nationkey < 5").selectExpr("c_custkey AS o_custkey", "c_acctbal AS death_value").write.parquet(path)
+    found = readers.read_optional(spark, path, "o_custkey bigint, death_value double", format="parquet")
+    return table(spark, d, "orders").join(found, "o_custkey", "left").select("o_orderkey", "death_value")
+
+
+@query
+def label_stats_sink(spark, d):
+    """Label statistics in CSV, read back."""
+    path = scratch_path(spark, "label-stats")
+    labelled = wide_labels(spark, d).drop("admit_s", "in_ts", "exclusion_s")
+    writers.write_stats(labels.label_stats(labelled), path)
+    return readers.read_raw(spark, path, schema="task string, label bigint, n bigint")
+
+
+@query
+def distribution_sink(spark, d):
+    """Language distribution in JSON, one folder per level, read back."""
+    path = scratch_path(spark, "distribution")
+    writers.write_distribution(language.distribution(classified(spark, d)), path)
+    schema = "level string, table string, column string, lang string, cnt bigint"
+    return spark.read.schema(schema).json(path).select("level", "table", "column", "lang", "cnt")
+
+
+@query
+def word_languages_sink(spark, d):
+    """Language of each word, one folder per table, read back."""
+    path = scratch_path(spark, "word-languages")
+    writers.write_word_languages(classified(spark, d), path)
+    return spark.read.parquet(path).select("table", "column", "word", "lang", "prob", "cnt")
+
+
+@query
+def diagnosis_inner(spark, d):
+    """Only orders with a diagnosis; codes are cleaned of blanks and points first."""
+    text = F.concat(F.lit(" "), F.pmod("l_partkey", F.lit(18)).cast("string"), F.lit(". "))
+    code = F.replace(F.trim(text), F.lit("."), F.lit(""))
+    rows = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(
+        "l_orderkey", diagnosis.without_rare_class(code.cast("int")).alias("category")
+    )
+    cohort = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    attached = diagnosis.attach_sets(cohort, diagnosis.category_sets(rows, "l_orderkey"), "l_orderkey", "inner")
+    return attached.select("l_orderkey", joined(F.col("diagnosis"), ",").alias("diagnosis"))
+
+
+ALL_MEASURES = {
+    "creatinine": ["error"], "platelets": ["click"], "wbc": ["view"], "hb": ["signup"], "urine": ["purchase"],
+    "bicarbonate": ["click2"], "sodium": ["view2"],
+}
+
+
+@query
+def lab_labels_all(spark, d):
+    """All eight laboratory tasks in one pass; every third click and view stands for a further measure."""
+    code = "CASE WHEN event_type IN ('click', 'view') AND event_id % 3 = 0 THEN concat(event_type, '2') ELSE event_type END"
+    seen = table(spark, d, "events").selectExpr(
+        "user_id AS hadm_id", "event_id", f"{code} AS code", "unix_timestamp(ts) AS clock_s", "value"
+    )
+    tasks = [*TASKS[:-1], "bicarbonate", "sodium", "AKI"]
+    found = labels.fill_missing(labs.lab_labels(seen, lab_cohort(spark, d), "hadm_id", rules(), tasks, ALL_MEASURES))
+    return found.select("stay_id", *[f"{t}_{h}" for t in tasks for h in (1, 2, 3)])
+
+
+@query
+def encoded_union(spark, d):
+    """Two event tables linearised, put together, the latest 20 of each stay kept, in the order of a file."""
+    cohort = stays(spark, d, 3)
+    parts = []
+    for name, kinds in (("visits", "'click', 'view'"), ("orders", "'error', 'signup', 'purchase'")):
+        seen = table(spark, d, "events").where(f"event_type IN ({kinds})").selectExpr(
+            "user_id AS hadm_id", "event_id", "event_type", "CAST(value AS DECIMAL(18, 2)) AS value", "unix_timestamp(ts) AS clock_s"
+        )
+        kept = events.latest_clock_events(seen, cohort, "hadm_id", 48, 20, ["event_id"])
+        parts.append(encode.linearise(kept, name, ["event_type", "value"], keep=("stay_id", "TIME", "event_id")))
+    latest = events.latest_events(events.union_all(parts), 20, ["event_id"])
+    return latest.select("stay_id", "TIME", "event_id", "original_text").orderBy("stay_id", "TIME", "event_id")
+
+
 @query
 def csv_scan(spark, d):
     """A directory of gzipped CSV files, read as text with two columns, then cast."""
@@ -612,13 +693,18 @@ def csv_typed_scan(spark, d):
 
 @query
 def latin1_csv(spark, d):
-    """Whole document texts through an ISO-8859-1 file."""
+    """Whole document texts through an ISO-8859-1 file.
+
+    The file holds the UTF-8 bytes of a text as Latin-1 characters, and line ends as the control
+    characters 1 and 2, which no text has, so that a record is one line.
+    """
     path = scratch_path(spark, "latin1")
-    plain = F.regexp_replace(F.regexp_replace("text", r"[\r\n]", " "), r"[^\x00-\xFF]", "?")
-    shaped = table(spark, d, "documents").select("doc_id", F.concat(F.lit("|"), plain, F.lit("|")).alias("text"))
+    spelled = F.decode(F.encode(F.translate("text", "\n\r", "\x01\x02"), "UTF-8"), "ISO-8859-1")
+    shaped = table(spark, d, "documents").select("doc_id", F.concat(F.lit("|"), spelled, F.lit("|")).alias("text"))
     shaped.write.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').csv(path)
     back = readers.read_raw(spark, path, encoding="ISO-8859-1")
-    return back.select(timeframe.as_long(F.col("doc_id")).alias("doc_id"), "text")
+    plain = F.decode(F.encode(F.expr("substring(text, 2, length(text) - 2)"), "ISO-8859-1"), "UTF-8")
+    return back.select(timeframe.as_long(F.col("doc_id")).alias("doc_id"), F.translate(plain, "\x01\x02", "\n\r").alias("text"))
 
 
 @query
@@ -645,7 +731,7 @@ def quoted_classes(spark, d):
     path = scratch_path(spark, "classes")
     wrap = lambda c: F.concat(F.lit("'"), c, F.lit("'"))
     table(spark, d, "part").select(
-        wrap(F.rpad("p_name", 30, " ")).alias("code"), wrap(F.col("p_size").cast("string")).alias("level")
+        wrap(F.concat("p_name", F.lit("   "))).alias("code"), wrap(F.col("p_size").cast("string")).alias("level")
     ).write.option("header", True).csv(path)
     return readers.classes_of(readers.read_raw(spark, path), "code", "level")
 
@@ -671,12 +757,8 @@ def label_sink(spark, d):
 def sequence_sink(spark, d):
     """Per-stay arrays written by bucket and read back."""
     path = scratch_path(spark, "sequences")
-    writers.write_sequences(event_sequences(spark, d), path, buckets=8)
-    back = spark.read.parquet(path)
-    return back.select(
-        "stay_id", F.size("hi_input").alias("events"), F.size(F.col("hi_input")[0]).alias("tokens"),
-        joined(F.col("hi_start")).alias("hi_start"),
-    )
+    writers.write_sequences(event_sequences(spark, d), path)
+    return flat_sequences(spark.read.parquet(path))
 
 
 @query
@@ -694,4 +776,4 @@ def cached_cohort(spark, d):
     folder = scratch_path(spark, "cache")
     build = lambda: cohorts.build_cohort(stays(spark, d, 10), 48).select("stay_id", "LOS")
     writers.cached(spark, folder, "cohort", settings, build)
-    return writers.cached(spark, folder, "cohort", settings, build)
+    return writers.cached(spark, folder, "cohort", settings, build, reuse=True)

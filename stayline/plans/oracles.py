@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from stayline.functions.tokens import NUMBER_RUN, PIECE, TOKEN
-from stayline.functions.words import NUMBER_WORDS
-from stayline.operators import diagnosis, encode
-from stayline.operators.language import MICRO
-from stayline.plans.views import CUTS, EXCLUSION_ABOVE, URINE_CUTS
+# Written out here, so that an error in the package's own values shows.
+TOKEN = r"[0-9]|\p{L}+|[^\s\p{L}]"
+PIECE = r"[0-9]*\.[0-9]+|[0-9]+|\.|[^0-9.]+"
+NUMBER_RUN = r"[0-9]+(?:[.][0-9]*)?|[.]+|[^0-9.]+"
+NUMBER_WORDS = ("nan", "inf", "infinity")
+MICRO = 1_000_000
+CUTS, URINE_CUTS, EXCLUSION_ABOVE = (15, 35, 70, 110), (0.2, 0.5, 1.0, 1.5), 150
+CATEGORIES = {98: 0, 99: 1, 100: 2, 101: 3, 102: 4, 103: 6, 104: 7, 105: 8, 106: 9, 107: 10, 108: 11, 109: 12, 110: 13, 111: 14, 112: 15, 113: 16, 114: 16}
 
 SECONDS = "(epoch_us({0}) // 1000000)"
 
@@ -191,7 +194,8 @@ def token_list(text: str) -> str:
 
 
 def rounded(text: str) -> str:
-    short = "regexp_replace(CAST(round(CAST(p AS DECIMAL(38, 14)), 4) AS VARCHAR), '(\\.[0-9]+?)0+$', '\\1')"
+    five = "regexp_extract(p, '^[0-9]*\\.[0-9]{1,5}')"
+    short = f"regexp_replace(CAST(round(CAST({five} AS DECIMAL(38, 5)), 4) AS VARCHAR), '(\\.[0-9]+?)0+$', '\\1')"
     piece = f"CASE WHEN regexp_full_match(p, '[0-9]*\\.[0-9]+') THEN {short} ELSE p END"
     return f"array_to_string(list_transform(regexp_extract_all({text}, '{PIECE}'), lambda p: {piece}), '')"
 
@@ -242,22 +246,26 @@ rows AS (
 
 
 CODED_LINES = """coded AS (
-  SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 4 THEN CAST(CAST(l_quantity AS DECIMAL(10, 1)) AS VARCHAR) END AS l_quantity,
-         l_returnflag, CAST(lineitem.l_partkey AS VARCHAR) AS original_code_l_partkey, p_name AS l_partkey, p_brand, p_type
+  SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity AS DECIMAL(10, 1)) AS VARCHAR) AS l_quantity, l_returnflag, l_linestatus,
+         CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(CAST(l_extendedprice AS DECIMAL(14, 2)) AS VARCHAR) AS l_extendedprice,
+         CAST(CAST(l_discount AS DECIMAL(14, 2)) AS VARCHAR) AS l_discount, CAST(CAST(l_tax AS DECIMAL(14, 2)) AS VARCHAR) AS l_tax,
+         strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate,
+         CAST(lineitem.l_partkey AS VARCHAR) AS original_code_l_partkey, p_name AS l_partkey, p_brand, p_type
   FROM lineitem LEFT JOIN part ON lineitem.l_partkey = part.p_partkey)"""
-LINE_COLUMNS = ["l_quantity", "l_returnflag", "original_code_l_partkey", "l_partkey", "p_brand", "p_type"]
+LINE_COLUMNS = ["l_quantity", "l_returnflag", "l_linestatus", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
+                "original_code_l_partkey", "l_partkey", "p_brand", "p_type"]
 LINES = f"""{CODED_LINES},
-{linearised('lineitem', 'l_orderkey, l_linenumber', 'coded', LINE_COLUMNS, ['original_code_l_partkey'], 26)}"""
+{linearised('lineitem', 'l_orderkey, l_linenumber', 'coded', LINE_COLUMNS, ['original_code_l_partkey'], 128)}"""
 
-RESERVED = ", ".join(f"('{t}', {i})" for t, i in encode.RESERVED.items())
+RESERVED = "('.', 119), " + ", ".join(f"('{i}', {121 + i})" for i in range(10))
 
 
-def vocabulary(size: int, source: str = "rows") -> str:
+def vocabulary(source: str = "rows") -> str:
     return f"""token_counts AS (
   SELECT token, count(*) AS cnt FROM (SELECT unnest(tokens) AS token FROM {source})
-  WHERE NOT regexp_full_match(token, '[0-9.]') GROUP BY ALL ORDER BY cnt DESC, token LIMIT {size}),
+  WHERE NOT regexp_full_match(token, '[0-9.]') GROUP BY ALL),
 vocabulary AS (
-  SELECT token, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, token) + {encode.FIRST_ID - 1} AS INTEGER) AS id FROM token_counts),
+  SELECT token, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, token) + 130 AS INTEGER) AS id FROM token_counts),
 known AS (SELECT token, id FROM vocabulary UNION ALL SELECT * FROM (VALUES {RESERVED}) r(token, id))"""
 
 
@@ -271,28 +279,29 @@ def pad(values: str, first: int, last: int, length: int) -> str:
 SEQUENCE = f"""{stays(3)},
 aligned AS (
   SELECT c.stay_id, e.event_id, round(({sec('e.ts')} - c.admit_s) / 60) - c.intime AS time,
-         CAST(CAST(e.value AS DECIMAL(18, 2)) AS VARCHAR) AS value, e.event_type AS original_code_event_type, e.event_type
+         CAST(CAST(e.value AS DECIMAL(18, 2)) AS VARCHAR) AS value, e.event_type AS original_code_event_type, e.event_type, e.props
   FROM events e JOIN cohort c ON e.user_id = c.hadm_id
-  WHERE round(({sec('e.ts')} - c.admit_s) / 60) - c.intime < 360),
-{linearised('events', 'stay_id, time, event_id', 'aligned', ['value', 'original_code_event_type', 'event_type'],
-            ['original_code_event_type'], 16)},
+  WHERE round(({sec('e.ts')} - c.admit_s) / 60) - c.intime < 2880),
+{linearised('events', 'stay_id, time, event_id', 'aligned', ['value', 'original_code_event_type', 'event_type', 'props'],
+            ['original_code_event_type'], 128)},
 latest AS (
-  SELECT * FROM rows QUALIFY row_number() OVER (PARTITION BY stay_id ORDER BY time DESC, event_id DESC) <= 4),
-{vocabulary(encode.MAX_VOCABULARY, 'latest')},
+  SELECT * FROM rows QUALIFY row_number() OVER (PARTITION BY stay_id ORDER BY time DESC, event_id DESC) <= 256),
+{vocabulary('latest')},
 token_ids AS (
-  SELECT stay_id, event_id, list(coalesce(id, {encode.UNKNOWN_ID}) ORDER BY pos) AS ids FROM (
+  SELECT stay_id, event_id, list(coalesce(id, {100}) ORDER BY pos) AS ids FROM (
     SELECT stay_id, event_id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM latest)
   LEFT JOIN known USING (token) GROUP BY ALL),
 packed AS (
-  SELECT l.stay_id, flatten(list({pad('i.ids', encode.CLS_ID, encode.SEP_ID, 16)} ORDER BY time, event_id)) AS hi_input,
-         flatten(list({pad('types', encode.TYPE_CLS, encode.TYPE_SEP, 16)} ORDER BY time, event_id)) AS hi_type,
-         flatten(list({pad('places', 0, 0, 16)} ORDER BY time, event_id)) AS hi_place,
+  SELECT l.stay_id, flatten(list({pad('i.ids', 101, 102, 128)} ORDER BY time, event_id)) AS hi_input,
+         flatten(list({pad('types', 5, 6, 128)} ORDER BY time, event_id)) AS hi_type,
+         flatten(list({pad('places', 0, 0, 128)} ORDER BY time, event_id)) AS hi_place,
          list(time ORDER BY time, event_id) AS times,
          string_agg(original_text, '; ' ORDER BY time, event_id) AS original_texts,
          flatten(list(codes ORDER BY time, event_id)) AS codes
   FROM latest l JOIN token_ids i USING (stay_id, event_id) GROUP BY ALL)"""
 
-ONES = as_text(repeated(1, "16"))
+ZEROS = " ".join(["0"] * 48)
+ONES = as_text(repeated(1, "128"))
 
 
 def code_case(mapping: dict, column: str) -> str:
@@ -428,7 +437,7 @@ FROM dx LEFT JOIN exact e ON e.icd10 = code LEFT JOIN by_prefix b USING (code)""
     "diagnosis_set": """WITH c AS (
   SELECT l_orderkey, CASE WHEN l_partkey % 18 < 14 THEN l_partkey % 18 WHEN l_partkey % 18 > 14 THEN l_partkey % 18 - 1 END AS category FROM lineitem),
 s AS (SELECT l_orderkey, string_agg(CAST(category AS VARCHAR), ',' ORDER BY category) AS d FROM (
-  SELECT DISTINCT l_orderkey, category FROM c WHERE category < 12) GROUP BY ALL)
+  SELECT DISTINCT l_orderkey, category FROM c WHERE category IS NOT NULL) GROUP BY ALL)
 SELECT o_orderkey AS l_orderkey, coalesce(d, '') AS diagnosis FROM orders LEFT JOIN s ON o_orderkey = s.l_orderkey""",
     "path_majority": f"""WITH paths AS (SELECT {PART_TEXT} AS path, p_type || '|' || p_brand AS up, p_partkey, p_size FROM part),
 own AS (SELECT path, up, min(p_size % 5) AS category FROM paths WHERE p_partkey % 4 <> 0 GROUP BY ALL),
@@ -438,7 +447,7 @@ SELECT path, coalesce(o.category, v.category) AS category
 FROM (SELECT DISTINCT path, up FROM paths) p LEFT JOIN own o USING (path) LEFT JOIN voted v ON p.up = v.up""",
     "category_map": f"""SELECT event_id, CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 3 WHEN 'error' THEN 11
   WHEN 'signup' THEN 10 WHEN 'purchase' THEN 8 END AS specialty,
-  {code_case(diagnosis.ADMISSION_GROUP_CATEGORY, "(CAST(json_extract_string(props, '$.k') AS INTEGER) % 17 + 98)")} AS admission_group
+  {code_case(CATEGORIES, "(CAST(json_extract_string(props, '$.k') AS INTEGER) % 17 + 98)")} AS admission_group
 FROM events""",
     "dpe_encode": f"""WITH raw AS (
   SELECT event_id, event_type || ' ' || CAST(CAST(value AS DECIMAL(18, 2)) AS VARCHAR) || ' ' ||
@@ -448,12 +457,12 @@ SELECT event_id, text, {as_text(token_list('text'))} AS tokens, {as_text(places(
     "event_linearise": f"""WITH {LINES}
 SELECT l_orderkey, l_linenumber, {as_text('tokens')} AS tokens, {as_text('types')} AS types, {as_text('places')} AS places,
   original_text, {as_text('codes')} AS codes FROM rows""",
-    "vocab_build": f"""WITH rows AS (SELECT {token_list('text')} AS tokens FROM documents), {vocabulary(encode.MAX_VOCABULARY)}
+    "vocab_build": f"""WITH rows AS (SELECT {token_list('text')} AS tokens FROM documents), {vocabulary()}
 SELECT token, cnt, id FROM vocabulary""",
-    "vocab_encode": f"""WITH {LINES}, {vocabulary(40)},
+    "vocab_encode": f"""WITH {LINES}, {vocabulary()},
 numbered AS (SELECT row_number() OVER () AS r, * FROM rows),
 ids AS (
-  SELECT r, list(coalesce(id, {encode.UNKNOWN_ID}) ORDER BY pos) AS ids FROM (
+  SELECT r, list(coalesce(id, {100}) ORDER BY pos) AS ids FROM (
     SELECT r, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM numbered) LEFT JOIN known USING (token) GROUP BY r)
 SELECT l_orderkey, l_linenumber, {as_text('ids')} AS ids, {as_text('codes')} AS codes FROM numbered JOIN ids USING (r)""",
     "hourly_offsets": f"""WITH {stays(3)}, t AS (
@@ -466,15 +475,10 @@ SELECT stay_id, array_to_string(list_transform(range(0, 24), lambda h: len(list_
 SELECT c.stay_id, CASE WHEN p.stay_id IS NULL THEN {ONES} ELSE {as_text('hi_input')} END AS hi_input,
   CASE WHEN p.stay_id IS NULL THEN {ONES} ELSE {as_text('hi_type')} END AS hi_type,
   CASE WHEN p.stay_id IS NULL THEN {ONES} ELSE {as_text('hi_place')} END AS hi_place,
-  CASE WHEN p.stay_id IS NULL THEN '0 0 0 0 0 0' ELSE
-    array_to_string(list_transform(range(0, 6), lambda h: len(list_filter(times, lambda x: x < h * 60))), ' ') END AS hi_start,
+  CASE WHEN p.stay_id IS NULL THEN '{ZEROS}' ELSE
+    array_to_string(list_transform(range(0, 48), lambda h: len(list_filter(times, lambda x: x < h * 60))), ' ') END AS hi_start,
   CASE WHEN p.stay_id IS NULL THEN '0' ELSE {as_text('list_transform(times, lambda x: CAST(trunc(x) AS INTEGER))')} END AS time,
   coalesce(original_texts, '') AS original_texts, {as_text('codes')} AS codes
-FROM cohort c LEFT JOIN packed p USING (stay_id)""",
-    "sequence_sink": f"""WITH {SEQUENCE}
-SELECT c.stay_id, CAST(coalesce(len(times), 1) AS INTEGER) AS events, CAST(16 AS INTEGER) AS tokens,
-  CASE WHEN p.stay_id IS NULL THEN '0 0 0 0 0 0' ELSE
-    array_to_string(list_transform(range(0, 6), lambda h: len(list_filter(times, lambda x: x < h * 60))), ' ') END AS hi_start
 FROM cohort c LEFT JOIN packed p USING (stay_id)""",
     "word_freq": f"WITH {TEXT_COUNTS} SELECT * FROM text_counts",
     "word_count_sink": f"WITH {TEXT_COUNTS} SELECT * FROM text_counts",
@@ -492,15 +496,49 @@ GROUP BY GROUPING SETS (("table", "column", lang), ("table", lang), (lang))""",
     "quantile_bins": """WITH e AS (
   SELECT list_distinct(quantile_cont(o_totalprice, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS edges FROM orders)
 SELECT o_orderkey, 'price_' || (len(list_filter(edges, lambda x: x < o_totalprice)) + 1) AS price_bin FROM orders, e""",
+    "sample_rows": """SELECT o_orderkey, o_custkey FROM orders
+WHERE CAST('0x' || substr(md5('42|' || o_orderkey), 1, 8) AS BIGINT) % 10000 < 1000""",
+    "optional_source_present": """SELECT o_orderkey, CASE WHEN c_nationkey < 5 THEN c_acctbal END AS death_value
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
+    "diagnosis_inner": """WITH c AS (
+  SELECT l_orderkey, CASE WHEN l_partkey % 18 < 14 THEN l_partkey % 18 WHEN l_partkey % 18 > 14 THEN l_partkey % 18 - 1 END AS category
+  FROM lineitem WHERE l_returnflag = 'R')
+SELECT l_orderkey, string_agg(CAST(category AS VARCHAR), ',' ORDER BY category) AS diagnosis FROM (
+  SELECT DISTINCT l_orderkey, category FROM c WHERE category IS NOT NULL) GROUP BY ALL""",
     "csv_scan": "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders",
     "csv_typed_scan": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
-    "latin1_csv": """SELECT doc_id, '|' || regexp_replace(regexp_replace(text, '[\\r\\n]', ' ', 'g'), '[^\\x00-\\xFF]', '?', 'g') || '|' AS text FROM documents""",
+    "latin1_csv": "SELECT doc_id, text FROM documents",
     "dirty_csv": """SELECT p_partkey, p_name, CASE WHEN p_partkey % 10 <> 1 THEN p_brand END AS p_brand FROM part WHERE p_partkey % 10 <> 0""",
     "quoted_classes": "SELECT p_name AS code, p_size - 1 AS category FROM part",
     "optional_source": "SELECT o_orderkey, CAST(NULL AS TIMESTAMP) AS death_ts FROM orders",
     "cached_cohort": f"""WITH {stays(10)} SELECT stay_id, los AS "LOS" FROM cohort WHERE los >= 2""",
 }
 
+ORACLES["sequence_sink"] = ORACLES["sequence_pad"]
+ORACLES["label_stats_sink"] = ORACLES["label_stats"]
+ORACLES["distribution_sink"] = ORACLES["lang_distribution"]
+ORACLES["word_languages_sink"] = ORACLES["lang_id_words"]
+_MORE = (("bicarbonate", "click2", (22, 29)), ("sodium", "view2", (135, 145)))
+_ALL = labelled(True, "skip")
+_CODE = "CASE WHEN event_type IN ('click', 'view') AND event_id % 3 = 0 THEN event_type || '2' ELSE event_type END AS code"
+ORACLES["lab_labels_all"] = f"""WITH {_ALL.replace("event_type AS code", _CODE)},
+more_rows AS (
+  SELECT c.stay_id, m.code, m.value, CAST(floor((round((m.clock_s - c.admit_s) / 60) - c.intime - 2880) / 1440) AS INTEGER) + 1 AS horizon
+  FROM measured m JOIN cohort c USING (hadm_id) WHERE m.value IS NOT NULL AND m.code IN ('click2', 'view2')),
+more_values AS (SELECT stay_id, code, horizon, median(value) AS v FROM more_rows WHERE horizon BETWEEN 1 AND 3 GROUP BY ALL),
+more AS (SELECT stay_id, {", ".join(
+    f"max(CASE WHEN code = '{c}' AND horizon = {h} THEN {band('v', cuts, (0, 1, 2))} END) AS {t}_{h}" for t, c, cuts in _MORE for h in (1, 2, 3)
+)} FROM more_values GROUP BY ALL)
+SELECT stay_id, {", ".join(f"coalesce({c}, -1) AS {c}" for c in [*LABELS, *(f"{t}_{h}" for t, _, _ in _MORE for h in (1, 2, 3))])}
+FROM wide LEFT JOIN more USING (stay_id)"""
+ORACLES["encoded_union"] = f"""WITH {stays(3)}, t AS (
+  SELECT stay_id, event_id, round(({sec('ts')} - admit_s) / 60) - intime AS tm,
+    CASE WHEN event_type IN ('click', 'view') THEN 'visits' ELSE 'orders' END || ' event_type ' || event_type ||
+    CASE WHEN value IS NULL THEN '' ELSE ' value ' || CAST(CAST(value AS DECIMAL(18, 2)) AS VARCHAR) END AS original_text
+  FROM events JOIN cohort ON user_id = hadm_id)
+SELECT stay_id, tm AS "TIME", event_id, original_text FROM t WHERE tm < 2880
+QUALIFY row_number() OVER (PARTITION BY stay_id ORDER BY tm DESC, event_id DESC) <= 20"""
+
 for _closed in ("left", "right"):
     _wbc = ("left", "right") if _closed == "left" else ("right", "right")
     ORACLES[f"lab_bucket_{_closed}"] = f"""SELECT event_id, {band('value', CUTS, UP, _closed)} AS rising,

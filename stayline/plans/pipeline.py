@@ -36,7 +36,7 @@ class Config:
     max_events: int = 256
     min_events: int | None = None
     max_tokens: int = 128
-    vocabulary: int = encode.MAX_VOCABULARY
+    vocabulary: int | None = None
     more_tables: bool = False
     visits: bool = False
     sample: float | None = None
@@ -185,7 +185,8 @@ def run(source: Source, config: Config, dest: str, reuse: bool = False, verify_o
     a lost executor costs only its own tasks.
     """
     spark = configure(source.spark)
-    settings = {"source": source.profile.name, "root": source.root, **asdict(config)}
+    inputs = {n: getattr(source, n, None) for n in ("ext", "classes", "crosswalk")}
+    settings = {"source": source.profile.name, "root": source.root, **inputs, **asdict(config)}
     folder = f"{dest}/intermediate"
     cohort = writers.cached(spark, folder, "cohort", settings, lambda: build_cohort(source, config), reuse)
     labelled = writers.cached(
@@ -216,7 +217,7 @@ def run_language(
     writers.write_word_counts(word_profile(source, config, row_limit), f"{dest}/word_counts")
     counts = spark.read.schema("table string, column string, word string, cnt bigint").json(f"{dest}/word_counts")
     train = lambda: language.train(labelled_text, "text", "lang", languages)
-    model = writers.cached(spark, f"{dest}/intermediate", "language", {"languages": languages}, train)
+    model = writers.cached(spark, f"{dest}/intermediate", "language", {"languages": languages}, train)  # always trained anew
     writers.write_word_languages(language.classify_counts(counts, model, languages), f"{dest}/word_languages")
     classified = spark.read.parquet(f"{dest}/word_languages")
     writers.write_distribution(language.distribution(classified), f"{dest}/language_distribution")

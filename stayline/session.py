@@ -1,9 +1,7 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings and the shared folder."""
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,27 +36,22 @@ def build_session(app: str = "stayline", master: str | None = None, **conf: str)
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="stayline-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the warehouse's."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch folder."""
-    return os.path.join(scratch_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    """A new, unused path below the shared folder; what stands there goes when the session ends."""
+    path = f"{scratch_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
-    """The same rows read back from a new table in the scratch folder.
+    """The same rows read back from a new table in the shared folder.
 
-    Cuts the lineage, keeps a result that is used more than once from being computed again, and
-    survives lost executors.
+    For what is used more than once and is dear to compute, or to plan, again.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)

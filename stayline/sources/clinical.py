@@ -37,7 +37,8 @@ def read_measurements(source: Source, spec: Measurements, cohort: DataFrame) ->
     """Wanted rows of one table with (join key, code, clock_s, value); code is the measure."""
     columns = [source.profile.keys[spec.key], spec.code, spec.time, spec.value]
     raw = source.keyed(spec.file, *dict.fromkeys(columns + ([spec.unit_column] if spec.unit_column else [])))
-    rows = raw.select(
+    listed = [c for own in spec.codes.values() for c in own]
+    rows = raw.where(labs.has_code(raw, spec.code, listed)).select(
         KEYS[spec.key],
         labs.measure_of(f"`{spec.code}`", spec.codes).alias("code"),
         clock_seconds(F.col(spec.time), spec.unit).alias("clock_s"),
@@ -69,9 +70,9 @@ def measurements(source: Source, cohort: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def counts(spec: Exclusion) -> Column:
+def counts(spec: Exclusion, raw: DataFrame) -> Column:
     """Whether a row counts as an exclusion event."""
-    listed = F.col(spec.code).cast("string").isin(*[str(c) for c in spec.codes]) if spec.code else F.lit(True)
+    listed = labs.has_code(raw, spec.code, list(spec.codes)) if spec.code and spec.rule != "keyword" else F.lit(True)
     value = F.col(spec.value) if spec.value else None
     if spec.rule == "keyword":
         return F.col(spec.code).rlike("(?i)" + "|".join(spec.codes))
@@ -99,7 +100,7 @@ def exclusion_events(source: Source, cohort: DataFrame) -> DataFrame:
         time = clock_seconds(F.col(spec.time), spec.unit)
         if spec.time_else:
             time = F.coalesce(time, clock_seconds(F.col(spec.time_else), spec.unit))
-        rows = raw.where(counts(spec)).select(KEYS[spec.key], time.alias("clock_s")).where("clock_s IS NOT NULL")
+        rows = raw.where(counts(spec, raw)).select(KEYS[spec.key], time.alias("clock_s")).where("clock_s IS NOT NULL")
         parts.append(on_admission_clock(rows, cohort, spec.unit).select(KEYS[spec.key], "clock_s"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -147,14 +148,16 @@ def _eicu(source: Source, cohort: DataFrame) -> DataFrame:
     classes = read_classes(source.spark, source.classes)
     first = rows.where(F.col("icd9code").isNotNull()).groupBy("diagnosisstring").agg(F.min("icd9code").alias("_codes"))
     plain = F.transform(F.split("_codes", ","), lambda c: F.replace(F.trim(c), F.lit("."), F.lit("")))
-    coded = first.select(F.col("diagnosisstring").alias("path"), F.explode(plain).alias("code"))
+    coded = first.select(F.col("diagnosisstring").alias("path"), F.posexplode(plain).alias("at", "code"))
     direct = coded.join(classes, "code", "left")
-    foreign = direct.where(F.col("category").isNull()).select("path", "code")
+    foreign = direct.where(F.col("category").isNull()).select("path", "at", "code")
     mapping = diagnosis.crosswalk_codes(foreign, _crosswalk(source), order="_line")
-    through = foreign.join(mapping, "code").select("path", F.col("converted").alias("code")).join(classes, "code")
-    known = direct.where(F.col("category").isNotNull()).select("path", "category").unionByName(
-        through.select("path", "category")
+    through = foreign.join(mapping, "code").select("path", "at", F.col("converted").alias("code")).join(classes, "code")
+    known = direct.where(F.col("category").isNotNull()).select("path", "at", "category").unionByName(
+        through.select("path", "at", "category")
     )
+    # the last code of a path's list that has a category counts
+    known = known.groupBy("path").agg(F.max_by("category", "at").alias("category"))
     paths = rows.select(F.col("diagnosisstring").alias("path"))
     named = diagnosis.path_categories(paths, known)
     placed = (

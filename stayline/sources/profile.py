@@ -130,15 +130,22 @@ class Source:
     ext: str = ".csv"
     classes: str | None = None
     crosswalk: str | None = None
+    # tables by file name that stand in for files
+    frames: dict[str, DataFrame] | None = None
 
     def path(self, file: str) -> str:
         return f"{self.root}/{file}" if file.endswith("/csv") else f"{self.root}/{file}{self.ext}"
 
     def has(self, file: str) -> bool:
+        if self.frames is not None:
+            return file in self.frames
         return path_exists(self.spark, self.path(file))
 
     def table(self, file: str, *columns: str, row_limit: int | None = None) -> DataFrame:
         """A raw table, as text for CSV, with the wanted columns."""
+        if self.frames is not None:
+            found = self.frames[file].select(*columns) if columns else self.frames[file]
+            return found.limit(row_limit) if row_limit is not None else found
         form = "parquet" if self.ext == ".parquet" else "csv"
         return read_raw(
             self.spark, self.path(file), form, list(columns) or None, encoding=self.profile.encoding, row_limit=row_limit

@@ -46,17 +46,8 @@ def sampled(df: DataFrame, share: float, key: str | None = None, seed: int = 42)
     """A share of rows; by hash of a key the choice does not depend on partitioning."""
     if key is None:
         return df.sample(share, seed=seed)
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000)) < round(share * 10_000))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where a scan has fewer splits than cores, else unchanged.
-
-    For work that is heavy per row on a few small files; a large scan has splits enough and is
-    not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed).cast("string"), F.col(key).cast("string"))), 1, 8), 16, 10)
+    return df.where(F.pmod(draw.cast("bigint"), F.lit(10_000)) < round(share * 10_000))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -24,11 +24,13 @@ def write_labels(cohort: DataFrame, path: str, tasks: list[str], format: str = "
 def write_sequences(sequences: DataFrame, path: str, buckets: int = 64) -> None:
     """One row per stay with its arrays and labels, in folders by hash of the stay id.
 
-    A folder holds 1/buckets of the stays, so one stay is found without reading the others.
+    A folder holds 1/buckets of the stays, so one stay is found without reading the others.  The
+    rebalance gathers the rows of a bucket, and adaptive execution splits a bucket above the
+    advisory partition size over as many tasks as its bytes ask for.
     """
     spread = sequences.withColumn("bucket", F.pmod(F.xxhash64("stay_id"), F.lit(buckets)).cast("int"))
     (
-        spread.repartition("bucket")
+        spread.hint("rebalance", F.col("bucket"))
         .sortWithinPartitions("bucket", "stay_id")
         .write.mode("overwrite")
         .partitionBy("bucket")
@@ -79,9 +81,9 @@ def cached(
     name: str,
     config: dict,
     build: Callable[[], DataFrame],
-    reuse: bool = True,
+    reuse: bool = False,
 ) -> DataFrame:
-    """Named intermediate as Parquet in a shared folder, reused for equal settings.
+    """Named intermediate as Parquet in a shared folder, reused for equal settings if asked for.
 
     Reading it back also cuts the lineage, and the file survives lost executors.
     """

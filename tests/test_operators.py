@@ -1,6 +1,7 @@
 """Edge cases by hand, and brute force on small skewed data."""
 
 import random
+import re
 import statistics
 
 import pytest
@@ -8,6 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from stayline.functions import timeframe, tokens, values
+from stayline.functions.tokens import round_decimals
 from stayline.functions.words import words_of
 from stayline.operators import cohort, diagnosis, encode, events, labels, labs, language, quantiles, words
 from stayline.sources import readers, writers
@@ -70,14 +72,11 @@ def test_first_block(spark):
     assert rows(cohort.first_block(log, F.col("inside"))) == [("a", 10, 10), ("b", 1, None)]
 
 
-@pytest.mark.parametrize("max_values", [1_000_000, 0, 3])
-def test_exact_median_small_groups(spark, max_values):
+def test_exact_median_small_groups(spark):
     data = [("one", [7.0]), ("two", [1.0, 2.0]), ("three", [3.0, 1.0, 2.0]), ("four", [1.0, 2.0, 3.0, 10.0]), ("ties", [2.0] * 5 + [9.0])]
     df = spark.createDataFrame([(k, v) for k, vs in data for v in vs] + [("one", None)], "k string, v double")
-    found = dict(rows(quantiles.exact_median(df, ["k"], "v", max_values=max_values)))
+    found = dict(rows(quantiles.exact_median(df, ["k"], "v")))
     assert found == {k: statistics.median(vs) for k, vs in data}
-    if max_values:
-        return
     approximate = dict(rows(quantiles.approximate_median(df, ["k"], "v")))
     assert approximate["four"] == 2.0 and found["four"] == 2.5
 
@@ -91,8 +90,8 @@ def test_exact_median_of_a_hot_group_by_ranges(spark):
     for k, v in data:
         groups.setdefault(k, []).append(v)
     want = {k: pytest.approx(statistics.median(vs)) for k, vs in groups.items()}
-    assert dict(rows(quantiles.exact_median(df, ["k"], "v", max_values=60))) == want
-    assert rows(quantiles.exact_median(df, [], "v", max_values=60)) == [(pytest.approx(statistics.median(v for _, v in data)),)]
+    assert dict(rows(quantiles.exact_median(df, ["k"], "v"))) == want
+    assert rows(quantiles.exact_median(df, [], "v")) == [(pytest.approx(statistics.median(v for _, v in data)),)]
 
 
 def test_quantiles_of_a_hot_group_by_ranges(spark):
@@ -100,16 +99,33 @@ def test_quantiles_of_a_hot_group_by_ranges(spark):
     data = [round(rng.gauss(0, 100), 2) for _ in range(6_000)] + [5.0] * 500
     df = spark.createDataFrame([(v,) for v in data], "v double").repartition(6)
     points = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    plain = quantiles.exact_quantiles(df, [], "v", points).collect()[0][0]
-    split = quantiles.exact_quantiles(df, [], "v", points, max_values=100).collect()[0][0]
-    assert list(split) == [pytest.approx(x) for x in plain] and split[0] == min(data) and split[-1] == max(data)
+    found = list(quantiles.exact_quantiles(df, [], "v", points).collect()[0][0])
+    data.sort()
+    for point, got in zip(points, found):
+        at = (len(data) - 1) * point
+        low, high = data[int(at)], data[min(int(at) + 1, len(data) - 1)]
+        assert got == pytest.approx(low + (high - low) * (at - int(at)))
+    assert found[0] == data[0] and found[-1] == data[-1]
+
+
+def test_quantiles_of_repeated_values_and_null_keys(spark):
+    """Between equal neighbours the quantile is that very value, in small and large groups alike."""
+    values = [30.81] * 4 + [31.2] * 4
+    data = [("small", None, v) for v in values] + [("large", None, v) for v in values * 4000]
+    data += [(None, 1.0, v) for v in (30.81, 30.81, 30.81)] + [(None, 2.0, 5.0)]
+    df = spark.createDataFrame(data, "k string, w double, v double")
+    found = {(r["k"], r["w"]): list(r["quantiles"]) for r in quantiles.exact_quantiles(df, ["k", "w"], "v", [0.1, 0.25, 0.9]).collect()}
+    assert found[("small", None)] == found[("large", None)] == [30.81, 30.81, 31.2]
+    assert found[(None, 1.0)] == [30.81] * 3 and found[(None, 2.0)] == [5.0] * 3
+    small, large = (quantiles.exact_median(df.where(f"k = '{k}'"), ["k"], "v") for k in ("small", "large"))
+    shape = [re.sub(r"[#0-9]+L?|small|large", "", x._jdf.queryExecution().executedPlan().toString()) for x in (small, large)]
+    assert shape[0] == shape[1]
 
 
 def test_group_summary_lowest_and_first(spark):
     df = spark.createDataFrame([("a", 3, 5.0), ("a", 1, 9.0), ("a", 1, 8.0), ("a", 2, 1.0)], "k string, t int, v double")
-    for limit in (10, 0):
-        summary = quantiles.group_summary(df, ["k"], "v", at="t", max_values=limit)
-        assert rows(summary, "k", "median", "lowest", "first") == [("a", 6.5, 1.0, 8.0)]
+    summary = quantiles.group_summary(df, ["k"], "v", at="t")
+    assert rows(summary, "k", "median", "lowest", "first") == [("a", 6.5, 1.0, 8.0)]
 
 
 def skewed_admission(spark, n_events=3000, n_stays=12, seed=3):
@@ -265,8 +281,51 @@ def test_sequences(spark):
     assert list(first) == [101, 100, 131, 131, 121, 119, 121, 102, 0, 0, 0, 0]
     assert list(found[2]["hi_start"]) == [0, 0, 0] and list(found[2]["time"]) == [0]
     assert [list(e) for e in found[2]["hi_place"]] == [[1] * 12] and list(found[2]["codes"]) == []
-    with pytest.raises(ValueError):
-        encode.build_vocabulary(rows_, size=40_000)
+
+
+def test_every_token_gets_an_id(spark):
+    words_ = [f"t{i}" for i in range(40_000)] + ["t1"] * 3 + ["t2", "."]
+    df = spark.createDataFrame([(1, words_), (2, ["t1", "7"]), (2, ["t1", "7"]), (3, []), (4, None)], "k int, tokens array<string>")
+    vocabulary = encode.build_vocabulary(df)
+    ids = dict(rows(vocabulary, "token", "id"))
+    ranked = sorted({w for w in words_ if w != "."}, key=lambda w: (-(words_.count(w) if w in ("t1", "t2") else 1), w))
+    assert len(ids) == 40_000 and [ids[w] for w in ranked] == list(range(131, 131 + 40_000))
+    found = sorted((r["k"], list(r["ids"])) for r in encode.encode_tokens(df, vocabulary).collect())
+    assert found[0][1][:2] == [ids["t0"], ids["t1"]] and found[0][1][-1] == 119 and 100 not in found[0][1]
+    assert found[1:] == [(2, [131, 128]), (2, [131, 128]), (3, []), (4, [])]
+    assert "Python" not in encode.encode_tokens(df, vocabulary)._jdf.queryExecution().toString().replace("pythonEvals", "")
+
+
+def test_a_busy_stay_above_the_group_limit(spark):
+    df = spark.range(30_000).selectExpr("id % 2 AS stay_id", "cast(id % 7000 AS double) AS TIME", "id AS e")
+    limited = events.latest_events(df, 1200, ["e"])
+    plain = df.selectExpr("*", "row_number() OVER (PARTITION BY stay_id ORDER BY TIME DESC, e DESC) AS r").where("r <= 1200")
+    assert rows(limited, "stay_id", "e") == rows(plain, "stay_id", "e")
+
+
+def test_a_bucket_takes_several_tasks(spark, tmp_path):
+    df = spark.range(40_000).selectExpr("id AS stay_id", "array_repeat(cast(rand(1) AS string), 20) AS hi_input")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        writers.write_sequences(df.repartition(8), str(tmp_path / "s"), buckets=2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert all(len(list((tmp_path / "s" / f"bucket={b}").glob("*.parquet"))) > 1 for b in (0, 1))
+    assert writers.read_stay(spark, str(tmp_path / "s"), 77, buckets=2).count() == 1
+
+
+def test_codes_reach_the_scan(spark, tmp_path):
+    for name, expr, codes in (("text", "cast(id AS string)", [5, "7"]), ("whole", "cast(id AS int)", ["5", 7])):
+        spark.range(100).selectExpr(f"{expr} AS code", "1.0D AS value").write.parquet(str(tmp_path / name))
+        tagged = labs.tag_measures(spark.read.parquet(str(tmp_path / name)), {"hb": codes})
+        plan = tagged._jdf.queryExecution().executedPlan().toString()
+        assert "In(code, [5,7])" in plan.split("PushedFilters")[1] and tagged.count() == 2
+
+
+def test_decimals_are_rounded_once(spark):
+    texts = ["0.00004999999999999999", "2.00005", "1.23454999999", "x 0.99995 y", "123456789012345678901234567890.00005"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(round_decimals("t")).collect()] == ["0.0", "2.0001", "1.2345", "x 1.0 y", "123456789012345678901234567890.0001"]
 
 
 def test_encoding_has_no_python_and_truncates_before_the_shuffle(spark):
@@ -311,6 +370,13 @@ def test_quantile_bins_merge_repeated_edges(spark):
     assert found == [(1.0, 1), (2.0, 2), (3.0, 2), (4.0, 3), (5.0, 3), (None, None)]
 
 
+def test_quantile_bins_of_few_values(spark):
+    """At most as many bins as distinct values."""
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, 3.0, 3.0, None)], "v double")
+    found = sorted((r["v"], r["bin"]) for r in quantiles.quantile_bins(df, "v", 10).where("v IS NOT NULL").collect())
+    assert [b for _, b in found] == [1, 1, 2, 2, 2]
+
+
 def test_readers(spark, tmp_path):
     dirty = tmp_path / "dirty.csv"
     dirty.write_bytes('"a","b"\n"1",x"\ny\n1,2,3\n"Caf\xe9",\n'.encode("latin-1").replace(b"\xe9", "é".encode()))
@@ -342,8 +408,10 @@ def test_cache_depends_on_settings(spark, tmp_path):
         return spark.range(3)
 
     for settings in ({"a": 1}, {"a": 1}, {"a": 2}):
-        assert writers.cached(spark, str(tmp_path), "x", settings, build).count() == 3
+        assert writers.cached(spark, str(tmp_path), "x", settings, build, reuse=True).count() == 3
     assert len(made) == 2
+    writers.cached(spark, str(tmp_path), "x", {"a": 1}, build)
+    assert len(made) == 3
 
 
 def test_unknown_unit_is_an_error(spark):
