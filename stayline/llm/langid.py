@@ -20,7 +20,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 4
 UNKNOWN = "und"
 #: Entries that a task counts or remembers before it sends them on or starts anew.
-HELD = 400_000
+HELD = 150_000
 
 
 def words_of(text: str) -> list[str]:
@@ -36,10 +36,11 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 def _sent(counts: dict[str, Counter]) -> pa.RecordBatch:
-    rows = [(lang, item, n) for lang, own in counts.items() for item, n in own.items()]
+    langs = pa.array([lang for lang, own in counts.items() for _ in range(len(own))], pa.string())
+    items = pa.array([item for own in counts.values() for item in own], pa.string())
+    numbers = pa.array([n for own in counts.values() for n in own.values()], pa.int64())
     counts.clear()
-    columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.int64()))]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "item", "n"])
+    return pa.RecordBatch.from_arrays([langs, items, numbers], ["lang", "item", "n"])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +148,7 @@ def _frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.join(totals.where(F.col("total") >= least).select("item"), "item").select("lang", "item", "n")
 
 
-def fit(labelled: DataFrame, max_words: int = 150_000, max_grams: int = 60_000, max_langs: int = 64) -> Model:
+def fit(labelled: DataFrame, max_words: int = 100_000, max_grams: int = 40_000, max_langs: int = 64) -> Model:
     """A model from all rows (``lang``, ``text``), both not null.
 
     Every text is counted; what the model keeps is bounded by the parameters, so that it can be
@@ -174,11 +175,13 @@ def fit(labelled: DataFrame, max_words: int = 150_000, max_grams: int = 60_000,
         sums = {(r["kind"], r["lang"]): r["n"] for r in counts.groupBy(
             (F.substring("item", 1, 1) if counts is grams else F.lit("")).alias("kind"), "lang").agg(F.sum("n").alias("n")).collect()}
         index: dict[str, int] = {}
-        found = _frequent(counts, most).toPandas()
-        for item in sorted(set(found["item"])):
+        found = _frequent(counts, most).toArrow()
+        named = found["item"].combine_chunks().dictionary_encode()
+        for item in named.dictionary.to_pylist():
             index[item] = len(index)
         matrix = np.zeros((len(index), len(langs)))
-        matrix[found["item"].map(index).to_numpy(int), found["lang"].map(place).to_numpy(int)] = found["n"]
+        columns = [place[x] for x in found["lang"].to_pylist()]
+        matrix[named.indices.to_numpy(), columns] = found["n"].to_numpy()
         kinds = np.array([item[0] if counts is grams else "" for item in index])
         for kind in set(kinds.tolist()):
             here = kinds == kind
