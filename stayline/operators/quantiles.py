@@ -8,6 +8,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayline.session import saved
+
 RANGES = 64
 
 
@@ -65,9 +67,10 @@ def _exact(rows: DataFrame, keys: list[str], points: list[float], others: dict[s
 
     Equal values are counted before anything meets per group, keyed by (group, value).  A sketch
     gives each group cut points; sizes of the ranges between them tell which ranges hold the
-    wanted ranks, and only the values of these ranges are ranked.  Keys may be null.
+    wanted ranks, and only the values of these ranges are ranked.  Keys may be null.  The counts
+    are read four times, so they are written once, to the shared folder.
     """
-    counted = rows.groupBy(*keys, "_v").agg(F.expr("count(*) AS _n"), F.expr("min(_t) AS _t"))
+    counted = saved(rows.groupBy(*keys, "_v").agg(F.expr("count(*) AS _n"), F.expr("min(_t) AS _t")), "counted")
     cut_points = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
     cuts = counted.groupBy(*keys).agg(
         F.expr(f"percentile_approx(_v, array({cut_points}), 1000) AS _cuts"),
