@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.llm.common import Boxed, or_empty
+from stayline.llm.common import Boxed, frugal, or_empty
 
 #: Chunks and pre-tokens whose ids a task remembers; then it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 _MASK = (1 << 64) - 1
 #: A blank beside other white space, where a text may not be cut into chunks.
 _BESIDE = re.compile(r"\s | \s")
@@ -201,7 +201,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
                 [*columns, pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())], names
             )
 
-    return box.restored(rows.mapInArrow(run, schema))
+    return box.restored(rows.mapInArrow(frugal(run), schema))
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
@@ -222,4 +222,4 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFra
             out = [b"".join(map(token, np.frombuffer(p.as_py() or b"", dtype="<u4").tolist())) for p in packed]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names)
 
-    return box.restored(box.df.mapInArrow(run, schema))
+    return box.restored(box.df.mapInArrow(frugal(run), schema))

@@ -14,7 +14,32 @@ WORD = f"[^{BLANK}]+"
 
 
 #: Words whose hash a task remembers; then it starts anew.
-KNOWN_WORDS = 1 << 20
+KNOWN_WORDS = 1 << 17
+
+
+def frugal(run):
+    """The same function over batches; when a task ends, its memory goes back to the system.
+
+    Python workers outlive their tasks; without this, what the largest task of every stage so far has
+    touched would stay with them.
+    """
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow
+
+            gc.collect()
+            pyarrow.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped
 
 
 class WordHashes(dict):

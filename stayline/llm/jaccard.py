@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.llm.common import WORD, Boxed, WordHashes, drop_path, or_empty, save
+from stayline.llm.common import WORD, Boxed, WordHashes, drop_path, frugal, or_empty, save
 
 #: Set digests that a task remembers; then it starts anew.
 SEEN = 1 << 20
@@ -288,7 +288,7 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
          T.StructField("signs", T.ArrayType(T.LongType()))]
     )
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "id", "key", "text")
-    rows, rows_path = save(rows.mapInArrow(_described(words, percent), described), "jaccard-rows")
+    rows, rows_path = save(rows.mapInArrow(frugal(_described(words, percent)), described), "jaccard-rows")
 
     # Copies: rows of one set are one vertex, the smallest row.
     plain = rows.drop("signs")
@@ -316,14 +316,14 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     wanted = wanted.join(plain.select("row", "id", "key"), "row")
     wanted = wanted.select("row", F.col("id").alias("wanted_id"), F.col("key").alias("wanted_key"))
     texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("key") == F.col("wanted_key")))
-    sets = texts.select("row", "text").mapInArrow(_sets(words), "row long, shingles binary")
+    sets = texts.select("row", "text").mapInArrow(frugal(_sets(words)), "row long, shingles binary")
     sets, sets_path = save(sets, "jaccard-sets")
 
     # Distances to the pivots; a member within the threshold is linked to its pivot.
     pairs = met.join(sets.select(F.col("row").alias("member"), F.col("shingles").alias("member_set")), "member")
     pairs = pairs.join(sets.select(F.col("row").alias("pivot"), F.col("shingles").alias("pivot_set")), "pivot")
     star = pairs.select("pivot", "member", "pivot_set", "member_set").mapInArrow(
-        _distances, "pivot long, member long, pivot_n long, member_n long, common long"
+        frugal(_distances), "pivot long, member long, pivot_n long, member_n long, common long"
     )
     star, star_path = save(star, "jaccard-distances")
     union = F.col("pivot_n") + F.col("member_n") - F.col("common")
@@ -365,7 +365,7 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     )
     cells = left.join(sets.withColumnRenamed("row", "member"), "member").select("cell", "member", "label", "shingles")
     cells = cells.repartition(F.col("cell")).sortWithinPartitions("cell")
-    more, more_path = save(cells.mapInArrow(_cells(percent), "a long, b long"), "jaccard-links")
+    more, more_path = save(cells.mapInArrow(frugal(_cells(percent)), "a long, b long"), "jaccard-links")
     joined = components(more).select(F.col("v").alias("label"), F.col("label").alias("final"))
     labels = labels.join(joined, "label", "left").select("v", F.coalesce("final", "label").alias("label"))
     alone = joined.select(F.col("label").alias("v"), F.col("final").alias("label")).join(labels.select("v"), "v", "left_anti")

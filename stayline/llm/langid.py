@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.llm.common import Boxed, drop_path, save
+from stayline.llm.common import Boxed, drop_path, frugal, save
 
 #: A word is a run of letters; the longest n-gram; marks for a word's ends.
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -164,10 +164,10 @@ def fit(labelled: DataFrame, max_words: int = 100_000, max_grams: int = 40_000,
     schema = "lang string, item string, n long"
     chosen = labelled.where(F.col("lang").isin(langs)).select("lang", "text")
     words, path = save(
-        chosen.mapInArrow(_count_words, schema).groupBy("lang", "item").agg(F.sum("n").alias("n")), "langid-words"
+        chosen.mapInArrow(frugal(_count_words), schema).groupBy("lang", "item").agg(F.sum("n").alias("n")), "langid-words"
     )
     grams, gram_path = save(
-        words.mapInArrow(_count_grams, schema).groupBy("lang", "item").agg(F.sum("n").alias("n")), "langid-grams"
+        words.mapInArrow(frugal(_count_grams), schema).groupBy("lang", "item").agg(F.sum("n").alias("n")), "langid-grams"
     )
     place = {lang: i for i, lang in enumerate(langs)}
     tables = []
@@ -221,7 +221,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 names,
             )
 
-    return box.restored(rows.mapInArrow(run, schema))
+    return box.restored(rows.mapInArrow(frugal(run), schema))
 
 
 def held_out(identity: str = "doc_id"):

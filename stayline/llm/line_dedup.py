@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.llm.common import Boxed, or_empty
+from stayline.llm.common import Boxed, frugal, or_empty
 
 #: What is stripped from both ends of a line.
 STRIPPED = b" \t\n\x0b\x0c\r"
@@ -82,7 +82,7 @@ def dedup_lines(
     kind = docs.schema[own].dataType
     pairs = (
         docs.select(own, body)
-        .mapInArrow(_keys(min_chars), T.StructType([T.StructField("id", kind), T.StructField("key", T.BinaryType())]))
+        .mapInArrow(frugal(_keys(min_chars)), T.StructType([T.StructField("id", kind), T.StructField("key", T.BinaryType())]))
         .distinct()
     )
     shared = (
@@ -102,4 +102,4 @@ def dedup_lines(
         [f for f in joined.schema.fields if f.name != "keys"]
         + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
     )
-    return box.restored(joined.mapInArrow(_rebuild(body, "keys", min_chars, schema.fieldNames()), schema))
+    return box.restored(joined.mapInArrow(frugal(_rebuild(body, "keys", min_chars, schema.fieldNames())), schema))

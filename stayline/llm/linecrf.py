@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.llm.common import Boxed, WordHashes, or_empty
+from stayline.llm.common import Boxed, WordHashes, frugal, or_empty
 
 #: The symbols that are counted, and the blanks that divide words.
 SYMBOLS = b"#*$%&|<>"
@@ -240,4 +240,4 @@ def rate_documents(
             arrow = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, k) for c, k in zip(out, arrow)]], names)
 
-    return box.restored(rows.mapInArrow(run, schema))
+    return box.restored(rows.mapInArrow(frugal(run), schema))
