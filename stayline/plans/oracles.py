@@ -498,11 +498,11 @@ GROUP BY GROUPING SETS (("table", "column", lang), ("table", lang), (lang))""",
 SELECT o_orderkey, 'price_' || (len(list_filter(edges, lambda x: x < o_totalprice)) + 1) AS price_bin FROM orders, e""",
     "sample_rows": """SELECT o_orderkey, o_custkey FROM orders
 WHERE CAST('0x' || substr(md5('42|' || o_orderkey), 1, 8) AS BIGINT) % 10000 < 1000""",
-    "optional_source_present": """SELECT o_orderkey, CASE WHEN c_nationkey < 5 THEN c_acctbal END AS death_value
+    "optional_source_present": """SELECT o_orderkey, c_acctbal AS death_value
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
     "diagnosis_inner": """WITH c AS (
   SELECT l_orderkey, CASE WHEN l_partkey % 18 < 14 THEN l_partkey % 18 WHEN l_partkey % 18 > 14 THEN l_partkey % 18 - 1 END AS category
-  FROM lineitem WHERE l_returnflag = 'R')
+  FROM lineitem)
 SELECT l_orderkey, string_agg(CAST(category AS VARCHAR), ',' ORDER BY category) AS diagnosis FROM (
   SELECT DISTINCT l_orderkey, category FROM c WHERE category IS NOT NULL) GROUP BY ALL""",
     "csv_scan": "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders",
