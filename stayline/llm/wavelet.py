@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline.llm.bpe import REMEMBERED, chunks_of
-from stayline.llm.common import new_path, or_empty, store
+from stayline.llm.common import frugal, or_empty, store
 
 #: Fixed values of the format: the file's first bytes, and the bits of a plane that are compressed together.
 MAGIC = b"WMX1"
@@ -193,22 +193,28 @@ class _Library:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {"": b""}
+        self.rest: dict[str, bytes] = {}
+
+    def learn(self, known: dict[str, bytes], chunks: list[str], lead: str) -> None:
+        found = self.tokenizer.encode_batch_fast([lead + c for c in chunks], add_special_tokens=False)
+        for chunk, e in zip(chunks, found):
+            known[chunk] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, out = self.known, []
+        if len(self.first) + len(self.rest) > REMEMBERED:
+            self.first, self.rest = {"": b""}, {}
+        first, rest, out = self.first, self.rest, []
         for text in texts:
-            parts = chunks_of(text)
-            parts = parts[:1] + [" " + p for p in parts[1:]]
+            head, *tail = chunks_of(text)
+            if head not in first:
+                self.learn(first, [head], "")
             try:
-                out.append(b"".join([known[p] for p in parts]) if text else b"")
+                ids = b"".join(map(rest.__getitem__, tail))
             except KeyError:
-                new = [p for p in set(parts) if p not in known]
-                for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                    known[p] = np.array(e.ids, dtype="<u4").tobytes()
-                out.append(b"".join([known[p] for p in parts]))
+                self.learn(rest, [c for c in set(tail) if c not in rest], " ")
+                ids = b"".join(map(rest.__getitem__, tail))
+            out.append(first[head] + ids)
         return out
 
 
@@ -260,7 +266,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end: int = 2, tex
         )
 
     manifest = f"{folder}/manifest"
-    rows.mapInArrow(run, "file string, part long, number long, ids long, bytes long").write.parquet(manifest)
+    rows.mapInArrow(frugal(run), "file string, part long, number long, ids long, bytes long").write.parquet(manifest)
     return docs.sparkSession.read.parquet(manifest)
 
 
@@ -300,4 +306,4 @@ def read_documents(manifest: DataFrame, folder: str, with_ids: bool = True) -> D
                 names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays(columns[: 4 + with_ids], names[: 4 + with_ids])
 
-    return slices.mapInArrow(run, schema)
+    return slices.mapInArrow(frugal(run), schema)
