@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stayline.llm.langid import Model, Scorer, fit, grams_of, identify, words_of
+from stayline.llm.langid import Model, Scorer, fit, grams_of, identify, predict, release, words_of
 from stayline.llm.queries import op2_word_backoff_langid
 
 
@@ -50,3 +50,37 @@ def test_edges(make, spark):
     assert (unlabelled[0]["lang_pred"], unlabelled[0]["score"]) == ("und", 0.0)
     nothing = Model([], np.zeros(0), {}, {}, np.zeros((0, 0), dtype=np.float32))
     assert Scorer(nothing).score("abc") == ("und", 0.0)
+
+
+def skewed(seed=6):
+    """Seventy rare languages of near alphabets beside one that fills any table of the most frequent words."""
+    import random
+
+    r = random.Random(seed)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randrange(2, 7)))
+    rows = [("aa", " ".join(word("abcdefgh") for _ in range(40))) for _ in range(400)]
+    for i in range(70):
+        own = [word("abcdefgh" + chr(0x100 + i)) for _ in range(30)]
+        rows += [(f"m{i:02}", " ".join(r.choice(own) for _ in range(25))) for _ in range(4)]
+    return rows
+
+
+def test_no_word_gram_or_language_is_cut(spark):
+    rows = skewed()
+    train = spark.createDataFrame(rows[::2] + rows[1::4], "lang string, text string")
+    asked = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)] + [(-1, None), (-2, "1 2"), (-3, "日本 zz"), (-4, rows[3][1])], "doc_id long, text string")
+    whole = fit(train)
+    assert whole.rest is None and len(whole.langs) == 71
+    scorer = Scorer(whole)
+    for most in (0, 50):
+        small = fit(train, max_words=most, max_grams=most)
+        assert small.rest and len(small.words) <= most and small.langs == whole.langs
+        found = predict(asked, small).collect()
+        release(spark, small)
+        assert len(found) == len(rows) + 4
+        for r in found:
+            lang, score = scorer.score(r["text"] or "")
+            assert r["lang_pred"] == lang and r["score"] == pytest.approx(score, abs=1e-9)
+    got = {r["doc_id"]: r["lang_pred"] for r in found}
+    rare = [(i, lang) for i, (lang, _) in enumerate(rows) if lang != "aa"]
+    assert sum(got[i] == lang for i, lang in rare) / len(rare) > 0.95
