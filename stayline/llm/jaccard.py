@@ -219,6 +219,93 @@ class _Region:
             self.compare(int(one), members[self.label[members] != self.label[one]])
 
 
+    def neighbours(self, core: np.ndarray, members: np.ndarray, depth: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each of ``core``, once: itself, all other ``members`` that link with it, the shingles in common.
+
+        A member's links all stand in the cell of its nearest pivot, to which the window replicates them.
+        """
+        if not len(core):
+            return
+        window = 2 * (1 - self.percent / 100) + 1e-9
+        if len(members) > LEAF and depth < 6:
+            pivots = members[:: max(1, len(members) // 12)][:12]
+            common = np.stack([self.common(int(p))[members] for p in pivots], axis=1)
+            away = 1 - common / (self.sizes[pivots][None, :] + self.sizes[members][:, None] - common)
+            home = away.argmin(axis=1)
+            near = away <= away[np.arange(len(members)), home][:, None] + window
+            if near.sum(axis=0).max() <= 0.75 * len(members):
+                own = np.isin(members, core)
+                for j in range(len(pivots)):
+                    yield from self.neighbours(members[own & (home == j)], members[near[:, j]], depth + 1)
+                return
+        for one in core.tolist():
+            common = self.common(one)[members]
+            hit = (100 * common >= self.percent * (self.sizes[one] + self.sizes[members] - common)) & (members != one)
+            yield one, members[hit], common[hit]
+
+
+def _whole_cell(rows: list[tuple], percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows (pivot, low, high, member, unit, homes, copies, set) of a cell: per member its links that belong to the cell.
+
+    A link of two units belongs to the cell of just these.  A link of documents that meet in several regions
+    belongs to the one of smallest pivot; if one of them is the other's pivot, it is not sought here.
+    Yields (member, linked members, shingles in common, united, copies of the linked).
+    """
+    rows = list({r[3]: r for r in rows}.values())
+    pivot, low, high = rows[0][:3]
+    ids, unit, copies = (np.array([r[i] for r in rows], dtype=np.int64) for i in (3, 4, 6))
+    place = {r[3]: i for i, r in enumerate(rows)}
+    at_home: dict[int, list[int]] = {}
+    for i, r in enumerate(rows):
+        for h in r[5]:
+            if h < pivot or h in place:
+                at_home.setdefault(h, []).append(i)
+    region, everyone = _Region([r[7] for r in rows], np.arange(len(rows)), percent), np.arange(len(rows))
+    for one, linked, common in region.neighbours(everyone, everyone):
+        elsewhere = np.zeros(len(rows), dtype=bool)
+        elsewhere[at_home.get(rows[one][3], [])] = True
+        for h in rows[one][5]:
+            if h < pivot:
+                elsewhere[at_home[h]] = True
+            if h in place:
+                elsewhere[place[h]] = True
+        if low != high:
+            elsewhere |= unit == unit[one]
+        here = ~elsewhere[linked]
+        linked, common = linked[here], common[here]
+        if len(linked):
+            yield rows[one][3], ids[linked], common, region.sizes[one] + region.sizes[linked] - common, copies[linked]
+
+
+def _whole_cells(percent: int, pairs: bool):
+    """Rows of a cell stand together: to links (a, b, common, united) with a < b, or to (member, number of linked rows)."""
+
+    def out(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if pairs:
+            for one, linked, common, united, _ in _whole_cell(rows, percent):
+                up = linked > one
+                columns = [np.full(int(up.sum()), one, dtype=np.int64), linked[up], common[up], united[up]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "common", "united"])
+        else:
+            found = [(one, int(copies.sum())) for one, *_, copies in _whole_cell(rows, percent)]
+            columns = [[x[i] for x in found] for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["v", "links"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            plain = zip(*[c.to_pylist() for c in batch.columns[:7]])
+            for row, shingles in zip(plain, batch.column(7)):
+                if held and held[0][:3] != row[:3]:
+                    yield from out(held)
+                    held = []
+                held.append((*row, _array(shingles).copy()))
+        if held:
+            yield from out(held)
+
+    return run
+
+
 def _cells(percent: int):
     """Rows of a cell stand together: (cell, member, label, unit, set) to links (a, b) between labels."""
 
@@ -277,8 +364,66 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(id, text) to (id, key, n, least_id, least_key): the smallest row reachable by links, null ids last."""
+def _units(left: DataFrame, percent: int) -> DataFrame:
+    """Members (with ``distance`` and ``blocks``) once per cell, that is per ``other`` unit which theirs may link with."""
+    width = 1 - percent / 100 + 1e-9
+    left = left.withColumns(
+        {
+            "band": F.when(F.col("blocks") > 1, F.floor(F.col("distance") / width)).otherwise(0).cast("int"),
+            "block": F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"),
+        }
+    )
+    # A cell holds two units (band, block) whose bands are equal or neighbours; bands further apart can't link.
+    unit = F.col("band") * F.col("blocks") + F.col("block")
+    around = F.flatten(
+        F.transform(
+            F.sequence(F.greatest(F.col("band") - 1, F.lit(0)), F.col("band") + 1),
+            lambda g: F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: g * F.col("blocks") + k),
+        )
+    )
+    around = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(around)
+    return left.withColumn("unit", unit).withColumn("other", F.explode(around))
+
+
+def _whole_links(star: DataFrame, sets: DataFrame, copies: DataFrame, percent: int, pairs: bool) -> tuple[DataFrame, str]:
+    """Every link between vertices, exactly once: (a, b, common, united), or summed to (v, links) in rows linked with.
+
+    ``copies`` has the rows of each vertex (v, copies).  A region is left out only if all pairs of its
+    members meet in one region of smaller pivot, or if it has a single member, whose link to the pivot is known.
+    """
+    star = star.dropDuplicates(["pivot", "member"])
+    united = F.col("pivot_n") + F.col("member_n") - F.col("common")
+    direct = star.where(100 * F.col("common") >= percent * united)
+    homes = star.groupBy("member").agg(F.sort_array(F.collect_list("pivot")).alias("homes")).withColumn("first", F.col("homes")[0])
+    left = star.select("pivot", "member", "member_n", (1 - F.col("common") / united).alias("distance")).join(homes, "member")
+    regions = left.groupBy("pivot").agg(
+        F.count("*").alias("members"), F.min("first").alias("low"), F.max("first").alias("high"), F.sum("member_n").alias("weight")
+    )
+    regions = regions.where((F.col("members") > 1) & ~((F.col("low") == F.col("high")) & (F.col("low") < F.col("pivot"))))
+    regions = regions.select(F.col("pivot").alias("of"), F.ceil(F.col("weight") / REGION).cast("int").alias("blocks"))
+    left = _units(left.join(regions, F.col("pivot") == F.col("of")), percent)
+    left = left.join(copies.withColumnRenamed("v", "member"), "member").join(sets.withColumnRenamed("row", "member"), "member")
+    cells = left.select(
+        "pivot", F.least("unit", "other").alias("low"), F.greatest("unit", "other").alias("high"), "member", "unit", "homes", "copies", "shingles"
+    )
+    cells = cells.repartition("pivot", "low", "high").sortWithinPartitions("pivot", "low", "high")
+    if pairs:
+        direct = direct.select(F.col("pivot").alias("a"), F.col("member").alias("b"), "common", united.alias("united"))
+        near = cells.mapInArrow(frugal(_whole_cells(percent, True)), "a long, b long, common long, united long")
+        return save(direct.union(near), "jaccard-all-links")
+    direct = direct.select("pivot", "member")
+    ends = direct.select(F.col("pivot").alias("at"), F.col("member").alias("v")).union(direct.select("member", "pivot"))
+    ends = ends.join(copies, "v").select(F.col("at").alias("v"), F.col("copies").alias("links"))
+    near = cells.mapInArrow(frugal(_whole_cells(percent, False)), "v long, links long")
+    return save(ends.union(near).groupBy("v").agg(F.sum("links").alias("links")), "jaccard-link-counts")
+
+
+def _linked(docs: DataFrame, words: int, percent: int, want: str = "components") -> DataFrame:
+    """(id, text) to (id, key, n, least_id, least_key): the smallest row reachable by links, null ids last.
+
+    ``want``: "components" compares only what can still join two classes; "counts" compares all and adds
+    ``n_links``, the other rows that a row links with; "links" gives the links between distinct sets instead.
+    """
     spark = docs.sparkSession
     docs = docs.select("id", or_empty(F.col("text")).alias("text")).withColumn("key", F.xxhash64("text"))
     kind = docs.schema["id"].dataType
@@ -327,6 +472,19 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     )
     star, star_path = save(star, "jaccard-distances")
     union = F.col("pivot_n") + F.col("member_n") - F.col("common")
+    if want != "components":
+        copies = plain.groupBy(F.col("vertex").alias("v")).agg(F.count("*").alias("copies"))
+        every, every_path = _whole_links(star, sets, copies, percent, want == "links")
+    if want == "links":
+        for end in ("a", "b"):
+            own = plain.where("row = vertex").select(
+                F.col("vertex").alias(end), F.col("least.id").alias(f"class_{end}"), F.col("least.key").alias(f"key_{end}")
+            )
+            every = every.join(own, end)
+        result, _ = save(every.select("class_a", "key_a", "class_b", "key_b", "common", "united"), "jaccard-result")
+        for path in (plain_path, met_path, sets_path, star_path, every_path):
+            drop_path(spark, path)
+        return result
     links = star.where(100 * F.col("common") >= percent * union).select(
         F.col("pivot").alias("a"), F.col("member").alias("b")
     )
@@ -343,23 +501,7 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
         F.col("pivot").alias("of"), F.ceil(F.col("weight") / REGION).cast("int").alias("blocks")
     )
     left = left.join(split, F.col("pivot") == F.col("of"))
-    width = 1 - percent / 100 + 1e-9
-    left = left.withColumns(
-        {
-            "band": F.when(F.col("blocks") > 1, F.floor(F.col("distance") / width)).otherwise(0).cast("int"),
-            "block": F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"),
-        }
-    )
-    # A cell holds two units (band, block) whose bands are equal or neighbours; bands further apart can't link.
-    unit = F.col("band") * F.col("blocks") + F.col("block")
-    around = F.flatten(
-        F.transform(
-            F.sequence(F.greatest(F.col("band") - 1, F.lit(0)), F.col("band") + 1),
-            lambda g: F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: g * F.col("blocks") + k),
-        )
-    )
-    around = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(around)
-    left = left.withColumn("unit", unit).withColumn("other", F.explode(around))
+    left = _units(left, percent)
     left = left.select(
         F.xxhash64("pivot", F.least("unit", "other"), F.greatest("unit", "other")).alias("cell"), "member", "label"
     )
@@ -376,11 +518,16 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     by_label = least.groupBy("label").agg(F.min("least").alias("smallest"))
     by_vertex = least.join(by_label, "label").select(F.col("v").alias("vertex"), "smallest")
     smallest = F.coalesce("smallest", "least")
-    result = plain.join(by_vertex, "vertex", "left").select(
-        "id", "key", "n", smallest["id"].alias("least_id"), smallest["key"].alias("least_key")
-    )
+    result, made = plain.join(by_vertex, "vertex", "left"), []
+    if want == "counts":
+        counted = copies.join(every, "v", "left").select(
+            F.col("v").alias("vertex"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("others")
+        )
+        result = result.join(counted, "vertex")
+        made = [F.when(F.col("n") == 0, 0).otherwise(F.col("others")).cast("long").alias("n_links")]
+    result = result.select("id", "key", "n", smallest["id"].alias("least_id"), smallest["key"].alias("least_key"), *made)
     result, _ = save(result, "jaccard-result")
-    for path in (plain_path, met_path, sets_path, star_path, more_path):
+    for path in (plain_path, met_path, sets_path, star_path, more_path, *([every_path] if made else [])):
         drop_path(spark, path)
     return result
 
@@ -388,14 +535,15 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
 def jaccard_components(
     docs: DataFrame, words: int = 4, percent: int = 85, text: str = "text", identity: str = "doc_id"
 ) -> DataFrame:
-    """(identity, ``n_shingles``, ``component_id``), one row per row of ``docs``.
+    """(identity, ``n_shingles``, ``component_id``, ``n_links``), one row per row of ``docs``.
 
     A document's set holds the distinct shingles of ``words`` words (A-Z lowered, divided by
     blanks); fewer words are one shingle; a null text or one without words has the empty set and
     links with nothing.  Two documents link when 100 * common >= ``percent`` * union.  The
     component is the smallest identity reachable by links.  Rows of equal text or equal identity
     are rows of their own; null identities are never the smallest, and a component without any
-    other has null.  An empty table stays empty.
+    other has null.  ``n_links`` is the number of other rows that link with the document, those of
+    its own set included.  An empty table stays empty.
 
     Method.  Rows of equal sets are one vertex.  Signatures (``Parts``) that any two linking sets
     must share assign documents to the regions of pivots: a pivot is the smallest document of
@@ -405,17 +553,31 @@ def jaccard_components(
     threshold.  Such a region is joined in memory: pivots among its members make Voronoi cells,
     documents within twice the threshold of a border are replicated across it, and cells are
     joined in the same way.  Regions too large for a task are cut into distance bands and
-    blocks; every pair of blocks in equal or neighbouring bands is a cell of its own.  No pair of
-    documents is ever written, except a link between two classes.
+    blocks; every pair of blocks in equal or neighbouring bands is a cell of its own.  For the
+    numbers of links every region is joined in the same way, whatever the classes, and each link
+    is counted in the one cell it belongs to (``_whole_cell``).  No pair of documents is ever
+    written, except a link between two classes; ``jaccard_links`` gives all links.
     """
-    found = _linked(docs.select(F.col(identity).alias("id"), F.col(text).alias("text")), words, percent)
+    found = _linked(docs.select(F.col(identity).alias("id"), F.col(text).alias("text")), words, percent, "counts")
     return found.select(
         F.col("id").alias(identity),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("least_id")).alias("component_id"),
+        "n_links",
     )
 
 
+def jaccard_links(docs: DataFrame, words: int = 4, percent: int = 85, text: str = "text", identity: str = "doc_id") -> DataFrame:
+    """(``class_a``, ``key_a``, ``class_b``, ``key_b``, ``common``, ``united``), one row per link of distinct sets.
+
+    Each unordered pair of sets that links stands here once, in whatever order.  A class is the rows
+    of one set, named by its smallest identity (null only if it has no other) and the hash of that
+    row's text; ``common`` and ``united`` count shingles.  Rows and sets as in ``jaccard_components``.
+    The result has as many rows as there are links, so it grows with the square of a family.
+    """
+    return _linked(docs.select(F.col(identity).alias("id"), F.col(text).alias("text")), words, percent, "links")
+
+
 def keep_smallest(
     docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", identity: str = "doc_id"
 ) -> DataFrame:

@@ -1,6 +1,6 @@
 import random
 
-from stayline.llm.jaccard import components, jaccard_components, keep_smallest
+from stayline.llm.jaccard import components, jaccard_components, jaccard_links, keep_smallest
 
 
 def brute(rows, words, percent):
@@ -127,3 +127,42 @@ def test_components(spark):
     got = {r["v"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 61)}, 100: 90, 90: 90, 95: 90, 200: 200, **{x: 200 for x in range(300, 400)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def all_links(rows, words, percent):
+    """Links between distinct sets as (smallest identities, common, united), and every row's number of links."""
+    sets = []
+    for _, text in rows:
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+        sets.append(frozenset(b" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))) if w else frozenset())
+    least = {}
+    for (identity, _), s in zip(rows, sets):
+        least[s] = min(identity, least.get(s, identity))
+    kinds, near, links = [s for s in least if s], {s: [s] for s in least}, []
+    for j, a in enumerate(kinds):
+        for b in kinds[:j]:
+            common = len(a & b)
+            if common and 100 * common >= percent * len(a | b):
+                links.append((*sorted((least[a], least[b])), common, len(a | b)))
+                near[a].append(b)
+                near[b].append(a)
+    rows_of = {s: sets.count(s) for s in least}
+    return sorted(links), sorted((i, sum(rows_of[x] for x in near[s]) - 1 if s else 0) for (i, _), s in zip(rows, sets))
+
+
+def test_every_link_once(make, monkeypatch):
+    import stayline.llm.jaccard as module
+
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    large = list(enumerate(family(r, base, 200, 9), 1))
+    twice = [*corpus(4), *[(i, f"{t}") for i, t in corpus(4)[:20]], (900, "one two"), (900, "one two")]
+    for rows, words, percent, region in ((twice, 4, 85, None), (corpus(5), 5, 80, 3000), (large, 4, 85, None), (large, 4, 85, 4000)):
+        if region:
+            monkeypatch.setattr(module, "REGION", region)
+        links, counts = all_links(rows, words, percent)
+        got = [(*sorted((x["class_a"], x["class_b"])), x["common"], x["united"]) for x in jaccard_links(make(rows), words, percent).collect()]
+        assert sorted(got) == links and len(links) > 100
+        assert sorted((x["doc_id"], x["n_links"]) for x in jaccard_components(make(rows), words, percent).collect()) == counts
+        monkeypatch.undo()
+    assert jaccard_links(make([])).count() == 0
