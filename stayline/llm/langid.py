@@ -116,14 +116,12 @@ class _Rows(dict):
         return row
 
 
-def decided(model: Model, total: np.ndarray, count: int) -> tuple[str, float]:
-    """Language and score of a text of ``count`` words with these summed weights."""
-    # Words of a text depend on each other, so evidence counts as that of ten words at most.
-    scaled = total / count * min(count, 10) + model.prior
-    shares = np.exp(scaled - scaled.max())
+def decided(model: Model, total: np.ndarray) -> tuple[str, float]:
+    """Language and score of a text with these summed weights; evidence grows with the text, the prior does not."""
     # Rounded, so that the order in which weights were added decides nothing.
-    best = int(np.argmax(np.round(total + model.prior, 6)))
-    return model.langs[best], float(shares[best] / shares.sum())
+    evidence = np.round(total + model.prior, 6)
+    best = int(np.argmax(evidence))
+    return model.langs[best], float(1 / np.exp(evidence - evidence[best]).sum())
 
 
 class Scorer:
@@ -150,7 +148,7 @@ class Scorer:
         if not found or not self.model.langs:
             return UNKNOWN, 0.0
         rows = np.fromiter(map(self.rows.__getitem__, found), dtype=np.int64, count=len(found))
-        return decided(self.model, self.rows.weights[rows].sum(axis=0, dtype=np.float64), len(found))
+        return decided(self.model, self.rows.weights[rows].sum(axis=0, dtype=np.float64))
 
 
 def _frequent(counts: DataFrame, most: int) -> DataFrame:
@@ -297,7 +295,7 @@ def _ended(shared):
                         total[x["lang"]] += x["v"]
                     else:
                         total += x["v"] * model.base[-1 - x["lang"]]
-                out.append(decided(model, total, words) if words else (UNKNOWN, 0.0))
+                out.append(decided(model, total) if words else (UNKNOWN, 0.0))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())],
                 ["h1", "h2", "lang_pred", "score"],
@@ -370,8 +368,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     A text without letters, or null, is ``und`` with score 0; so is every text if nothing was
     learned.  Equal totals go to the first language in code point order.  The score is the
-    posterior probability with the evidence of at most ten words.  Result columns replace
-    equal names.
+    posterior probability of the predicted language, with the evidence of all words, so a long
+    clear text scores high however rare its language is.  Result columns replace equal names.
 
     Scale: if tasks hold the whole model, one pass without a shuffle.  Otherwise that pass sums
     what it can; the distinct words that it can't weigh meet the table of all words, those

@@ -83,3 +83,17 @@ def test_run_is_registered(spark, folder):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_long_clean_texts_of_a_rare_language_stay(make, spark):
+    r = random.Random(3)
+    common = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    # Three languages of the same words; the rare one uses one half of them 0.5 to 1 nats more often.
+    def body(n, more=()):
+        return " ".join(r.choice(more) if more and r.random() < 0.35 else r.choice(common) for _ in range(n))
+
+    rows = [(i, body(40), "en" if i % 5 else "fr", "s") for i in range(2000)]
+    rare = [(9000 + i, body(200, common[:50]), "xx", "s") for i in range(40)]
+    rows += rare[:2] + [(i, t, None, s) for i, t, _, s in rare[2:]]
+    kept = {x["doc_id"]: x["lang"] for x in corpus_pipeline.identify_language(spark, make(rows, extra=False), "").collect()}
+    assert all(i in kept for i, *_ in rare)
