@@ -17,15 +17,20 @@ from stayline.llm.common import WORD, drop_path, new_path, table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Predictions below this posterior probability are rejected.
 LEAST_SCORE = 0.4
+#: What ``langid.LETTERS`` finds one of, as a class for Java's patterns.
+LETTER = "[\\p{L}\\p{Nl}\\p{No}]"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Rejects documents without a language: no letters, or a prediction below ``LEAST_SCORE``.
 
-    A missing ``lang`` is filled with the prediction.
+    A missing ``lang`` is filled with the prediction.  If no row teaches a language, every document
+    that has letters stays, its missing ``lang`` filled with ``und``.
     """
     found = langid.identify(docs)
-    found = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    # Only where nothing was learned is a text with letters unknown.
+    unlearned = (F.col("lang_pred") == langid.UNKNOWN) & F.coalesce(F.col("text").rlike(LETTER), F.lit(False))
+    found = found.where(unlearned | ((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)))
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
 
 

@@ -97,3 +97,9 @@ def test_long_clean_texts_of_a_rare_language_stay(make, spark):
     rows += rare[:2] + [(i, t, None, s) for i, t, _, s in rare[2:]]
     kept = {x["doc_id"]: x["lang"] for x in corpus_pipeline.identify_language(spark, make(rows, extra=False), "").collect()}
     assert all(i in kept for i, *_ in rare)
+
+
+def test_nothing_learned_keeps_documents_with_letters(make, spark):
+    rows = [(1, "clean text", None, "s"), (2, "été 12", None, "s"), (3, "12 34 !", None, "s"), (4, None, None, "s"), (5, "_ -", None, "s")]
+    kept = {x["doc_id"]: x["lang"] for x in corpus_pipeline.identify_language(spark, make(rows, extra=False), "").collect()}
+    assert kept == {1: "und", 2: "und"}
