@@ -5,7 +5,7 @@ import re
 import statistics
 
 import pytest
-from conftest import rows
+from checks import rows
 from pyspark.sql import functions as F
 
 from stayline.functions import timeframe, tokens, values

@@ -4,7 +4,7 @@ import datetime
 import os
 
 import pytest
-from conftest import rows
+from checks import rows
 from pyspark.sql import functions as F
 
 from stayline.plans import pipeline
