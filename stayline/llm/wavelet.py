@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import re
 import struct
 import uuid
 import zlib
@@ -10,11 +13,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from stayline.llm.bpe import REMEMBERED, chunks_of
+from stayline.llm.bpe import chunks_of
 from stayline.llm.common import frugal, or_empty, store
 
 #: Fixed values of the format: the file's first bytes, and the bits of a plane that are compressed together.
@@ -22,6 +24,16 @@ MAGIC = b"WMX1"
 BLOCK = 1 << 17
 #: Ids after which a task closes a file and begins the next; a document is never divided.
 FILE_IDS = 4_000_000
+#: Files that a reading task takes at most, unless there are few of them.
+FILES_READ = 16
+#: Bytes that a generation of remembered ids may hold, what an entry takes besides its contents, and the
+#: length of strings that are not remembered.
+MEMO_BYTES = 40 << 20
+ENTRY_BYTES = 190
+LONG_CHUNK = 200
+#: Fixed values of byte-level BPE: the character that stands for a blank, and chunks of ASCII letters and marks.
+BLANK_MARK = "\u0120"
+_SIMPLE = re.compile(" ([A-Za-z]+)([.,;:!?]*)")
 #: Header: first bytes, ids, documents, levels, bytes of the directory.
 HEAD = struct.Struct("<4sQQBQ")
 
@@ -32,8 +44,12 @@ def _planes(ids: np.ndarray, levels: int) -> Iterator[tuple[np.ndarray, int]]:
         bits = ids.view(np.uint8)[level // 8 :: ids.itemsize] & np.uint8(1 << level % 8)
         ones = bits.view(bool) if level % 8 == 0 else bits != 0
         zeros = ~ones
-        yield np.packbits(ones, bitorder="little"), int(np.count_nonzero(zeros))
-        ids = np.concatenate([ids[zeros], ids[ones]])
+        count = int(np.count_nonzero(zeros))
+        yield np.packbits(ones, bitorder="little"), count
+        below = np.empty_like(ids)
+        np.compress(zeros, ids, out=below[:count])
+        np.compress(ones, ids, out=below[count:])
+        ids = below
 
 
 def encode_shard(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> bytes:
@@ -179,60 +195,112 @@ class Shard:
             ones = np.unpackbits(raw, count=self.n, bitorder="little").view(bool)
             out = np.empty_like(ids)
             zeros = int(self.zeros[level])
-            out[~ones] = ids[:zeros]
-            out[ones] = ids[zeros:] | kind(1 << (self.levels - 1 - level))
+            out[np.flatnonzero(~ones)] = ids[:zeros]
+            out[np.flatnonzero(ones)] = ids[zeros:] | kind(1 << (self.levels - 1 - level))
             ids = out
         return ids
 
 
+class _Memo(dict):
+    """What ``make`` gives for a string, remembered in two generations of about ``MEMO_BYTES`` each.
+
+    When the younger one is full it becomes the older one, whose entries come back as they are asked for.
+    """
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make, self.older, self.held = make, {}, 0
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) > LONG_CHUNK:
+            return found
+        self.held += ENTRY_BYTES + len(key) + len(found)
+        if self.held > MEMO_BYTES:
+            self.older, self.held = dict(self), ENTRY_BYTES
+            self.clear()
+        self[key] = found
+        return found
+
+
 class _Library:
-    """Ids of texts by the tokenizers library, which sees each distinct chunk once while it is remembered."""
+    """Ids of texts by the tokenizers library, as packed 32-bit integers.
+
+    Of a byte-level BPE tokenizer, the library's pre-tokenizer and model see each distinct chunk and
+    pre-token once while it is remembered.  Texts that hold an added token, and other kinds of tokenizer, go
+    through the library whole.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        # The library would start a thread for every core in each worker.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.first: dict[str, bytes] = {"": b""}
-        self.rest: dict[str, bytes] = {}
-
-    def learn(self, known: dict[str, bytes], chunks: list[str], lead: str) -> None:
-        found = self.tokenizer.encode_batch_fast([lead + c for c in chunks], add_special_tokens=False)
-        for chunk, e in zip(chunks, found):
-            known[chunk] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.rest) > REMEMBERED:
-            self.first, self.rest = {"": b""}, {}
-        first, rest, out = self.first, self.rest, []
-        for text in texts:
-            head, *tail = chunks_of(text)
-            if head not in first:
-                self.learn(first, [head], "")
-            try:
-                ids = b"".join(map(rest.__getitem__, tail))
-            except KeyError:
-                self.learn(rest, [c for c in set(tail) if c not in rest], " ")
-                ids = b"".join(map(rest.__getitem__, tail))
-            out.append(first[head] + ids)
-        return out
+        split = self.tokenizer.pre_tokenizer
+        self.plain = (
+            self.tokenizer.normalizer is None
+            and isinstance(self.tokenizer.model, models.BPE)
+            and isinstance(split, pre_tokenizers.ByteLevel)
+            and split.use_regex
+            and not split.add_prefix_space
+        )
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model, self.split = self.tokenizer.model, getattr(split, "pre_tokenize_str", None)
+        self.pieces = _Memo(self._piece)
+        self.first = _Memo(self._chunk)
+        self.rest = _Memo(lambda chunk: self._chunk(" " + chunk))
+
+    def _piece(self, mapped: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _chunk(self, chunk: str) -> bytes:
+        # The bytes of these letters and marks stand for themselves; the blank before them is one character.
+        if simple := _SIMPLE.fullmatch(chunk):
+            word, marks = simple.groups()
+            ids = self.pieces[BLANK_MARK + word]
+            return ids + self.pieces[marks] if marks else ids
+        return b"".join([self.pieces[mapped] for mapped, _ in self.split(chunk)])
+
+    def encode(self, text: str) -> bytes:
+        if not text:
+            return b""
+        if not self.plain or any(a in text for a in self.added):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        head, *tail = chunks_of(text)
+        return self.first[head] + b"".join(map(self.rest.__getitem__, tail))
+
+
+@functools.lru_cache(maxsize=1)
+def _library(path: str) -> _Library:
+    """One for all tasks of a worker process, with what it remembers."""
+    return _Library(path)
 
 
 def write_shards(docs: DataFrame, tokenizer: str, folder: str, end: int = 2, text: str = "text", identity: str = "doc_id") -> DataFrame:
     """Encodes texts and writes shard files below ``folder``; returns one row per file: its name, place in order and ids.
 
-    Documents stand in ascending order of identity (null first, equal ones by text), over all files.
-    A null text is the empty text.  Every document ends with the id ``end``.  A task writes files
-    of about ``FILE_IDS`` ids under names of its own, so what a repeated task writes never mixes
-    with the result; the rows returned name the files that count.  They are saved beside them.
+    Documents stand in ascending order of identity (null first, equal ones by a hash of the text, then by text),
+    over all files.  A null text is the empty text; a text that holds an added token's string is
+    encoded as the library encodes it by default.  Every document ends with the id ``end``.  A very long text is
+    encoded whole, in a file of its own if it has more than ``FILE_IDS`` ids; repeated rows are documents of
+    their own; an empty table makes no file and an empty result; other columns are not read, so their names do
+    not matter.  A task writes files of about ``FILE_IDS`` ids under names of its own, so what a
+    repeated task writes never mixes with the result; the rows returned name the files that count.
+    They are saved beside them.
     """
     rows = docs.select(F.col(identity).cast("long").alias("id"), or_empty(F.col(text).cast("string")).alias("text"))
-    rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # The hash divides rows of one identity (or none) among tasks.
+    rows = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("id", "tie")
+    rows = rows.sortWithinPartitions("id", "tie", "text").drop("tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, library = TaskContext.get().partitionId(), _Library(tokenizer)
+        part, library = TaskContext.get().partitionId(), _library(tokenizer)
         system, root = store(folder)
         system.create_dir(root, recursive=True)
         stop = np.array([end], dtype="<u4").tobytes()
@@ -250,7 +318,8 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end: int = 2, tex
             ids.clear()
 
         for batch in batches:
-            for i, packed in zip(batch.column(0).to_pylist(), library.encode(batch.column(1).to_pylist())):
+            for i, whole in zip(batch.column(0), batch.column(1)):
+                i, packed = i.as_py(), library.encode(whole.as_py())
                 if parts and held + len(packed) // 4 > FILE_IDS:
                     close()
                     number, held = number + 1, 0
@@ -273,19 +342,17 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end: int = 2, tex
 def read_documents(manifest: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32[, ids]) of every document in the files that ``manifest`` names.
 
-    ``start`` counts the ids of all documents before; the running sum over the manifest sees one row
-    per file.  A task reads one file at a time.
+    ``start`` counts the ids of all documents before: a running sum over the writing tasks, one row each,
+    and within a task over its files.  A task reads up to ``FILES_READ`` files, one at a time.
     """
     spark = manifest.sparkSession
-    files = manifest.orderBy("part", "number").select("file", "ids").collect()
-    starts, at = [], 0
-    for f in files:
-        starts.append((f["file"], at))
-        at += f["ids"]
+    files = manifest.count()
+    tasks = max(min(files, 4 * spark.sparkContext.defaultParallelism), -(-files // FILES_READ), 1)
+    before = lambda w: F.coalesce(F.sum("ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = manifest.groupBy("part").agg(F.sum("ids").alias("ids")).select("part", before(Window.orderBy("part")).alias("base"))
+    starts = manifest.withColumn("within", before(Window.partitionBy("part").orderBy("number"))).join(parts, "part")
+    slices = starts.select("file", (F.col("base") + F.col("within")).alias("start")).repartition(tasks)
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
-    if not starts:
-        return spark.createDataFrame([], schema)
-    slices = spark.createDataFrame(starts, "file string, start long").repartition(len(starts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = store(folder)

@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from stayline.llm import wavelet
@@ -10,6 +11,11 @@ from stayline.llm.common import new_path
 from stayline.llm.wavelet import Shard, encode_shard, read_documents, write_shards
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+ODD = [
+    "", " ", "  ", "\n", " a", "a ", "a  b", "\u00a0x \u00a0 y", "<|endoftext|>", "hello <|endoftext|> world", "x<|endoftext|>",
+    "Don't. they'll, 1st 22nd  x\ty\r\nz", "ünï cödé, naïve!", "日本語 テスト 1２３ ½²", "a\n b \nc", "....!? ,, ;x", "e\u0301 👍🏽 \u200b\ufeff",
+    "y" * 500, "<|endoftext", "it's 'S 'll I'LL",
+]
 
 
 @pytest.mark.parametrize("n,top", [(0, 5), (1, 0), (10, 1), (300_000, 50_000), (131_072, 70_000), (1000, 3)])
@@ -44,15 +50,45 @@ def test_wrong_file():
         Shard(lambda at, size: b"x" * size)
 
 
+def test_library_by_chunks(monkeypatch):
+    """The same ids as an untouched tokenizer, whatever is remembered."""
+    tokenizer = Tokenizer.from_file(PATH)
+    for bound in (40 << 20, 2000):
+        monkeypatch.setattr(wavelet, "MEMO_BYTES", bound)
+        library = wavelet._Library(PATH)
+        for text in ODD * 2 + ["".join(ODD), " ".join(ODD)]:
+            ids = tokenizer.encode(text, add_special_tokens=False).ids
+            assert library.encode(text) == np.array(ids, "<u4").tobytes(), text
+
+
+def test_other_tokenizer():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, tokenizer = wavelet._Library(path), Tokenizer.from_file(path)
+    assert not library.plain
+    for text in ODD:
+        assert library.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_equal_identities_are_divided(spark, make, monkeypatch):
+    """Rows without an identity do not meet in one task."""
+    folder = new_path(spark, "test")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    manifest = write_shards(make([(None, f"text {i} " * 50) for i in range(400)]), PATH, folder)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert manifest.select("part").distinct().count() > 1 and read_documents(manifest, folder).count() == 400
+
+
 def test_documents(spark, make, monkeypatch):
     monkeypatch.setattr(wavelet, "FILE_IDS", 3000)
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     rows = [(i * 7 % 100, f"Text number {i}, it's  <|endoftext|> {i * i}.\n\n" * (i % 9)) for i in range(300)]
     rows += [(None, None), (-4, "négatif"), (500, "long " * 20000)]
+    rows += [(600 + i, t) for i, t in enumerate(ODD)]
     folder = new_path(spark, "test")
     found = read_documents(write_shards(make(rows), PATH, folder), folder).orderBy("start").collect()
-    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    tie = lambda text: xxhash.xxh64_intdigest((text or "").encode(), 42)
+    signed = lambda n: n - (n >> 63 << 64)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(tie(r[1])), r[1] or ""))
     at = 0
     for (identity, text), r in zip(ordered, found, strict=True):
         ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
