@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 import struct
@@ -26,14 +27,14 @@ BLOCK = 1 << 17
 FILE_IDS = 4_000_000
 #: Files that a reading task takes at most, unless there are few of them.
 FILES_READ = 16
-#: Bytes that a generation of remembered ids may hold, what an entry takes besides its contents, and the
-#: length of strings that are not remembered.
-MEMO_BYTES = 40 << 20
-ENTRY_BYTES = 190
-LONG_CHUNK = 200
-#: Fixed values of byte-level BPE: the character that stands for a blank, and chunks of ASCII letters and marks.
-BLANK_MARK = "\u0120"
-_SIMPLE = re.compile(" ([A-Za-z]+)([.,;:!?]*)")
+#: Chunks and pre-tokens whose ids a worker remembers in each of two generations, and the longest of them.
+CHUNKS, PIECES = 500_000, 400_000
+LONG_CHUNK = 64
+#: The pre-token pattern of byte-level BPE, and blocks whose classes no version of Unicode changes any more.
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_SETTLED = re.compile("[\\x09-\\x0D\\x20-\u024f\u2010-\u2027]*")
+#: A word of Latin letters and the marks behind it.
+_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
 #: Header: first bytes, ids, documents, levels, bytes of the directory.
 HEAD = struct.Struct("<4sQQBQ")
 
@@ -202,39 +203,41 @@ class Shard:
 
 
 class _Memo(dict):
-    """What ``make`` gives for a string, remembered in two generations of about ``MEMO_BYTES`` each.
+    """What ``make`` gives for a string, remembered in two generations of up to ``entries`` strings of ``LONG_CHUNK`` at most.
 
     When the younger one is full it becomes the older one, whose entries come back as they are asked for.
     """
 
-    def __init__(self, make: Callable[[str], bytes]):
-        self.make, self.older, self.held = make, {}, 0
+    def __init__(self, make: Callable[[str], bytes], entries: int):
+        self.make, self.entries, self.older = make, entries, {}
 
     def __missing__(self, key: str) -> bytes:
         found = self.older.get(key)
         if found is None:
             found = self.make(key)
-        if len(key) > LONG_CHUNK:
-            return found
-        self.held += ENTRY_BYTES + len(key) + len(found)
-        if self.held > MEMO_BYTES:
-            self.older, self.held = dict(self), ENTRY_BYTES
-            self.clear()
-        self[key] = found
+        if len(key) <= LONG_CHUNK:
+            if len(self) >= self.entries:
+                self.older = dict(self)
+                self.clear()
+            self[key] = found
         return found
 
 
+class _Uncut(Exception):
+    """A chunk beside a blank begins or ends with white space, so that the text has to be cut with more care."""
+
+
 class _Library:
     """Ids of texts by the tokenizers library, as packed 32-bit integers.
 
-    Of a byte-level BPE tokenizer, the library's pre-tokenizer and model see each distinct chunk and
-    pre-token once while it is remembered.  Texts that hold an added token, and other kinds of tokenizer, go
-    through the library whole.
+    Of a byte-level BPE tokenizer, the library's model sees each distinct pre-token once while it is
+    remembered.  Texts that hold an added token, and other kinds of tokenizer, go through the library whole.
     """
 
     def __init__(self, path: str):
         # The library would start a thread for every core in each worker.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -248,21 +251,37 @@ class _Library:
         )
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.split = self.tokenizer.model, getattr(split, "pre_tokenize_str", None)
-        self.pieces = _Memo(self._piece)
-        self.first = _Memo(self._chunk)
-        self.rest = _Memo(lambda chunk: self._chunk(" " + chunk))
+        self.stands_for = dict(enumerate(_byte_letters()))
+        self.find = regex.compile(PRE_TOKEN).findall
+        self.pieces = _Memo(self._piece, PIECES)
+        self.first = _Memo(self._head, CHUNKS // 8)
+        self.rest = _Memo(self._tail, CHUNKS)
+
+    def _piece(self, piece: str) -> bytes:
+        return self._mapped(piece.encode().decode("latin-1").translate(self.stands_for))
 
-    def _piece(self, mapped: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(mapped)]
+    def _mapped(self, piece: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(piece)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _chunk(self, chunk: str) -> bytes:
-        # The bytes of these letters and marks stand for themselves; the blank before them is one character.
+    def _tail(self, chunk: str) -> bytes:
         if simple := _SIMPLE.fullmatch(chunk):
             word, marks = simple.groups()
-            ids = self.pieces[BLANK_MARK + word]
+            ids = self.pieces[" " + word]
             return ids + self.pieces[marks] if marks else ids
-        return b"".join([self.pieces[mapped] for mapped, _ in self.split(chunk)])
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            raise _Uncut
+        return self._whole(" " + chunk)
+
+    def _head(self, chunk: str) -> bytes:
+        if not chunk or chunk[-1].isspace():
+            raise _Uncut
+        return self._whole(chunk)
+
+    def _whole(self, chunk: str) -> bytes:
+        if _SETTLED.fullmatch(chunk):
+            return b"".join([self.pieces[p] for p in self.find(chunk)])
+        return b"".join([self._mapped(mapped) for mapped, _ in self.split(chunk)])
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -270,8 +289,19 @@ class _Library:
         if not self.plain or any(a in text for a in self.added):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
-        head, *tail = chunks_of(text)
-        return self.first[head] + b"".join(map(self.rest.__getitem__, tail))
+        try:
+            chunks = iter(text.split(" "))
+            return self.first[next(chunks)] + b"".join(map(self.rest.__getitem__, chunks))
+        except _Uncut:
+            head, *tail = chunks_of(text)
+            return self._whole(head) + b"".join([self._whole(" " + c) for c in tail])
+
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level BPE: printable ones themselves, the others from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = itertools.count(0x100)
+    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
 
 
 @functools.lru_cache(maxsize=1)

@@ -14,7 +14,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
     "", " ", "  ", "\n", " a", "a ", "a  b", "\u00a0x \u00a0 y", "<|endoftext|>", "hello <|endoftext|> world", "x<|endoftext|>",
     "Don't. they'll, 1st 22nd  x\ty\r\nz", "ünï cödé, naïve!", "日本語 テスト 1２３ ½²", "a\n b \nc", "....!? ,, ;x", "e\u0301 👍🏽 \u200b\ufeff",
-    "y" * 500, "<|endoftext", "it's 'S 'll I'LL",
+    "tail \x1c x\x1cy \x85 z", "a\x85 b", "\u2028x \u2028", " lead", "ends in blank ", "x\n", "\n\n x", "¼ ½x ª º µ×÷ﬁ ǅ", "y" * 500, "<|endoftext", "it's 'S 'll I'LL",
 ]
 
 
@@ -53,8 +53,9 @@ def test_wrong_file():
 def test_library_by_chunks(monkeypatch):
     """The same ids as an untouched tokenizer, whatever is remembered."""
     tokenizer = Tokenizer.from_file(PATH)
-    for bound in (40 << 20, 2000):
-        monkeypatch.setattr(wavelet, "MEMO_BYTES", bound)
+    for bound in (100_000, 10):
+        monkeypatch.setattr(wavelet, "CHUNKS", bound)
+        monkeypatch.setattr(wavelet, "PIECES", bound)
         library = wavelet._Library(PATH)
         for text in ODD * 2 + ["".join(ODD), " ".join(ODD)]:
             ids = tokenizer.encode(text, add_special_tokens=False).ids
