@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, jaccard, langid, line_dedup, linecrf, mixing, onebit, sharding, warc, wavelet
+from stayline.llm import bpe, convrepair, jaccard, langid, line_dedup, linecrf, mixing, onebit, sharding, warc, wavelet
 from stayline.llm.common import new_path, table
 
 
@@ -77,6 +77,9 @@ def op5_one_bit_codes(spark: SparkSession, folder: str) -> DataFrame:
     return onebit.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return convrepair.repair_conversations(table(spark, folder, "conversations"))
+
 
 QUERIES = {
     f.__name__: f
@@ -91,5 +94,6 @@ QUERIES = {
         op7_line_dedup,
         op8_subset_sum_mix,
         op10_jaccard_join,
+        op11_conversation_repair,
     )
 }

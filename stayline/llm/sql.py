@@ -59,4 +59,90 @@ SELECT page_id, payload_bytes, s.payload_digest,
 FROM sized s LEFT JOIN firsts f ON s.payload_digest = f.payload_digest
 """
 
-ORACLES = {"op4_zstd_warc": OP4, "op7_line_dedup": OP7, "op10_jaccard_join": OP10}
+
+
+def _edits(role: str, state: str, turn: str, keeps: str) -> str:
+    """Least (cost, audit, body) of deleting, keeping or rewriting a row in a state; what follows is in b_<state>."""
+    follow = lambda then, cost, letter, line: (
+        f"{{'cost': b_{then}.cost + {cost}, 'audit': '{letter}' || b_{then}.audit, 'body': {line} || b_{then}.body}}"
+    )
+    named = {"u": "user", "a": "assistant"}[turn]
+    must = "fault IN ('blank', 'duplicate')"
+    cut = "CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END"
+    kept = " ".join(f"WHEN NOT {must} AND {role} = '{k}' THEN {follow(k, cut, 'K', _LINE)}" for k in keeps)
+    rewritten = f"""chr(10) || '{named}:' || text"""
+    return f"""list_min([{follow(state, 4, 'D', "''")}, CASE {kept} ELSE {follow(state, 4, 'D', "''")} END,
+        CASE WHEN NOT {must} THEN {follow(turn, '3 + ' + cut, 'R', rewritten)} ELSE {follow(state, 4, 'D', "''")} END])"""
+
+
+def _inserts(own: str, state: str) -> str:
+    """Least of no insert, one and two ahead of a row."""
+    once = {"e": "u", "s": "u", "u": "a", "a": "u"}
+    named = {"u": "user", "a": "assistant"}
+    first, second = once[state], once[once[state]]
+    add = lambda n, then, lines: (
+        f"{{'cost': {own}_{then}.cost + {3 * n}, 'audit': '{'I' * n}' || {own}_{then}.audit, 'body': {lines} || {own}_{then}.body}}"
+    )
+    one = f"chr(10) || '{named[first]}:'"
+    return f"list_min([{own}_{state}, {add(1, first, one)}, {add(2, second, one + f' || chr(10) || {chr(39)}{named[second]}:{chr(39)}')}])"
+
+
+_LINE = "chr(10) || role || ':' || text"
+_KEPT = {"e": "su", "s": "u", "u": "a", "a": "u"}
+_TURN = {"e": "u", "s": "u", "u": "a", "a": "u"}
+
+# States: e nothing kept yet, s, u, a the initial of the last role.
+OP11 = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations
+), marked AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)),
+              lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z:
+                xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT) % 20 AS part
+  FROM keyed
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN part = 4 THEN 'user' ELSE role END AS role,
+         CASE part WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN part = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM marked WHERE part <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+                               sha256(strlen(role)::VARCHAR || ':' || role || text)) AS i
+  FROM damaged
+), faults AS (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated'
+              ELSE 'none' END AS fault
+  FROM placed
+), counted AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id
+), steps AS (
+  SELECT conv_id, n AS i, {{'cost': 0::BIGINT, 'audit': '', 'body': ''}} AS b_e,
+         {{'cost': 6::BIGINT, 'audit': 'II', 'body': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS b_s,
+         {{'cost': 3::BIGINT, 'audit': 'I', 'body': chr(10) || 'assistant:'}} AS b_u,
+         {{'cost': 0::BIGINT, 'audit': '', 'body': ''}} AS b_a
+  FROM counted
+  UNION ALL
+  SELECT conv_id, i - 1, {', '.join(_inserts('o', s) + f' AS b_{s}' for s in 'esua')}
+  FROM (
+    SELECT s.conv_id, s.i, {', '.join(_edits('initial', s, _TURN[s], _KEPT[s]) + f' AS o_{s}' for s in 'esua')}
+    FROM steps s JOIN faults f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND s.i = f.i
+  )
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b_e.cost, 0) AS cost,
+       coalesce(b_e.audit, '') AS audit, sha256(coalesce(substr(b_e.body, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN (SELECT * FROM steps WHERE i = 0) s ON o.conv_id IS NOT DISTINCT FROM s.conv_id
+"""
+
+ORACLES = {"op4_zstd_warc": OP4, "op7_line_dedup": OP7, "op10_jaccard_join": OP10, "op11_conversation_repair": OP11}
