@@ -42,14 +42,13 @@ HEAD = struct.Struct("<4sQQBQ")
 def _planes(ids: np.ndarray, levels: int) -> Iterator[tuple[np.ndarray, int]]:
     """Bits of each level from the highest down, and the number of zeros; zeros then go first, in order."""
     for level in range(levels - 1, -1, -1):
-        bits = ids.view(np.uint8)[level // 8 :: ids.itemsize] & np.uint8(1 << level % 8)
-        ones = bits.view(bool) if level % 8 == 0 else bits != 0
-        zeros = ~ones
-        count = int(np.count_nonzero(zeros))
+        ones = (ids & ids.dtype.type(1 << level)).astype(bool)
+        places = np.flatnonzero(~ones)
+        count = len(places)
         yield np.packbits(ones, bitorder="little"), count
         below = np.empty_like(ids)
-        np.compress(zeros, ids, out=below[:count])
-        np.compress(ones, ids, out=below[count:])
+        np.take(ids, places, out=below[:count], mode="clip")
+        np.take(ids, np.flatnonzero(ones), out=below[count:], mode="clip")
         ids = below
 
 
