@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, convrepair, jaccard, langid, line_dedup, linecrf, mixing, onebit, sharding, warc, wavelet
+from stayline.llm import bpe, collocation, convrepair, jaccard, langid, line_dedup, linecrf, mixing, onebit, sharding, warc, wavelet
 from stayline.llm.common import new_path, table
 
 
@@ -81,6 +81,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return convrepair.repair_conversations(table(spark, folder, "conversations"))
 
 
+def op12_hat_trie_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocation.mine(table(spark, folder, "documents").select("text", "lang"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,5 +99,6 @@ QUERIES = {
         op8_subset_sum_mix,
         op10_jaccard_join,
         op11_conversation_repair,
+        op12_hat_trie_collocations,
     )
 }

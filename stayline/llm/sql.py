@@ -145,4 +145,38 @@ LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN (SELECT * FROM steps WHERE i = 0) s ON o.conv_id IS NOT DISTINCT FROM s.conv_id
 """
 
-ORACLES = {"op4_zstd_warc": OP4, "op7_line_dedup": OP7, "op10_jaccard_join": OP10, "op11_conversation_repair": OP11}
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), lists AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+), grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM lists, range(1, 6) r(m) WHERE len(w) >= m
+), f AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, m, phrase, f AS a FROM f WHERE m > 1 AND f >= 100),
+cuts AS (
+  SELECT c.*, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS first, array_to_string(string_split(phrase, ' ')[k + 1:m], ' ') AS rest
+  FROM candidates c, range(1, 5) r(k) WHERE k < m
+), scored AS (
+  SELECT c.lang, c.m, c.phrase, a, n, min({'score': ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT, 'k': k, 'l': x.f, 'r': y.f}) AS cut
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = first AND x.m = k
+  JOIN f y ON y.lang = c.lang AND y.phrase = rest AND y.m = c.m - k JOIN totals t ON t.lang = c.lang
+  GROUP BY ALL
+), kept AS (
+  SELECT * FROM scored s WHERE NOT EXISTS (
+    SELECT 1 FROM candidates o WHERE o.lang = s.lang AND o.m > s.m AND 100 * o.a >= 100 * s.a
+      AND contains(' ' || o.phrase || ' ', ' ' || s.phrase || ' '))
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY cut.score DESC, a DESC, phrase) AS rank,
+         phrase, a, cut.l AS l, cut.r AS r, n, cut.score AS score
+  FROM kept
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+ORACLES = {"op4_zstd_warc": OP4, "op7_line_dedup": OP7, "op10_jaccard_join": OP10, "op11_conversation_repair": OP11, "op12_hat_trie_collocations": OP12}
