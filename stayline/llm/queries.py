@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, collocation, convrepair, jaccard, langid, line_dedup, linecrf, mixing, onebit, sharding, warc, wavelet
+from stayline.llm import bpe, collocation, convrepair, jaccard, langid, licenses, line_dedup, linecrf, mixing, onebit, sharding, warc, wavelet
 from stayline.llm.common import new_path, table
 
 
@@ -85,6 +85,10 @@ def op12_hat_trie_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocation.mine(table(spark, folder, "documents").select("text", "lang"))
 
 
+def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -100,5 +104,6 @@ QUERIES = {
         op10_jaccard_join,
         op11_conversation_repair,
         op12_hat_trie_collocations,
+        op13_license_scan,
     )
 }

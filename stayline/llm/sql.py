@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from stayline.llm import licenses
+
 OP7 = r"""
 WITH lines AS (
   SELECT doc_id, i AS position, line,
@@ -179,4 +181,51 @@ cuts AS (
 SELECT * FROM ranked WHERE rank <= 2000
 """
 
-ORACLES = {"op4_zstd_warc": OP4, "op7_line_dedup": OP7, "op10_jaccard_join": OP10, "op11_conversation_repair": OP11, "op12_hat_trie_collocations": OP12}
+
+
+def _op13() -> str:
+    """Words as lists, templates and base phrases as tables; each place is looked at by joins."""
+    text = lambda v: "'" + v.replace("'", "''") + "'"
+    many = lambda vs, show: "[" + ", ".join(map(show, vs)) + "]"
+    templates = ",\n".join(
+        f"({text(t['label'])}, {text(t['lead'])}, {t['at']}, {many(t['words'], text)}, {many(t['weights'], str)}, {many(t['must'], str)}, {t['total']})"
+        for t in licenses.index(licenses.TEMPLATES)
+    )
+    base = ",\n".join(f"({many(licenses.words_of(p), text)}, {text(label)})" for p, label in licenses.BASE.items())
+    return rf"""
+WITH templates(label, lead, place, tw, weights, must, total) AS (VALUES {templates}),
+base(bw, label) AS (VALUES {base}),
+docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), places AS (
+  SELECT doc_id, w, unnest(w) AS word, unnest(range(len(w))) AS i FROM docs
+), based AS (
+  SELECT doc_id, i, label FROM places JOIN base ON word = bw[1] WHERE w[i + 1:i + len(bw)] = bw
+), agreeing AS (
+  SELECT doc_id, label, must, total, list_transform(range(len(tw)), lambda p: i - place + p >= 0 AND coalesce(w[i - place + p + 1] = tw[p + 1], false)) AS ok,
+         weights
+  FROM places JOIN templates ON word = lead
+), found AS (
+  SELECT doc_id, label, list_sum(list_transform(range(len(ok)), lambda p: CASE WHEN ok[p + 1] THEN weights[p + 1] ELSE 0 END)) / total AS share
+  FROM agreeing WHERE list_bool_and(list_transform(must, lambda p: ok[p + 1]))
+), accepted AS (SELECT * FROM found WHERE share >= 0.6),
+base_rows AS (
+  SELECT doc_id, count(*) AS n, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM based GROUP BY doc_id
+), label_rows AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT doc_id, label FROM based UNION ALL SELECT doc_id, label FROM accepted) GROUP BY doc_id
+), scores AS (SELECT doc_id, max(share) AS score FROM accepted GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(b.n, 0) AS n_base, b.first_word, b.last_word, coalesce(b.labels, '') AS base_labels,
+       coalesce(l.labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM docs d LEFT JOIN base_rows b USING (doc_id) LEFT JOIN label_rows l USING (doc_id) LEFT JOIN scores USING (doc_id)
+"""
+
+
+OP13 = _op13()
+
+ORACLES = {"op4_zstd_warc": OP4, "op7_line_dedup": OP7, "op10_jaccard_join": OP10, "op11_conversation_repair": OP11, "op12_hat_trie_collocations": OP12,
+    "op13_license_scan": OP13,
+}
