@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.common import drop_path, frugal, or_empty, save
@@ -24,6 +25,11 @@ TEXT_BYTES = 1 << 22
 #: Bits of a filter for each phrase that it lets pass, and its largest size (16 MB), beyond which it only passes more.
 FILTER_BITS = 16
 LARGEST_FILTER = 1 << 27
+#: Numbers in which a task counts pairs by hash, and the segments that they leave in.
+PLACES = 1 << 26
+SEGMENTS = 1024
+#: Parts of a language in which first ranks are found.
+SALTS = 16
 
 #: Bytes that end a piece; they become one that no UTF-8 text has.
 _END = b"\xff"
@@ -154,14 +160,19 @@ def _word_runs(rows: DataFrame) -> DataFrame:
 class Filter:
     """Bits by hash: what was put in always passes, little else does."""
 
-    def __init__(self, spark: SparkSession, hashes: DataFrame, bits: int):
+    def __init__(self, bits: int, words: np.ndarray):
+        self.mask, self.words = bits - 1, words
+
+    @classmethod
+    def of(cls, hashes: DataFrame, bits: int) -> Filter:
         """``hashes`` has one long column; bits that are equal meet before anything reaches the driver."""
-        self.mask = bits - 1
-        place = F.col(hashes.columns[0]).bitwiseAND(self.mask)
-        words = hashes.select(F.shiftright(place, 6).alias("at"), F.expr("shiftleft(1L, cast(%s & 63 as int))" % hashes.columns[0]).alias("bit"))
-        found = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
-        self.words = np.zeros(bits >> 6, dtype=np.uint64)
-        self.words[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+        name = hashes.columns[0]
+        at = F.shiftright(F.col(name).bitwiseAND(bits - 1), 6).alias("at")
+        found = hashes.select(at, F.expr(f"shiftleft(1L, cast({name} & 63 as int))").alias("bit"))
+        found = found.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+        words = np.zeros(bits >> 6, dtype=np.uint64)
+        words[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+        return cls(bits, words)
 
     def has(self, hashed: int) -> bool:
         at = hashed & self.mask
@@ -181,13 +192,72 @@ def _hashed(lang, word):
 
 
 def _word_filter(words: DataFrame) -> Filter:
-    return Filter(words.sparkSession, words.select(_hashed(F.col("lang"), F.col("phrase")).alias("h")), _bits(words.count()))
+    return Filter.of(words.select(_hashed(F.col("lang"), F.col("phrase")).alias("h")), _bits(words.count()))
 
 
 def _pair_filter(pairs: DataFrame) -> Filter:
     first, second = (_hashed(F.col("lang"), F.split_part("phrase", F.lit(" "), F.lit(k))) for k in (1, 2))
     turned = F.shiftleft(second, 21).bitwiseOR(F.shiftrightunsigned(second, 43))
-    return Filter(pairs.sparkSession, pairs.select(first.bitwiseXOR(turned).alias("h")), _bits(pairs.count()))
+    return Filter.of(pairs.select(first.bitwiseXOR(turned).alias("h")), _bits(pairs.count()))
+
+
+def _turned(hashes: np.ndarray) -> np.ndarray:
+    return hashes << np.uint64(21) | hashes >> np.uint64(43)
+
+
+def _pair_sketch(rows: DataFrame, words: Filter, least: int, places: int) -> Filter:
+    """Lets pass every pair of words that has ``least`` places, and few others: pairs are counted by hash.
+
+    A task counts in an array of ``places`` small numbers, which leave in compressed segments; what is summed below
+    ``least`` holds no frequent pair.  Segments are summed one by one, and only their bits reach the driver.
+    """
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(words)
+    kind, most = (np.uint8, 255) if least <= 255 else (np.uint32, (1 << 32) - 1)
+    step = max(64, places // SEGMENTS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, counts = _Ids(shared.value), np.zeros(places, dtype=kind)
+        for batch in batches:
+            for lang, tokens in _folded(batch):
+                found = ids.of(lang, tokens)
+                at = np.flatnonzero((found[:-1] > 0) & (found[1:] > 0))
+                hashes = np.array(ids.hashes, np.uint64)
+                pairs = (hashes[found[at]] ^ _turned(hashes[found[at + 1]])) & np.uint64(places - 1)
+                seen, times = np.unique(pairs, return_counts=True)
+                counts[seen] = np.minimum(counts[seen].astype(np.int64) + times, most).astype(kind)
+                if len(ids.words) > WORDS:
+                    ids.reset()
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        own = [k for k in range(0, places, step) if counts[k : k + step].any()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k // step for k in own], pa.int64()), pa.array([squeeze(counts[k : k + step].tobytes()) for k in own], pa.binary())],
+            ["segment", "counts"],
+        )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand, at, total = zstandard.ZstdDecompressor().decompress, None, None
+
+        def bits() -> pa.RecordBatch:
+            packed = np.packbits(total >= least, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([packed], pa.binary())], ["segment", "bits"])
+
+        for batch in batches:
+            for segment, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if segment != at:
+                    if at is not None:
+                        yield bits()
+                    at, total = segment, np.zeros(step, dtype=np.int64)
+                total += np.frombuffer(expand(counts.as_py()), dtype=kind)
+        if at is not None:
+            yield bits()
+
+    parts = rows.mapInArrow(frugal(count), "segment long, counts binary").repartition("segment").sortWithinPartitions("segment")
+    found = parts.mapInArrow(frugal(add), "segment long, bits binary").toArrow()
+    whole = np.zeros(places // 8, dtype=np.uint8)
+    for segment, packed in zip(found["segment"].to_pylist(), found["bits"].to_pylist()):
+        whole[segment * step // 8 : (segment + 1) * step // 8] = np.frombuffer(packed, np.uint8)
+    return Filter(places, whole.view(np.uint64))
 
 
 class _Ids:
@@ -224,16 +294,15 @@ class _LangIds(dict):
         return at
 
 
-def _windows(ids: np.ndarray, hashes: np.ndarray, pairs: Filter | None, longest: int) -> np.ndarray:
-    """Windows of known words: pairs without a filter of pairs, else the longest ones of three or more whose pairs all pass."""
+def _windows(ids: np.ndarray, hashes: np.ndarray, pairs: Filter, shortest: int, longest: int) -> np.ndarray:
+    """Windows of known words whose pairs all pass: pairs, or the longest of three or more words."""
     joined = (ids[:-1] > 0) & (ids[1:] > 0)
-    if pairs is None:
-        at = np.flatnonzero(joined)
-        return np.stack([ids[at], ids[at + 1]], axis=1)
     at = np.flatnonzero(joined)
-    second = hashes[ids[at + 1]]
-    turned = second << np.uint64(21) | second >> np.uint64(43)
-    joined[at] = pairs.passes(hashes[ids[at]] ^ turned)
+    passed = pairs.passes(hashes[ids[at]] ^ _turned(hashes[ids[at + 1]]))
+    if shortest == 2:
+        at = at[passed]
+        return np.stack([ids[at], ids[at + 1]], axis=1)
+    joined[at] = passed
     joined = np.append(joined, np.zeros(longest, dtype=bool))
     at = np.flatnonzero(joined[:-1] & joined[1:])
     goes, columns = joined[at] & joined[at + 1], [ids[at], ids[at + 1], ids[at + 2]]
@@ -243,14 +312,14 @@ def _windows(ids: np.ndarray, hashes: np.ndarray, pairs: Filter | None, longest:
     return np.stack(columns, axis=1)
 
 
-def _phrase_runs(rows: DataFrame, words: Filter, pairs: Filter | None, longest: int) -> DataFrame:
+def _phrase_runs(rows: DataFrame, words: Filter, pairs: Filter, shortest: int, longest: int) -> DataFrame:
     """(lang, phrase, n) as runs: whole subtrees of a task's trie, each in the order of its phrases.
 
     A window also counts for the shorter phrases it begins with, so subtrees are summed by prefix as they leave.
     """
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast((words, pairs))
-    shortest, width = (2, 2) if pairs is None else (3, longest)
+    width = 2 if shortest == 2 else longest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, joined = shared.value
@@ -282,7 +351,7 @@ def _phrase_runs(rows: DataFrame, words: Filter, pairs: Filter | None, longest:
             for lang, tokens in _folded(batch):
                 places = ids.of(lang, tokens)
                 if len(places) > 1:
-                    windows = _windows(places, np.array(ids.hashes, np.uint64), joined, longest)
+                    windows = _windows(places, np.array(ids.hashes, np.uint64), joined, shortest, longest)
                     if len(windows):
                         trie.add(windows)
                 if len(ids.words) > WORDS:
@@ -316,10 +385,10 @@ def mine(
     Null text: no words; null language: ``und``; very long texts are counted whole; repeated rows count as often
     as they stand; an empty table gives no rows; columns besides the two are not read, so their names do not matter.
 
-    Scale: a phrase of ``least`` places has only words and pairs of ``least`` places, so three passes count words, pairs
-    of frequent words, and longer windows of frequent pairs.  What is frequent reaches tasks as a filter of at
-    most ``LARGEST_FILTER`` bits, which lets more pass where it is too small but loses nothing: final counts are exact.
-    A task's trie holds ``ENTRIES`` entries; above that whole subtrees leave.
+    Scale: a phrase of ``least`` places has only words and pairs of ``least`` places, so passes count words, pairs
+    of frequent words by hash, such pairs themselves, and longer windows of frequent pairs.  What may be frequent reaches
+    tasks as a filter of at most ``LARGEST_FILTER`` or ``PLACES`` bits, which lets more pass where it is too small but
+    loses nothing: final counts are exact.  A task's trie holds ``ENTRIES`` entries; above that whole subtrees leave.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), or_empty(F.col(text).cast("string")).alias("text"))
@@ -327,10 +396,10 @@ def mine(
     totals = words.where("phrase IS NULL").select(F.col("lang").alias("lang_"), F.col("a").alias("n"))
     words = words.where("phrase IS NOT NULL")
     known = _word_filter(words)
-    pairs, pairs_at = save(_merged(_phrase_runs(rows, known, None, longest), least), "pairs")
+    pairs, pairs_at = save(_merged(_phrase_runs(rows, known, _pair_sketch(rows, known, least, PLACES), 2, longest), least), "pairs")
     candidates, longer_at = pairs, None
     if longest > 2:
-        longer, longer_at = save(_merged(_phrase_runs(rows, known, _pair_filter(pairs), longest), least), "phrases")
+        longer, longer_at = save(_merged(_phrase_runs(rows, known, _pair_filter(pairs), 3, longest), least), "phrases")
         candidates = pairs.unionByName(longer)
     result, _ = save(_ranked(words, candidates, totals, top, inside), "collocations")
     for path in filter(None, (words_at, pairs_at, longer_at)):
@@ -362,6 +431,11 @@ def _ranked(words: DataFrame, candidates: DataFrame, totals: DataFrame, top: int
     scored = scored.join(held, (F.col("lang") == F.col("lang_in")) & (F.col("phrase") == F.col("phrase_in")), "left")
     scored = scored.where(F.col("a_in").isNull() | (100 * wide("a_in") < inside * wide("a")))
     scored = scored.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    scored = scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # A language's first ones are among the first ones of its parts.
+    part = Window.partitionBy("lang", "part").orderBy(*order)
+    scored = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    scored = scored.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    whole = Window.partitionBy("lang").orderBy(*order)
+    scored = scored.withColumn("rank", F.row_number().over(whole).cast("long")).where(F.col("rank") <= top)
     return scored.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

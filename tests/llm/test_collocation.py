@@ -71,7 +71,7 @@ def test_spills_and_narrow_filters(spark, make, monkeypatch):
     """Subtrees that leave early and filters that let nearly all pass change nothing."""
     rows = corpus(2)
     docs = make([(i, text, lang, "s") for i, (text, lang) in enumerate(rows)])
-    for name, value in (("ENTRIES", 40), ("WORDS", 12), ("LARGEST_FILTER", 64)):
+    for name, value in (("ENTRIES", 40), ("WORDS", 12), ("LARGEST_FILTER", 64), ("PLACES", 64), ("PLACES", 1 << 12)):
         monkeypatch.setattr(collocation, name, value)
         assert found(docs, least=3) == brute(rows)
 
