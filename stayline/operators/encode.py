@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.functions.tokens import column, constant_unit, digit_places, round_decimals, text_literal, token_list
+from stayline.functions.tokens import (
+    characters,
+    column,
+    constant_unit,
+    digit_places,
+    kind_of,
+    round_decimals,
+    rounded_decimal,
+    text_literal,
+    token_list,
+    typed_places,
+)
 from stayline.operators.events import latest_events
+from stayline.session import saved
 
 # Type ids.
 TYPE_TABLE, TYPE_COLUMN, TYPE_VALUE, TYPE_CLS, TYPE_SEP = 1, 2, 3, 5, 6
@@ -17,6 +31,11 @@ DIGIT_IDS = {str(d): 121 + d for d in range(10)}
 FIRST_ID = 131
 RESERVED = {".": POINT_ID, **DIGIT_IDS}
 
+#: The head of a vocabulary that rows look up in place: at most so many tokens and bytes, and enough for this share of occurrences.
+HEAD_TOKENS = 20_000
+HEAD_BYTES = 1 << 20
+HEAD_SHARE = 0.999
+
 
 def linearise(
     events: DataFrame,
@@ -36,53 +55,58 @@ def linearise(
     head_tokens, head_places = constant_unit(table)
     shown = [c for c in columns if c not in codes]
 
-    # one projection per step, so that every regular expression runs once per value; there is no
-    # lambda on the way except for texts that mix words and numbers
+    # one projection per step, so that nothing is worked out twice; numbers and dates follow from their
+    # types, without a pattern, and there is no lambda on the way except for texts that mix words and numbers
+    kinds = {i: kind_of(events.select(column(c)).schema[0].dataType) for i, c in enumerate(columns) if c in shown}
     texts = events.select(
-        *keep, *[column(c).cast("string").alias(f"_v{i}") for i, c in enumerate(columns)]
-    )
-    rounded = texts.withColumns(
-        {f"_r{i}": round_decimals(f"_v{i}") for i, c in enumerate(columns) if c in shown}
+        *keep,
+        *[column(c).cast("string").alias(f"_v{i}") for i, c in enumerate(columns)],
+        *[column(c).alias(f"_n{i}") for i, c in enumerate(columns) if kinds.get(i) == "decimal"],
     )
-    cut = rounded.withColumns(
-        {f"_t{i}": token_list(f"_r{i}") for i, c in enumerate(columns) if c in shown}
-        | {f"_p{i}": digit_places(f"_r{i}") for i, c in enumerate(columns) if c in shown}
+    printed = {"text": lambda i: round_decimals(f"_v{i}"), "decimal": lambda i: rounded_decimal(f"_n{i}")}
+    rounded = texts.withColumns({f"_r{i}": printed.get(k, lambda i: F.col(f"_v{i}"))(i) for i, k in kinds.items()})
+    split = rounded.withColumns({f"_t{i}": token_list(f"_r{i}") if k == "text" else characters(f"_r{i}") for i, k in kinds.items()})
+    cut = split.withColumns(
+        {f"_p{i}": digit_places(f"_r{i}", f"_t{i}") if k == "text" else typed_places(f"_r{i}", k) for i, k in kinds.items()}
     )
 
-    # a column is used while the running length, its own included, leaves room for two tokens;
-    # the length only grows, so everything after the first column that does not fit is left out
-    used, length, parts = {}, str(len(head_tokens)), {"tokens": [], "types": [], "places": [], "text": [], "codes": []}
-    fitting = "true"
+    # a column is used while the running length, its own included, leaves room for two tokens; the length
+    # only grows, so what is used is a run of columns from the first on, and null columns add nothing
+    no_tokens, no_numbers = "CAST(array() AS ARRAY<STRING>)", "CAST(array() AS ARRAY<INT>)"
+    units = {}
     for i, name in enumerate(columns):
         if name in codes:
-            used[f"_use{i}"] = f"_v{i} IS NOT NULL AND {fitting}"
-            parts["codes"].append(f"CASE WHEN _use{i} THEN array(_v{i}) ELSE CAST(array() AS ARRAY<STRING>) END")
+            units |= {f"_a{i}": no_tokens, f"_b{i}": no_numbers, f"_c{i}": no_numbers}
             continue
         label_tokens, label_places = constant_unit(name)
-        length += f" + CASE WHEN _v{i} IS NULL THEN 0 ELSE size(_t{i}) + {len(label_tokens)} END"
-        fitting = f"{length} <= {max_tokens - 2}"
-        used[f"_use{i}"] = f"_v{i} IS NOT NULL AND {fitting}"
-        for field, constant, own in (
-            ("tokens", _array(label_tokens), f"_t{i}"),
-            ("types", _array([TYPE_COLUMN] * len(label_tokens)), f"array_repeat({TYPE_VALUE}, size(_t{i}))"),
-            ("places", _array(label_places), f"_p{i}"),
+        own_types = f"concat({_array([TYPE_COLUMN] * len(label_tokens))}, array_repeat({TYPE_VALUE}, size(_t{i})))"
+        for letter, unit, empty in (
+            ("a", f"concat({_array(label_tokens)}, _t{i})", no_tokens),
+            ("b", own_types, no_numbers),
+            ("c", f"concat({_array(label_places)}, _p{i})", no_numbers),
         ):
-            empty = "CAST(array() AS ARRAY<STRING>)" if field == "tokens" else "CAST(array() AS ARRAY<INT>)"
-            parts[field] += [f"CASE WHEN _use{i} THEN {x} ELSE {empty} END" for x in (constant, own)]
-        parts["text"].append(f"CASE WHEN _use{i} THEN concat({text_literal(name + ' ')}, _v{i}) END")
-    chosen = cut.withColumns({name: F.expr(condition) for name, condition in used.items()})
+            units[f"_{letter}{i}"] = f"CASE WHEN _v{i} IS NULL THEN {empty} ELSE {unit} END"
+    made = cut.withColumns({name: F.expr(unit) for name, unit in units.items()})
+    sums = F.expr(f"aggregate(array({', '.join(f'size(_a{i})' for i in range(len(columns)))}), "
+                  f"struct({len(head_tokens)} AS length, 0 AS used), (s, n) -> struct(s.length + n AS length, "
+                  f"s.used + CAST(s.length + n <= {max_tokens - 2} AS INT) AS used), s -> s.used)")
+    made = made.withColumn("_used", sums)
 
-    def together(*arrays: str) -> str:
-        return f"concat({', '.join(arrays)})"
+    def run(each) -> str:
+        return f"slice(array({', '.join(each(i, c) for i, c in enumerate(columns))}), 1, _used)" if columns else "array()"
 
-    no_codes = "CAST(array() AS ARRAY<STRING>)"
-    return chosen.selectExpr(
+    def together(head: str, letter: str, kind: str) -> str:
+        return f"concat({head}, flatten(CAST({run(lambda i, _: f'_{letter}{i}')} AS ARRAY<ARRAY<{kind}>>)))"
+
+    shown_text = run(lambda i, c: "CAST(NULL AS STRING)" if c in codes else f"concat({text_literal(c + ' ')}, _v{i})")
+    used_codes = run(lambda i, c: f"_v{i}" if c in codes else "CAST(NULL AS STRING)")
+    return made.selectExpr(
         *keep,
-        together(_array(head_tokens), *parts["tokens"]) + " AS tokens",
-        together(_array([TYPE_TABLE] * len(head_tokens)), *parts["types"]) + " AS types",
-        together(_array(head_places), *parts["places"]) + " AS places",
-        f"concat_ws({', '.join([text_literal(' '), text_literal(table), *parts['text']])}) AS original_text",
-        (together(*parts["codes"]) if codes else no_codes) + " AS codes",
+        together(_array(head_tokens), "a", "STRING") + " AS tokens",
+        together(_array([TYPE_TABLE] * len(head_tokens)), "b", "INT") + " AS types",
+        together(_array(head_places), "c", "INT") + " AS places",
+        f"concat_ws(' ', {text_literal(table)}, CAST({shown_text} AS ARRAY<STRING>)) AS original_text",
+        f"array_compact(CAST({used_codes} AS ARRAY<STRING>)) AS codes",
     )
 
 
@@ -122,22 +146,81 @@ def build_vocabulary(encoded: DataFrame, size: int | None = None, tokens: str =
     return numbered if size is None else numbered.where(F.col("id") < FIRST_ID + size)
 
 
+class TokenHead:
+    """The most frequent tokens of a vocabulary as a literal table, with two places for each token to be in.
+
+    ``whole`` tells that the vocabulary has no other tokens.
+    """
+
+    def __init__(self, vocabulary: DataFrame, tokens: int = HEAD_TOKENS, share: float = HEAD_SHARE, size: int = HEAD_BYTES):
+        first = vocabulary.orderBy("id").limit(tokens + 1).select("token", "id", "cnt").collect()
+        self.whole = len(first) <= tokens
+        total = sum(r["cnt"] for r in first) if self.whole else vocabulary.agg(F.sum("cnt")).first()[0]
+        wanted, seen, held = dict(RESERVED), 0, 0
+        for r in first[:tokens]:
+            held += len(r["token"].encode()) + 16
+            if held > size or (not self.whole and seen > share * total):
+                self.whole = False
+                break
+            wanted[r["token"]] = r["id"]
+            seen += r["cnt"]
+        self.slots = 4 * len(wanted)
+        places = vocabulary.sparkSession.createDataFrame([(t,) for t in wanted], "token string")
+        places = places.select("token", *[p.alias(f"at{k}") for k, p in enumerate(self._places(F.col("token")))]).collect()
+        table: list[tuple[str, int] | None] = [None] * self.slots
+        either = {r["token"]: (r["at0"], r["at1"]) for r in places}
+        for token in wanted:
+            self._put(table, either, token, wanted)
+        self.kept = {entry[0] for entry in table if entry}
+        self.whole = self.whole and len(self.kept) == len(wanted)
+        entries = json.dumps([{"token": e[0], "id": e[1]} if e else None for e in table], ensure_ascii=False)
+        self.table = F.from_json(F.lit(entries), "array<struct<token: string, id: int>>")
+
+    def _places(self, token: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(token, *extra), F.lit(self.slots)).cast("int") for extra in ([], [F.lit(1)])]
+
+    def _put(self, table: list, either: dict[str, tuple[int, int]], token: str, ids: dict[str, int]) -> None:
+        """Moves what stands in the way to its other place, a bounded number of times; what is left over has no place."""
+        at = either[token][0]
+        for _ in range(64):
+            pushed, table[at] = table[at], (token, ids[token])
+            if pushed is None:
+                return
+            token = pushed[0]
+            at = either[token][0] if either[token][1] == at else either[token][1]
+
+    def id(self, token: Column) -> Column:
+        """The token's id, or null if it is not in the head."""
+        found = [F.get(self.table, at) for at in self._places(token)]
+        return F.coalesce(*[F.when(entry["token"] == token, entry["id"]) for entry in found])
+
+
 def encode_tokens(encoded: DataFrame, vocabulary: DataFrame, tokens: str = "tokens", out: str = "ids") -> DataFrame:
     """Token arrays as id arrays; tokens outside the vocabulary become the unknown id.
 
-    The reserved tokens are literals; the others meet the vocabulary in a join on the token, whose
-    hot keys adaptive execution splits.  Rows are known by a 128-bit digest of their token array, so
-    equal arrays are looked up once and nothing depends on the order of rows.
+    The most frequent tokens, up to ``HEAD_SHARE`` of all occurrences and within ``HEAD_BYTES``, are a literal table with
+    two hashed places for each, looked up where the row stands.  Rows that hold other tokens meet the
+    vocabulary in a join: only distinct arrays, and of these only the places that the head leaves
+    open, are exploded.  They are known by a 128-bit digest of the array, so nothing depends on the order of rows.
+    Rows of head tokens alone are not shuffled.  A null array has no ids.
     """
-    ids = F.create_map(*[F.lit(x) for item in RESERVED.items() for x in item])
-    rows = encoded.withColumn("_digest", F.md5(F.to_json(F.struct(tokens))))
-    spread = rows.select("_digest", F.posexplode(tokens).alias("_at", "token")).distinct()
-    fixed = spread.where(F.col("token").isin(*RESERVED)).select("_digest", "_at", F.try_element_at(ids, F.col("token")).alias("id"))
-    others = spread.where(~F.col("token").isin(*RESERVED)).join(vocabulary.select("token", "id"), "token", "left")
-    others = others.select("_digest", "_at", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id"))
-    arrays = fixed.union(others).groupBy("_digest").agg(F.array_sort(F.collect_list(F.struct("_at", "id"))).alias("_ids"))
-    found = F.coalesce(F.transform("_ids", lambda e: e["id"]), F.array().cast("array<int>"))
-    return rows.join(arrays, "_digest", "left").withColumn(out, found).drop("_digest", "_ids")
+    head = TokenHead(vocabulary)
+    found = F.transform(tokens, lambda t: F.coalesce(head.id(t), F.lit(-1)))
+    looked_up = encoded.withColumn(out, F.coalesce(found, F.array().cast("array<int>")))
+    if head.whole:
+        unknown = F.transform(out, lambda i: F.when(i < 0, UNKNOWN_ID).otherwise(i))
+        return looked_up.withColumn(out, unknown)
+    looked_up = saved(looked_up, "ids")
+    rare = F.array_contains(out, -1)
+    rest = looked_up.where(rare).withColumn("_digest", F.md5(F.to_json(F.struct(tokens))))
+    arrays = rest.select("_digest", tokens, out).dropDuplicates(["_digest"])
+    spread = arrays.select("_digest", F.posexplode(F.arrays_zip(F.col(tokens).alias("token"), F.col(out).alias("id"))).alias("_at", "_entry"))
+    spread = spread.where("_entry.id < 0").select("_digest", "_at", "_entry.token")
+    found = spread.join(vocabulary.select("token", "id"), "token", "left").select("_digest", "_at", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id"))
+    found = found.groupBy("_digest").agg(F.map_from_entries(F.collect_list(F.struct("_at", "id"))).alias("_found"))
+    filled = F.transform(out, lambda i, at: F.when(i >= 0, i).otherwise(F.try_element_at("_found", at)))
+    rest = rest.join(found, "_digest").withColumn(out, filled).drop("_digest", "_found")
+    return looked_up.where(~rare).unionByName(rest)
 
 
 def hourly_offsets(times: Column, hours: int) -> Column:

@@ -451,7 +451,7 @@ def coded_lines(spark, d):
     lines = table(spark, d, "lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
         "CAST(l_quantity AS DECIMAL(10, 1)) AS l_quantity", *[money.format(c) for c in ("l_extendedprice", "l_discount", "l_tax")],
-        "date_format(l_shipdate, 'yyyy-MM-dd') AS l_shipdate",
+        "CAST(l_shipdate AS DATE) AS l_shipdate",
     )
     return events.attach_dictionary(
         lines, table(spark, d, "part"), "l_partkey", "p_partkey",
@@ -510,9 +510,9 @@ def event_sequences(spark, d, max_events=256, max_tokens=128, hours=48):
 @query
 def hourly_offsets(spark, d):
     """Start index per hour over the latest events of a stay (at most 256)."""
-    kept = events.latest_clock_events(measurements(spark, d), stays(spark, d, 3), "hadm_id", 24, 256, ["event_id"])
+    kept = events.latest_clock_events(measurements(spark, d), stays(spark, d, 3), "hadm_id", 48, 256, ["event_id"])
     times = kept.groupBy("stay_id").agg(F.collect_list("TIME").alias("times"))
-    return times.select("stay_id", joined(encode.hourly_offsets(F.col("times"), 24)).alias("hi_start"))
+    return times.select("stay_id", joined(encode.hourly_offsets(F.col("times"), 48)).alias("hi_start"))
 
 
 @query
@@ -657,16 +657,16 @@ def lab_labels_all(spark, d):
 
 @query
 def encoded_union(spark, d):
-    """Two event tables linearised, put together, the latest 20 of each stay kept, in the order of a file."""
+    """Two event tables linearised, put together, the latest 256 of each stay kept, in the order of a file."""
     cohort = stays(spark, d, 3)
     parts = []
     for name, kinds in (("visits", "'click', 'view'"), ("orders", "'error', 'signup', 'purchase'")):
         seen = table(spark, d, "events").where(f"event_type IN ({kinds})").selectExpr(
             "user_id AS hadm_id", "event_id", "event_type", "CAST(value AS DECIMAL(18, 2)) AS value", "unix_timestamp(ts) AS clock_s"
         )
-        kept = events.latest_clock_events(seen, cohort, "hadm_id", 48, 20, ["event_id"])
+        kept = events.latest_clock_events(seen, cohort, "hadm_id", 48, 256, ["event_id"])
         parts.append(encode.linearise(kept, name, ["event_type", "value"], keep=("stay_id", "TIME", "event_id")))
-    latest = events.latest_events(events.union_all(parts), 20, ["event_id"])
+    latest = events.latest_events(events.union_all(parts), 256, ["event_id"])
     return latest.select("stay_id", "TIME", "event_id", "original_text").orderBy("stay_id", "TIME", "event_id")
 
 

@@ -468,9 +468,9 @@ SELECT l_orderkey, l_linenumber, {as_text('ids')} AS ids, {as_text('codes')} AS
     "hourly_offsets": f"""WITH {stays(3)}, t AS (
   SELECT stay_id, event_id, round(({sec('ts')} - admit_s) / 60) - intime AS tm FROM events JOIN cohort ON user_id = hadm_id),
 kept AS (
-  SELECT * FROM t WHERE tm < 1440 QUALIFY row_number() OVER (PARTITION BY stay_id ORDER BY tm DESC, event_id DESC) <= 256),
+  SELECT * FROM t WHERE tm < 2880 QUALIFY row_number() OVER (PARTITION BY stay_id ORDER BY tm DESC, event_id DESC) <= 256),
 l AS (SELECT stay_id, list(tm) AS times FROM kept GROUP BY ALL)
-SELECT stay_id, array_to_string(list_transform(range(0, 24), lambda h: len(list_filter(times, lambda x: x < h * 60))), ' ') AS hi_start FROM l""",
+SELECT stay_id, array_to_string(list_transform(range(0, 48), lambda h: len(list_filter(times, lambda x: x < h * 60))), ' ') AS hi_start FROM l""",
     "sequence_pad": f"""WITH {SEQUENCE}
 SELECT c.stay_id, CASE WHEN p.stay_id IS NULL THEN {ONES} ELSE {as_text('hi_input')} END AS hi_input,
   CASE WHEN p.stay_id IS NULL THEN {ONES} ELSE {as_text('hi_type')} END AS hi_type,
@@ -537,7 +537,7 @@ ORACLES["encoded_union"] = f"""WITH {stays(3)}, t AS (
     CASE WHEN value IS NULL THEN '' ELSE ' value ' || CAST(CAST(value AS DECIMAL(18, 2)) AS VARCHAR) END AS original_text
   FROM events JOIN cohort ON user_id = hadm_id)
 SELECT stay_id, tm AS "TIME", event_id, original_text FROM t WHERE tm < 2880
-QUALIFY row_number() OVER (PARTITION BY stay_id ORDER BY tm DESC, event_id DESC) <= 20"""
+QUALIFY row_number() OVER (PARTITION BY stay_id ORDER BY tm DESC, event_id DESC) <= 256"""
 
 for _closed in ("left", "right"):
     _wbc = ("left", "right") if _closed == "left" else ("right", "right")

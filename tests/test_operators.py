@@ -296,6 +296,51 @@ def test_every_token_gets_an_id(spark):
     assert "Python" not in encode.encode_tokens(df, vocabulary)._jdf.queryExecution().toString().replace("pythonEvals", "")
 
 
+def test_head_tokens_take_no_join(spark):
+    """A vocabulary within the head is looked up in place; one beyond it explodes only what the head lacks."""
+    df = spark.createDataFrame([(i, [f"w{i % 7}", "5", f"w{i % 3}"]) for i in range(50)], "k int, tokens array<string>")
+    vocabulary = encode.build_vocabulary(df)
+    ids = dict(rows(vocabulary, "token", "id")) | {"5": 126}
+    whole = encode.encode_tokens(df, vocabulary)
+    plan = whole._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Generate" not in plan and "Exchange" not in plan
+    want = sorted((i, [ids[t] for t in [f"w{i % 7}", "5", f"w{i % 3}"]]) for i in range(50))
+    assert sorted((r["k"], list(r["ids"])) for r in whole.collect()) == want
+    for tokens, share, size in ((2, 1.0, 1 << 20), (100, 0.5, 1 << 20), (100, 1.0, 40)):
+        head = encode.TokenHead(vocabulary, tokens, share, size)
+        assert len(head.kept) <= 11 + tokens and (tokens == 100 or not head.whole)
+        assert dict(df.select(F.explode("tokens").alias("t")).distinct().select("t", head.id(F.col("t"))).collect()).items() <= (
+            {t: i if t in head.kept else None for t, i in ids.items()}.items()
+        )
+
+
+def test_encoding_with_a_short_head(spark, monkeypatch):
+    df = spark.createDataFrame([(i, [f"w{i % 70}", ".", f"w{i % 3}", "none"] * (i % 4)) for i in range(200)], "k int, tokens array<string>")
+    vocabulary = encode.build_vocabulary(df).where("token <> 'none'")
+    whole = sorted((r["k"], list(r["ids"])) for r in encode.encode_tokens(df, vocabulary).collect())
+    full = encode.TokenHead
+    monkeypatch.setattr(encode, "TokenHead", lambda v: full(v, 3))
+    assert sorted((r["k"], list(r["ids"])) for r in encode.encode_tokens(df, vocabulary).collect()) == whole
+    assert sum(100 in ids for _, ids in whole) == 150
+
+
+def test_typed_values_are_encoded_like_their_text(spark):
+    """Numbers and dates give what their printed text gives, without a pattern over them."""
+    values = spark.sql(
+        """SELECT CAST(v AS DECIMAL(12, 6)) AS d, CAST(v AS DECIMAL(9, 2)) AS m, CAST(v AS DECIMAL(20, 0)) AS w, CAST(v AS BIGINT) AS i,
+           CAST(v AS INT) AS j, date_add(DATE '2024-02-28', CAST(v * 300 AS INT)) AS t, CAST(NULL AS DATE) AS n
+           FROM VALUES (0), (1.5), (-1.5), (12345.678949), (-0.00005), (0.00004), (99999.99995), (10), (-7), (100.10), (NULL), (2400) AS x(v)"""
+    )
+    typed = encode.linearise(values, "t", values.columns, [], 500, keep=())
+    texts = values.select(*[F.col(c).cast("string").alias(c) for c in values.columns])
+    names = ["tokens", "types", "places", "original_text"]
+    assert rows(typed, *names) == rows(encode.linearise(texts, "t", values.columns, [], 500, keep=()), *names)
+    assert "RLIKE" not in typed._jdf.queryExecution().toString() and "regexp" not in typed._jdf.queryExecution().toString()
+    far = spark.sql("SELECT DATE '+12024-02-08' AS t, DATE '-0044-03-15' AS u")
+    printed = far.select(*[F.col(c).cast("string").alias(c) for c in far.columns])
+    assert rows(encode.linearise(far, "t", ["t", "u"], keep=()), *names) == rows(encode.linearise(printed, "t", ["t", "u"], keep=()), *names)
+
+
 def test_a_busy_stay_above_the_group_limit(spark):
     df = spark.range(30_000).selectExpr("id % 2 AS stay_id", "cast(id % 7000 AS double) AS TIME", "id AS e")
     limited = events.latest_events(df, 1200, ["e"])
