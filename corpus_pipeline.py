@@ -17,8 +17,8 @@ from stayline.llm.common import WORD, drop_path, new_path, table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Predictions below this posterior probability are rejected.
 LEAST_SCORE = 0.4
-#: What ``langid.LETTERS`` finds one of, as a class for Java's patterns.
-LETTER = "[\\p{L}\\p{Nl}\\p{No}]"
+#: A letter, as ``langid.LETTERS`` takes it, for Java's patterns.
+LETTER = "\\p{L}"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

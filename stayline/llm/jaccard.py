@@ -435,33 +435,36 @@ def _linked(docs: DataFrame, words: int, percent: int, want: str = "components")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "id", "key", "text")
     rows, rows_path = save(rows.mapInArrow(frugal(_described(words, percent)), described), "jaccard-rows")
 
-    # Copies: rows of one set are one vertex, the smallest row.
+    # Copies: rows of one set are one vertex, the smallest row.  The groups are a table of their own, so that the join
+    # back can divide the rows of a large one.
     plain = rows.drop("signs")
-    copies = plain.groupBy("digest1", "digest2", "n").agg(
-        F.min("row").alias("vertex"), F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "key")).alias("least")
+    same = F.struct(F.col("id").isNull().alias("missing"), "id", "key")
+    groups = plain.groupBy("digest1", "digest2", "n").agg(F.min("row").alias("vertex"), F.min(same).alias("least"), F.count("*").alias("rows"))
+    groups, groups_path = save(groups.where("rows > 1").drop("rows"), "jaccard-copies")
+    plain = plain.join(groups, ["digest1", "digest2", "n"], "left").select(
+        "row", "id", "key", "n", F.coalesce("vertex", "row").alias("vertex"), F.coalesce("least", same).alias("least")
     )
-    plain = plain.join(copies, ["digest1", "digest2", "n"]).select("row", "id", "key", "n", "vertex", "least")
     plain, plain_path = save(plain, "jaccard-vertices")
-
-    # Regions: the smallest row that shares a signature with a row is its pivot.
-    first = F.first("row").over(Window.partitionBy("sign").orderBy("row"))
-    met = rows.select("row", F.explode("signs").alias("sign")).select("row", first.alias("pivot"))
-    met = met.where("row <> pivot").distinct()
-    vertex = plain.select("row", "vertex")
-    met = (
-        met.join(vertex, "row").select("pivot", F.col("vertex").alias("member"))
-        .join(vertex.withColumnRenamed("row", "pivot"), "pivot").select(F.col("vertex").alias("pivot"), "member")
-        .where("pivot <> member").distinct()
-    )
+    drop_path(spark, groups_path)
+
+    # Regions: the smallest vertex that shares a signature with a vertex is its pivot.
+    signs = rows.select("row", "signs").join(plain.where("row = vertex").select("row"), "row")
+    signs = signs.select("row", F.explode("signs").alias("sign"))
+    pivots = signs.groupBy("sign").agg(F.min("row").alias("pivot"), F.count("*").alias("rows")).where("rows > 1")
+    pivots, pivots_path = save(pivots.select("sign", "pivot"), "jaccard-pivots")
+    met = signs.join(pivots, "sign").where("row <> pivot").select("pivot", F.col("row").alias("member")).distinct()
     met, met_path = save(met, "jaccard-regions")
     drop_path(spark, rows_path)
+    drop_path(spark, pivots_path)
 
     # Shingle sets of the documents that stand in some region, from their texts.
     wanted = met.select(F.col("member").alias("row")).union(met.select("pivot")).distinct()
     wanted = wanted.join(plain.select("row", "id", "key"), "row")
     wanted = wanted.select("row", F.col("id").alias("wanted_id"), F.col("key").alias("wanted_key"))
     texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("key") == F.col("wanted_key")))
-    sets = texts.select("row", "text").mapInArrow(frugal(_sets(words)), "row long, shingles binary")
+    # A row that stands several times is met once for each.
+    texts = texts.select("row", "text").dropDuplicates(["row"])
+    sets = texts.mapInArrow(frugal(_sets(words)), "row long, shingles binary")
     sets, sets_path = save(sets, "jaccard-sets")
 
     # Distances to the pivots; a member within the threshold is linked to its pivot.

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -15,8 +17,10 @@ from pyspark.sql import types as T
 
 from stayline.llm.common import Boxed, drop_path, frugal, or_empty, save
 
+#: Numerals that \\w takes besides decimal digits; they are no letters.
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
 #: A word is a run of letters; the longest n-gram; marks for a word's ends.
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
 LONGEST = 4
 UNKNOWN = "und"
 #: Entries that a task counts or remembers before it sends them on or starts anew.

@@ -26,9 +26,10 @@ def op8_subset_sum_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole join; its SQL counterpart has no column for the numbers of links, which the operator returns."""
+    """The whole join: components, and of each document the number of its links."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return jaccard.jaccard_components(docs, words=4, percent=85).drop("n_links")
+    return jaccard.jaccard_components(docs, words=4, percent=85)
+
 
 def op2_word_backoff_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")

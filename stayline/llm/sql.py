@@ -43,9 +43,9 @@ reach(doc_id, other) AS (
   SELECT doc_id, doc_id FROM documents
   UNION
   SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON r.other = e.a
-)
-SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id
-FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+), counted AS (SELECT a AS doc_id, count(*) AS n_links FROM both_ways GROUP BY a)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id, coalesce(any_value(n_links), 0) AS n_links
+FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN counted c ON c.doc_id = d.doc_id
 GROUP BY d.doc_id
 """
 

@@ -1,5 +1,6 @@
 import random
 
+from stayline.llm import jaccard
 from stayline.llm.jaccard import components, jaccard_components, jaccard_links, keep_smallest
 
 
@@ -166,3 +167,21 @@ def test_every_link_once(make, monkeypatch):
         assert sorted((x["doc_id"], x["n_links"]) for x in jaccard_components(make(rows), words, percent).collect()) == counts
         monkeypatch.undo()
     assert jaccard_links(make([])).count() == 0
+
+
+def test_repeated_rows_do_not_multiply(spark, make, monkeypatch):
+    """A row that stands K times has one set and one distance, not K and K squared."""
+    kept = {}
+    whole = jaccard.save
+
+    def keep(df, label):
+        kept[label] = whole(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(jaccard, "save", keep)
+    a = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, a)] * 40 + [(2, a + " end")] * 40
+    monkeypatch.setattr(jaccard, "drop_path", lambda spark, path: None)
+    found = jaccard_components(make(rows), words=4, percent=85).collect()
+    assert {(r["doc_id"], r["component_id"], r["n_links"]) for r in found} == {(1, 1, 79), (2, 1, 79)} and len(found) == 80
+    assert kept["jaccard-sets"][0].count() == 2 and kept["jaccard-distances"][0].count() == 1

@@ -1,8 +1,14 @@
+import math
+import random
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
+import regex as re
 from pyspark.sql import functions as F
 
-from stayline.llm.langid import Model, Scorer, fit, grams_of, identify, predict, release, words_of
+from stayline.llm.langid import Model, Scorer, fit, grams_of, held_out, identify, predict, release, words_of
 from stayline.llm.queries import op2_word_backoff_langid
 
 
@@ -84,3 +90,70 @@ def test_no_word_gram_or_language_is_cut(spark):
     got = {r["doc_id"]: r["lang_pred"] for r in found}
     rare = [(i, lang) for i, (lang, _) in enumerate(rows) if lang != "aa"]
     assert sum(got[i] == lang for i, lang in rare) / len(rare) > 0.95
+
+
+def plain_language_id(rows):
+    """Word-first backoff over dictionaries: (doc_id, text, lang) to doc_id -> (held out, language, score)."""
+    letters = lambda text: re.findall(r"\p{L}+", text.lower())
+
+    def grams(word, n):
+        padded = word if n == 1 else "<" + word + ">"
+        return [padded[i : i + n] for i in range(len(padded) - n + 1)]
+
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    taught = [(lang, letters(text)) for i, text, lang in rows if lang is not None and text is not None and not held(i)]
+    langs = sorted({lang for lang, _ in taught})
+    counts = {(k, lang): Counter() for k in range(5) for lang in langs}
+    for lang, words in taught:
+        for w in words:
+            counts[0, lang][w] += 1
+            for n in (1, 2, 3, 4):
+                counts[n, lang].update(grams(w, n))
+    known = {k: set().union(*(counts[k, lang] for lang in langs)) for k in range(5)}
+
+    def weight(k, item, lang):
+        own = counts[k, lang]
+        return math.log((own[item] + 0.5) / (sum(own.values()) + 0.5 * len(known[k]) + 1))
+
+    out = {}
+    for i, text, _ in rows:
+        words = letters(text or "")
+        if not words or not langs:
+            out[i] = (held(i), "und", 0.0)
+            continue
+        total = {lang: math.log(sum(x == lang for x, _ in taught) / len(taught)) for lang in langs}
+        for w in words:
+            items = [(0, w)] if w in known[0] else []
+            for n in (4, 3, 2, 1):
+                items = items or [(n, g) for g in grams(w, n) if g in known[n]]
+            for lang in langs:
+                total[lang] += sum(weight(k, x, lang) for k, x in items) / max(1, len(items))
+        total = {lang: round(t, 6) for lang, t in total.items()}
+        best = max(langs, key=lambda lang: (total[lang], -langs.index(lang)))
+        out[i] = (held(i), best, 1 / sum(math.exp(t - total[best]) for t in total.values()))
+    return out
+
+
+@pytest.mark.parametrize("bound", [None, 4])
+def test_against_plain_reference(spark, make, bound):
+    """The same languages and scores as dictionaries give, whatever part of the model tasks hold."""
+    r = random.Random(7)
+    pieces = {"aa": ["ka", "to", "mi", "é"], "bb": ["ka", "ru", "shi", "日"], "cc": ["to", "ru", "ß", "on"]}
+    rows = []
+    for i in range(160):
+        lang = r.choice(["aa", "aa", "aa", "bb", "cc"])
+        text = " ".join("".join(r.choices(pieces[lang] + ["x"], k=r.randint(1, 3))) for _ in range(r.randrange(9)))
+        rows.append((i, r.choice([text, text, text.upper(), text + " 12 ² ½ Ⅷ", None]), r.choice([lang, lang, None])))
+    rows += [(500, "² ½ Ⅷ", "aa"), (501, "zzz qqq", None), (502, "", "bb"), (503, "kato " * 5000, "cc")]
+    docs = make([(i, text, lang, "s") for i, text, lang in rows])
+    if bound is None:
+        found = identify(docs)
+    else:
+        model = fit(docs.where(~held_out("doc_id")).where("lang IS NOT NULL AND text IS NOT NULL"), bound, bound)
+        assert model.rest is not None
+        found = predict(docs, model).withColumn("held_out", held_out("doc_id"))
+    got = {r["doc_id"]: (r["held_out"], r["lang_pred"], r["score"]) for r in found.collect()}
+    want = plain_language_id(rows)
+    assert got.keys() == want.keys() and got[500][1] == "und"
+    for i in want:
+        assert got[i][:2] == want[i][:2] and got[i][2] == pytest.approx(want[i][2], abs=1e-4), rows[i]
