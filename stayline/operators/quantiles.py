@@ -5,12 +5,14 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.session import saved
 
+#: Ranges that a group is cut into, and the values of a group or range that are ranked in one task.
 RANGES = 64
+LARGEST = 1 << 16
 
 
 def group_summary(
@@ -65,45 +67,28 @@ def _same(left: str, right: str, keys: list[str]) -> Column:
 def _exact(rows: DataFrame, keys: list[str], points: list[float], others: dict[str, str]) -> DataFrame:
     """Quantiles ``_q`` and other aggregates of (keys, _v, _t); one method for a group of any size.
 
-    Equal values are counted before anything meets per group, keyed by (group, value).  A sketch
-    gives each group cut points; sizes of the ranges between them tell which ranges hold the
-    wanted ranks, and only the values of these ranges are ranked.  Keys may be null.  The counts
-    are read four times, so they are written once, to the shared folder.
+    Equal values are counted before anything meets per group, keyed by (group, value).  While a group has more than
+    ``LARGEST`` values, a sketch cuts it into ranges, and only the ranges that hold wanted ranks go on, as
+    groups of the next round; what is left is ranked by a window.  Keys may be null.  The counts of each
+    round are read several times, so they are written to the shared folder.
     """
     counted = saved(rows.groupBy(*keys, "_v").agg(F.expr("count(*) AS _n"), F.expr("min(_t) AS _t")), "counted")
-    cut_points = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
-    cuts = counted.groupBy(*keys).agg(
-        F.expr(f"percentile_approx(_v, array({cut_points}), 1000) AS _cuts"),
-        F.expr("sum(_n) AS _total"),
-        *[F.expr(f"{e} AS {n}") for n, e in others.items()],
-    )
-    of_group = ", ".join(keys)
     wanted = ", ".join(f"floor((_total - 1) * {p}D), ceil((_total - 1) * {p}D)" for p in points)
-    placed = (
-        counted.alias("v")
-        .join(cuts.alias("c"), _same("v", "c", keys))
-        .selectExpr(*[f"v.{k}" for k in keys], "_v", "_n", "_total", "size(filter(_cuts, c -> c < _v)) AS _range")
-    )
-    # at most RANGES rows per group reach these windows
-    holding = (
-        placed.groupBy(*keys, "_range")
-        .agg(F.expr("sum(_n) AS _size"), F.expr("max(_total) AS _total"))
-        .selectExpr("*", f"sum(_size) OVER (PARTITION BY {of_group} ORDER BY _range) - _size AS _before")
-        .selectExpr(
-            *keys,
-            "_range",
-            "_before",
-            f"filter(array_distinct(array({wanted})), r -> r >= _before AND r < _before + _size) AS _ranks",
-        )
-        .where("size(_ranks) > 0")
+    totals = counted.groupBy(*keys).agg(
+        F.expr("sum(_n) AS _total"), F.expr("count(*) AS _values"), *[F.expr(f"{e} AS {n}") for n, e in others.items()]
     )
+    totals = saved(totals.withColumn("_wanted", F.expr(f"array_distinct(array({wanted}))")), "totals")
+    most = totals.agg(F.max("_values")).first()[0] or 0
+    groups, placed = list(keys), counted.select(*keys, "_v", "_n")
+    starts = totals.selectExpr(*keys, "0L AS _before", "_wanted AS _ranks")
+    while most > LARGEST:
+        placed, starts, most = _narrowed(placed, starts, groups, f"_range{len(groups) - len(keys)}")
+        groups = groups + [f"_range{len(groups) - len(keys)}"]
+    before = Window.partitionBy(*[F.col(f"v.{k}") for k in groups]).orderBy("_v")
     found = (
         placed.alias("v")
-        .join(holding.alias("h"), _same("v", "h", [*keys, "_range"]))
-        .selectExpr(
-            *[f"v.{k}" for k in keys], "_v", "_n", "_ranks",
-            f"_before + sum(_n) OVER (PARTITION BY {', '.join(f'v.{k}' for k in keys)}, v._range ORDER BY _v) AS _end",
-        )
+        .join(starts.alias("h"), _same("v", "h", groups))
+        .select(*[f"v.{k}" for k in keys], "_v", "_n", "_ranks", (F.col("_before") + F.sum("_n").over(before)).alias("_end"))
         .selectExpr(*keys, "_v", "explode(filter(_ranks, r -> r >= _end - _n AND r < _end)) AS _rank")
     )
     # two ranks per wanted quantile
@@ -116,7 +101,7 @@ def _exact(rows: DataFrame, keys: list[str], points: list[float], others: dict[s
         return f"CASE WHEN {low} = {high} THEN {low} ELSE {between} END"
 
     return (
-        cuts.alias("c")
+        totals.alias("c")
         .join(ranks.alias("r"), _same("c", "r", keys))
         .selectExpr(
             *[f"c.{k}" for k in keys], f"array({', '.join(interpolated(p) for p in points)}) AS _q", *others
@@ -124,6 +109,33 @@ def _exact(rows: DataFrame, keys: list[str], points: list[float], others: dict[s
     )
 
 
+def _narrowed(placed: DataFrame, starts: DataFrame, groups: list[str], out: str) -> tuple[DataFrame, DataFrame, int]:
+    """Values and starts of the ranges of each group that hold wanted ranks, and the most values of one of them.
+
+    ``placed`` has (groups, _v, _n), ``starts`` (groups, _before, _ranks): the rows before a group and the
+    ranks looked for in it.  Ranges follow from a sketch of a group's distinct values, so each has about 1/``RANGES`` of them.
+    """
+    points = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
+    cuts = placed.groupBy(*groups).agg(F.expr(f"percentile_approx(_v, array({points}), 1000) AS _cuts"))
+    ranged = placed.alias("v").join(cuts.alias("c"), _same("v", "c", groups))
+    ranged = ranged.selectExpr(*[f"v.{k}" for k in groups], "_v", "_n", f"size(filter(_cuts, c -> c < _v)) AS {out}")
+    sizes = ranged.groupBy(*groups, out).agg(F.expr("sum(_n) AS _size"), F.expr("count(*) AS _values"))
+    # at most RANGES rows per group reach this window
+    ahead = Window.partitionBy(*[F.col(f"s.{k}") for k in groups]).orderBy(out)
+    holding = (
+        sizes.alias("s")
+        .join(starts.alias("h"), _same("s", "h", groups))
+        .select(*[f"s.{k}" for k in groups], out, "_values", "_size", (F.col("_before") + F.sum("_size").over(ahead) - F.col("_size")).alias("_before"), "_ranks")
+        .withColumn("_ranks", F.expr("filter(_ranks, r -> r >= _before AND r < _before + _size)"))
+        .where("size(_ranks) > 0")
+    )
+    holding = saved(holding, "ranges")
+    next_groups = [*groups, out]
+    inside = ranged.alias("v").join(holding.alias("h"), _same("v", "h", next_groups)).select(*[f"v.{k}" for k in next_groups], "_v", "_n")
+    most = holding.agg(F.max("_values")).first()[0] or 0
+    return saved(inside, "inside"), holding.select(*next_groups, "_before", "_ranks"), most
+
+
 def quantile_bins(df: DataFrame, value: str, bins: int, out: str = "bin") -> DataFrame:
     """Bin number 1..n by equal-frequency edges; repeated edges are merged, nulls stay null.
 

@@ -188,19 +188,19 @@ def run(source: Source, config: Config, dest: str, reuse: bool = False, verify_o
     inputs = {n: getattr(source, n, None) for n in ("ext", "classes", "crosswalk")}
     settings = {"source": source.profile.name, "root": source.root, **inputs, **asdict(config)}
     folder = f"{dest}/intermediate"
-    cohort = writers.cached(spark, folder, "cohort", settings, lambda: build_cohort(source, config), reuse)
-    labelled = writers.cached(
-        spark, folder, "labelled", settings, lambda: build_labels(source, cohort, config), reuse
-    )
+
+    def kept(name, build):
+        return writers.cached(spark, folder, name, settings, build, reuse, source.inputs())
+
+    cohort = kept("cohort", lambda: build_cohort(source, config))
+    labelled = kept("labelled", lambda: build_labels(source, cohort, config))
     tasks = labels.label_columns(labelled)
     writers.write_stats(labels.label_stats(labelled), f"{dest}/label_stats")
     writers.write_labels(labelled, f"{dest}/labels", [t for t in tasks if t != "diagnosis"])
     if verify_only:
         return labelled
-    encoded = writers.cached(spark, folder, "events", settings, lambda: encode_events(source, cohort, config), reuse)
-    vocabulary = writers.cached(
-        spark, folder, "vocabulary", settings, lambda: encode.build_vocabulary(encoded, config.vocabulary), reuse
-    )
+    encoded = kept("events", lambda: encode_events(source, cohort, config))
+    vocabulary = kept("vocabulary", lambda: encode.build_vocabulary(encoded, config.vocabulary))
     sequences = build_sequences(labelled, encoded, config, vocabulary)
     writers.write_sequences(sequences, f"{dest}/sequences")
     return labelled

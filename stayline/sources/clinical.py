@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,20 +89,23 @@ def counts(spec: Exclusion, raw: DataFrame) -> Column:
 
 
 def exclusion_events(source: Source, cohort: DataFrame) -> DataFrame:
-    """Exclusion events with their key and clock_s, over all tables of the source."""
-    parts = []
+    """Exclusion events with their key and clock_s, over all tables of the source.
+
+    Rules that read the same file by the same key and time are one predicate, so that a file is scanned once.
+    """
+    scans: dict[tuple, list[Exclusion]] = {}
     for spec in source.profile.exclusions:
-        raw = source.keyed(
-            spec.file,
-            *dict.fromkeys(
-                c for c in (source.profile.keys[spec.key], spec.code, spec.value, spec.time, spec.time_else) if c
-            ),
-        )
-        time = clock_seconds(F.col(spec.time), spec.unit)
-        if spec.time_else:
-            time = F.coalesce(time, clock_seconds(F.col(spec.time_else), spec.unit))
-        rows = raw.where(counts(spec, raw)).select(KEYS[spec.key], time.alias("clock_s")).where("clock_s IS NOT NULL")
-        parts.append(on_admission_clock(rows, cohort, spec.unit).select(KEYS[spec.key], "clock_s"))
+        scans.setdefault((spec.file, spec.key, spec.time, spec.time_else, spec.unit), []).append(spec)
+    parts = []
+    for (file, key, time, time_else, unit), specs in scans.items():
+        used = [source.profile.keys[key], *[c for s in specs for c in (s.code, s.value)], time, time_else]
+        raw = source.keyed(file, *dict.fromkeys(c for c in used if c))
+        clock = clock_seconds(F.col(time), unit)
+        if time_else:
+            clock = F.coalesce(clock, clock_seconds(F.col(time_else), unit))
+        any_rule = reduce(or_, [counts(spec, raw) for spec in specs])
+        rows = raw.where(any_rule).select(KEYS[key], clock.alias("clock_s")).where("clock_s IS NOT NULL")
+        parts.append(on_admission_clock(rows, cohort, unit).select(KEYS[key], "clock_s"))
     return reduce(DataFrame.unionByName, parts)
 
 

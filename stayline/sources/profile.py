@@ -136,6 +136,10 @@ class Source:
     def path(self, file: str) -> str:
         return f"{self.root}/{file}" if file.endswith("/csv") else f"{self.root}/{file}{self.ext}"
 
+    def inputs(self) -> list[str]:
+        """The paths that results depend on; none where tables stand in for files."""
+        return [] if self.frames is not None else [p for p in (self.root, self.classes, self.crosswalk) if p]
+
     def has(self, file: str) -> bool:
         if self.frames is not None:
             return file in self.frames

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,17 +70,23 @@ def pick_column(df: DataFrame, candidates: list[str]) -> Column | None:
     return F.col(found) if found else None
 
 
-def read_dirty_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_dirty_csv(spark: SparkSession, path: str, columns: list[str], seen: Observation | None = None) -> DataFrame:
     """Comma-split lines without quoting rules; double quotes at the ends of fields removed.
 
     Lines with too many fields are skipped, short lines are padded with null.  The header line
-    of every file is recognised by its column names.  ``_line`` rises in file order.
+    of every file is recognised by its column names.  ``_line`` rises in file order.  After an action
+    that reads all lines, ``seen`` has their number, and how many were skipped and padded.
     """
     fields = F.transform(F.split("value", ","), lambda f: F.btrim(f, F.lit('"')))
     lines = spark.read.text(path).select(
         fields.alias("_f"), F.monotonically_increasing_id().alias("_line")
     )
     header = F.array(*[F.lit(c) for c in columns])
+    if seen is not None:
+        wide, short = F.size("_f") > len(columns), F.size("_f") < len(columns)
+        lines = lines.observe(
+            seen, F.count_if(F.col("_f") != header).alias("lines"), F.count_if(wide).alias("skipped"), F.count_if(short).alias("padded")
+        )
     kept = lines.where((F.size("_f") <= len(columns)) & (F.col("_f") != header))
     return kept.select(
         *[

@@ -21,28 +21,26 @@ def write_labels(cohort: DataFrame, path: str, tasks: list[str], format: str = "
         writer.parquet(path)
 
 
-def write_sequences(sequences: DataFrame, path: str, buckets: int = 64) -> None:
-    """One row per stay with its arrays and labels, in folders by hash of the stay id.
+def write_sequences(sequences: DataFrame, path: str) -> None:
+    """One row per stay with its arrays and labels, in files of rising stay ids, and an index of the files.
 
-    A folder holds 1/buckets of the stays, so one stay is found without reading the others.  The
-    rebalance gathers the rows of a bucket, and adaptive execution splits a bucket above the
-    advisory partition size over as many tasks as its bytes ask for.
+    There are as many ranges as shuffle partitions; adaptive execution merges small ones.  The index, in ``_stays`` below the path, which readers of
+    the rows pass over, has one row per file: its name, smallest and largest stay id and number of rows.
     """
-    spread = sequences.withColumn("bucket", F.pmod(F.xxhash64("stay_id"), F.lit(buckets)).cast("int"))
-    (
-        spread.hint("rebalance", F.col("bucket"))
-        .sortWithinPartitions("bucket", "stay_id")
-        .write.mode("overwrite")
-        .partitionBy("bucket")
-        .option("compression", "zstd")
-        .parquet(path)
-    )
+    ordered = sequences.repartitionByRange("stay_id").sortWithinPartitions("stay_id")
+    ordered.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    rows = sequences.sparkSession.read.parquet(path).select("stay_id", F.col("_metadata.file_name").alias("file"))
+    index = rows.groupBy("file").agg(F.min("stay_id").alias("first"), F.max("stay_id").alias("last"), F.count("*").alias("rows"))
+    index.coalesce(1).write.mode("overwrite").parquet(f"{path}/_stays")
 
 
-def read_stay(spark: SparkSession, path: str, stay_id, buckets: int = 64) -> DataFrame:
-    """One stay, reading only its folder."""
-    bucket = F.pmod(F.xxhash64(F.lit(stay_id).cast("bigint")), F.lit(buckets)).cast("int")
-    return spark.read.parquet(path).where((F.col("bucket") == bucket) & (F.col("stay_id") == stay_id))
+def read_stay(spark: SparkSession, path: str, stay_id) -> DataFrame:
+    """One stay, reading only the files whose range holds it: one, unless the stay is not there."""
+    rows = spark.read.parquet(path)
+    index = spark.read.parquet(f"{path}/_stays").where((F.col("first") <= stay_id) & (F.col("last") >= stay_id))
+    files = [f"{path}/{r['file']}" for r in index.select("file").collect()]
+    found = spark.read.schema(rows.schema).parquet(*files) if files else spark.createDataFrame([], rows.schema)
+    return found.where(F.col("stay_id") == stay_id)
 
 
 def write_stats(stats: DataFrame, path: str) -> None:
@@ -75,6 +73,23 @@ def config_key(name: str, config: dict) -> str:
     return f"{name}-{hashlib.sha256(text.encode()).hexdigest()[:12]}"
 
 
+def fingerprint(spark: SparkSession, inputs: list[str]) -> str:
+    """A digest of the names, sizes and times of all files at or below the given paths; a missing path counts as such."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    seen = []
+    for path in inputs:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        system = at.getFileSystem(conf)
+        if not system.exists(at):
+            seen.append(f"{path} missing")
+            continue
+        files = system.listFiles(at, True)
+        while files.hasNext():
+            f = files.next()
+            seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 def cached(
     spark: SparkSession,
     folder: str,
@@ -82,12 +97,19 @@ def cached(
     config: dict,
     build: Callable[[], DataFrame],
     reuse: bool = False,
+    inputs: list[str] | None = None,
 ) -> DataFrame:
-    """Named intermediate as Parquet in a shared folder, reused for equal settings if asked for.
+    """Named intermediate as Parquet in a shared folder, reused for equal settings and unchanged inputs if asked for.
 
-    Reading it back also cuts the lineage, and the file survives lost executors.
+    A manifest with the fingerprint of ``inputs`` is written after the rows, so that what a broken run left is
+    never reused.  Reading the rows back also cuts the lineage, and the files survive lost executors.
     """
     path = f"{folder}/{config_key(name, config)}"
-    if not (reuse and path_exists(spark, f"{path}/_SUCCESS")):
-        build().write.mode("overwrite").parquet(path)
+    manifest, print_ = f"{path}/_manifest", fingerprint(spark, inputs or [])
+    if reuse and path_exists(spark, f"{manifest}/_SUCCESS"):
+        if [r["value"] for r in spark.read.text(manifest).collect()] == [print_]:
+            return spark.read.parquet(path)
+    # The overwrite takes an old manifest away first.
+    build().write.mode("overwrite").parquet(path)
+    spark.createDataFrame([(print_,)], "value string").coalesce(1).write.text(manifest)
     return spark.read.parquet(path)

@@ -2,10 +2,12 @@
 
 import random
 import re
+import shutil
 import statistics
 
 import pytest
 from checks import rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stayline.functions import timeframe, tokens, values
@@ -118,7 +120,7 @@ def test_quantiles_of_repeated_values_and_null_keys(spark):
     assert found[("small", None)] == found[("large", None)] == [30.81, 30.81, 31.2]
     assert found[(None, 1.0)] == [30.81] * 3 and found[(None, 2.0)] == [5.0] * 3
     small, large = (quantiles.exact_median(df.where(f"k = '{k}'"), ["k"], "v") for k in ("small", "large"))
-    shape = [re.sub(r"[#0-9]+L?|small|large", "", x._jdf.queryExecution().executedPlan().toString()) for x in (small, large)]
+    shape = [re.sub(r"Location:[^]]*\]|[#0-9]+L?|small|large", "", x._jdf.queryExecution().executedPlan().toString()) for x in (small, large)]
     assert shape[0] == shape[1]
 
 
@@ -348,15 +350,21 @@ def test_a_busy_stay_above_the_group_limit(spark):
     assert rows(limited, "stay_id", "e") == rows(plain, "stay_id", "e")
 
 
-def test_a_bucket_takes_several_tasks(spark, tmp_path):
-    df = spark.range(40_000).selectExpr("id AS stay_id", "array_repeat(cast(rand(1) AS string), 20) AS hi_input")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+def test_one_stay_is_read_from_one_file(spark, tmp_path):
+    df = spark.range(40_000).selectExpr("id * 3 AS stay_id", "array_repeat(cast(rand(1) AS string), 20) AS hi_input")
+    path, before = str(tmp_path / "s"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
     try:
-        writers.write_sequences(df.repartition(8), str(tmp_path / "s"), buckets=2)
+        writers.write_sequences(df.repartition(8), path)
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert all(len(list((tmp_path / "s" / f"bucket={b}").glob("*.parquet"))) > 1 for b in (0, 1))
-    assert writers.read_stay(spark, str(tmp_path / "s"), 77, buckets=2).count() == 1
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(spark.read.parquet(path).inputFiles()) > 3 and spark.read.parquet(path).count() == 40_000
+    for stay in (0, 77 * 3, 39_999 * 3):
+        found = writers.read_stay(spark, path, stay)
+        assert len(found.inputFiles()) == 1 and rows(found, "stay_id") == [(stay,)]
+    assert writers.read_stay(spark, path, 76).count() == 0 and writers.read_stay(spark, path, -5).count() == 0
 
 
 def test_codes_reach_the_scan(spark, tmp_path):
@@ -459,6 +467,55 @@ def test_cache_depends_on_settings(spark, tmp_path):
     assert len(made) == 3
 
 
+def test_cache_depends_on_inputs(spark, tmp_path):
+    """A changed input is built again, and so is what a broken run left."""
+    made, source, folder = [], tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.csv").write_text("1")
+
+    def get():
+        return writers.cached(spark, folder, "x", {}, lambda: made.append(1) or spark.range(3), True, [str(source), str(tmp_path / "none")])
+
+    assert get().count() == 3 and get().count() == 3 and len(made) == 1
+    (source / "b.csv").write_text("2")
+    assert get().count() == 3 and len(made) == 2
+    (source / "b.csv").write_text("longer")
+    get(), get()
+    assert len(made) == 3
+    shutil.rmtree(next((tmp_path / "out").iterdir()) / "_manifest")
+    assert get().count() == 3 and len(made) == 4
+
+
+def test_ranges_are_narrowed_until_small(spark, monkeypatch):
+    """The values that meet in one window stay few, whatever the size of a group."""
+    largest, whole = [], quantiles._narrowed
+
+    def narrowed(*args):
+        found = whole(*args)
+        largest.append(found[2])
+        return found
+
+    monkeypatch.setattr(quantiles, "_narrowed", narrowed)
+    monkeypatch.setattr(quantiles, "LARGEST", 200)
+    for n in (1_000, 100_000):
+        largest.clear()
+        values_ = spark.range(n).selectExpr("cast(pow(id % 997, 3) + id % 7919 / 7919D AS double) AS v", "IF(id % 3 = 0, NULL, id % 3) AS g", "id")
+        got = quantiles.exact_quantiles(values_, ["g"], "v", [0.0, 0.1, 0.5, 1.0]).collect()
+        assert largest and largest[-1] <= 200
+        want = values_.groupBy("g").agg(F.expr("percentile(v, array(0.0, 0.1, 0.5, 1.0))").alias("q")).collect()
+        assert {r["g"]: [round(x, 6) for x in r["quantiles"]] for r in got} == {r["g"]: [round(x, 6) for x in r["q"]] for r in want}
+
+
+def test_skipped_and_padded_lines_are_counted(spark, tmp_path):
+    lines = ["a,b,c"] + ["1,2,3", '"4",5,"6"', "7,8", "9", "1,2,3,4", "1,2,3,4,5", "x,,z"] * 30
+    (tmp_path / "one.csv").write_text("\n".join(lines))
+    (tmp_path / "two.csv").write_text("\n".join(lines[:3]))
+    seen = Observation("lines")
+    found = readers.read_dirty_csv(spark, str(tmp_path), ["a", "b", "c"], seen)
+    assert found.select("a", "b", "c").count() == 5 * 30 + 2
+    assert seen.get == {"lines": 7 * 30 + 2, "skipped": 60, "padded": 60}
+
+
 def test_unknown_unit_is_an_error(spark):
     df = spark.createDataFrame([(1, 5)], "stay_id int, at int")
     with pytest.raises(ValueError):

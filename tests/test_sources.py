@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stayline.plans import pipeline
 from stayline.plans.pipeline import Config
 from stayline.session import saved
+from stayline.sources import clinical
 from stayline.sources.profile import Profile, load_profile, open_source
 from stayline.sources.stays import load_stays, sicdb_blocks
 
@@ -121,6 +122,21 @@ def test_mimiciv_exclusion_ends_renal_measures(mimiciv):
     assert labels_of(labelled, 1, "creatinine_1", "creatinine_2", "urine_1", "platelets_1") == (1, -1, -1, 1)
 
 
+def test_exclusion_rules_scan_a_file_once(mimiciv):
+    """Rules over one file are one predicate; each of them finds its rows, and a rule without a value hides none."""
+    header = "stay_id,hadm_id,subject_id,itemid,charttime,value,valuenum,valueuom"
+    cohort = saved(cohort_of(mimiciv, Config()), "cohort")
+    write(mimiciv.root, "icu/chartevents.csv", header)
+    before = clinical.exclusion_events(mimiciv, cohort).count()
+    write(mimiciv.root, "icu/chartevents.csv", header,
+          f"1,10,100,226499,{day(3, 4)},x,,", f"1,10,100,226499,{day(3, 5)},,,",
+          f"1,10,100,225965,{day(3, 6)},In use,,", f"1,10,100,225965,{day(3, 7)},off,,", f"1,10,100,225965,{day(3, 8)},,,")
+    assert [e.file for e in mimiciv.profile.exclusions].count("icu/chartevents") == 2
+    found = clinical.exclusion_events(mimiciv, cohort)
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan csv [subject_id#") == len({e.file for e in mimiciv.profile.exclusions})
+    assert found.count() == before + 2
+
+
 def test_mimiciv_events(mimiciv):
     config = Config(max_events=30, max_tokens=40, more_tables=True, visits=True)
     cohort = cohort_of(mimiciv, config)
