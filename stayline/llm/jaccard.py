@@ -391,7 +391,6 @@ def _whole_links(star: DataFrame, sets: DataFrame, copies: DataFrame, percent: i
     ``copies`` has the rows of each vertex (v, copies).  A region is left out only if all pairs of its
     members meet in one region of smaller pivot, or if it has a single member, whose link to the pivot is known.
     """
-    star = star.dropDuplicates(["pivot", "member"])
     united = F.col("pivot_n") + F.col("member_n") - F.col("common")
     direct = star.where(100 * F.col("common") >= percent * united)
     homes = star.groupBy("member").agg(F.sort_array(F.collect_list("pivot")).alias("homes")).withColumn("first", F.col("homes")[0])
@@ -401,6 +400,8 @@ def _whole_links(star: DataFrame, sets: DataFrame, copies: DataFrame, percent: i
     )
     regions = regions.where((F.col("members") > 1) & ~((F.col("low") == F.col("high")) & (F.col("low") < F.col("pivot"))))
     regions = regions.select(F.col("pivot").alias("of"), F.ceil(F.col("weight") / REGION).cast("int").alias("blocks"))
+    # A table of their own, so that the join can divide the members of a large region.
+    regions, regions_path = save(regions, "jaccard-crowded")
     left = _units(left.join(regions, F.col("pivot") == F.col("of")), percent)
     left = left.join(copies.withColumnRenamed("v", "member"), "member").join(sets.withColumnRenamed("row", "member"), "member")
     cells = left.select(
@@ -410,12 +411,16 @@ def _whole_links(star: DataFrame, sets: DataFrame, copies: DataFrame, percent: i
     if pairs:
         direct = direct.select(F.col("pivot").alias("a"), F.col("member").alias("b"), "common", united.alias("united"))
         near = cells.mapInArrow(frugal(_whole_cells(percent, True)), "a long, b long, common long, united long")
-        return save(direct.union(near), "jaccard-all-links")
+        found = save(direct.union(near), "jaccard-all-links")
+        drop_path(star.sparkSession, regions_path)
+        return found
     direct = direct.select("pivot", "member")
     ends = direct.select(F.col("pivot").alias("at"), F.col("member").alias("v")).union(direct.select("member", "pivot"))
     ends = ends.join(copies, "v").select(F.col("at").alias("v"), F.col("copies").alias("links"))
     near = cells.mapInArrow(frugal(_whole_cells(percent, False)), "v long, links long")
-    return save(ends.union(near).groupBy("v").agg(F.sum("links").alias("links")), "jaccard-link-counts")
+    found = save(ends.union(near).groupBy("v").agg(F.sum("links").alias("links")), "jaccard-link-counts")
+    drop_path(star.sparkSession, regions_path)
+    return found
 
 
 def _linked(docs: DataFrame, words: int, percent: int, want: str = "components") -> DataFrame:
@@ -503,6 +508,7 @@ def _linked(docs: DataFrame, words: int, percent: int, want: str = "components")
     split = split.where("low <> high").select(
         F.col("pivot").alias("of"), F.ceil(F.col("weight") / REGION).cast("int").alias("blocks")
     )
+    split, split_path = save(split, "jaccard-split")
     left = left.join(split, F.col("pivot") == F.col("of"))
     left = _units(left, percent)
     left = left.select(
@@ -530,7 +536,7 @@ def _linked(docs: DataFrame, words: int, percent: int, want: str = "components")
         made = [F.when(F.col("n") == 0, 0).otherwise(F.col("others")).cast("long").alias("n_links")]
     result = result.select("id", "key", "n", smallest["id"].alias("least_id"), smallest["key"].alias("least_key"), *made)
     result, _ = save(result, "jaccard-result")
-    for path in (plain_path, met_path, sets_path, star_path, more_path, *([every_path] if made else [])):
+    for path in (plain_path, met_path, sets_path, star_path, split_path, more_path, *([every_path] if made else [])):
         drop_path(spark, path)
     return result
 
