@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from stayline.plans.catalog import query
 from stayline.plans.views import table
-from stayline.sources.profile import Source, load_profile
+from stayline.session import scratch_path
+from stayline.sources import clinical
+from stayline.sources.profile import Exclusion, Source, load_profile
 from stayline.sources.stays import load_stays
 
 CLOCK = "date_format({0}, 'yyyy-MM-dd HH:mm:ss')"
@@ -81,6 +83,73 @@ def stays_umcdb(spark, d):
     return shown(load_stays(source_of(spark, "umcdb", {"admissions": admissions})), "patient_id")
 
 
+@query
+def stays_hirid(spark, d):
+    """Length of stay up to the last event of any table, median weight, flag of death."""
+    frames = {
+        "general_table": table(spark, d, "orders").selectExpr(
+            "o_orderkey AS patientid", f"{CLOCK.format('o_orderdate')} AS admissiontime", "o_orderkey % 60 + 20 AS age",
+            "CASE WHEN o_orderstatus = 'F' THEN 'dead' ELSE 'alive' END AS discharge_status",
+        ),
+        "observation_tables/csv": table(spark, d, "lineitem").where("l_orderkey % 10 <> 0").selectExpr(
+            "l_orderkey AS patientid", "CASE WHEN l_linenumber % 2 = 0 THEN '10000400' ELSE '1' END AS variableid",
+            "l_quantity + 40 AS value", f"{CLOCK.format('l_shipdate')} AS datetime",
+        ),
+        "pharma_records/csv": table(spark, d, "orders").where("o_orderkey % 4 = 0").selectExpr(
+            "o_orderkey AS patientid", f"{CLOCK.format('o_orderdate + make_dt_interval(o_orderkey % 90)')} AS givenat",
+        ),
+    }
+    return shown(load_stays(source_of(spark, "hirid", frames)))
+
+
+@query
+def stays_sicdb(spark, d):
+    """In-unit blocks from a unit log for a third of the cases, the time of stay for the others; weights in grams and missing ones."""
+    cases = table(spark, d, "orders").selectExpr(
+        "o_orderkey AS CaseID", "o_custkey AS PatientID", "CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 7 * 3600 END AS ICUOffset",
+        "CASE WHEN o_orderkey % 6 <> 0 THEN o_orderkey % 11 * 7200 END AS TimeOfStay",
+        "CASE WHEN o_orderstatus = 'F' THEN '2028' ELSE '1' END AS HospitalDischargeType",
+        "CASE WHEN o_orderkey % 13 = 0 THEN '2215' ELSE '0' END AS DischargeState",
+        "CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 900 * 60 + 30 END AS OffsetOfDeath", "o_orderkey % 100 AS AgeOnAdmission",
+        "CASE o_orderkey % 8 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN (o_orderkey % 90 + 30) * 1000 ELSE o_orderkey % 90 + 30 END AS WeightOnAdmission",
+    )
+    root = scratch_path(spark, "sicdb")
+    log = table(spark, d, "lineitem").where("l_orderkey % 3 = 0")
+    log = log.selectExpr("l_orderkey AS CaseID", "l_linenumber * 3600 AS Offset", "l_partkey % 5 AS HospitalUnit")
+    log.write.option("header", True).csv(f"{root}/unitlog.csv")
+    units = table(spark, d, "region").selectExpr(
+        "r_regionkey AS ReferenceGlobalID", "CASE WHEN r_regionkey < 2 THEN 'INIC' ELSE r_name END AS ReferenceValue", "'HospitalUnit' AS ReferenceName"
+    )
+    units.write.option("header", True).csv(f"{root}/d_references.csv")
+    text = cases.select([F.col(c).cast("string").alias(c) for c in cases.columns])
+    return shown(load_stays(Source(spark, root, load_profile("sicdb"), frames={"cases": text})), "hadm_id", "patient_id")
+
+
+RULES = {
+    "listed": {"code": "itemid", "codes": ("3", "17")},
+    "present": {"code": "itemid", "codes": ("3", "17"), "value": "value"},
+    "equals": {"value": "value", "equals": "-4.0"},
+    "number": {"code": "itemid", "codes": ("5", "6", "7"), "value": "value", "equals": "1.0"},
+    "positive": {"code": "itemid", "codes": ("8", "9"), "value": "value"},
+    "nonzero": {"value": "value"},
+    "keyword": {"code": "name", "codes": ("economy", "plated")},
+}
+
+
+@query
+def exclusion_rules(spark, d):
+    """Which rows each kind of exclusion rule counts."""
+    kinds = table(spark, d, "part").selectExpr("p_partkey", "p_type AS name")
+    raw = table(spark, d, "lineitem").join(kinds, F.col("l_partkey") == F.col("p_partkey")).selectExpr(
+        "l_orderkey", "l_linenumber", "cast(l_partkey % 40 AS string) AS itemid", "name",
+        "CASE l_suppkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'In use' ELSE cast(l_quantity - 25 AS string) END AS value",
+    )
+    counted = {
+        f"is_{rule}": F.coalesce(clinical.counts(Exclusion("", "stay", "", "abs", rule, **spec), raw), F.lit(False)) for rule, spec in RULES.items()
+    }
+    return raw.select("l_orderkey", "l_linenumber", *[c.alias(n) for n, c in counted.items()])
+
+
 def anchored_sql(same_unit: bool, ounce: str) -> str:
     return f"""WITH w AS (
   SELECT l_orderkey AS k, avg({ounce}) AS w FROM lineitem WHERE l_linenumber % 2 = 0 GROUP BY ALL),
@@ -105,6 +174,39 @@ ORACLES = {
   CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 9000 + o_orderkey % 500 + 1 AS DOUBLE) END AS "DEATHTIME",
   round((o_orderkey % 8000) / 60 / 24, 6) AS "LOS", CAST(CASE o_orderkey % 7 WHEN 1 THEN 300 ELSE o_orderkey % 60 + 20 END AS DOUBLE) AS "AGE",
   CAST({WEIGHT} AS DOUBLE) AS weight FROM orders WHERE o_orderkey % 7 <> 0""",
+    "stays_hirid": """WITH seen AS (
+  SELECT l_orderkey AS k, date_trunc('second', l_shipdate) AS t FROM lineitem WHERE l_orderkey % 10 <> 0
+  UNION ALL SELECT o_orderkey, date_trunc('second', o_orderdate + to_days(CAST(o_orderkey % 90 AS INTEGER))) FROM orders WHERE o_orderkey % 4 = 0),
+latest AS (SELECT k, max(t) AS t FROM seen GROUP BY k),
+w AS (SELECT l_orderkey AS k, quantile_disc(l_quantity + 40, 0.5) AS w FROM lineitem WHERE l_orderkey % 10 <> 0 AND l_linenumber % 2 = 0 GROUP BY ALL)
+SELECT o_orderkey AS stay_id, 0.0::DOUBLE AS "INTIME", CASE WHEN o_orderstatus = 'F' THEN 1.0::DOUBLE END AS "DEATHTIME",
+  round(CAST(date_diff('second', date_trunc('second', o_orderdate), latest.t) AS DOUBLE) / 86400, 6) AS "LOS",
+  CAST(o_orderkey % 60 + 20 AS DOUBLE) AS "AGE", round(CAST(coalesce(w, 75.0) AS DOUBLE), 9) AS weight
+FROM orders JOIN latest ON latest.k = o_orderkey LEFT JOIN w ON w.k = o_orderkey""",
+    "stays_sicdb": """WITH log AS (
+  SELECT l_orderkey AS k, l_linenumber * 3600 AS t, l_partkey % 5 < 2 AS inside FROM lineitem WHERE l_orderkey % 3 = 0),
+entry AS (SELECT k, min(t) AS block_in FROM log WHERE inside GROUP BY k),
+leave AS (SELECT k, min(t) AS block_out FROM log JOIN entry USING (k) WHERE NOT inside AND t >= block_in GROUP BY k),
+c AS (
+  SELECT o_orderkey AS k, o_custkey, coalesce(CASE WHEN o_orderkey % 6 <> 0 THEN o_orderkey % 11 * 7200 END, 0) AS seconds,
+    coalesce(block_in, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 7 * 3600 END, 0) AS start, block_out,
+    o_orderstatus = 'F' OR o_orderkey % 13 = 0 AS died, CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 900 * 60 + 30 END AS death,
+    CASE o_orderkey % 8 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE o_orderkey % 90 + 30 END AS w
+  FROM orders LEFT JOIN entry e ON e.k = o_orderkey LEFT JOIN leave l ON l.k = o_orderkey),
+s AS (SELECT *, coalesce(block_out, start + seconds) AS stop FROM c WHERE coalesce(block_out, start + seconds) > start),
+m AS (SELECT coalesce(median(w), 72.5) AS m FROM s)
+SELECT k AS stay_id, k AS hadm_id, CAST(o_custkey AS VARCHAR) AS patient_id, CAST(start / 60 AS DOUBLE) AS "INTIME",
+  coalesce(CAST(death AS DOUBLE) / 60, CASE WHEN died THEN CAST(seconds AS DOUBLE) / 60 END) AS "DEATHTIME",
+  round(CAST(stop - start AS DOUBLE) / 86400, 6) AS "LOS", CAST(least(k % 100, 90) AS DOUBLE) AS "AGE",
+  round(CAST(CASE WHEN coalesce(w, m) <= 0 THEN m ELSE coalesce(w, m) END AS DOUBLE), 9) AS weight FROM s, m""",
+    "exclusion_rules": """WITH raw AS (
+  SELECT l_orderkey, l_linenumber, l_partkey % 40 AS itemid, lower(p_type) AS name,
+    CASE l_suppkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'In use' ELSE CAST(l_quantity - 25 AS VARCHAR) END AS value
+  FROM lineitem JOIN part ON l_partkey = p_partkey), typed AS (SELECT *, try_cast(value AS DOUBLE) AS v FROM raw)
+SELECT l_orderkey, l_linenumber, itemid IN (3, 17) AS is_listed, itemid IN (3, 17) AND value IS NOT NULL AS is_present,
+  coalesce(value = '-4.0', false) AS is_equals, coalesce(itemid IN (5, 6, 7) AND v = 1, false) AS is_number,
+  coalesce(itemid IN (8, 9) AND v > 0, false) AS is_positive, coalesce(v <> 0, false) AS is_nonzero,
+  name LIKE '%economy%' OR name LIKE '%plated%' AS is_keyword FROM typed""",
     "stays_umcdb": f"""SELECT o_orderkey AS stay_id, CAST(o_custkey AS VARCHAR) AS patient_id, CAST(o_orderkey % 500 AS DOUBLE) AS "INTIME",
   CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 9000 AS DOUBLE) END AS "DEATHTIME",
   round((o_orderkey % 300) / 24, 6) AS "LOS", CAST(100 AS DOUBLE) AS "AGE", CAST({WEIGHT} AS DOUBLE) AS weight FROM orders""",
