@@ -125,6 +125,48 @@ def stays_sicdb(spark, d):
     return shown(load_stays(Source(spark, root, load_profile("sicdb"), frames={"cases": text})), "hadm_id", "patient_id")
 
 
+@query
+def stays_ehrshot(spark, d):
+    """Units known by either of two names, dates where times are missing, births from parts, weights in lb and oz."""
+    day = "date_format({0}, 'yyyy-MM-dd')"
+    orders = table(spark, d, "orders")
+    entry, leave = "o_orderdate + make_dt_interval(0, cast(o_orderkey % 50 AS int))", "o_orderdate + make_dt_interval(3, cast(o_orderkey % 20 AS int))"
+    frames = {
+        "care_site": table(spark, d, "nation").selectExpr(
+            "n_nationkey AS care_site_id", "CASE WHEN n_nationkey % 5 = 0 THEN concat(n_name, ' MICU') ELSE n_name END AS care_site_name"
+        ),
+        "visit_detail": orders.selectExpr(
+            "o_orderkey AS visit_detail_id", "o_orderkey AS visit_occurrence_id", "o_custkey AS person_id", "o_custkey % 25 AS care_site_id",
+            "CASE o_orderkey % 4 WHEN 0 THEN 'Surgical icu' WHEN 1 THEN NULL ELSE 'Ward' END AS visit_detail_source_value",
+            f"CASE WHEN o_orderkey % 7 <> 0 THEN {CLOCK.format(entry)} END AS visit_detail_start_DATETIME",
+            f"{day.format('o_orderdate')} AS visit_detail_start_DATE",
+            f"CASE WHEN o_orderkey % 9 <> 0 THEN {CLOCK.format(leave)} END AS visit_detail_end_DATETIME",
+            f"{day.format('o_orderdate + make_dt_interval(4)')} AS visit_detail_end_DATE",
+        ),
+        "visit_occurrence": orders.selectExpr(
+            "o_orderkey AS visit_occurrence_id", f"{day.format('o_orderdate')} AS visit_start_DATE",
+            f"CASE WHEN o_orderkey % 5 <> 0 THEN {CLOCK.format('o_orderdate')} END AS visit_start_DATETIME",
+        ),
+        "person": table(spark, d, "customer").selectExpr(
+            "c_custkey AS person_id", "CASE c_custkey % 3 WHEN 0 THEN 8507 WHEN 1 THEN 8532 END AS gender_concept_id",
+            "CASE WHEN c_custkey % 2 = 0 THEN '1950-06-15 00:00:00' END AS birth_DATETIME", "c_nationkey + 1940 AS year_of_birth",
+            "CASE WHEN c_custkey % 5 <> 0 THEN c_nationkey % 12 + 1 END AS month_of_birth", "CASE WHEN c_custkey % 7 <> 0 THEN 15 END AS day_of_birth",
+        ),
+        "measurement": table(spark, d, "lineitem").selectExpr(
+            "l_orderkey AS visit_detail_id", "CASE WHEN l_linenumber % 2 = 0 THEN '3025315' ELSE '1' END AS measurement_concept_id",
+            "l_quantity + 40 AS value_as_number", "CASE l_linenumber WHEN 6 THEN 8739 WHEN 4 THEN 9373 ELSE 9529 END AS unit_concept_id",
+        ),
+    }
+    root = scratch_path(spark, "ehrshot")
+    deaths = table(spark, d, "customer").where("c_custkey % 11 = 0").selectExpr(
+        "c_custkey AS person_id", "'1999-01-01' AS death_DATE", "CASE WHEN c_custkey % 2 = 0 THEN '1999-01-02 03:04:05' END AS death_DATETIME"
+    )
+    deaths.write.option("header", True).csv(f"{root}/death.csv")
+    text = {f: df.select([F.col(c).cast("string").alias(c) for c in df.columns]) for f, df in frames.items()}
+    found = shown(load_stays(Source(spark, root, load_profile("ehrshot"), frames=text)), "hadm_id", "patient_id")
+    return found.withColumn("weight", F.round("weight", 6))
+
+
 RULES = {
     "listed": {"code": "itemid", "codes": ("3", "17")},
     "present": {"code": "itemid", "codes": ("3", "17"), "value": "value"},
@@ -199,6 +241,25 @@ SELECT k AS stay_id, k AS hadm_id, CAST(o_custkey AS VARCHAR) AS patient_id, CAS
   coalesce(CAST(death AS DOUBLE) / 60, CASE WHEN died THEN CAST(seconds AS DOUBLE) / 60 END) AS "DEATHTIME",
   round(CAST(stop - start AS DOUBLE) / 86400, 6) AS "LOS", CAST(least(k % 100, 90) AS DOUBLE) AS "AGE",
   round(CAST(CASE WHEN coalesce(w, m) <= 0 THEN m ELSE coalesce(w, m) END AS DOUBLE), 9) AS weight FROM s, m""",
+    "stays_ehrshot": """WITH w AS (
+  SELECT l_orderkey AS k, avg(CASE l_linenumber WHEN 6 THEN (l_quantity + 40) * 0.45359237 WHEN 4 THEN (l_quantity + 40) * 0.0283495231 ELSE l_quantity + 40 END) AS w
+  FROM lineitem WHERE l_linenumber % 2 = 0 GROUP BY ALL),
+p AS (
+  SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN TIMESTAMP '1950-06-15' ELSE CAST(make_date(c_nationkey + 1940,
+      CASE WHEN c_custkey % 5 <> 0 THEN c_nationkey % 12 + 1 ELSE 1 END, CASE WHEN c_custkey % 7 <> 0 THEN 15 ELSE 1 END) AS TIMESTAMP) END AS born,
+    CASE WHEN c_custkey % 11 = 0 THEN CASE WHEN c_custkey % 2 = 0 THEN TIMESTAMP '1999-01-02 03:04:05' ELSE TIMESTAMP '1999-01-01' END END AS died
+  FROM customer),
+s AS (
+  SELECT o_orderkey AS k, o_custkey, CASE WHEN o_orderkey % 5 <> 0 THEN date_trunc('second', o_orderdate) ELSE date_trunc('day', o_orderdate) END AS a,
+    CASE WHEN o_orderkey % 7 <> 0 THEN date_trunc('second', o_orderdate + to_hours(o_orderkey % 50)) ELSE date_trunc('day', o_orderdate) END AS i,
+    CASE WHEN o_orderkey % 9 <> 0 THEN date_trunc('second', o_orderdate + to_days(3) + to_hours(o_orderkey % 20))
+         ELSE date_trunc('day', o_orderdate + to_days(4)) END AS o
+  FROM orders WHERE o_orderkey % 4 = 0 OR o_custkey % 25 IN (SELECT n_nationkey FROM nation WHERE n_nationkey % 5 = 0))
+SELECT k AS stay_id, k AS hadm_id, CAST(o_custkey AS VARCHAR) AS patient_id,
+  CAST(floor((epoch_us(i) - epoch_us(a)) / 60000000) AS DOUBLE) AS "INTIME", CAST(floor((epoch_us(died) - epoch_us(a)) / 60000000) AS DOUBLE) AS "DEATHTIME",
+  round(CAST(date_diff('second', i, o) AS DOUBLE) / 86400, 6) AS "LOS", floor(date_diff('second', born, i) / 86400) / 365.25 AS "AGE",
+  round(CAST(coalesce(w, CASE o_custkey % 3 WHEN 0 THEN 80.0 WHEN 1 THEN 65.0 END, 72.5) AS DOUBLE), 6) AS weight
+FROM s LEFT JOIN p ON c_custkey = o_custkey LEFT JOIN w USING (k)""",
     "exclusion_rules": """WITH raw AS (
   SELECT l_orderkey, l_linenumber, l_partkey % 40 AS itemid, lower(p_type) AS name,
     CASE l_suppkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'In use' ELSE CAST(l_quantity - 25 AS VARCHAR) END AS value
