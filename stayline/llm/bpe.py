@@ -18,6 +18,8 @@ from stayline.llm.common import Boxed, frugal, or_empty
 
 #: Chunks and pre-tokens whose ids a task remembers; then it starts anew.
 REMEMBERED = 400_000
+#: Rows whose results are held together.
+BATCH_ROWS = 256
 _MASK = (1 << 64) - 1
 #: A blank beside other white space, where a text may not be cut into chunks.
 _BESIDE = re.compile(r"\s | \s")
@@ -164,6 +166,13 @@ class _Chunks(dict):
         return ids
 
 
+def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time, so that few results are held."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(start, BATCH_ROWS)
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.first, self.rest = _Chunks(vocabulary, ""), _Chunks(vocabulary, " ")
@@ -193,7 +202,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
-        for batch in batches:
+        for batch in _short(batches):
             at = batch.schema.get_field_index("whole")
             ids = [encoder.encode(t.as_py()) for t in batch.column(at)]
             columns = [c for i, c in enumerate(batch.columns) if i != at]
@@ -217,7 +226,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = shared.value.tokens.__getitem__
-        for batch in batches:
+        for batch in _short(batches):
             packed = batch.column(batch.schema.get_field_index(own))
             out = [b"".join(map(token, np.frombuffer(p.as_py() or b"", dtype="<u4").tolist())) for p in packed]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names)

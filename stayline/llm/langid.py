@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,10 +15,9 @@ from pyspark.sql import types as T
 
 from stayline.llm.common import Boxed, drop_path, frugal, or_empty, save
 
-#: Numerals that \\w takes besides decimal digits; they are no letters.
-_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
-#: A word is a run of letters; the longest n-gram; marks for a word's ends.
-LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
+#: A word is a run of letters: of what \\w takes, without digits, the other numerals that isalpha() tells from letters,
+#: and the underscore; the longest n-gram; marks for a word's ends.
+LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 4
 UNKNOWN = "und"
 #: Entries that a task counts or remembers before it sends them on or starts anew.
@@ -30,7 +27,10 @@ HELD_WEIGHTS = 4_000_000
 
 
 def words_of(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    found = LETTERS.findall(text.lower())
+    if not found or "".join(found).isalpha():
+        return found
+    return [word for run in found for word in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 def grams_of(word: str, n: int) -> list[str]:
