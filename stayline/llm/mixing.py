@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -9,8 +12,8 @@ from pyspark.sql import functions as F
 
 from stayline.llm.common import WORD, Boxed, save
 
-#: Bits of sums that the knapsack program keeps in all, over its steps.
-WORK = 1 << 29
+#: Lengths that the first trial of a fit may change.
+FIRST = 8
 #: Rows of one length class that are ranked together, about.
 BUCKET_ROWS = 1024
 MOST_BUCKETS = 1 << 16
@@ -41,15 +44,13 @@ def source_targets(totals: list[tuple[str | None, int]], weights: list[float], m
 
 
 def fit_lengths(lengths: np.ndarray, counts: np.ndarray, target: float, most: int = 3) -> np.ndarray:
-    """How often to take documents of each length, repeats counted, so that their words come near to ``target``.
+    """How often to take documents of each length, repeats counted, so that no other sum of words is nearer to ``target``.
 
     No length is taken more than ``most`` times its count; length 0 has whole epochs only.  Every length first
-    gives its share of the target, rounded down.  A bounded-knapsack program over sums then looks for the
-    combination of fewer and more takes, per length up to a window around that share, whose sum is nearest to the
-    target from either side (the smaller on ties).  The window widens until a sum meets the target, every
-    take is free, or the program has ``WORK`` bits of sums to keep; then the nearest sum found counts.  Sums are
-    counted in units of the lengths' common divisor.  Beyond ``WORK`` for even a window of one take, the
-    lengths that lost most by rounding are given one more each first, and the shortest lengths enter the program.
+    gives its share of the target, rounded down, and those that lost most by rounding give one more each while
+    it fits.  Fewer and more takes then close the rest by subset sums (``_nearest``): first of the shortest lengths
+    within one take, then of more lengths and wider, until a sum meets the target or all lengths are free, whose
+    nearest sum counts (the smaller on ties).  Sums are counted in units of the lengths' common divisor.
     """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     whole = int((lengths * counts).sum())
@@ -57,65 +58,126 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, target: float, most: in
         return np.zeros(len(lengths), dtype=np.int64)
     share = min(target / whole, float(most))
     limit = counts * most
-    take = np.minimum(np.floor(counts * share + 1e-9).astype(np.int64), limit)
+    take = np.minimum(np.floor(counts * share).astype(np.int64), limit)
     take[lengths == 0] = (counts * int(share))[lengths == 0]
     used = np.flatnonzero(lengths > 0)
-    unit = int(np.gcd.reduce(lengths[used]))
-    size = lengths // unit
-    wanted = target / unit
+    used = used[np.argsort(lengths[used], kind="stable")]
+    size = lengths // int(np.gcd.reduce(lengths[used]))
+    wanted = min(target, float(most * whole)) / (int(lengths[used[0]]) // int(size[used[0]]))
     rest = wanted - int((take * size).sum())
-    if WORK < 4 * len(used) * int(size[used].sum()):
-        for i in used[np.lexsort((size[used], -(counts * share - take)[used]))]:
-            if take[i] < limit[i] and size[i] <= rest:
-                take[i] += 1
-                rest -= int(size[i])
-    best, window = take, 1
-    while abs(rest) >= 0.5:
-        less, more = np.minimum(take, window), np.minimum(limit - take, window)
-        span = np.cumsum(((less + more) * size)[used])
-        parts = np.cumsum([int(n).bit_length() for n in (less + more)[used]])
-        inside = used[: max(1, int(np.searchsorted(span * parts, WORK)))]
-        trial = _nearest(take, less, more, size, inside, wanted)
-        left = wanted - int((trial * size).sum())
-        if abs(left) < abs(rest):
-            best, rest = trial, left
-        if len(inside) < len(used) or ((less == take) & (more == limit - take))[used].all():
-            break
-        window *= 2
-    return best
+    for i in used[np.lexsort((size[used], -(counts * share - take)[used]))]:
+        if take[i] < limit[i] and size[i] <= rest:
+            take[i] += 1
+            rest -= int(size[i])
+    window, wide, hit = 1, rest < 0.5, int(np.ceil(rest - 0.5))
+    while not wide:
+        less, more = np.minimum(take, window)[used], np.minimum(limit - take, window)[used]
+        wide = bool(((less == take[used]) & (more == (limit - take)[used])).all())
+        inside = FIRST
+        while True:
+            last = inside >= len(used)
+            # What cannot meet the target, by its sum or its common divisor, is tried only if it is the last trial.
+            some = size[used[:inside]]
+            able = (more[:inside] * some).sum() >= hit and hit % int(np.gcd.reduce(some)) == 0
+            if able or (wide and last):
+                change, met = _nearest(some, less[:inside], more[:inside], rest)
+                if met or (wide and last):
+                    take[used[:inside]] += change
+                    return take
+            if last:
+                break
+            inside *= 2
+        window *= 4
+    return take
 
 
-def _nearest(take: np.ndarray, less: np.ndarray, more: np.ndarray, size: np.ndarray, inside: np.ndarray, wanted: float) -> np.ndarray:
-    """Takes between ``take - less`` and ``take + more`` for the lengths in ``inside``, their sum nearest to ``wanted``.
+def _nearest(size: np.ndarray, less: np.ndarray, more: np.ndarray, rest: float) -> tuple[np.ndarray, bool]:
+    """Changes between ``-less`` and ``more`` takes of rising sizes, their sum nearest to ``rest``; whether none could be nearer.
 
-    Sums are the bits of one integer; each step adds a power of two of one length, and its integer stays, so that
-    the way back shows which steps made the sum.
+    Balanced subset sums: from the present takes, one take is added while the sum is not above the goal, and one removed while
+    it is, so that every sum stays within the longest size of the goal.  Any better choice of takes can be made in that
+    order: if only the other kind of step is left, the sum already stands nearer than where it leads.  Steps of a
+    kind go through the sizes in rising order.  For each sum ``spent`` holds the least place in the row of all removable
+    takes from which the next may come; as fewer added sizes come first, a sum that is reached again counts only if it
+    spends less.  Memory is in proportion to the longest size, time at most to sizes times the longest one.
     """
-    low = take.copy()
-    low[inside] -= less[inside]
-    need = wanted - int((low * size).sum())
-    top = int(((less + more) * size)[inside].sum())
-    goal = int(np.ceil(need - 0.5))
-    reached, steps, kept = 1, [], [1]
-    for i in inside[np.argsort(-size[inside], kind="stable")]:
-        left, part = int(less[i] + more[i]), 1
-        while left and not (0 <= goal <= top and reached >> goal & 1):
-            part = min(part, left)
-            reached |= reached << part * int(size[i])
-            steps.append((int(i), part))
-            kept.append(reached)
-            left -= part
-            part *= 2
-    under = reached & ((1 << max(0, goal + 1)) - 1)
-    over = reached >> max(0, goal + 1)
-    found = [under.bit_length() - 1] if under else []
-    found += [max(0, goal + 1) + (over & -over).bit_length() - 1] if over else []
-    at = min(found, key=lambda s: (abs(s - need), s))
-    for (i, part), before in zip(reversed(steps), reversed(kept[:-1])):
-        if not before >> at & 1:
-            low[i] += part
-            at -= part * int(size[i])
-    return low
+    goal, hit, longest = int(np.floor(rest)), int(np.ceil(rest - 0.5)), int(size[-1])
+    base = max(0, longest - goal - 1)
+    takes = np.flatnonzero(less)
+    ends = np.cumsum(less[takes])
+    starts = ends - less[takes]
+    never = int(less.sum()) + 1
+    spent = np.full(base + goal + longest + 1, never, dtype=np.int32 if never < 1 << 31 else np.int64)
+    node = np.full(len(spent), -1, dtype=np.int64)
+    spent[base], node[base] = 0, 0
+    goal, hit, top = goal + base, hit + base, len(spent) - 1
+    due, before, queue, waiting = np.zeros(len(spent), dtype=bool), np.empty_like(spent), [], set()
+    steps, firsts, made = [], [], 1
+
+    def reach(to, at, cost, step):
+        """Writes the steps that spend less; returns where they lead to, and notes what sums above the goal spent before."""
+        nonlocal made
+        better = cost < spent[to]
+        if not better.any():
+            return to[:0]
+        to, cost = to[better], cost[better]
+        steps.append((node[at] if np.isscalar(at) else node[at[better]], step if np.isscalar(step) else step[better]))
+        firsts.append(made)
+        over = to[to > goal]
+        over = over[~due[over]]
+        due[over], before[over] = True, spent[over]
+        for block in np.unique((top - over) // size[takes[0]]).tolist() if len(over) and len(takes) else []:
+            if block not in waiting:
+                waiting.add(block)
+                heapq.heappush(queue, block)
+        spent[to], node[to] = cost, np.arange(made, made + len(to))
+        made += len(to)
+        return to[to <= goal]
+
+    def removed():
+        """Sums not above the goal that removals from the noted sums reach, from the highest down.
+
+        Sums that differ by less than the shortest size do not lead to each other, so a block of them goes together.
+        """
+        under = []
+        while queue:
+            block = heapq.heappop(queue)
+            waiting.discard(block)
+            high = top - block * size[takes[0]] + 1
+            low = max(goal + 1, high - size[takes[0]])
+            at = low + np.flatnonzero(due[low:high])
+            due[at] = False
+            if len(at) < len(takes):
+                for sum_, a, z in zip(at.tolist(), np.searchsorted(ends, spent[at], "right"), np.searchsorted(starts, before[at])):
+                    if a < z:
+                        cost = np.maximum(starts[a:z], spent[sum_]) + 1
+                        under.append(reach(sum_ - size[takes[a:z]], sum_, cost, -1 - takes[a:z]))
+            else:
+                for j, start, end in zip(takes.tolist(), starts, ends):
+                    can = at[(spent[at] < end) & (before[at] > start)]
+                    under.append(reach(can - size[j], can, np.maximum(spent[can], start) + 1, -1 - j))
+        return np.concatenate(under) if under else np.zeros(0, dtype=np.int64)
+
+    for i in range(len(size)):
+        front = np.flatnonzero(spent[: goal + 1] < never)
+        for _ in range(int(more[i])):
+            under = reach(front + size[i], front, spent[front], 1 + i)
+            front = np.union1d(under, removed())
+            if node[hit] >= 0 or not len(front):
+                break
+        if node[hit] >= 0:
+            break
+    sums = np.flatnonzero(node >= 0)
+    best = sums[np.argmin(np.abs(sums - base - rest))]
+    change, at = np.zeros(len(size), dtype=np.int64), int(node[best])
+    while at:
+        batch = bisect.bisect_right(firsts, at) - 1
+        parents, step = steps[batch]
+        place = at - firsts[batch]
+        step = int(step if np.isscalar(step) else step[place])
+        change[abs(step) - 1] += 1 if step > 0 else -1
+        at = int(parents if np.isscalar(parents) else parents[place])
+    return change, bool(best == hit)
 
 
 def _fit_source(most: int):

@@ -59,6 +59,21 @@ def test_fit_large_budget():
     assert int((take * lengths).sum()) == target and (take <= counts).all()
 
 
+def test_fit_does_not_switch_by_size():
+    """Sums that can be met are met, however long the documents; one length off the others' divisor."""
+    r = np.random.default_rng(14)
+    lengths = np.sort(r.choice(np.arange(1_000_000, 20_000_000), 14, replace=False))
+    counts = np.ones(14, dtype=int)
+    target = int((r.integers(0, 2, 14) * lengths).sum())
+    take = fit_lengths(lengths, counts, target, 1)
+    assert int((take * lengths).sum()) == target and (take >= 0).all() and (take <= 1).all()
+    lengths = np.sort(np.append(np.arange(1, 301) * 7, 1002))
+    counts = np.where(lengths == 1002, 1, 5)
+    target = int(0.37 * (lengths * counts).sum()) // 7 * 7 + 6
+    take = fit_lengths(lengths, counts, target)
+    assert abs(int((take * lengths).sum()) - target) == 1 and (take >= 0).all() and (take <= 3 * counts).all()
+
+
 def test_mix(make):
     r = random.Random(5)
     rows = [(i, " ".join(["w"] * r.randrange(1, 80)), "en", r.choice(["s1", "s2", "s2", "s3", None])) for i in range(900)]
