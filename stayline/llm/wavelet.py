@@ -33,8 +33,12 @@ LONG_CHUNK = 64
 #: The pre-token pattern of byte-level BPE, and blocks whose classes no version of Unicode changes any more.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SETTLED = re.compile("[\\x09-\\x0D\\x20-\u024f\u2010-\u2027]*")
+#: Marks that are one pre-token where they stand together behind a word: those of ASCII but the apostrophe.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: A word of Latin letters and the marks behind it.
-_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+_SIMPLE = re.compile(f"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([{re.escape(MARKS)}]*)")
+#: Little-endian packing of as many ids as the place in the row.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(2 * LONG_CHUNK)]
 #: Header: first bytes, ids, documents, levels, bytes of the directory.
 HEAD = struct.Struct("<4sQQBQ")
 
@@ -257,20 +261,31 @@ class _Library:
         self.rest = _Memo(self._tail, CHUNKS)
 
     def _piece(self, piece: str) -> bytes:
+        # Printable characters of ASCII but the blank stand for themselves.
+        if piece.isascii() and piece.isprintable():
+            return self._mapped(piece.replace(" ", self.stands_for[0x20]))
         return self._mapped(piece.encode().decode("latin-1").translate(self.stands_for))
 
     def _mapped(self, piece: str) -> bytes:
         ids = [t.id for t in self.model.tokenize(piece)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _tail(self, chunk: str) -> bytes:
-        if simple := _SIMPLE.fullmatch(chunk):
-            word, marks = simple.groups()
-            ids = self.pieces[" " + word]
-            return ids + self.pieces[marks] if marks else ids
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+
+    def _tail(self, chunk: str, lead: str = " ") -> bytes:
+        """Ids of a chunk behind ``lead``; most are a word and marks."""
+        if chunk.isascii():
+            word = chunk.rstrip(MARKS)
+            simple = word.isalpha()
+        elif simple := _SIMPLE.fullmatch(chunk):
+            word = simple[1]
+        if simple:
+            ids = self.pieces[lead + word]
+            return ids + self.pieces[chunk[len(word) :]] if len(word) < len(chunk) else ids
+        if lead and chunk[:1] == "\n":
+            # Alone between two characters that are not white space, a line feed is a pre-token.
+            return self.pieces["\n"] + self._tail(chunk[1:], "")
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Uncut
-        return self._whole(" " + chunk)
+        return self._whole(lead + chunk)
 
     def _head(self, chunk: str) -> bytes:
         if not chunk or chunk[-1].isspace():
@@ -289,7 +304,13 @@ class _Library:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
         try:
-            chunks = iter(text.split(" "))
+            # Lines begin chunks of their own, unless some are empty; then no chunk may begin with a line feed.
+            if "\n\n" not in text:
+                chunks = iter(text.replace("\n", " \n").split(" "))
+            elif " \n" not in text:
+                chunks = iter(text.split(" "))
+            else:
+                raise _Uncut
             return self.first[next(chunks)] + b"".join(map(self.rest.__getitem__, chunks))
         except _Uncut:
             head, *tail = chunks_of(text)

@@ -62,6 +62,20 @@ def test_library_by_chunks(monkeypatch):
             assert library.encode(text) == np.array(ids, "<u4").tobytes(), text
 
 
+def test_lines_and_marks_share_words():
+    """Every line's first word and every line's end are remembered once, not as pairs; the ids stay the library's."""
+    tokenizer, library = Tokenizer.from_file(PATH), wavelet._Library(PATH)
+    ends, starts = [f"end{'abcdefghij'[i]}xyz.***" for i in range(10)], [f"Anf\u00e4ng{'abcdefghij'[i]}" for i in range(10)]
+    text = " ".join(f"{e}\n{s}" for e in ends for s in starts)
+    assert library.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert len(library.first) + len(library.rest) <= 21
+    parts = ["a", "B", "\u00e9", "'s", "1", "-", ".", "*'", "\n", "\n\n", " ", "\t", "\u00aa", "_", "\x7f", "\x00", "\u65e5"]
+    r = np.random.default_rng(5)
+    for _ in range(5000):
+        text = "".join(r.choice(parts, r.integers(1, 9)))
+        assert library.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+
+
 def test_other_tokenizer():
     path = public_tokenizers.path("word_bpe_49k.json")
     library, tokenizer = wavelet._Library(path), Tokenizer.from_file(path)
