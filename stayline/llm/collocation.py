@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.common import drop_path, frugal, or_empty, save
+from stayline.llm.common import Filter, drop_path, frugal, or_empty, save
 
 #: Entries of a container that bursts, and the depth of the trie above containers.
 BURST = 4096
@@ -157,32 +157,6 @@ def _word_runs(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(frugal(run), _ROWS)
 
 
-class Filter:
-    """Bits by hash: what was put in always passes, little else does."""
-
-    def __init__(self, bits: int, words: np.ndarray):
-        self.mask, self.words = bits - 1, words
-
-    @classmethod
-    def of(cls, hashes: DataFrame, bits: int) -> Filter:
-        """``hashes`` has one long column; bits that are equal meet before anything reaches the driver."""
-        name = hashes.columns[0]
-        at = F.shiftright(F.col(name).bitwiseAND(bits - 1), 6).alias("at")
-        found = hashes.select(at, F.expr(f"shiftleft(1L, cast({name} & 63 as int))").alias("bit"))
-        found = found.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
-        words = np.zeros(bits >> 6, dtype=np.uint64)
-        words[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-        return cls(bits, words)
-
-    def has(self, hashed: int) -> bool:
-        at = hashed & self.mask
-        return bool(int(self.words[at >> 6]) >> (at & 63) & 1)
-
-    def passes(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes & np.uint64(self.mask)
-        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-
 def _bits(n: int) -> int:
     return min(LARGEST_FILTER, 1 << max(10, (n * FILTER_BITS).bit_length()))
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +57,32 @@ class WordHashes(dict):
         return value
 
 
+class Filter:
+    """Bits by hash: what was put in always passes, little else does."""
+
+    def __init__(self, bits: int, words: np.ndarray):
+        self.mask, self.words = bits - 1, words
+
+    @classmethod
+    def of(cls, hashes: DataFrame, bits: int) -> Filter:
+        """``hashes`` has one long column; bits that are equal meet before anything reaches the driver."""
+        name = hashes.columns[0]
+        at = F.shiftright(F.col(name).bitwiseAND(bits - 1), 6).alias("at")
+        found = hashes.select(at, F.expr(f"shiftleft(1L, cast({name} & 63 as int))").alias("bit"))
+        found = found.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+        words = np.zeros(bits >> 6, dtype=np.uint64)
+        words[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+        return cls(bits, words)
+
+    def has(self, hashed: int) -> bool:
+        at = hashed & self.mask
+        return bool(int(self.words[at >> 6]) >> (at & 63) & 1)
+
+    def passes(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes & np.uint64(self.mask)
+        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -109,6 +138,24 @@ def save(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when their query ends, not when the driver happens to collect its garbage.
+
+    For steps that run once and end in ``save``: a query run a second time would have to make them anew.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def store(path: str):
     """A file system of pyarrow and the path in it, for files that tasks write or read themselves."""
     from pyarrow import fs

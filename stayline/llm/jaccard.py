@@ -7,12 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayline.llm.common import WORD, Boxed, WordHashes, drop_path, frugal, or_empty, save
+from stayline.llm.common import WORD, Boxed, Filter, WordHashes, drop_path, frugal, or_empty, save, tidy
 
 #: Set digests that a task remembers; then it starts anew.
 SEEN = 1 << 20
@@ -22,6 +23,9 @@ REGION = 2_000_000
 LEAF = 64
 #: Hash seeds tried before documents with too many empty parts meet in one bucket.
 SEEDS = 32
+#: Bits of a filter for each value that it lets pass, and its largest size (16 MB), beyond which it only passes more.
+FILTER_BITS = 16
+LARGEST_FILTER = 1 << 27
 
 _ODD = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64
@@ -53,10 +57,12 @@ class Parts:
     Let x be the smaller set.  Its size class has an upper size U, and the partner stands in the
     same class or the next.  The two differ in at most K = U (100 - percent) / percent shingles.
     Shingles are dealt by hash to K + 1 + E parts, so at least E + 1 parts are equal.  The
-    signature of a part is its class, number and content; empty parts have none.  If either
-    set has at most E empty parts, an equal part has content and both emit it.  If both have more,
-    both also emit the signatures under the next seed, and so on; after the last seed they emit
-    one common signature.  So no pair is lost, whatever the data.
+    signature of a part is its class, number and content; empty parts have none.  A set with e <= E
+    empty parts emits its first K + 1 parts with content and leaves out the last E - e; one with more
+    emits all, and those under the next seed, and so on; after the last seed it emits one common
+    signature.  At the first seed where either set stops, at least E + 1 - e equal parts have
+    content, e being the smaller number of empty ones.  The first of these has at least E - e others
+    above it, so neither set leaves it out.  So no pair is lost, whatever the data.
     """
 
     def __init__(self, percent: int):
@@ -91,9 +97,11 @@ class Parts:
                 part = part[order]
                 starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
                 content = np.add.reduceat(mixed[order] * _ODD[1], starts)
-                out.append(_mixed(content + (part[starts] + salt) * _ODD[2]))
+                signs = _mixed(content + (part[starts] + salt) * _ODD[2])
                 if parts - len(starts) <= spare:
+                    out.append(signs[: differ + 1])
                     break
+                out.append(signs)
             else:
                 out.append(_mixed(np.array([klass], dtype=np.uint64) * _ODD[2]))
         return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
@@ -145,6 +153,42 @@ def _sets(words: int):
     return run
 
 
+def _filter(hashes: DataFrame) -> Filter:
+    """Lets pass every value of the one long column, and few others."""
+    return Filter.of(hashes, min(LARGEST_FILTER, 1 << max(10, (hashes.count() * FILTER_BITS).bit_length())))
+
+
+def _shared_signs(passing):
+    """(row, signatures) to (row, signature) for those that pass the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            signs = batch.column(1).flatten()
+            keep = passing.value.passes(signs.to_numpy().view(np.uint64))
+            rows = np.repeat(batch.column(0).to_numpy(), pc.list_value_length(batch.column(1)).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(rows[keep], pa.int64()), signs.filter(pa.array(keep))], ["row", "sign"])
+
+    return run
+
+
+def _wanted_texts(passing):
+    """Rows (id, key, text) whose key passes the filter; a task leaves out what repeats id and key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in batches:
+            batch = batch.filter(pa.array(passing.value.passes(batch.column(1).to_numpy().view(np.uint64))))
+            first = []
+            for at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                first.append(at not in seen)
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(at)
+            yield batch.filter(pa.array(first, pa.bool_()))
+
+    return run
+
+
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     return len(np.intersect1d(a, b, assume_unique=True))
 
@@ -429,6 +473,11 @@ def _linked(docs: DataFrame, words: int, percent: int, want: str = "components")
     ``want``: "components" compares only what can still join two classes; "counts" compares all and adds
     ``n_links``, the other rows that a row links with; "links" gives the links between distinct sets instead.
     """
+    with tidy(docs.sparkSession):
+        return _joined(docs, words, percent, want)
+
+
+def _joined(docs: DataFrame, words: int, percent: int, want: str) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select("id", or_empty(F.col("text")).alias("text")).withColumn("key", F.xxhash64("text"))
     kind = docs.schema["id"].dataType
@@ -453,24 +502,35 @@ def _linked(docs: DataFrame, words: int, percent: int, want: str = "components")
     drop_path(spark, groups_path)
 
     # Regions: the smallest vertex that shares a signature with a vertex is its pivot.
-    signs = rows.select("row", "signs").join(plain.where("row = vertex").select("row"), "row")
-    signs = signs.select("row", F.explode("signs").alias("sign"))
+    # Copies have their vertex's signatures, so a smallest row is a vertex in any case; copies among the members go
+    # when few rows are left.  Only signatures that pass a filter of the shared ones are shuffled a second time.
+    signs = rows.select("row", F.explode("signs").alias("sign"))
     pivots = signs.groupBy("sign").agg(F.min("row").alias("pivot"), F.count("*").alias("rows")).where("rows > 1")
     pivots, pivots_path = save(pivots.select("sign", "pivot"), "jaccard-pivots")
+    passing = spark.sparkContext.broadcast(_filter(pivots.select("sign")))
+    signs = rows.select("row", "signs").mapInArrow(frugal(_shared_signs(passing)), "row long, sign long")
     met = signs.join(pivots, "sign").where("row <> pivot").select("pivot", F.col("row").alias("member")).distinct()
+    met = met.join(plain.where("row = vertex").select(F.col("row").alias("member")), "member").select("pivot", "member")
     met, met_path = save(met, "jaccard-regions")
+    passing.destroy()
     drop_path(spark, rows_path)
     drop_path(spark, pivots_path)
 
     # Shingle sets of the documents that stand in some region, from their texts.
     wanted = met.select(F.col("member").alias("row")).union(met.select("pivot")).distinct()
-    wanted = wanted.join(plain.select("row", "id", "key"), "row")
-    wanted = wanted.select("row", F.col("id").alias("wanted_id"), F.col("key").alias("wanted_key"))
-    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("key") == F.col("wanted_key")))
-    # A row that stands several times is met once for each.
-    texts = texts.select("row", "text").dropDuplicates(["row"])
+    wanted, wanted_path = save(wanted.join(plain.select("row", "id", "key"), "row"), "jaccard-wanted")
+    passing = spark.sparkContext.broadcast(_filter(wanted.select("key")))
+    texts = docs.select("id", "key", "text")
+    texts = texts.mapInArrow(frugal(_wanted_texts(passing)), T.StructType([T.StructField("id", kind), long("key"), T.StructField("text", T.StringType())]))
+    # Nulls are equal inside a struct.  Two structs of one type make one key, so that what follows the join needs no
+    # shuffle of its own.
+    texts = texts.select(F.struct("id", "key").alias("at"), "text").join(wanted.select("row", F.struct("id", "key").alias("at")), "at")
+    # A row that stands several times is met once for each task that holds it.
+    texts = texts.dropDuplicates(["at"]).select("row", "text")
     sets = texts.mapInArrow(frugal(_sets(words)), "row long, shingles binary")
     sets, sets_path = save(sets, "jaccard-sets")
+    passing.destroy()
+    drop_path(spark, wanted_path)
 
     # Distances to the pivots; a member within the threshold is linked to its pivot.
     pairs = met.join(sets.select(F.col("row").alias("member"), F.col("shingles").alias("member_set")), "member")
@@ -600,9 +660,11 @@ def keep_smallest(
     found = _linked(box.df.select(F.col(own).alias("id"), F.col(body).alias("text")), words, percent)
     kept = F.col("id").eqNullSafe(F.col("least_id")) & (F.col("key") == F.col("least_key"))
     gone = found.where((F.col("n") > 0) & ~kept)
-    gone = gone.select(F.col("id").alias("gone_id"), F.col("key").alias("gone_key")).distinct()
-    rows = box.df.withColumn("key", F.xxhash64(or_empty(F.col(body))))
-    rows = rows.join(gone, F.col(own).eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left_anti")
-    place = F.row_number().over(Window.partitionBy(own, "key").orderBy(own))
+    # Nulls are equal inside a struct.  Two structs of one type (the hash is never null) make one key of join and window,
+    # for which the texts are shuffled once.
+    gone = gone.select(F.struct("id", F.coalesce("key", F.lit(0)).alias("key")).alias("at")).distinct()
+    rows = box.df.withColumn("at", F.struct(F.col(own).alias("id"), F.xxhash64(or_empty(F.col(body))).alias("key")))
+    rows = rows.join(gone, "at", "left_anti")
+    place = F.row_number().over(Window.partitionBy("at").orderBy("at"))
     rows = rows.withColumn("place", place).where((F.col("place") == 1) | ~or_empty(F.col(body)).rlike(WORD))
     return box.restored(rows)

@@ -185,3 +185,48 @@ def test_repeated_rows_do_not_multiply(spark, make, monkeypatch):
     found = jaccard_components(make(rows), words=4, percent=85).collect()
     assert {(r["doc_id"], r["component_id"], r["n_links"]) for r in found} == {(1, 1, 79), (2, 1, 79)} and len(found) == 80
     assert kept["jaccard-sets"][0].count() == 2 and kept["jaccard-distances"][0].count() == 1
+
+
+def test_what_is_shuffled(spark, make, monkeypatch):
+    """Signatures that nobody shares are shuffled once, and texts once for the sets and once for the result."""
+    plans, whole, threshold = {}, jaccard.save, "spark.sql.autoBroadcastJoinThreshold"
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def keep(df, label):
+        plans[label] = plan(df)
+        return whole(df, label)
+
+    monkeypatch.setattr(jaccard, "save", keep)
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        plans["kept"] = plan(keep_smallest(make(corpus(6)[:80]), 5, 80))
+    finally:
+        spark.conf.set(threshold, before)
+    assert "Generate" not in plans["jaccard-regions"] and "MapInArrow" in plans["jaccard-regions"]
+    for label in ("jaccard-sets", "kept"):
+        assert "Exchange" not in plans[label][: plans[label].index("SortMergeJoin")], label
+
+
+def test_no_spare_signatures_and_no_lost_partner():
+    import numpy as np
+
+    r = np.random.default_rng(7)
+    parts, least, sets = jaccard.Parts(80), 0, 0
+    for n in [40, 100, 300, 300, 300, 1000, 1000, 1000]:
+        shingles = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
+        own, signs = parts.klass(len(shingles)), parts.signatures(shingles)
+        # Few sets have so many empty parts that they need a second seed.
+        least, sets = least + (len(signs) == sum(parts.parts(k)[0] + 1 for k in (own, own - 1))), sets + 1
+        for cut in range(n // 5 + 1):
+            partner = np.union1d(shingles[cut:], r.integers(0, 1 << 63, int(r.integers(0, n // 5))).astype(np.uint64))
+            common = len(np.intersect1d(shingles, partner))
+            if 0 < cut and 100 * common >= 80 * (len(shingles) + len(partner) - common):
+                assert len(np.intersect1d(signs, parts.signatures(partner)))
+    assert least >= sets - 2
+
+
+def test_small_filters_lose_no_link(make, monkeypatch):
+    monkeypatch.setattr(jaccard, "LARGEST_FILTER", 64)
+    rows = corpus(7)
+    assert found(jaccard_components(make(rows), 4, 85)) == brute(rows, 4, 85)
