@@ -1,12 +1,15 @@
 import base64
+import copy
 import hashlib
 import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
+from stayline.llm import bpe
 from stayline.llm.bpe import Encoder, PerfectHash, Vocabulary, chunks_of, decode, encode
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -48,6 +51,35 @@ def test_same_ids_as_the_library(vocabulary, library):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode_ordinary(text)
 
 
+def test_batches_give_the_same(monkeypatch, vocabulary, library):
+    """Texts encoded together, whatever is remembered, however they are divided and wherever the column begins."""
+    many = [*texts(), *(f"{a}\n{b}.*** {a}--" for a in ["the", "Çé", "日", "x1"] for b in ["Ab", "'s", "é9", "\u00a0"]), "\n\n", "a\n\nb", "a \n\n b"]
+    want = [np.array(library.encode_ordinary(t), "<u4").tobytes() for t in many]
+    column = pa.array(["before", *many]).slice(1)
+    for bound, size in ((1000, 1 << 20), (10, 5000), (100_000, 1)):
+        monkeypatch.setattr(bpe, "PIECES", bound)
+        monkeypatch.setattr(bpe, "CHUNKS", bound)
+        monkeypatch.setattr(bpe, "BATCH_BYTES", size)
+        assert list(Encoder(vocabulary).encode_batch(column)) == want
+    assert list(Encoder(vocabulary).encode_batch(pa.array([], pa.string()))) == []
+    other = copy.copy(vocabulary)
+    other.pattern = r"\p{L}+|\s?[^\p{L}]"
+    assert list(Encoder(other).encode_batch(column)) == [Encoder(other).encode(t) for t in many]
+
+
+def test_words_are_merged_once(monkeypatch, vocabulary, library):
+    """A word's ids serve wherever it stands: before any marks, in any text of a batch; chunks are not remembered for it."""
+    words, calls = [f"erthonwh{'abcdefghij'[i]}xyz" for i in range(10)], []
+    monkeypatch.setattr(vocabulary, "merge", lambda piece: calls.append(piece) or Vocabulary.merge(vocabulary, piece))
+    encoder = Encoder(vocabulary)
+    rows = [" ".join(["On", *(w + m for w in words), "."]) for m in ["", ".", ",", "###", "$$$", "*)", "?", "!!"]]
+    for _ in range(2):
+        found = list(encoder.encode_batch(pa.array(rows)))
+        assert found == [np.array(library.encode_ordinary(t), "<u4").tobytes() for t in rows]
+    assert len(calls) == len(set(calls)) and sum(w.encode() in c for w in words for c in calls) == len(words)
+    assert len(encoder.rest) + len(encoder.first) <= 2
+
+
 def test_heap_alone_gives_the_same(vocabulary):
     for token in list(vocabulary.tokens.values())[:3000]:
         assert vocabulary.merge(token) == [vocabulary.rank(token)]
