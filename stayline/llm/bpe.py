@@ -288,7 +288,9 @@ class Spelling:
         cuts[::2] = np.frombuffer(chunks.buffers()[1], np.int32)[chunks.offset : chunks.offset + count + 1]
         cuts[1::2] = cuts[:-1:2] + sizes
         parts = pa.StringArray.from_buffers(2 * count, pa.py_buffer(cuts), chunks.buffers()[2]).dictionary_encode()
-        known = pa.array(list(map(self.known.__getitem__, parts.dictionary.to_pylist())), pa.binary())
+        # NumPy's strings are made much faster than a list of Arrow's.
+        names = parts.dictionary.to_numpy(zero_copy_only=False)
+        known = pa.array(list(map(self.known.__getitem__, names)), pa.binary())
         found = known.take(parts.indices)
         simple = found.is_valid().to_numpy(zero_copy_only=False)[::2] & (sizes > 0)
         ends = np.frombuffer(found.buffers()[1], np.int32)[: 2 * count + 1 : 2].copy()
@@ -296,7 +298,7 @@ class Spelling:
         others = np.flatnonzero(~simple)
         uncut = np.zeros(count + len(others) + len(texts), bool)
 
-        def tried(memo: Memo, names: list[str], base: int) -> pa.Array:
+        def tried(memo: Memo, names: np.ndarray, base: int) -> pa.Array:
             out = []
             for i, name in enumerate(names, base):
                 try:
@@ -307,8 +309,8 @@ class Spelling:
             return pa.array(out, pa.binary())
 
         heads = np.arange(len(texts)) + count + len(others)
-        rest = tried(self.rest, chunks.take(pa.array(others)).to_pylist(), count)
-        first = tried(self.first, flat.take(pa.array(bounds[:-1])).to_pylist(), count + len(others))
+        rest = tried(self.rest, chunks.take(pa.array(others)).to_numpy(zero_copy_only=False), count)
+        first = tried(self.first, flat.take(pa.array(bounds[:-1])).to_numpy(zero_copy_only=False), count + len(others))
         place = np.arange(count, dtype=np.int32)
         place[others] = count + np.arange(len(others))
         at = place[at]

@@ -13,32 +13,27 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.bpe import chunks_of
+from stayline.llm.bpe import PRE_TOKEN, Spelling, pack
 from stayline.llm.common import frugal, or_empty, store
 
 #: Fixed values of the format: the file's first bytes, and the bits of a plane that are compressed together.
 MAGIC = b"WMX1"
 BLOCK = 1 << 17
+#: Ids that are put in their places together, so few that they stay in the processor's cache.
+STRETCH = 1 << 16
 #: Ids after which a task closes a file and begins the next; a document is never divided.
 FILE_IDS = 4_000_000
 #: Files that a reading task takes at most, unless there are few of them.
 FILES_READ = 16
-#: Chunks and pre-tokens whose ids a worker remembers in each of two generations, and the longest of them.
-CHUNKS, PIECES = 500_000, 400_000
-LONG_CHUNK = 64
-#: The pre-token pattern of byte-level BPE, and blocks whose classes no version of Unicode changes any more.
-PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Chunks and pre-tokens whose ids a worker remembers in each of two generations.
+CHUNKS, PIECES = 100_000, 400_000
+#: Fixed value: blocks whose classes no version of Unicode changes any more.
 _SETTLED = re.compile("[\\x09-\\x0D\\x20-\u024f\u2010-\u2027]*")
-#: Marks that are one pre-token where they stand together behind a word: those of ASCII but the apostrophe.
-MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: A word of Latin letters and the marks behind it.
-_SIMPLE = re.compile(f"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([{re.escape(MARKS)}]*)")
-#: Little-endian packing of as many ids as the place in the row.
-_PACK = [struct.Struct(f"<{n}I").pack for n in range(2 * LONG_CHUNK)]
 #: Header: first bytes, ids, documents, levels, bytes of the directory.
 HEAD = struct.Struct("<4sQQBQ")
 
@@ -47,12 +42,17 @@ def _planes(ids: np.ndarray, levels: int) -> Iterator[tuple[np.ndarray, int]]:
     """Bits of each level from the highest down, and the number of zeros; zeros then go first, in order."""
     for level in range(levels - 1, -1, -1):
         ones = (ids & ids.dtype.type(1 << level)).astype(bool)
-        places = np.flatnonzero(~ones)
-        count = len(places)
+        count = len(ids) - int(np.count_nonzero(ones))
         yield np.packbits(ones, bitorder="little"), count
-        below = np.empty_like(ids)
-        np.take(ids, places, out=below[:count], mode="clip")
-        np.take(ids, np.flatnonzero(ones), out=below[count:], mode="clip")
+        below, zero, one = np.empty_like(ids), 0, count
+        for start in range(0, len(ids), STRETCH):
+            some, bits = ids[start : start + STRETCH], ones[start : start + STRETCH]
+            places = np.flatnonzero(~bits)
+            np.take(some, places, out=below[zero : zero + len(places)], mode="clip")
+            zero += len(places)
+            places = np.flatnonzero(bits)
+            np.take(some, places, out=below[one : one + len(places)], mode="clip")
+            one += len(places)
         ids = below
 
 
@@ -198,39 +198,21 @@ class Shard:
             raw = np.concatenate([self.block(level, b) for b in range(self.per)]) if self.per else np.zeros(0, np.uint8)
             ones = np.unpackbits(raw, count=self.n, bitorder="little").view(bool)
             out = np.empty_like(ids)
-            zeros = int(self.zeros[level])
-            out[np.flatnonzero(~ones)] = ids[:zeros]
-            out[np.flatnonzero(ones)] = ids[zeros:] | kind(1 << (self.levels - 1 - level))
+            zero, one = 0, int(self.zeros[level])
+            ids[one:] |= kind(1 << (self.levels - 1 - level))
+            for start in range(0, self.n, STRETCH):
+                some, bits = out[start : start + STRETCH], ones[start : start + STRETCH]
+                places = np.flatnonzero(~bits)
+                some[places] = ids[zero : zero + len(places)]
+                zero += len(places)
+                places = np.flatnonzero(bits)
+                some[places] = ids[one : one + len(places)]
+                one += len(places)
             ids = out
         return ids
 
 
-class _Memo(dict):
-    """What ``make`` gives for a string, remembered in two generations of up to ``entries`` strings of ``LONG_CHUNK`` at most.
-
-    When the younger one is full it becomes the older one, whose entries come back as they are asked for.
-    """
-
-    def __init__(self, make: Callable[[str], bytes], entries: int):
-        self.make, self.entries, self.older = make, entries, {}
-
-    def __missing__(self, key: str) -> bytes:
-        found = self.older.get(key)
-        if found is None:
-            found = self.make(key)
-        if len(key) <= LONG_CHUNK:
-            if len(self) >= self.entries:
-                self.older = dict(self)
-                self.clear()
-            self[key] = found
-        return found
-
-
-class _Uncut(Exception):
-    """A chunk beside a blank begins or ends with white space, so that the text has to be cut with more care."""
-
-
-class _Library:
+class _Library(Spelling):
     """Ids of texts by the tokenizers library, as packed 32-bit integers.
 
     Of a byte-level BPE tokenizer, the library's model sees each distinct pre-token once while it is
@@ -256,9 +238,7 @@ class _Library:
         self.model, self.split = self.tokenizer.model, getattr(split, "pre_tokenize_str", None)
         self.stands_for = dict(enumerate(_byte_letters()))
         self.find = regex.compile(PRE_TOKEN).findall
-        self.pieces = _Memo(self._piece, PIECES)
-        self.first = _Memo(self._head, CHUNKS // 8)
-        self.rest = _Memo(self._tail, CHUNKS)
+        super().__init__(CHUNKS, PIECES)
 
     def _piece(self, piece: str) -> bytes:
         # Printable characters of ASCII but the blank stand for themselves.
@@ -267,54 +247,23 @@ class _Library:
         return self._mapped(piece.encode().decode("latin-1").translate(self.stands_for))
 
     def _mapped(self, piece: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(piece)]
-        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
-
-    def _tail(self, chunk: str, lead: str = " ") -> bytes:
-        """Ids of a chunk behind ``lead``; most are a word and marks."""
-        if chunk.isascii():
-            word = chunk.rstrip(MARKS)
-            simple = word.isalpha()
-        elif simple := _SIMPLE.fullmatch(chunk):
-            word = simple[1]
-        if simple:
-            ids = self.pieces[lead + word]
-            return ids + self.pieces[chunk[len(word) :]] if len(word) < len(chunk) else ids
-        if lead and chunk[:1] == "\n":
-            # Alone between two characters that are not white space, a line feed is a pre-token.
-            return self.pieces["\n"] + self._tail(chunk[1:], "")
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            raise _Uncut
-        return self._whole(lead + chunk)
-
-    def _head(self, chunk: str) -> bytes:
-        if not chunk or chunk[-1].isspace():
-            raise _Uncut
-        return self._whole(chunk)
+        return pack([t.id for t in self.model.tokenize(piece)])
 
     def _whole(self, chunk: str) -> bytes:
         if _SETTLED.fullmatch(chunk):
             return b"".join([self.pieces[p] for p in self.find(chunk)])
         return b"".join([self._mapped(mapped) for mapped, _ in self.split(chunk)])
 
+    def _apart(self, texts: pa.Array) -> np.ndarray:
+        apart = np.full(len(texts), not self.plain)
+        for added in self.added:
+            apart |= pc.match_substring(texts, added).to_numpy(zero_copy_only=False)
+        return apart
+
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.plain or any(a in text for a in self.added):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
-        try:
-            # Lines begin chunks of their own, unless some are empty; then no chunk may begin with a line feed.
-            if "\n\n" not in text:
-                chunks = iter(text.replace("\n", " \n").split(" "))
-            elif " \n" not in text:
-                chunks = iter(text.split(" "))
-            else:
-                raise _Uncut
-            return self.first[next(chunks)] + b"".join(map(self.rest.__getitem__, chunks))
-        except _Uncut:
-            head, *tail = chunks_of(text)
-            return self._whole(head) + b"".join([self._whole(" " + c) for c in tail])
+        if text and (not self.plain or any(a in text for a in self.added)):
+            return pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return super().encode(text)
 
 
 def _byte_letters() -> list[str]:
@@ -368,8 +317,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end: int = 2, tex
             ids.clear()
 
         for batch in batches:
-            for i, whole in zip(batch.column(0), batch.column(1)):
-                i, packed = i.as_py(), library.encode(whole.as_py())
+            for i, packed in zip(batch.column(0).to_pylist(), library.encode_batch(batch.column(1))):
                 if parts and held + len(packed) // 4 > FILE_IDS:
                     close()
                     number, held = number + 1, 0

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -76,6 +77,27 @@ def test_lines_and_marks_share_words():
         assert library.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
 
 
+def test_batches_give_the_same(monkeypatch):
+    """Texts encoded together have the ids of an untouched tokenizer; a word is handed to it once for all chunks."""
+    tokenizer = Tokenizer.from_file(PATH)
+    parts = ["a", "B", "\u00e9", "'s", "1", "-", ".", "*'", "\n", "\n\n", " ", " ", "\t", "\u00aa", "_", "\x7f", "\x00", "\u65e5", "<|endoftext|>"]
+    r = np.random.default_rng(6)
+    many = ODD * 2 + ["".join(ODD), " ".join(ODD)] + ["".join(r.choice(parts, r.integers(1, 12))) for _ in range(3000)]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in many]
+    for bound in (100_000, 10):
+        monkeypatch.setattr(wavelet, "CHUNKS", bound)
+        monkeypatch.setattr(wavelet, "PIECES", bound)
+        assert list(wavelet._Library(PATH).encode_batch(pa.array(["before", *many]).slice(1))) == want
+    monkeypatch.undo()
+    library, calls = wavelet._Library(PATH), []
+    mapped = library._mapped
+    library._mapped = lambda piece: calls.append(piece) or mapped(piece)
+    rows = [" ".join(f"erthon{'abcdefghij'[i]}{m}" for i in range(10)) for m in ["", ".", ",", "###", "$$$", "*)"]]
+    for _ in range(2):
+        assert len(list(library.encode_batch(pa.array(["On " + t for t in rows])))) == len(rows)
+    assert len(calls) == len(set(calls)) == 10 + 5 + 2 and len(library.rest) == 0
+
+
 def test_other_tokenizer():
     path = public_tokenizers.path("word_bpe_49k.json")
     library, tokenizer = wavelet._Library(path), Tokenizer.from_file(path)
