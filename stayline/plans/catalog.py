@@ -16,7 +16,7 @@ from stayline.functions.values import row_max
 from stayline.operators import cohort as cohorts
 from stayline.operators import diagnosis, encode, events, labels, labs, language, quantiles, words
 from stayline.plans.views import (
-    EVENT_MEASURES, TASKS, event_bands, exclusion_events, joined,
+    EVENT_MEASURES, TASKS, event_bands, exclusion_events, joined, joined_numbers,
     measurements, own_block, rules, stays, table,
 )
 from stayline.session import configure, saved, scratch_path
@@ -522,7 +522,7 @@ def sequence_pad(spark, d):
 
 def flat_sequences(packed):
     def flat(name):
-        return joined(F.flatten(F.col(name))).alias(name)
+        return joined_numbers(F.flatten(F.col(name))).alias(name)
 
     return packed.select(
         "stay_id", flat("hi_input"), flat("hi_type"), flat("hi_place"),

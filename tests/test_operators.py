@@ -5,6 +5,7 @@ import re
 import shutil
 import statistics
 
+import pyarrow.parquet as pq
 import pytest
 from checks import rows
 from pyspark.sql import Observation
@@ -367,6 +368,35 @@ def test_one_stay_is_read_from_one_file(spark, tmp_path):
     assert writers.read_stay(spark, path, 76).count() == 0 and writers.read_stay(spark, path, -5).count() == 0
 
 
+def test_sequence_files_are_made_once_and_read_in_small_groups(spark, tmp_path):
+    """A reader's batch ends with a row group, so padded stays never meet by thousands; the arrays are worked out once."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def padded(stay: int) -> list[int]:
+        calls.add(1)
+        return [stay] * 128
+
+    df = spark.range(2000).select((F.col("id") * 7 - 900).alias("stay_id"))
+    df = df.withColumn("hi_input", F.udf(padded, "array<int>")("stay_id"))
+    path = str(tmp_path / "s")
+    writers.write_sequences(df.repartition(3), path)
+    assert calls.value == 2000
+    files = sorted((tmp_path / "s").glob("part-*.parquet"))
+    found = [pq.ParquetFile(f) for f in files]
+    groups = [f.metadata.row_group(k).num_rows for f in found for k in range(f.metadata.num_row_groups)]
+    assert sum(groups) == 2000 and max(groups) <= writers.GROUP_STAYS
+    ranges = sorted((ids[0], ids[-1], ids == sorted(ids)) for f in found if (ids := f.read(["stay_id"])["stay_id"].to_pylist()))
+    assert len(ranges) == 4 and all(r[2] for r in ranges) and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert min(f.metadata.num_rows for f in found) > 300
+    back = rows(spark.read.parquet(path).select("stay_id", F.size("hi_input"), F.col("hi_input")[127]))
+    assert sorted(back) == [(i * 7 - 900, 128, i * 7 - 900) for i in range(2000)]
+    few = spark.createDataFrame([("b", [1]), ("a", [2])], "stay_id string, hi_input array<int>")
+    writers.write_sequences(few, path)
+    assert rows(writers.read_stay(spark, path, "a"), "stay_id") == [("a",)] and spark.read.parquet(path).count() == 2
+    writers.write_sequences(few.limit(0), path)
+    assert spark.read.parquet(path).count() == 0
+
+
 def test_codes_reach_the_scan(spark, tmp_path):
     for name, expr, codes in (("text", "cast(id AS string)", [5, "7"]), ("whole", "cast(id AS int)", ["5", 7])):
         spark.range(100).selectExpr(f"{expr} AS code", "1.0D AS value").write.parquet(str(tmp_path / name))
