@@ -52,7 +52,7 @@ def round_decimals(text: str) -> Column:
     pieces = f"regexp_extract_all({text}, {quoted(PIECE)}, 0)"
     rewritten = f"array_join(transform({pieces}, p -> CASE WHEN p RLIKE {whole} THEN {shorten('p')} ELSE p END), '')"
     return F.expr(
-        f"CASE WHEN {text} RLIKE {whole} THEN {shorten(text)} "
+        f"CASE WHEN NOT contains({text}, '.') THEN {text} WHEN {text} RLIKE {whole} THEN {shorten(text)} "
         f"WHEN {text} RLIKE {quoted(DECIMAL)} THEN {rewritten} ELSE {text} END"
     )
 

@@ -459,9 +459,9 @@ def coded_lines(spark, d):
     )
 
 
-def linearised_lines(spark, d):
+def linearised_lines(spark, d, units=False):
     return encode.linearise(
-        coded_lines(spark, d), "lineitem", LINE_COLUMNS, ["original_code_l_partkey"], keep=("l_orderkey", "l_linenumber")
+        coded_lines(spark, d), "lineitem", LINE_COLUMNS, ["original_code_l_partkey"], keep=("l_orderkey", "l_linenumber"), units=units
     )
 
 
@@ -482,9 +482,10 @@ def vocab_build(spark, d):
 
 @query
 def vocab_encode(spark, d):
-    rows = saved(linearised_lines(spark, d), "lines")
-    encoded = encode.encode_tokens(rows, encode.build_vocabulary(rows))
-    return encoded.select("l_orderkey", "l_linenumber", joined(F.col("ids")).alias("ids"), joined(F.col("codes")).alias("codes"))
+    lines = linearised_lines(spark, d, units=True).select("l_orderkey", "l_linenumber", "units", "codes")
+    rows = saved(lines, "lines")
+    encoded = encode.encode_tokens(rows, encode.build_vocabulary(rows), separator=" ")
+    return encoded.select("l_orderkey", "l_linenumber", "ids", joined(F.col("codes")).alias("codes"))
 
 
 def event_sequences(spark, d, max_events=256, max_tokens=128, hours=48):

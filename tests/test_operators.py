@@ -327,6 +327,37 @@ def test_encoding_with_a_short_head(spark, monkeypatch):
     assert sum(100 in ids for _, ids in whole) == 150
 
 
+def test_values_are_encoded_like_their_tokens(spark, monkeypatch):
+    """Vocabulary and ids of printed values, frequent or not, are those of the rows' tokens, and no list of tokens is made."""
+    df = spark.sql(
+        """SELECT id AS k, CAST(id % 7 - 3 AS DECIMAL(12, 6)) / 7 AS d, CAST(id * 1000003 % 90001 - 500 AS BIGINT) AS n,
+           CAST(id % 3 * 1e-7 AS DECIMAL(20, 10)) AS tiny, CASE WHEN id % 5 > 0 THEN date_add(DATE '2024-02-28', CAST(id * 40 AS INT)) END AS t,
+           CASE WHEN id = 3 THEN DATE '+12024-02-08' WHEN id % 2 = 0 THEN DATE '1999-12-31' END AS far,
+           CASE id % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'Straße 12.50001 \u00e9\u0301 a-b' WHEN 3 THEN concat('w', id, ' x', id % 9) WHEN 4 THEN '-7' ELSE repeat('long ', 30) END AS s,
+           concat('c', id % 4) AS code, CAST(id % 2 AS STRING) AS last FROM range(400)"""
+    )
+    columns = ["d", "n", "tiny", "code", "t", "far", "s", "last"]
+    for room in (500, 60, 30):
+        plain = encode.linearise(df, "tab_1.5", columns, ["code"], room, ("k",))
+        units = encode.linearise(df, "tab_1.5", columns, ["code"], room, ("k",), units=True)
+        assert rows(units, "k", "tokens", "types", "places", "original_text", "codes") == rows(plain, "k", "tokens", "types", "places", "original_text", "codes")
+        kept, listed = units.select("k", "units", "codes").localCheckpoint(), plain.localCheckpoint()
+        vocabulary = encode.build_vocabulary(listed)
+        assert rows(encode.build_vocabulary(kept)) == rows(vocabulary)
+        known = vocabulary.where("token NOT IN ('x', '-', 'last')").localCheckpoint()
+        for words_ in (vocabulary, known, vocabulary.where("token = '-'"), vocabulary.limit(0)):
+            want = rows(encode.encode_tokens(listed, words_), "k", "ids")
+            assert rows(encode.encode_tokens(kept, words_), "k", "ids") == want
+            assert rows(encode.encode_tokens(kept, words_, separator=" "), "k", "ids") == [(k, " ".join(map(str, ids))) for k, ids in want]
+    plan = encode.encode_tokens(kept, vocabulary, separator=" ")._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Generate" not in plan and "Exchange" not in plan and "Python" not in plan.replace("pythonEvals", "")
+    want, full = rows(encode.encode_tokens(listed, vocabulary), "k", "ids"), encode.TokenHead
+    monkeypatch.setattr(encode, "TokenHead", lambda v: full(v, 3))
+    monkeypatch.setattr(encode, "HEAD_VALUES", 5)
+    assert rows(encode.encode_tokens(kept, vocabulary), "k", "ids") == want
+    assert rows(encode.encode_tokens(kept, vocabulary, separator=","), "k", "ids") == [(k, ",".join(map(str, ids))) for k, ids in want]
+
+
 def test_typed_values_are_encoded_like_their_text(spark):
     """Numbers and dates give what their printed text gives, without a pattern over them."""
     values = spark.sql(
